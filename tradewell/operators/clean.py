@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,10 +101,11 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """One row per key, the smallest by ``order_by`` and then by all other columns.
+    """One row per key, the first by ``order_by`` and then by all other columns.
 
-    The minimum of a struct is combined on the map side, so copies of a hot key never meet in one
-    task, and the survivor does not depend on how rows are spread. History tables keep every version.
+    The order is total, so the survivor does not depend on how rows are spread. Keeping only rank 1
+    lets Spark drop all but the first copy of a key inside each map task, before the shuffle: a hot
+    key sends one row per task. History tables keep every version.
     """
     if not keys or "is_current" in df.columns:
         return df
@@ -111,8 +113,8 @@ def dedup(df: DataFrame, keys: list[str], order_by: list[str] | None = None) ->
     rest = first + [c for c in df.columns if c not in keys and c not in first]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(*rest))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def hash_text(column: str, dtype: T.DataType) -> Column:

@@ -85,8 +85,9 @@ class Star:
         return self.dimension("Sales")
 
     def summarise(self, by: Mapping[str, str] | Iterable[str] = (), sums: Mapping[str, Column] | None = None,
-                  distinct: Mapping[str, Column] | None = None) -> DataFrame:
-        """Group the fact by dimension attributes; additive sums and distinct counts.
+                  distinct: Mapping[str, Column] | None = None,
+                  maxes: Mapping[str, Column] | None = None) -> DataFrame:
+        """Group the fact by dimension attributes; sums, maxima and distinct counts.
 
         The fact is first grouped by the foreign keys in use, inside its own scan, so what reaches a
         dimension join is one row per key combination, however many lines a hot customer or product
@@ -94,21 +95,23 @@ class Star:
         row stays as a null group.
         """
         by = by if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
-        sums, distinct = dict(sums or {}), dict(distinct or {})
+        sums, distinct, maxes = dict(sums or {}), dict(distinct or {}), dict(maxes or {})
         fact = self.fact()
         refs = list(dict.fromkeys([*by.values(), *self.filters]))
         needed = [r for r in refs if split_ref(r)[0] != "Sales"]
-        final = [*[F.sum(n).alias(n) for n in sums], *[F.count_distinct(n).alias(n) for n in distinct]]
+        final = [*[F.sum(n).alias(n) for n in sums], *[F.count_distinct(n).alias(n) for n in distinct],
+                 *[F.max(n).alias(n) for n in maxes]]
         if not needed:
             named = fact.select(*[F.col(split_ref(r)[1]).alias(a) for a, r in by.items()],
-                                *[c.alias(n) for n, c in {**sums, **distinct}.items()])
+                                *[c.alias(n) for n, c in {**sums, **distinct, **maxes}.items()])
             return named.groupBy(*by).agg(*final)
         joins = self._joins(needed)
         keys = dict.fromkeys(j.left for j in joins if j.from_fact)
         own = [F.col(split_ref(r)[1]).alias(_slot(r)) for r in refs if split_ref(r)[0] == "Sales"]
         counted = [c.alias(n) for n, c in distinct.items()]
-        if sums:
-            rows = fact.groupBy(*keys, *own, *counted).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+        partial = [*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()]]
+        if partial:
+            rows = fact.groupBy(*keys, *own, *counted).agg(*partial)
         else:
             rows = fact.select(*keys, *own, *counted).distinct()
         for j in joins:
@@ -116,7 +119,7 @@ class Star:
         for ref, condition in self.filters.items():
             if split_ref(ref)[0] != "Sales":
                 rows = rows.where(_holds(F.col(_slot(ref)), condition))
-        named = rows.select(*[F.col(_slot(r)).alias(a) for a, r in by.items()], *sums, *distinct)
+        named = rows.select(*[F.col(_slot(r)).alias(a) for a, r in by.items()], *sums, *distinct, *maxes)
         return named.groupBy(*by).agg(*final)
 
     def rows(self, refs: Iterable[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewell.config import MERGED
 from tradewell.operators.clean import dedup, project
@@ -31,9 +32,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if name not in self._schemas:  # reading a footer is a job; one per table is enough
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def _places(self) -> DataFrame:
         region = self.raw("region").select("r_regionkey", "r_name")

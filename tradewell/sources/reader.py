@@ -14,8 +14,8 @@ from tradewell.operators.clean import drop_feed_metadata
 
 
 def read_columnar(spark: SparkSession, path: str) -> DataFrame:
-    """S01."""
-    return spark.read.parquet(path)
+    """Columnar files only, so a folder of another format reads as absent rather than as broken."""
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def unwrap_value(df: DataFrame) -> DataFrame:
