@@ -7,6 +7,7 @@ that the Gold job has built from the same folder, once per application.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tradewell.operators import keys as key_ops
 from tradewell.plans import bronze, gold, insights, reports, silver
 from tradewell.plans import measures as m
 from tradewell.plans.star import Star, net
-from tradewell.session import new_path
+from tradewell.session import all_or_raise, for_each_table, new_path
 from tradewell.sources import pages, reader, sinks
 from tradewell.sources.adapter import TestTables
 
@@ -75,16 +76,16 @@ def _name(base: str) -> str:
 
 ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                "o_totalprice": "double", "o_orderpriority": "string"}
-PER_PAGE, PAGES_PER_FILE = 20, 50
+PER_PAGE, PAGES_PER_FILE, PER_DOCUMENT = 20, 50, 2000
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TestTables(spark, sf_dir).raw("orders").select(*ORDER_TYPES)
 
 
-def _write_pages(orders: DataFrame, path: str, per_file: int = PAGES_PER_FILE) -> None:
+def _write_pages(orders: DataFrame, path: str, per_page: int = PER_PAGE, per_file: int = PAGES_PER_FILE) -> None:
     """API pages of a fixed number of orders, several back to back in each file."""
-    page = F.floor(F.col("o_orderkey") / PER_PAGE)
+    page = F.floor(F.col("o_orderkey") / per_page)
     record = F.to_json(F.struct(*ORDER_TYPES))
     text = orders.groupBy(page.alias("page")).agg(F.concat_ws(",", F.collect_list(record)).alias("records"))
     envelope = F.concat(F.lit('{"@odata.context":"orders","value":['), F.col("records"),
@@ -111,7 +112,7 @@ def s02_json_tree(spark, sf_dir):
 @query
 def s03_json_document(spark, sf_dir):
     path = new_path(spark, "documents")
-    _write_pages(_orders(spark, sf_dir), path, per_file=1)
+    _write_pages(_orders(spark, sf_dir), path, PER_DOCUMENT, per_file=1)
     return reader.read_json_document(spark, path).select(*ORDER_TYPES)
 
 
@@ -440,11 +441,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tables = TestTables(spark, sf_dir)
     api_only = {n: df for n, df in tables.all().items() if n not in MERGED}
     merged = {n: _merged(spark, sf_dir, n) for n in MERGED}
-    root = new_path(spark, "silver")
-    built = silver.build(api_only, merged, KEYS, RUN_TS, RUN_ID)
-    for name, df in built.items():
-        df.write.parquet(f"{root}/{silver_name(name)}")
-    return {n: spark.read.schema(df.schema).parquet(f"{root}/{silver_name(n)}") for n, df in built.items()}
+    return silver.write(silver.build(api_only, merged, KEYS, RUN_TS, RUN_ID), new_path(spark, "silver"))
 
 
 _silver_tables: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -457,9 +454,14 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _silver_tables[at]
 
 
+def _primary_keys(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+    return all_or_raise(for_each_table({
+        n: partial(key_ops.infer_primary_key, gold.current(df)) for n, df in tables.items()}))
+
+
 @query
 def c09_primary_keys(spark, sf_dir):
-    found = {n: key_ops.infer_primary_key(df) for n, df in TestTables(spark, sf_dir).all().items()}
+    found = _primary_keys(TestTables(spark, sf_dir).all())
     return spark.createDataFrame([(n, ",".join(k)) for n, k in found.items()], "table_name string, primary_key string")
 
 
@@ -479,8 +481,7 @@ def c11_quality(spark, sf_dir):
 
 
 def _references(tables: dict[str, DataFrame]) -> list[tuple[str, str, str, str]]:
-    found = {n: key_ops.infer_primary_key(gold.current(df)) for n, df in tables.items()}
-    return silver.references(tables, found, DECLARED_FOREIGN_KEYS)
+    return silver.references(tables, _primary_keys(tables), DECLARED_FOREIGN_KEYS)
 
 
 @query
@@ -496,7 +497,8 @@ def c13_referential_integrity(spark, sf_dir):
 
 
 def _ready(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return c11_quality(spark, sf_dir), silver.readiness(c11_quality(spark, sf_dir), c13_referential_integrity(spark, sf_dir))
+    records = c11_quality(spark, sf_dir)
+    return records, silver.readiness(records, c13_referential_integrity(spark, sf_dir))
 
 
 @query

@@ -17,7 +17,7 @@ from tradewell.functions.text import clean_names
 
 def _map_columns(df: DataFrame, change: dict[str, Column]) -> DataFrame:
     """Replace some columns in a single projection."""
-    return df.select(*[change[c].alias(c) if c in change else F.col(f"`{c}`") for c in df.columns])
+    return df.select(*[change[c].alias(c) if c in change else f"`{c}`" for c in df.columns])
 
 
 def _of_type(df: DataFrame, *types: type) -> list[str]:
@@ -42,13 +42,13 @@ def with_default(df: DataFrame, column: str, value: Column) -> DataFrame:
 
 def drop_feed_metadata(df: DataFrame, prefix: str = "@odata") -> DataFrame:
     """P04."""
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(prefix)])
+    return df.select(*[f"`{c}`" for c in df.columns if not c.startswith(prefix)])
 
 
 def project(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Exactly these columns; one the table lacks becomes null text."""
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns])
+    return df.select(*[c if c in have else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def align_types(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def trim_text(df: DataFrame) -> DataFrame:
     """Trimmed, and blank text is null."""
-    return _map_columns(df, {c: F.nullif(F.trim(c), F.lit("")) for c in _of_type(df, T.StringType)})
+    return _map_columns(df, {c: F.expr(f"nullif(trim(`{c}`), '')") for c in _of_type(df, T.StringType)})
 
 
 def parse_dates(df: DataFrame) -> DataFrame:
@@ -119,11 +119,10 @@ def dedup(df: DataFrame, keys: list[str], order_by: list[str] | None = None) ->
 
 def hash_text(column: str, dtype: T.DataType) -> Column:
     """The text of one value inside a row hash; floats go through a decimal so 0.0, -0.0 and 1e7 print alike."""
+    text = f"CAST(`{column}` AS STRING)"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = F.coalesce(F.col(column).try_cast("decimal(38,10)").cast("string"), F.col(column).cast("string"))
-    else:
-        text = F.col(column).cast("string")
-    return F.coalesce(text, F.lit(HASH_NULL))
+        text = f"CAST(try_cast(`{column}` AS DECIMAL(38,10)) AS STRING), {text}"
+    return F.expr(f"coalesce({text}, '{HASH_NULL}')")
 
 
 def row_hash(df: DataFrame, columns: list[str]) -> Column:

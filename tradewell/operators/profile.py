@@ -15,11 +15,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, NUMERIC)]
 
 
-def _total(column: str, dtype: T.DataType) -> Column:
+def _total(column: str, dtype: T.DataType) -> str:
     """A sum that cannot depend on the order of rows: floats are added as decimals."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.sum(F.col(column).try_cast("decimal(28,6)"))
-    return F.sum(column)
+        return f"CAST(sum(try_cast(`{column}` AS DECIMAL(28,6))) AS DOUBLE)"
+    return f"CAST(sum(`{column}`) AS DOUBLE)"
 
 
 def duplicate_count(keys: list[str], among: Column | None = None) -> Column:
@@ -33,7 +33,7 @@ def duplicate_count(keys: list[str], among: Column | None = None) -> Column:
 
 
 def null_count(column: str) -> Column:
-    return F.count_if(F.col(column).isNull())
+    return F.expr(f"count_if(`{column}` IS NULL)")
 
 
 def null_counts(df: DataFrame, skip_technical: bool = True) -> DataFrame:
@@ -51,7 +51,7 @@ def numeric_profile(df: DataFrame) -> DataFrame:
     columns = numeric_columns(df)
     parts = []
     for c in columns:
-        parts += [_total(c, df.schema[c].dataType).cast("double").alias(f"{c}_sum"),
+        parts += [F.expr(_total(c, df.schema[c].dataType)).alias(f"{c}_sum"),
                   F.min(c).cast("double").alias(f"{c}_min"), F.max(c).cast("double").alias(f"{c}_max")]
     if not parts:
         return df.sparkSession.createDataFrame([], "column_name string, total double, smallest double, largest double")
@@ -65,15 +65,16 @@ def source_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows, duplicate keys, null keys, null counts of all columns, numeric aggregates."""
     keys = [k for k in keys if k in df.columns]
     numbers = numeric_columns(df)
-    sums = [_total(c, df.schema[c].dataType).cast("double").alias(f"{c}_sum") for c in numbers]
-    edges = [f(c).cast("double").alias(f"{c}_{n}") for c in numbers for n, f in (("min", F.min), ("max", F.max))]
-    nulls = {c: null_count(c) for c in df.columns}
-    required = sum((nulls[k] for k in keys), F.lit(0))
+    types = {f.name: f.dataType for f in df.schema}
+    nulls = ", ".join(f"count_if(`{c}` IS NULL) AS `{c}`" for c in df.columns)
+    required = " + ".join(f"count_if(`{k}` IS NULL)" for k in keys) or "CAST(0 AS BIGINT)"
+    sums = [f"{_total(c, types[c])} AS `{c}_sum`" for c in numbers]
+    edges = [f"CAST({f}(`{c}`) AS DOUBLE) AS `{c}_{f}`" for c in numbers for f in ("min", "max")]
+    aggregates = f"to_json(struct({', '.join([*sums, *edges])}))" if numbers else "'{}'"
     return df.agg(
         F.count(F.lit(1)).alias("row_count"), duplicate_count(keys).alias("duplicates"),
-        required.cast("bigint").alias("null_keys"),
-        F.to_json(F.struct(*[n.alias(c) for c, n in nulls.items()])).alias("nulls_json"),
-        (F.to_json(F.struct(*sums, *edges)) if numbers else F.lit("{}")).alias("aggregates_json"))
+        F.expr(required).alias("null_keys"), F.expr(f"to_json(struct({nulls}))").alias("nulls_json"),
+        F.expr(aggregates).alias("aggregates_json"))
 
 
 def counts_by_source(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Mapping
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tradewell.config import EXCEL, EXCEL_PREFIX, KEYS, table_name
 from tradewell.operators.clean import nan_to_null, sanitise_names
 from tradewell.operators.profile import numeric_columns, source_profile
+from tradewell.session import for_each_table, materialise
 from tradewell.sources.sinks import append, read_log
 
 Source = Callable[[], DataFrame]
@@ -41,18 +43,16 @@ def land(spark: SparkSession, sheets: Mapping[str, Source], root: str, run_id: s
 
     Rows are counted on the written files, whose footers hold the number.
     """
-    audit = []
-    for raw, source in sheets.items():
-        table = table_name(raw)
-        try:
-            df = source()
-            if df.isEmpty():
-                audit.append((run_id, table, 0, 0, 0, run_ts, "Empty sheet"))
-                continue
-            landed = land_sheet(df, table, root)
-            audit.append((run_id, table, landed.count(), len(landed.columns), len(numeric_columns(landed)), run_ts, None))
-        except Exception as error:  # noqa: BLE001 - one table's failure is a record, whatever its kind
-            audit.append((run_id, table, None, 0, 0, run_ts, error_text(error)))
+    def run(table: str, source: Source) -> tuple:
+        df = source()
+        if df.isEmpty():
+            return run_id, table, 0, 0, 0, run_ts, "Empty sheet"
+        landed = land_sheet(df, table, root)
+        return run_id, table, landed.count(), len(landed.columns), len(numeric_columns(landed)), run_ts, None
+
+    results = for_each_table({table_name(raw): partial(run, table_name(raw), source) for raw, source in sheets.items()})
+    audit = [(run_id, table, None, 0, 0, run_ts, error_text(r)) if isinstance(r, Exception) else r
+             for table, r in results.items()]
     log = f"{root.rstrip('/')}/{EXCEL_PREFIX}load_log"
     append(spark.createDataFrame(audit, AUDIT_SCHEMA), log)
     return read_log(spark, log)
@@ -160,18 +160,26 @@ def validate_all(spark: SparkSession, tables: Iterable[str], api: Mapping[str, S
                  excel_tables: Iterable[str] = ()) -> DataFrame:
     """Validate every table into a log; one that cannot be read is recorded as failed.
 
-    Each record is written by the job that computes it, so a broken table costs only its own record.
+    Each record is computed by its own job, so a broken table costs only its own record; the log
+    gets all records, one row per table, in one write.
     """
     excel_tables = set(excel_tables)
-    for table in tables:
-        facts = {"run_id": run_id, "run_ts": run_ts, "expected": (expected or {}).get(table),
-                 "is_excel": table in excel_tables}
-        try:
-            record = validate_bronze(spark, table, _load(api.get(table)), _load(excel.get(table)), **facts)
-            append(record, log)
-        except Exception as error:  # noqa: BLE001 - one table's failure is a record, whatever its kind
-            record = validate_bronze(spark, table, None, None, **facts)
-            append(record.withColumn("failure_reason", F.lit(error_text(error))), log)
+
+    def facts(table: str) -> dict[str, object]:
+        return {"run_id": run_id, "run_ts": run_ts, "expected": (expected or {}).get(table),
+                "is_excel": table in excel_tables}
+
+    def run(table: str) -> DataFrame:
+        record = validate_bronze(spark, table, _load(api.get(table)), _load(excel.get(table)), **facts(table))
+        return materialise(record, f"validation-{table}")
+
+    records = []
+    for table, result in for_each_table({t: partial(run, t) for t in tables}).items():
+        if isinstance(result, Exception):
+            record = validate_bronze(spark, table, None, None, **facts(table))
+            result = record.withColumn("failure_reason", F.lit(error_text(result)))
+        records.append(result)
+    append(reduce(DataFrame.unionByName, records), log)
     return read_log(spark, log)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from tradewell.functions.dates import as_date, date_key, us_week
 from tradewell.functions.money import line_total
 from tradewell.operators.clean import project
 from tradewell.operators.ranking import number_rows
+from tradewell.session import all_or_raise, for_each_table
 
 # Columns of the dimensions that only copy their source (P18), and their keys.
 COPIED_DIMENSIONS = {
@@ -162,8 +162,7 @@ def build(silver: dict[str, DataFrame], root: str) -> None:
         name: partial(copied_dimension, silver, name) for name in COPIED_DIMENSIONS}
     makers["DimCategories"] = partial(dim_categories, silver)
     makers["DimDate"] = partial(dim_date, silver["Orders"])
-    with ThreadPoolExecutor(max_workers=len(makers)) as pool:
-        list(pool.map(write, makers, makers.values()))
+    all_or_raise(for_each_table({name: partial(write, name, make) for name, make in makers.items()}))
     dims = read(spark, root, list(makers))
     write("DimProducts", lambda: dim_products(silver, dims["DimCategories"], dims["DimSuppliers"]))
     write("Sales", lambda: sales(silver, {**dims, **read(spark, root, ["DimProducts"])}))

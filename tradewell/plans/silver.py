@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,9 @@ from tradewell.config import (API, EXCEL, EXPECTED_API_ROWS, HISTORY_COLUMNS, TE
                               silver_name)
 from tradewell.operators import history, keys
 from tradewell.operators.clean import clean_table, fill_text, parse_dates, prepare_feed, trim_text, with_default
-from tradewell.operators.profile import duplicate_count
+from tradewell.operators.profile import duplicate_count, null_count
 from tradewell.plans.bronze import error_text
+from tradewell.session import all_or_raise, for_each_table
 from tradewell.sources.sinks import append, publish, read_log
 
 Source = Callable[[], DataFrame]
@@ -49,17 +50,24 @@ def merge_record(merged: DataFrame, incoming: DataFrame, entity: Entity, run_ts:
 
 def merge_run(spark: SparkSession, entities: Iterable[Entity], baseline: Mapping[str, Source],
               incoming: Mapping[str, Source], root: str, run_ts: str, schema: str = "") -> DataFrame:
-    """Merge every entity into its table and log it; a failing entity is logged and the rest go on."""
+    """Merge every entity into its table and log it; a failing entity is logged and the rest go on.
+
+    The log rows are counted on the published tables, in one job for all of them.
+    """
+    def run(entity: Entity) -> DataFrame:
+        old, new = baseline[entity.name](), incoming[entity.name]()
+        merged = history.merge(prepare_feed(old, entity), prepare_feed(new, entity), entity, run_ts)
+        published = publish(merged, f"{schema}{silver_name(entity.name)}", root)
+        return merge_record(published, new, entity, run_ts)
+
+    records = []
+    for name, result in for_each_table({e.name: partial(run, e) for e in entities}).items():
+        if isinstance(result, Exception):
+            row = (silver_name(name), name, 0, 0, "FAILED", error_text(result), run_ts, *[None] * 6)
+            result = spark.createDataFrame([row], MERGE_LOG_SCHEMA)
+        records.append(result)
     log = f"{root.rstrip('/')}/merge_log"
-    for entity in entities:
-        target = f"{schema}{silver_name(entity.name)}"
-        try:
-            old, new = baseline[entity.name](), incoming[entity.name]()
-            merged = history.merge(prepare_feed(old, entity), prepare_feed(new, entity), entity, run_ts)
-            append(merge_record(publish(merged, target, root), new, entity, run_ts), log)
-        except Exception as error:  # noqa: BLE001 - one table's failure is a record, whatever its kind
-            row = (silver_name(entity.name), entity.name, 0, 0, "FAILED", error_text(error), run_ts, *[None] * 6)
-            append(spark.createDataFrame([row], MERGE_LOG_SCHEMA), log)
+    append(_union(records), log)
     return read_log(spark, log)
 
 
@@ -126,6 +134,16 @@ def build(api_only: Mapping[str, DataFrame], merged: Mapping[str, DataFrame], ta
     return tables
 
 
+def write(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """One folder per Silver table, independent tables at the same time; returns the written tables."""
+    def run(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root.rstrip('/')}/{silver_name(name)}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return all_or_raise(for_each_table({name: partial(run, name, df) for name, df in tables.items()}))
+
+
 # ---- quality ------------------------------------------------------------------------------------
 
 def quality_record(df: DataFrame, table: str, key_columns: list[str]) -> DataFrame:
@@ -140,18 +158,16 @@ def quality_record(df: DataFrame, table: str, key_columns: list[str]) -> DataFra
         F.count(F.lit(1)).alias("row_count"), F.count_if(current).alias("current_rows"),
         F.count_if(~current).alias("historical_rows"), duplicate_count(key_columns).alias("duplicate_pk_count"),
         duplicate_count(key_columns, current).alias("current_duplicate_pk_count"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in business])
-    found = F.array_compact(F.array(*[
-        F.when(F.col(f"_null_{c}") > 0, F.struct(
-            F.lit(c).alias("column_name"), F.struct(
-                F.col(f"_null_{c}").alias("null_count"),
-                F.round(F.col(f"_null_{c}") / F.col("row_count") * 100, 2).alias("null_pct")))) for c in business]))
+        *[null_count(c).alias(f"_null_{c}") for c in business])
+    found = ", ".join(
+        f"CASE WHEN `_null_{c}` > 0 THEN struct('{c}' AS column_name, struct(`_null_{c}` AS null_count, "
+        f"round(`_null_{c}` / row_count * 100, 2) AS null_pct) AS n) END" for c in business)
     duplicates = F.col("current_duplicate_pk_count")
     reason = F.when(duplicates > 0, F.concat(duplicates.cast("string"), F.lit(" duplicate current PK rows")))
     return row.select(
         F.lit(table).alias("table_name"), F.lit(",".join(key_columns)).alias("primary_key"), "row_count", "current_rows",
         "historical_rows", "duplicate_pk_count", "current_duplicate_pk_count",
-        F.to_json(F.map_from_entries(found)).alias("nulls"),
+        F.expr(f"to_json(map_from_entries(array_compact(array({found}))))").alias("nulls"),
         F.when(reason.isNull(), "PASSED").otherwise("FAILED").alias("status"), reason.alias("reason"))
 
 

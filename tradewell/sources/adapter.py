@@ -19,6 +19,8 @@ LINE_ORDER = ["l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_extend
               "l_tax", "l_returnflag", "l_linestatus"]
 NEW_KEY_OFFSET = 10_000_000
 
+_schemas: dict[str, T.StructType] = {}
+
 
 def _key(text_or_number: str) -> Column:
     return F.col(text_or_number).cast("bigint")
@@ -32,13 +34,12 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._schemas: dict[str, T.StructType] = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        if name not in self._schemas:  # reading a footer is a job; one per table is enough
-            self._schemas[name] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(self._schemas[name]).parquet(path)
+        if path not in _schemas:  # reading a footer is a job; one per table is enough
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def _places(self) -> DataFrame:
         region = self.raw("region").select("r_regionkey", "r_name")
