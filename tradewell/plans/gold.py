@@ -13,6 +13,7 @@ from tradewell.functions.dates import as_date, date_key, us_week
 from tradewell.functions.money import line_total
 from tradewell.operators.clean import project
 from tradewell.operators.ranking import number_rows
+from tradewell.plans.star import Star
 from tradewell.session import all_or_raise, for_each_table
 
 # Columns of the dimensions that only copy their source (P18), and their keys.
@@ -174,3 +175,10 @@ TABLES = [*COPIED_DIMENSIONS, "DimCategories", "DimProducts", "DimDate", "Sales"
 def read(spark: SparkSession, root: str, tables: list[str] = TABLES) -> dict[str, DataFrame]:
     """The tables of a built star."""
     return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+
+
+def open_star(spark: SparkSession, root: str) -> Star:
+    """A built star with the row counts of its dimensions, which parquet footers hold."""
+    tables = read(spark, root)
+    counts = for_each_table({n: df.count for n, df in tables.items() if n != "Sales"})
+    return Star(tables, row_counts=all_or_raise(counts))

@@ -18,6 +18,10 @@ DIRECT = {"DimCustomers": "CustomerKey", "DimEmployees": "EmployeeKey", "DimShip
 THROUGH_PRODUCT = {"DimCategories": "CategoryKey", "DimSuppliers": "SupplierKey"}
 DATE_ROLES = {"order": "OrderDateKey", "shipped": "ShippedDateKey", "required": "RequiredDateKey"}
 
+# Most rows a dimension may have to be sent to every executor. A lookup carries a key and a few short
+# attributes, so this stays within a few megabytes.
+BROADCAST_ROWS = 100_000
+
 Condition = Sequence | Callable[[Column], Column]
 
 
@@ -37,12 +41,14 @@ def _holds(column: Column, condition: Condition) -> Column:
 
 @dataclass(frozen=True)
 class Join:
-    """One lookup: column on the left, key column of the dimension, its attributes."""
+    """One lookup: column on the left, key column of the dimension, the attributes it brings."""
 
+    table: str
     left: str
     right: str
     dim: DataFrame
     from_fact: bool
+    refs: tuple[str, ...]
 
 
 def net() -> Column:
@@ -52,11 +58,15 @@ def net() -> Column:
 
 @dataclass(frozen=True)
 class Star:
-    """Gold tables plus filters. Filters map ``Table.Column`` to a list of values or a predicate."""
+    """Gold tables plus filters. Filters map ``Table.Column`` to a list of values or a predicate.
+
+    ``row_counts`` are those of the stored dimensions; one that is not listed counts as large.
+    """
 
     tables: Mapping[str, DataFrame]
     filters: Mapping[str, Condition] = field(default_factory=dict)
     date_role: str = "order"
+    row_counts: Mapping[str, int] = field(default_factory=dict)
 
     def filtered(self, filters: Mapping[str, Condition]) -> Star:
         return replace(self, filters={**self.filters, **filters})
@@ -89,56 +99,57 @@ class Star:
                   maxes: Mapping[str, Column] | None = None) -> DataFrame:
         """Group the fact by dimension attributes; sums, maxima and distinct counts.
 
-        The fact is first grouped by the foreign keys in use, inside its own scan, so what reaches a
-        dimension join is one row per key combination, however many lines a hot customer or product
-        holds. Attributes, filters and the final aggregate come after. A group without a dimension
-        row stays as a null group.
+        Dimensions whose checked row count allows it are broadcast to the fact scan, filters on them
+        apply there, and the aggregate follows directly. If a larger dimension is needed, the fact
+        is first grouped by that dimension's key (beside the attributes at hand), so the lookup is
+        joined to one row per key, however many lines a hot customer or product holds. A group
+        without a dimension row stays as a null group.
         """
         by = by if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
         sums, distinct, maxes = dict(sums or {}), dict(distinct or {}), dict(maxes or {})
-        fact = self.fact()
         refs = list(dict.fromkeys([*by.values(), *self.filters]))
-        needed = [r for r in refs if split_ref(r)[0] != "Sales"]
-        final = [*[F.sum(n).alias(n) for n in sums], *[F.count_distinct(n).alias(n) for n in distinct],
-                 *[F.max(n).alias(n) for n in maxes]]
-        if not needed:
-            named = fact.select(*[F.col(split_ref(r)[1]).alias(a) for a, r in by.items()],
-                                *[c.alias(n) for n, c in {**sums, **distinct, **maxes}.items()])
-            return named.groupBy(*by).agg(*final)
-        joins = self._joins(needed)
-        keys = dict.fromkeys(j.left for j in joins if j.from_fact)
+        joins = self._joins([r for r in refs if split_ref(r)[0] != "Sales"])
+        small = self._broadcastable(joins)
+        large = [j for j in joins if j not in small]
+        rows = self.fact()
+        for j in small:
+            rows = rows.join(F.broadcast(j.dim), F.col(j.left) == F.col(j.right), "left")
+        at_hand = {r for j in small for r in j.refs}
+        rows = self._where(rows, at_hand)
         own = [F.col(split_ref(r)[1]).alias(_slot(r)) for r in refs if split_ref(r)[0] == "Sales"]
+        own += [_slot(r) for r in refs if r in at_hand]
         counted = [c.alias(n) for n, c in distinct.items()]
-        partial = [*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()]]
-        if partial:
-            rows = fact.groupBy(*keys, *own, *counted).agg(*partial)
+        if large:
+            keys = list(dict.fromkeys(j.left for j in large if j.from_fact))
+            partial = [*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()]]
+            if partial:
+                rows = rows.groupBy(*keys, *own, *counted).agg(*partial)
+            else:
+                rows = rows.select(*keys, *own, *counted).distinct()
+            for j in large:
+                rows = rows.join(j.dim, F.col(j.left) == F.col(j.right), "left")
+            rows = self._where(rows, {r for j in large for r in j.refs})
         else:
-            rows = fact.select(*keys, *own, *counted).distinct()
-        for j in joins:
-            rows = rows.join(j.dim, F.col(j.left) == F.col(j.right), "left")
-        for ref, condition in self.filters.items():
-            if split_ref(ref)[0] != "Sales":
-                rows = rows.where(_holds(F.col(_slot(ref)), condition))
+            rows = rows.select(*own, *counted, *[c.alias(n) for n, c in {**sums, **maxes}.items()])
         named = rows.select(*[F.col(_slot(r)).alias(a) for a, r in by.items()], *sums, *distinct, *maxes)
-        return named.groupBy(*by).agg(*final)
-
-    def rows(self, refs: Iterable[str]) -> DataFrame:
-        """Fact rows with attributes of dimensions beside them, for detail lists."""
-        refs = list(dict.fromkeys([*refs, *self.filters]))
-        df = self.fact()
-        for j in self._joins([r for r in refs if split_ref(r)[0] != "Sales"]):
-            df = df.join(j.dim, F.col(j.left) == F.col(j.right), "left").drop(j.right)
+        return named.groupBy(*by).agg(
+            *[F.sum(n).alias(n) for n in sums], *[F.count_distinct(n).alias(n) for n in distinct],
+            *[F.max(n).alias(n) for n in maxes])
+
+    def _where(self, rows: DataFrame, refs: set[str]) -> DataFrame:
         for ref, condition in self.filters.items():
-            if split_ref(ref)[0] != "Sales":
-                df = df.where(_holds(F.col(_slot(ref)), condition))
-        return df
+            if ref in refs:
+                rows = rows.where(_holds(F.col(_slot(ref)), condition))
+        return rows
 
-    def _joins(self, refs: list[str]) -> list[Join]:
-        """The lookups, in order, that bring the attributes asked for to the fact.
+    def _broadcastable(self, joins: list[Join]) -> list[Join]:
+        """Lookups small enough for every executor, leaving out any that is reached through a larger one."""
+        small = [j for j in joins if self.row_counts.get(j.table, BROADCAST_ROWS + 1) <= BROADCAST_ROWS]
+        products_large = any(j.table == "DimProducts" and j not in small for j in joins)
+        return [j for j in small if j.from_fact or not products_large]
 
-        Each one joins a stored dimension by itself, so its size on disk tells Spark whether it may
-        be broadcast.
-        """
+    def _joins(self, refs: list[str]) -> list[Join]:
+        """The lookups, in order, that bring the attributes asked for to the fact."""
         wanted: dict[str, list[str]] = {}
         for ref in refs:
             wanted.setdefault(split_ref(ref)[0], []).append(ref)
@@ -152,5 +163,5 @@ class Star:
                 F.col(key).alias(f"_{table}_key"), *[F.col(c).alias(f"_product_{c}") for c in links],
                 *[F.col(split_ref(r)[1]).alias(_slot(r)) for r in wanted.get(table, [])])
             left = f"_product_{key}" if table in far else DATE_ROLES[self.date_role] if table == "DimDate" else key
-            joins.append(Join(left, f"_{table}_key", dim, table in near))
+            joins.append(Join(table, left, f"_{table}_key", dim, table in near, tuple(wanted.get(table, ()))))
         return joins
