@@ -156,6 +156,9 @@ def test_stock_blanks_count_as_zero(star):
     assert dict(m.needs_reorder(star, ["DimProducts.ProductName"]).collect()) == {"P1": 1, "P2": 1, "P3": 0, "P4": 0, "P5": 0, "P6": 0}
     assert rows(reports.reorder_table(star)) == [("P1", "S1", 5, 9, 1), ("P2", "S1", None, 3, 1)]
     assert insights.inventory_insight(star).first().answer.startswith("2 product(s)")
+    one = star.filtered({"DimCategories.CategoryName": ["One"]})  # reaches products, which are its many side
+    assert rows(reports.reorder_table(one)) == [("P1", "S1", 5, 9, 1)] and m.low_stock(one).first()[0] == 1
+    assert m.low_stock(star.filtered({"Sales.OrderID": [1]})).first()[0] == 2
 
 
 def test_selected_values(star):

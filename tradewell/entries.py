@@ -692,7 +692,7 @@ on_star("m45_total_orders_card", insights.total_orders_card)
 on_star("m46_active_customers_card", insights.active_customers_card)
 on_star("m47_avg_order_value_card", insights.average_order_card)
 on_star("m48_reorder_rows", m.reorder_table)
-on_star("m49_inventory_replenishment", lambda s: m.reorder_table(s.filtered({"DimSuppliers.CompanyName": [f"Supplier#{i:09d}" for i in range(5)]})))
+on_star("m49_inventory_replenishment", lambda s: m.reorder_table(s.filtered({"DimCategories.CategoryName": ["Category 1", "Others"]})))
 on_star("m50_glance_insight", lambda s: insights.glance_insight(s.filtered({"DimDate.Year": [1997]}), COMPANY))
 on_star("m51_growth_insight", insights.growth_insight)
 on_star("m52_selling_insight", insights.selling_insight)

@@ -615,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
         "m46_active_customers_card": _star(_CARDS["active_customers"]),
         "m47_avg_order_value_card": _star(_CARDS["avg_order_value"]),
         "m48_reorder_rows": _dim(_REORDER),
-        "m49_inventory_replenishment": _dim(_REORDER + " AND s2.SupplierID < 5"),
+        "m49_inventory_replenishment": _dim(_REORDER + " AND CategoryKey IN (SELECT CategoryKey FROM dim_categories WHERE CategoryName IN ('Category 1', 'Others'))"),
         "m50_glance_insight": _star(f"""SELECT total_sales, total_orders, '1997' AS "year", 'In 1997, the company generated $' || {_whole('total_sales')} || ' in revenue across ' || {_whole('total_orders')} || ' orders.' AS answer
             FROM (SELECT {_NET} AS total_sales, count(DISTINCT OrderID) AS total_orders FROM s WHERE "Year" = 1997)"""),
         "m51_growth_insight": _star(f"SELECT *, {_PEAK_TEXT} AS answer FROM peak_year", _PEAK),

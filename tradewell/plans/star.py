@@ -18,9 +18,8 @@ DIRECT = {"DimCustomers": "CustomerKey", "DimEmployees": "EmployeeKey", "DimShip
 THROUGH_PRODUCT = {"DimCategories": "CategoryKey", "DimSuppliers": "SupplierKey"}
 DATE_ROLES = {"order": "OrderDateKey", "shipped": "ShippedDateKey", "required": "RequiredDateKey"}
 
-# Most rows a dimension may have to be sent to every executor. A lookup carries a key and a few short
-# attributes, so this stays within a few megabytes.
-BROADCAST_ROWS = 100_000
+# Most rows of a dimension that is looked up before the fact is grouped.
+SMALL_ROWS = 100_000
 
 Condition = Sequence | Callable[[Column], Column]
 
@@ -77,12 +76,19 @@ class Star:
         return replace(self, filters=keep)
 
     def dimension(self, name: str) -> DataFrame:
-        """Rows of a dimension under its own filters. Filters on the fact do not reach it."""
+        """Rows of a table under its own filters. Filters flow from the one side of a relationship to
+        the many side: those on categories and suppliers reach products, none on the fact reach back.
+        """
         df = self.tables[name]
         for ref, condition in self.filters.items():
             table, column = split_ref(ref)
             if table == name:
                 df = df.where(_holds(F.col(column), condition))
+        if name == "DimProducts":
+            for far in dict.fromkeys(split_ref(r)[0] for r in self.filters):
+                if far in THROUGH_PRODUCT:
+                    key = THROUGH_PRODUCT[far]
+                    df = df.join(self.dimension(far).select(key), key, "left_semi")
         return df
 
     def members(self, ref: str) -> DataFrame:
@@ -99,21 +105,22 @@ class Star:
                   maxes: Mapping[str, Column] | None = None) -> DataFrame:
         """Group the fact by dimension attributes; sums, maxima and distinct counts.
 
-        Dimensions whose checked row count allows it are broadcast to the fact scan, filters on them
-        apply there, and the aggregate follows directly. If a larger dimension is needed, the fact
-        is first grouped by that dimension's key (beside the attributes at hand), so the lookup is
-        joined to one row per key, however many lines a hot customer or product holds. A group
-        without a dimension row stays as a null group.
+        Dimensions with few rows (counted when the star is opened) are looked up at the fact scan,
+        filters on them apply there, and the aggregate follows directly; Spark broadcasts them by
+        its own size check. If a larger dimension is needed, the fact is first grouped by that
+        dimension's key (beside the attributes at hand), so the lookup is joined to one row per key,
+        however many lines a hot customer or product holds. A group without a dimension row stays
+        as a null group.
         """
         by = by if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
         sums, distinct, maxes = dict(sums or {}), dict(distinct or {}), dict(maxes or {})
         refs = list(dict.fromkeys([*by.values(), *self.filters]))
         joins = self._joins([r for r in refs if split_ref(r)[0] != "Sales"])
-        small = self._broadcastable(joins)
+        small = self._small(joins)
         large = [j for j in joins if j not in small]
         rows = self.fact()
         for j in small:
-            rows = rows.join(F.broadcast(j.dim), F.col(j.left) == F.col(j.right), "left")
+            rows = rows.join(j.dim, F.col(j.left) == F.col(j.right), "left")
         at_hand = {r for j in small for r in j.refs}
         rows = self._where(rows, at_hand)
         own = [F.col(split_ref(r)[1]).alias(_slot(r)) for r in refs if split_ref(r)[0] == "Sales"]
@@ -142,9 +149,9 @@ class Star:
                 rows = rows.where(_holds(F.col(_slot(ref)), condition))
         return rows
 
-    def _broadcastable(self, joins: list[Join]) -> list[Join]:
-        """Lookups small enough for every executor, leaving out any that is reached through a larger one."""
-        small = [j for j in joins if self.row_counts.get(j.table, BROADCAST_ROWS + 1) <= BROADCAST_ROWS]
+    def _small(self, joins: list[Join]) -> list[Join]:
+        """Lookups of few rows, leaving out any that is reached through a larger one."""
+        small = [j for j in joins if self.row_counts.get(j.table, SMALL_ROWS + 1) <= SMALL_ROWS]
         products_large = any(j.table == "DimProducts" and j not in small for j in joins)
         return [j for j in small if j.from_fact or not products_large]
 
