@@ -22,7 +22,7 @@ from tradewell.operators import keys as key_ops
 from tradewell.plans import bronze, gold, insights, reports, silver
 from tradewell.plans import measures as m
 from tradewell.plans.star import Star, net
-from tradewell.session import all_or_raise, for_each_table, new_path
+from tradewell.session import all_or_raise, for_each_table, materialise, new_path
 from tradewell.sources import pages, reader, sinks
 from tradewell.sources.adapter import TestTables
 
@@ -497,9 +497,26 @@ def c13_referential_integrity(spark, sf_dir):
     return silver.referential_integrity(tables, silver.references(tables, KEYS, DECLARED_FOREIGN_KEYS))
 
 
+@query
+def c15_provenance(spark, sf_dir):
+    return silver.provenance(silver_tables(spark, sf_dir))
+
+
+_checks: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The checks of one folder's Silver tables as written records, which the later steps of a run read."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _checks:
+        made = {f.__name__: f(spark, sf_dir) for f in (c11_quality, c13_referential_integrity, c15_provenance)}
+        _checks[at] = all_or_raise(for_each_table({n: partial(materialise, df, n) for n, df in made.items()}))
+    return _checks[at]
+
+
 def _ready(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    records = c11_quality(spark, sf_dir)
-    return records, silver.readiness(records, c13_referential_integrity(spark, sf_dir))
+    found = checks(spark, sf_dir)
+    return found["c11_quality"], silver.readiness(found["c11_quality"], found["c13_referential_integrity"])
 
 
 @query
@@ -512,14 +529,9 @@ def c14_quality_log(spark, sf_dir):
     return silver.quality_log(*_ready(spark, sf_dir), RUN_ID, RUN_TS).drop("details_json")
 
 
-@query
-def c15_provenance(spark, sf_dir):
-    return silver.provenance(silver_tables(spark, sf_dir))
-
-
 @query
 def c15_silver_summary(spark, sf_dir):
-    return silver.summary(*_ready(spark, sf_dir), c15_provenance(spark, sf_dir))
+    return silver.summary(*_ready(spark, sf_dir), checks(spark, sf_dir)["c15_provenance"])
 
 
 @query
