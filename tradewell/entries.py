@@ -14,14 +14,15 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewell.config import DECLARED_FOREIGN_KEYS, EXPECTED_API_ROWS, KEYS, MERGED, silver_name
+from tradewell.config import (DECLARED_FOREIGN_KEYS, EXPECTED_API_ROWS, KEYS, MERGED, TECHNICAL_COLUMNS,
+                              silver_name)
 from tradewell.functions.dates import us_week
 from tradewell.functions.text import dollars, fixed, percent, whole
 from tradewell.operators import clean, history, profile, ranking
 from tradewell.operators import keys as key_ops
 from tradewell.plans import bronze, gold, insights, reports, silver
 from tradewell.plans import measures as m
-from tradewell.plans.star import Star, net
+from tradewell.plans.star import Star
 from tradewell.session import all_or_raise, for_each_table, materialise, new_path
 from tradewell.sources import pages, reader, sinks
 from tradewell.sources.adapter import TestTables
@@ -456,13 +457,14 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _primary_keys(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Keys of the Silver tables, found among the current versions of their business columns."""
     return all_or_raise(for_each_table({
-        n: partial(key_ops.infer_primary_key, gold.current(df)) for n, df in tables.items()}))
+        n: partial(key_ops.infer_primary_key, gold.current(df).drop(*TECHNICAL_COLUMNS)) for n, df in tables.items()}))
 
 
 @query
 def c09_primary_keys(spark, sf_dir):
-    found = _primary_keys(TestTables(spark, sf_dir).all())
+    found = _primary_keys(silver_tables(spark, sf_dir))
     return spark.createDataFrame([(n, ",".join(k)) for n, k in found.items()], "table_name string, primary_key string")
 
 
@@ -487,7 +489,7 @@ def _references(tables: dict[str, DataFrame]) -> list[tuple[str, str, str, str]]
 
 @query
 def c12_foreign_keys(spark, sf_dir):
-    rows = _references(TestTables(spark, sf_dir).all())
+    rows = _references(silver_tables(spark, sf_dir))
     return spark.createDataFrame(rows, "table_name string, column_name string, ref_table string, ref_column string")
 
 

@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewell.session import new_path
-
 
 def publish(df: DataFrame, name: str, root: str) -> DataFrame:
     """Replace a catalog table as a whole, schema included.
@@ -69,8 +67,3 @@ def sync(staging: DataFrame, name: str, root: str) -> str:
             return "REFILLED"
     publish(staging, name, root)
     return "REBUILT"
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """A new folder for tables that one job builds for itself."""
-    return new_path(spark, "tables")
