@@ -5,8 +5,9 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from tradewell import entries, oracles
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = entries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -12,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
-_local_roots: dict[str, str] = {}
 PARALLEL_TABLES = 8
 
 
@@ -40,19 +38,9 @@ def all_or_raise(results: Mapping[str, T | Exception]) -> dict[str, T]:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a session that runs in one JVM may do without that setting; it gets a temporary folder.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else a folder of the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tradewell-")
-    return _local_roots[app]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
