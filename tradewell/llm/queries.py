@@ -51,7 +51,8 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attention_lm.score(documents(spark, sf_dir), held_out("doc_id", 5, 1), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return attention_lm.score(documents(spark, sf_dir), held_out("doc_id", 5, 1),
+                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
