@@ -42,8 +42,8 @@ LONGEST = 64  # windows in a stretch
 PIECE = 1 << 20  # windows hashed at once
 FLUSH = 1 << 20  # anchors packed at once
 COMMON = 8  # documents of one batch from which an anchor counts as shared without asking
-BUCKET_BYTES = 32 << 20  # corpus text for each bucket
-BLOCK_BYTES = 3 << 20  # bytes of stretches in one transform
+BUCKET_BYTES = 8 << 20  # corpus text for each bucket
+BLOCK_BYTES = 1 << 20  # bytes of stretches in one transform
 
 _LOW = np.uint64(0xFFFFFFFF)
 
