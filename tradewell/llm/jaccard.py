@@ -11,8 +11,8 @@ How the documents that must be compared meet:
 2. Shingles get an order, rare ones first, from a sketch of counts of fixed size. Two linked sets
    share one of their first n - ceil(t n) + 1 shingles (the prefix), in any order; a rare-first order
    keeps shingles of common passages out of it.
-3. Prefix shingles are sent by hash, packed in arrays. All that share one get the smallest doc_id among
-   them as pivot; shingles that the sketch finds in very many documents are dealt over several tasks
+3. Prefix shingles are sent by hash, packed in arrays. All that share one, and have sets of compatible
+   sizes, get the smallest doc_id among them as pivot; shingles that the sketch finds in very many documents are dealt over several tasks
    and their pivots are agreed on afterwards.
 4. The sets of a pivot are a block. Blocks are searched in tasks of bounded size: from each document
    not yet reached, all linked ones are found, then those linked with these, so an all-alike block
@@ -306,6 +306,15 @@ def _send_prefixes(words: int, threshold: Threshold, sent, buckets: int):
         counts = sent.value
         sets = shingle_sets(utf8(batch.column("text")), words)
         docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        # Of equal sets the smallest doc_id: the one that stands for all of them is the smallest wherever it is.
+        first: dict[bytes, int] = {}
+        for k in np.argsort(docs, kind="stable").tolist():
+            if len(sets[k]):
+                first.setdefault(sets[k].tobytes(), k)
+        chosen_docs = sorted(first.values())
+        sets, docs = [sets[k] for k in chosen_docs], docs[chosen_docs]
+        if not sets:
+            return None
         chosen = [prefix(s, counts, threshold) for s in sets]
         sizes = np.array([len(s) for s in sets], np.int64)
         value = np.concatenate(chosen)
@@ -330,8 +339,14 @@ def _send_prefixes(words: int, threshold: Threshold, sent, buckets: int):
 PIVOTS = "shingle bigint, pivot bigint, docs binary, sizes binary"
 
 
-def _pivots(sent):
-    """Documents that share a shingle of a bucket, under the smallest of them; ``shingle`` is set where other buckets share it."""
+def _pivots(sent, threshold: Threshold):
+    """Documents that share a shingle of a bucket, under the smallest of them; ``shingle`` is set where other buckets share it.
+
+    In the order of set size, where one set is too small for the next no pair across the gap can link:
+    there the documents of a shingle fall into groups of their own.
+    """
+    t, of = threshold
+
     def work(table: pa.Table) -> pa.Table:
         docs, sizes, value = [], [], []
         for row in table.to_pylist():
@@ -340,17 +355,19 @@ def _pivots(sent):
             sizes.append(np.frombuffer(row["sizes"], np.int64)[owner])
             value.append(np.frombuffer(row["shingles"], np.uint64))
         docs, sizes, value = map(np.concatenate, (docs, sizes, value))
-        order = np.lexsort((docs, value))
+        order = np.lexsort((sizes, value))
         docs, sizes, value = docs[order], sizes[order], value[order]
-        run = np.concatenate(([0], np.flatnonzero(value[1:] != value[:-1]) + 1, [len(value)]))
+        common = sent.value[_counter(value)] >= COMMON
+        gap = (of * sizes[:-1] < t * sizes[1:]) & ~common[1:]  # a common shingle's other documents are not here
+        run = np.concatenate(([0], np.flatnonzero((value[1:] != value[:-1]) | gap) + 1, [len(value)]))
         length = np.diff(run)
-        common = sent.value[_counter(value[run[:-1]])] >= COMMON
-        pivot = np.repeat(docs[run[:-1]], length)
+        least = np.minimum.reduceat(docs, run[:-1])
+        pivot = np.repeat(least, length)
         rows = []
-        for k in np.flatnonzero(common).tolist():
+        for k in np.flatnonzero(common[run[:-1]]).tolist():
             a, b = run[k], run[k + 1]
-            rows.append((int(value[a].astype(np.int64)), int(docs[a]), docs[a:b].tobytes(), sizes[a:b].tobytes()))
-        use = np.repeat(~common & (length > 1), length)
+            rows.append((int(value[a].astype(np.int64)), int(least[k]), docs[a:b].tobytes(), sizes[a:b].tobytes()))
+        use = ~common & np.repeat(length > 1, length)
         pivot, docs, sizes = pivot[use], docs[use], sizes[use]
         order = np.lexsort((docs, pivot))
         pivot, docs, sizes = pivot[order], docs[order], sizes[order]
@@ -372,9 +389,9 @@ def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
     return record_batch(pivot=pivots, doc_id=np.concatenate(docs), n=np.concatenate(sizes))
 
 
-def pivot_pairs(postings: DataFrame, sent) -> DataFrame:
+def pivot_pairs(postings: DataFrame, sent, threshold: Threshold) -> DataFrame:
     """pivot, doc_id, n: each document with the pivots whose blocks it is in."""
-    found = postings.groupBy("bucket").applyInArrow(_pivots(sent), PIVOTS)
+    found = postings.groupBy("bucket").applyInArrow(_pivots(sent, threshold), PIVOTS)
     if (sent.value >= COMMON).any():
         found = materialise(found, "pivots")
         agreed = found.where("shingle IS NOT NULL").groupBy("shingle").agg(F.min("pivot").alias("agreed"))
@@ -503,8 +520,8 @@ def roots(docs: DataFrame, shingle_words: int, threshold: Threshold) -> DataFram
     members = materialise(sized.join(first, "signature", "left"), "shingle-members")
     buckets = max(1, -(-text_bytes(docs) // BUCKET_BYTES))
     firsts = members.where("first IS NOT NULL").select(F.col("first").alias("doc_id")).distinct()
-    postings = map_batches(plain.join(firsts, "doc_id"), _send_prefixes(shingle_words, threshold, sent, buckets), POSTINGS, 8 << 20)
-    pairs = materialise(pivot_pairs(postings, sent), "pivot-pairs")
+    postings = map_batches(plain, _send_prefixes(shingle_words, threshold, sent, buckets), POSTINGS, 16 << 20)
+    pairs = materialise(pivot_pairs(postings, sent, threshold).join(firsts, "doc_id", "left_semi"), "pivot-pairs")
     found = links(plain, pairs, shingle_words, threshold)
     repeated = members.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
     same = members.join(repeated, "doc_id").where("first IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
