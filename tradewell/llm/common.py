@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers are kept, and two of them share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps what it likes
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``most_bytes`` of text, at least one row each."""
-    sizes = np.array(batch.column(column).cast(pa.large_binary()).fill_null(b"").to_numpy(zero_copy_only=False), object)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     total, begin = 0, 0
-    for i, text in enumerate(sizes):
-        total += len(text)
+    for i, size in enumerate(sizes):
+        total += size
         if total >= most_bytes:
             yield batch.slice(begin, i + 1 - begin)
             total, begin = 0, i + 1
@@ -60,6 +71,9 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 out = work(piece)
                 if out is not None and out.num_rows:
                     yield out
+                del out, piece
+            del batch
+            release_memory()
 
     return df.mapInArrow(run, schema)
 

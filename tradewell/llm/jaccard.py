@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewell.llm import graph
-from tradewell.llm.common import ASCII_LOWER, buffer_of, map_batches, mix64, record_batch, text_bytes, utf8
+from tradewell.llm.common import ASCII_LOWER, buffer_of, map_batches, mix64, record_batch, release_memory, text_bytes, utf8
 from tradewell.session import materialise
 
 SKETCH_BITS = 20  # counters of the shingle-count sketch: its size does not depend on the data
@@ -269,6 +269,8 @@ def _features(words: int):
                                    n=[len(s) for s in sets], slice=pa.array(none, pa.int32()), counts=pa.array(none, pa.binary()),
                                    signature=[blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                                    ).select([c.split()[0] for c in FEATURES.split(", ")])
+            del batch, part, sets
+            release_memory()
         if counts.any():
             parts = np.minimum(counts, 255).astype(np.uint8).reshape(SLICES, -1)
             none = [None] * SLICES
@@ -377,6 +379,8 @@ def _pivots(sent, threshold: Threshold):
         run = np.concatenate(([0], np.flatnonzero(pivot[1:] != pivot[:-1]) + 1, [len(pivot)])) if len(pivot) else [0]
         rows += [(None, int(pivot[a]), docs[a:b].tobytes(), sizes[a:b].tobytes()) for a, b in zip(run[:-1], run[1:])]
         columns = list(zip(*rows)) or [[]] * 4
+        del docs, sizes, value, order, common, run, pivot
+        release_memory()
         return pa.table({"shingle": pa.array(columns[0], pa.int64()), "pivot": pa.array(columns[1], pa.int64()),
                          "docs": pa.array(columns[2], pa.binary()), "sizes": pa.array(columns[3], pa.binary())})
     return work
@@ -441,6 +445,7 @@ def _search_blocks(threshold: Threshold):
         for pivot, docs, _, sets in _blocks(table):
             if len(docs) > 1:
                 rows += [(pivot, docs[k], docs[r]) for k, r in enumerate(Block(sets, threshold).roots()) if r != k]
+        release_memory()
         return _links(rows)
     return work
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewell.llm.common import map_batches, record_batch, slices
+from tradewell.llm.common import map_batches, record_batch, release_memory, slices
 
 PROFILE_SIZE = 400
 UNDETERMINED = "und"
@@ -82,6 +82,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 for lang, texts in frame.dropna().groupby("lang")["text"]:
                     keys, n = grams(np.concatenate([folded(t) for t in texts]))
                     yield record_batch(lang=[lang] * len(keys), gram=keys.astype(np.int64), n=n)
+            del batch
+            release_memory()
 
     return (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
             .mapInArrow(work, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))

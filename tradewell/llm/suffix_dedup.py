@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewell.llm.common import buffer_of, map_batches, mix64, record_batch, text_bytes, utf8
+from tradewell.llm.common import buffer_of, map_batches, mix64, record_batch, release_memory, text_bytes, utf8
 
 LENGTH = 50
 ANCHOR = 24  # bytes of an anchor
@@ -203,6 +203,8 @@ def _send_anchors(length: int, buckets: int):
                 if size >= FLUSH:
                     yield flush()
                     ids, hashes, owners, values, rows, size = [], [], [], [], 0, 0
+            del batch, part
+            release_memory()
         if size:
             yield flush()
     return run
@@ -241,6 +243,7 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
         out = out + [(a, b, data[4 * s:4 * e]) for a, b, s, e in zip(
             ids[docs].tolist(), hashes[docs].tolist(), cuts[:-1], cuts[1:])] if len(owner) else out
     columns = list(zip(*out)) or [[], [], []]
+    release_memory()
     return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "text_hash": pa.array(columns[1], pa.int64()),
                      "anchors": pa.array(columns[2], pa.binary())})
 
@@ -394,6 +397,7 @@ def _met_stretches(length: int):
             ids, hashes, owner, first = map(np.concatenate, (ids, hashes, owner, first))
             out += _packed_spans(ids, hashes, *_removed(parts, ids[owner], owner, first, length))
         columns = list(zip(*out)) or [[], [], []]
+        release_memory()
         return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "text_hash": pa.array(columns[1], pa.int64()),
                          "spans": pa.array(columns[2], pa.binary())})
     return work
