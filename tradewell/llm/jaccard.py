@@ -8,7 +8,7 @@ less the number of lists put aside, and what it finds is probed in the long list
 How the documents that must be compared meet:
 
 1. Documents with equal sets are one (their smallest doc_id stands for them).
-2. Shingles get an order, rare ones first, from a sketch of counts of fixed size. Two linked sets
+2. Shingles get an order, rare ones first, from a sketch of counts of bounded size. Two linked sets
    share one of their first n - ceil(t n) + 1 shingles (the prefix), in any order; a rare-first order
    keeps shingles of common passages out of it.
 3. Prefix shingles are sent by hash, packed in arrays. All that share one, and have sets of compatible
@@ -29,6 +29,7 @@ rows with a null doc_id take no part and get a null component; other columns are
 from __future__ import annotations
 
 import heapq
+import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
@@ -43,7 +44,8 @@ from tradewell.llm import graph
 from tradewell.llm.common import ASCII_LOWER, buffer_of, map_batches, mix64, record_batch, release_memory, text_bytes, utf8
 from tradewell.session import materialise
 
-SKETCH_BITS = 20  # counters of the shingle-count sketch: its size does not depend on the data
+SKETCH_BYTES = 256  # corpus text for each counter of the shingle-count sketch
+SKETCH_BITS = (16, 25)  # least and most counters, as powers of two: the sketch stays under 128 MB
 SLICES = 16
 BUCKET_BYTES = 64 << 20  # corpus text for each bucket of prefix shingles
 COMMON = 100_000  # occurrences by the sketch for each task that deals with one shingle
@@ -140,12 +142,18 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
 def prefix(shingles: np.ndarray, counts: np.ndarray, threshold: Threshold) -> np.ndarray:
     """The rarest shingles, as many that a linked set must share one."""
     n, (t, of) = len(shingles), threshold
-    rare_first = np.lexsort((shingles, counts[_counter(shingles)]))
+    rare_first = np.lexsort((shingles, counts[_counter(shingles, len(counts))]))
     return shingles[rare_first[:n - -(-t * n // of) + 1]] if n else shingles
 
 
-def _counter(shingles: np.ndarray) -> np.ndarray:
-    return (shingles & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+def _counter(shingles: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each shingle; ``counters`` is a power of two."""
+    return (shingles & np.uint64(counters - 1)).astype(np.int64)
+
+
+def sketch_size(corpus_bytes: int) -> int:
+    low, high = SKETCH_BITS
+    return 1 << min(high, max(low, (corpus_bytes // SKETCH_BYTES).bit_length()))
 
 
 # ---- T-occurrence search
@@ -255,15 +263,15 @@ class Block:
 FEATURES = "kind int, doc_id bigint, n bigint, signature binary, slice int, counts binary"
 
 
-def _features(words: int):
+def _features(words: int, counters: int):
     """kind 0: a document's set size and signature; kind 1: counts of a task's shingles, in slices, at most 255 each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(counters, np.uint32)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sets = shingle_sets(utf8(part.column("text")), words)
-                counts += np.bincount(_counter(np.concatenate(sets)), minlength=len(counts))
+                np.add.at(counts, _counter(np.concatenate(sets), counters), np.uint32(1))
                 none = [None] * len(sets)
                 yield record_batch(kind=pa.array([0] * len(sets), pa.int32()), doc_id=part.column("doc_id"),
                                    n=[len(s) for s in sets], slice=pa.array(none, pa.int32()), counts=pa.array(none, pa.binary()),
@@ -276,26 +284,28 @@ def _features(words: int):
             none = [None] * SLICES
             yield record_batch(kind=pa.array([1] * SLICES, pa.int32()), doc_id=pa.array(none, pa.int64()), n=pa.array(none, pa.int64()),
                                signature=pa.array(none, pa.binary()), slice=pa.array(range(SLICES), pa.int32()),
-                               counts=[p.tobytes() for p in parts])
+                               counts=[zlib.compress(p.tobytes(), 1) for p in parts])
     return run
 
 
-def _sketch(features: DataFrame) -> np.ndarray:
-    """Counts of all tasks added up: SLICES rows reach the driver, whatever the input's size."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, data in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(data, np.uint8 if len(data) == 1 << SKETCH_BITS >> 4 else np.int64)
-                sums[k] = sums.get(k, 0) + part.astype(np.int64)
-        if sums:
-            yield record_batch(slice=pa.array(list(sums), pa.int32()), counts=[s.tobytes() for s in sums.values()])
-
-    part = features.where("kind = 1").select("slice", "counts").mapInArrow(add, "slice int, counts binary")
-    whole = part.repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary")
-    counts = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), np.int64)
-    for row in whole.collect():
-        counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+def _sketch(features: DataFrame, counters: int) -> np.ndarray:
+    """Counts of all tasks added up: SLICES rows of bounded size reach the driver."""
+    def adding(kind: type):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k, data in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
+                    sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(data), kind).astype(np.uint32)
+            if sums:
+                yield record_batch(slice=pa.array(list(sums), pa.int32()), counts=[zlib.compress(s.tobytes(), 1) for s in sums.values()])
+        return add
+
+    columns = "slice int, counts binary"
+    part = features.where("kind = 1").select("slice", "counts").mapInArrow(adding(np.uint8), columns)
+    whole = part.repartition(SLICES, "slice").mapInArrow(adding(np.uint32), columns)
+    counts = np.zeros((SLICES, counters // SLICES), np.uint32)
+    for row in whole.toLocalIterator():
+        counts[row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return counts.ravel()
 
 
@@ -321,7 +331,7 @@ def _send_prefixes(words: int, threshold: Threshold, sent, buckets: int):
         sizes = np.array([len(s) for s in sets], np.int64)
         value = np.concatenate(chosen)
         owner = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
-        shares = 1 + counts[_counter(value)] // COMMON
+        shares = 1 + counts[_counter(value, len(counts))] // COMMON
         share = (mix64(docs.astype(np.uint64))[owner] % shares.astype(np.uint64))
         bucket = ((value ^ mix64(share)) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((value, bucket))
@@ -359,7 +369,7 @@ def _pivots(sent, threshold: Threshold):
         docs, sizes, value = map(np.concatenate, (docs, sizes, value))
         order = np.lexsort((sizes, value))
         docs, sizes, value = docs[order], sizes[order], value[order]
-        common = sent.value[_counter(value)] >= COMMON
+        common = sent.value[_counter(value, len(sent.value))] >= COMMON
         gap = (of * sizes[:-1] < t * sizes[1:]) & ~common[1:]  # a common shingle's other documents are not here
         run = np.concatenate(([0], np.flatnonzero((value[1:] != value[:-1]) | gap) + 1, [len(value)]))
         length = np.diff(run)
@@ -518,12 +528,14 @@ def roots(docs: DataFrame, shingle_words: int, threshold: Threshold) -> DataFram
     """doc_id, n_shingles, component_id for every row with a doc_id."""
     spark = docs.sparkSession
     plain = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
-    features = materialise(plain.mapInArrow(_features(shingle_words), FEATURES), "shingle-features")
-    sent = spark.sparkContext.broadcast(_sketch(features))
+    size = text_bytes(docs)
+    counters = sketch_size(size)
+    features = materialise(plain.mapInArrow(_features(shingle_words, counters), FEATURES), "shingle-features")
+    sent = spark.sparkContext.broadcast(_sketch(features, counters))
     sized = features.where("kind = 0").select("doc_id", "n", "signature")
     first = sized.where("n > 0").groupBy("signature").agg(F.min("doc_id").alias("first"))
     members = materialise(sized.join(first, "signature", "left"), "shingle-members")
-    buckets = max(1, -(-text_bytes(docs) // BUCKET_BYTES))
+    buckets = max(1, -(-size // BUCKET_BYTES))
     firsts = members.where("first IS NOT NULL").select(F.col("first").alias("doc_id")).distinct()
     postings = map_batches(plain, _send_prefixes(shingle_words, threshold, sent, buckets), POSTINGS, 16 << 20)
     pairs = materialise(pivot_pairs(postings, sent, threshold).join(firsts, "doc_id", "left_semi"), "pivot-pairs")
