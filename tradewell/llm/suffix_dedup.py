@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,17 +119,32 @@ def all_stretches(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
 # ---- packed rows
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers with all their lowest bytes first and so on, so that the zero bytes lie together and shrink in the shuffle."""
+    return np.ascontiguousarray(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes()
+
+
+def numbers_of(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def pack(sorted_values: np.ndarray) -> bytes:
-    """Differences of ascending numbers, all lowest bytes first, so that the zero bytes lie together."""
-    steps = np.diff(sorted_values, prepend=sorted_values[:0].dtype.type(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Differences of ascending numbers."""
+    return planes(np.diff(sorted_values, prepend=sorted_values[:0].dtype.type(0)))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(numbers_of(data, np.uint64), dtype=np.uint64)
+
+
+def hash_bits(corpus_bytes: int) -> int:
+    """Bits of an anchor hash that are sent: enough that one anchor in thousands looks shared by accident."""
+    return min(64, max(40, corpus_bytes.bit_length() + 10))
 
 
 def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """From the high bits of full hashes."""
     return (((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
@@ -143,11 +159,13 @@ KEY = "doc_id bigint, text_hash bigint"
 ANCHORS = f"bucket bigint, kind int, ids binary, hashes binary, numbers binary, owners binary"
 
 
-def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value: np.ndarray, buckets: int, bits: int) -> pa.RecordBatch:
     """Rows for the buckets: anchors with the documents that ask about them (kind 0), and those known to be shared (kind 1).
 
     A common anchor is sent once without asker, and its documents are told by a kind 1 row.
     """
+    dropped = np.uint64(64 - bits)
+    value = value >> dropped
     order = np.lexsort((owner, value))
     owner, value = owner[order], value[order]
     new = np.ones(len(value), bool)
@@ -163,14 +181,14 @@ def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value:
     asker = np.where(common, -1, owner)[sent]
     value = value[sent]
     rows = []
-    where = bucket_of(value, buckets)
+    where = bucket_of(value << dropped, buckets)
     cuts = groups(where)
     for a, b in zip(cuts[:-1], cuts[1:]):
         used, numbers = np.unique(asker[a:b], return_inverse=True)
         has_none = int(len(used) > 0 and used[0] == -1)
         docs = used[has_none:]
         rows.append((int(where[a]), 0, ids[docs].tobytes(), hashes[docs].tobytes(), pack(value[a:b]),
-                     (numbers - has_none).astype(np.int32).tobytes()))
+                     planes((numbers - has_none + 1).astype(np.uint32))))
     if len(known_owner):
         order = np.lexsort((known_value & _LOW, known_owner))
         known_owner, low = known_owner[order], (known_value[order] & _LOW).astype(np.uint32)
@@ -183,12 +201,12 @@ def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value:
         names, zip(*rows), (pa.int64(), pa.int32(), *[pa.binary()] * 4))})
 
 
-def _send_anchors(length: int, buckets: int):
+def _send_anchors(length: int, buckets: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, owners, values, rows, size = [], [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            return _anchor_rows(np.concatenate(ids), np.concatenate(hashes), np.concatenate(owners), np.concatenate(values), buckets)
+            return _anchor_rows(np.concatenate(ids), np.concatenate(hashes), np.concatenate(owners), np.concatenate(values), buckets, bits)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -220,7 +238,7 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
             at = np.concatenate(([0], np.cumsum(np.frombuffer(row["owners"], np.int32))))
             known += [(a, b, row["numbers"][4 * s:4 * e]) for a, b, s, e in zip(i.tolist(), h.tolist(), at[:-1], at[1:])]
             continue
-        numbers = np.frombuffer(row["owners"], np.int32).astype(np.int64)
+        numbers = numbers_of(row["owners"], np.uint32).astype(np.int64) - 1  # -1: no asker
         owner.append(np.where(numbers < 0, -1, numbers + base))
         value.append(unpack(row["numbers"]))
         ids.append(i)
@@ -254,7 +272,7 @@ STRETCHES = "bucket bigint, ids binary, hashes binary, owners binary, firsts bin
 SPANS = f"{KEY}, spans binary"
 
 
-def _send_stretches(length: int, buckets: int):
+def _send_stretches(length: int, buckets: int, bits: int):
     """Stretches with shared anchors, by bucket; those that a smaller doc_id of the batch has too are settled here (bucket -1)."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column("text"))
@@ -264,7 +282,7 @@ def _send_stretches(length: int, buckets: int):
         asked = [np.frombuffer(b"".join(a), np.uint32).astype(np.uint64) | np.uint64(i << 32)
                  for i, a in enumerate(batch.column("anchors").to_pylist())]
         asked = np.unique(np.concatenate(asked))
-        wanted = (owner.astype(np.uint64) << np.uint64(32)) | (value & _LOW)
+        wanted = (owner.astype(np.uint64) << np.uint64(32)) | ((value >> np.uint64(64 - bits)) & _LOW)
         near = np.minimum(np.searchsorted(asked, wanted), len(asked) - 1)
         hit = asked[near] == wanted
         owner, first, count, value = owner[hit], first[hit], count[hit], value[hit]
@@ -278,7 +296,7 @@ def _send_stretches(length: int, buckets: int):
                 settled.append((o, f, c))
             else:
                 sent.append((k, part))
-        rows = []
+        rows, compressor = [], zstandard.ZstdCompressor(level=3)
         if sent:
             index = np.array([k for k, _ in sent])
             where = bucket_of(value[index], buckets)
@@ -289,13 +307,14 @@ def _send_stretches(length: int, buckets: int):
                 at = index[mine]
                 used, numbers = np.unique(owner[at], return_inverse=True)
                 parts = [sent[j][1] for j in mine.tolist()]
-                rows.append((int(where[order[a]]), ids[used].tobytes(), hashes[used].tobytes(), numbers.astype(np.int32).tobytes(),
-                             first[at].astype(np.int64).tobytes(), np.fromiter(map(len, parts), np.int32).tobytes(), b"".join(parts)))
+                rows.append((int(where[order[a]]), ids[used].tobytes(), hashes[used].tobytes(), planes(numbers.astype(np.int32)),
+                             planes(first[at].astype(np.int64)), planes(np.fromiter(map(len, parts), np.int32)),
+                             compressor.compress(b"".join(parts))))
         if settled:
             o, f, c = np.array(settled, np.int64).T
             used, numbers = np.unique(o, return_inverse=True)
             rows.append((-1 - int(ids[used[0]] % buckets), ids[used].tobytes(), hashes[used].tobytes(),
-                         numbers.astype(np.int32).tobytes(), f.tobytes(), c.astype(np.int32).tobytes(), b""))
+                         planes(numbers.astype(np.int32)), planes(f), planes(c.astype(np.int32)), b""))
         names = [x.split()[0] for x in STRETCHES.split(", ")]
         columns = list(zip(*rows)) or [[]] * len(names)
         return record_batch(**{n: pa.array(c, pa.int64() if n == "bucket" else pa.binary()) for n, c in zip(names, columns)})
@@ -381,13 +400,13 @@ def _met_stretches(length: int):
         ids, hashes, owner, first, parts, base = [], [], [], [], [], 0
         for row in table.to_pylist():
             i, h = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["hashes"], np.int64)
-            o, f = np.frombuffer(row["owners"], np.int32).astype(np.int64), np.frombuffer(row["firsts"], np.int64)
-            sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
+            o, f = numbers_of(row["owners"], np.int32).astype(np.int64), numbers_of(row["firsts"], np.int64)
+            sizes = numbers_of(row["sizes"], np.int32).astype(np.int64)
             if row["bucket"] < 0:
                 out += _packed_spans(i, h, o, f, f + sizes + length - 1)
                 continue
-            at = np.concatenate(([0], np.cumsum(sizes)))
-            parts += [row["text"][a:b] for a, b in zip(at[:-1], at[1:])]
+            at, text = np.concatenate(([0], np.cumsum(sizes))), zstandard.decompress(row["text"])
+            parts += [text[a:b] for a, b in zip(at[:-1], at[1:])]
             ids.append(i)
             hashes.append(h)
             owner.append(o + base)
@@ -454,16 +473,18 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text_hash, text, spans (list of packed begin/end pairs, may overlap; null if none) for every row."""
     if length < ANCHOR + 8:
         raise ValueError(f"strings must have at least {ANCHOR + 8} bytes")
-    plain = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
-    buckets = max(1, -(-text_bytes(docs) // BUCKET_BYTES))
-    able = plain.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    anchors = able.mapInArrow(_send_anchors(length, buckets), ANCHORS)
+    every = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
+    plain = every.where("doc_id IS NOT NULL")  # the same frame on both sides of the work, so it is shuffled once
+    size = text_bytes(docs)
+    buckets, bits = max(1, -(-size // BUCKET_BYTES)), hash_bits(size)
+    anchors = plain.where(F.octet_length("text") >= length).mapInArrow(_send_anchors(length, buckets, bits), ANCHORS)
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, f"{KEY}, anchors binary")
     asked = shared.groupBy("doc_id", "text_hash").agg(F.collect_list("anchors").alias("anchors"))
-    meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, buckets), STRETCHES, 4 << 20)
+    meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, buckets, bits), STRETCHES, 4 << 20)
     spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length), SPANS)
     found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans"))
-    return plain.join(found, ["doc_id", "text_hash"], "left")
+    whole = every.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("array<binary>"))
+    return plain.join(found, ["doc_id", "text_hash"], "left").unionByName(whole)
 
 
 def cut(text: bytes, packed: list[bytes]) -> tuple[bytes, int, int]:
