@@ -82,6 +82,11 @@ def record_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
+def id_column(docs: DataFrame) -> Column:
+    """doc_id as bigint; without a cast where it is one, so that two uses of a frame keep one plan and share a shuffle."""
+    return F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts; sizes the number of groups an operator works in."""
     return int(docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0)

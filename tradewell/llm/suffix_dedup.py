@@ -35,16 +35,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewell.llm.common import buffer_of, map_batches, mix64, record_batch, release_memory, text_bytes, utf8
+from tradewell.llm.common import buffer_of, id_column, map_batches, mix64, record_batch, release_memory, text_bytes, utf8
 
 LENGTH = 50
 ANCHOR = 24  # bytes of an anchor
 LONGEST = 64  # windows in a stretch
-PIECE = 1 << 20  # windows hashed at once
-FLUSH = 1 << 20  # anchors packed at once
+PIECE = 1 << 19  # windows hashed at once
+FLUSH = 1 << 19  # anchors packed at once
 COMMON = 8  # documents of one batch from which an anchor counts as shared without asking
 BUCKET_BYTES = 8 << 20  # corpus text for each bucket
-BLOCK_BYTES = 1 << 20  # bytes of stretches in one transform
+BLOCK_BYTES = 1 << 19  # bytes of stretches in one transform
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -209,8 +209,8 @@ def _send_anchors(length: int, buckets: int, bits: int):
             return _anchor_rows(np.concatenate(ids), np.concatenate(hashes), np.concatenate(owners), np.concatenate(values), buckets, bits)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 ids.append(part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
                 hashes.append(part.column("text_hash").to_numpy(zero_copy_only=False).astype(np.int64))
                 for owner, _, _, value in stretches(utf8(part.column("text")), length):
@@ -473,7 +473,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text_hash, text, spans (list of packed begin/end pairs, may overlap; null if none) for every row."""
     if length < ANCHOR + 8:
         raise ValueError(f"strings must have at least {ANCHOR + 8} bytes")
-    every = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
+    every = docs.select(id_column(docs), "text", F.xxhash64("text").alias("text_hash"))
     plain = every.where("doc_id IS NOT NULL")  # the same frame on both sides of the work, so it is shuffled once
     size = text_bytes(docs)
     buckets, bits = max(1, -(-size // BUCKET_BYTES)), hash_bits(size)
@@ -511,4 +511,4 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                             n_spans=[d[2] for d in done], kept_sha256=[hashlib.sha256(d[0]).hexdigest() for d in done])
 
     return map_batches(removed_spans(docs, length).select("doc_id", "text", "spans"), work,
-                       "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", 32 << 20)
+                       "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", 8 << 20)
