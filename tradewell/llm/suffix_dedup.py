@@ -43,7 +43,8 @@ LONGEST = 64  # windows in a stretch
 PIECE = 1 << 19  # windows hashed at once
 FLUSH = 1 << 19  # anchors packed at once
 COMMON = 8  # documents of one batch from which an anchor counts as shared without asking
-BUCKET_BYTES = 8 << 20  # corpus text for each bucket
+BUCKET_BYTES = 8 << 20  # corpus text for each bucket of anchors
+MEETING_BYTES = 2 << 20  # corpus text for each bucket of stretches
 BLOCK_BYTES = 1 << 19  # bytes of stretches in one transform
 
 _LOW = np.uint64(0xFFFFFFFF)
@@ -480,7 +481,8 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = plain.where(F.octet_length("text") >= length).mapInArrow(_send_anchors(length, buckets, bits), ANCHORS)
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, f"{KEY}, anchors binary")
     asked = shared.groupBy("doc_id", "text_hash").agg(F.collect_list("anchors").alias("anchors"))
-    meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, buckets, bits), STRETCHES, 4 << 20)
+    meetings = max(1, -(-size // MEETING_BYTES))
+    meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, meetings, bits), STRETCHES, 4 << 20)
     spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length), SPANS)
     found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans"))
     whole = every.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("array<binary>"))
