@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewell.llm.common import record_batch, text_bytes, utf8
+from tradewell.llm.common import ASCII_LOWER, record_batch, text_bytes, utf8
 from tradewell.session import materialise, new_path
 
 FILE_BYTES = 32 << 20  # text that goes to one data file
@@ -66,7 +66,9 @@ def unframe(data: bytes, at: int) -> bytes:
 class Encoder(dict):
     """Ids of words as bytes, asked of the tokenizer on first use; emptied when full.
 
-    The tokenizer splits at white space first, so a text's ids are those of its words in a row.
+    The tokenizer splits at white space first, so a text's ids are those of its words in a row. It reads
+    lower case, so words that differ in case are one, unless special strings may be among them; and it
+    parts a last comma or full stop from a letter or digit.
     """
 
     def __init__(self, path: str):
@@ -74,9 +76,14 @@ class Encoder(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        normal = self.tokenizer.normalizer
+        self.lowers = normal is not None and normal.normalize_str("AZ") == "az"
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
+            self[word] = found = self[word[:-1]] + self[word[-1:]]
+            return found
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         self[word] = found = np.array(ids, self.kind).tobytes()
         return found
@@ -84,6 +91,8 @@ class Encoder(dict):
     def encode(self, text: bytes, end_id: int) -> bytes:
         if len(self) > WORDS_KEPT:
             self.clear()
+        if self.lowers and b"<|" not in text:
+            text = text.translate(ASCII_LOWER)
         return b"".join(map(self.__getitem__, text.split())) + np.array([end_id], self.kind).tobytes()
 
 
