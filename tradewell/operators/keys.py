@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
 from itertools import combinations
 
@@ -58,10 +59,12 @@ def _could_be_unique(columns: tuple[str, ...], distinct: dict, total: int) -> bo
 
 def infer_foreign_keys(table: str, columns: list[str], keys: Mapping[str, list[str]]) -> list[tuple[str, str, str]]:
     """Non-key columns named, case aside, like a key column of another table."""
-    own = set(keys.get(table, ()))
-    return [(column, other, key) for column in columns if column not in own
-            for other, other_keys in keys.items() if other != table
-            for key in other_keys if column.lower() == key.lower()]
+    owners = defaultdict(list)
+    for owner, names in keys.items():
+        for name in names:
+            owners[name.lower()].append((owner, name))
+    free = [c for c in columns if c not in keys.get(table, ())]
+    return [(c, *target) for c in free for target in owners[c.lower()] if target[0] != table]
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

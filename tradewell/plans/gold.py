@@ -37,7 +37,7 @@ CATEGORY_COLUMNS = ["CategoryID", "CategoryName", "Description", "Picture"]
 PRODUCT_COLUMNS = ["ProductID", "ProductName", "SupplierID", "CategoryID", "QuantityPerUnit", "UnitPrice",
                    "UnitsInStock", "UnitsOnOrder", "ReorderLevel", "Discontinued"]
 # Days added on both ends of the calendar, and the most days it may have.
-CALENDAR_MARGIN, CALENDAR_LIMIT = 7, 1_000_000
+CALENDAR_MARGIN = 7
 ORDER_DATES = ["OrderDate", "ShippedDate", "RequiredDate"]
 
 
@@ -92,8 +92,7 @@ def calendar_bounds(orders: DataFrame) -> DataFrame:
     days = [as_date(F.col(c)) for c in ORDER_DATES]
     span = current(orders).agg(F.min(F.least(*days)).alias("lo"), F.max(F.greatest(*days)).alias("hi"))
     first = F.date_sub("lo", CALENDAR_MARGIN)
-    last = F.least(F.date_add("hi", CALENDAR_MARGIN), F.date_add(first, CALENDAR_LIMIT - 1))
-    return span.select(first.alias("first_day"), last.alias("last_day"))
+    return span.select(first.alias("first_day"), F.date_add("hi", CALENDAR_MARGIN).alias("last_day"))
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
