@@ -270,7 +270,8 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
 # ---- stretches that meet
 
 STRETCHES = "bucket bigint, ids binary, hashes binary, owners binary, firsts binary, sizes binary, text binary"
-SPANS = f"{KEY}, spans binary"
+SPANS = f"{KEY}, span bigint"
+SIZE_BITS = 24  # a span is its begin, shifted by these, and its size
 
 
 def _send_stretches(length: int, buckets: int, bits: int):
@@ -386,25 +387,22 @@ def smallest_ids(parts: list[bytes], ids: np.ndarray, length: int) -> list[np.nd
     return np.split(found[window], np.cumsum(sizes - length)[:-1])
 
 
-def _packed_spans(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndarray):
-    """One (doc_id, text_hash, spans) per document."""
-    order = np.lexsort((begin, owner))
-    owner, pairs = owner[order], np.stack((begin[order], end[order]), axis=1)
-    cuts = groups(owner)
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield int(ids[owner[a]]), int(hashes[owner[a]]), pairs[a:b].tobytes()
+def _span_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
+    """One row per span. Their number follows from the texts alone; rows per document and bucket would grow with the buckets."""
+    return pa.table({"doc_id": ids[owner], "text_hash": hashes[owner], "span": (begin << SIZE_BITS) | (end - begin)})
 
 
 def _met_stretches(length: int):
     def work(table: pa.Table) -> pa.Table:
-        out = []
+        none = np.zeros(0, np.int64)
+        out = [_span_rows(none, none, none, none, none)]
         ids, hashes, owner, first, parts, base = [], [], [], [], [], 0
         for row in table.to_pylist():
             i, h = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["hashes"], np.int64)
             o, f = numbers_of(row["owners"], np.int32).astype(np.int64), numbers_of(row["firsts"], np.int64)
             sizes = numbers_of(row["sizes"], np.int32).astype(np.int64)
             if row["bucket"] < 0:
-                out += _packed_spans(i, h, o, f, f + sizes + length - 1)
+                out.append(_span_rows(i, h, o, f, f + sizes + length - 1))
                 continue
             at, text = np.concatenate(([0], np.cumsum(sizes))), zstandard.decompress(row["text"])
             parts += [text[a:b] for a, b in zip(at[:-1], at[1:])]
@@ -415,11 +413,9 @@ def _met_stretches(length: int):
             base += len(i)
         if parts:
             ids, hashes, owner, first = map(np.concatenate, (ids, hashes, owner, first))
-            out += _packed_spans(ids, hashes, *_removed(parts, ids[owner], owner, first, length))
-        columns = list(zip(*out)) or [[], [], []]
+            out.append(_span_rows(ids, hashes, *_removed(parts, ids[owner], owner, first, length)))
         release_memory()
-        return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "text_hash": pa.array(columns[1], pa.int64()),
-                         "spans": pa.array(columns[2], pa.binary())})
+        return pa.concat_tables(out)
     return work
 
 
@@ -471,9 +467,9 @@ def _first_anchors(parts: list[bytes], length: int) -> np.ndarray:
 # ---- the operator
 
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, text_hash, text, spans (list of packed begin/end pairs, may overlap; null if none) for every row."""
-    if length < ANCHOR + 8:
-        raise ValueError(f"strings must have at least {ANCHOR + 8} bytes")
+    """doc_id, text_hash, text, spans (list of begin << SIZE_BITS | size, may overlap; null if none) for every row."""
+    if not ANCHOR + 8 <= length <= 1 << 20:
+        raise ValueError(f"strings must have {ANCHOR + 8} to {1 << 20} bytes")
     every = docs.select(id_column(docs), "text", F.xxhash64("text").alias("text_hash"))
     plain = every.where("doc_id IS NOT NULL")  # the same frame on both sides of the work, so it is shuffled once
     size = text_bytes(docs)
@@ -484,16 +480,17 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     meetings = max(1, -(-size // MEETING_BYTES))
     meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, meetings, bits), STRETCHES, 4 << 20)
     spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length), SPANS)
-    found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("spans"))
-    whole = every.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("array<binary>"))
+    found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("spans"))
+    whole = every.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("array<bigint>"))
     return plain.join(found, ["doc_id", "text_hash"], "left").unionByName(whole)
 
 
-def cut(text: bytes, packed: list[bytes]) -> tuple[bytes, int, int]:
+def cut(text: bytes, spans: list[int]) -> tuple[bytes, int, int]:
     """What is left of a text, bytes removed, and maximal removed runs."""
-    spans = sorted(map(tuple, np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2).tolist()))
     kept, at, runs = [], 0, 0
-    for begin, end in spans:
+    for span in sorted(spans):
+        begin = span >> SIZE_BITS
+        end = begin + (span & ((1 << SIZE_BITS) - 1))
         if begin > at or not runs:
             kept.append(text[at:begin])
             runs += 1
@@ -508,7 +505,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column("text"))
-        done = [cut(t, s or []) if s else (t, 0, 0) for t, s in zip(texts, batch.column("spans").to_pylist())]
+        done = [cut(t, s) if s else (t, 0, 0) for t, s in zip(texts, batch.column("spans").to_pylist())]
         return record_batch(doc_id=batch.column("doc_id"), n_bytes=list(map(len, texts)), n_removed=[d[1] for d in done],
                             n_spans=[d[2] for d in done], kept_sha256=[hashlib.sha256(d[0]).hexdigest() for d in done])
 
