@@ -2,7 +2,8 @@
 
 Messages form trees by their parents. Iterative self-joins double the distance that every message sees
 upwards, so paths of any length take a logarithmic number of joins; each step carries the sum of the
-scores passed. Leaves are ranked by the mean score of their path, the best ones of each tree are
+scores passed. A message that has reached its root takes no part in later joins but as a target inside
+its own tree, so short trees cost nothing while a long one goes on. Leaves are ranked by the mean score of their path, the best ones of each tree are
 chosen, and the same jumps taken from far to near enumerate the messages of each chosen path. A path
 becomes one text.
 
@@ -21,6 +22,7 @@ its text is one value.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,27 +58,35 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     nodes = (messages.withColumn("_n", F.row_number().over(first)).where("_n = 1")
              .select("tree", "id", "parent", F.coalesce("score", F.lit(0.0)).alias("score")))
     known = nodes.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known"))
-    steps = [materialise(nodes.join(known, ["tree", "parent"], "left")
-                         .select("tree", "id", F.when(F.col("known"), F.col("parent")).alias("up"), "score",
-                                 F.lit(1).cast("bigint").alias("length")), "reply-jumps")]
+    first = materialise(nodes.join(known, ["tree", "parent"], "left")
+                        .select("tree", "id", F.when(F.col("known"), F.col("parent")).alias("up"), "score",
+                                F.lit(1).cast("bigint").alias("length")), "reply-jumps")
+    jumps, settled = [first.where("up IS NOT NULL")], [first.where("up IS NULL")]
     count = nodes.count()
-    while steps[-1].where("up IS NOT NULL").limit(1).count() and 2 ** (len(steps) - 1) <= count:
-        here, there = steps[-1], steps[-1].select("tree", F.col("id").alias("up"), F.col("up").alias("next"),
-                                                  F.col("score").alias("more"), F.col("length").alias("further"))
-        steps.append(materialise(here.join(there, ["tree", "up"], "left").select(
-            "tree", "id", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("length") + F.coalesce("further", F.lit(0))).alias("length")), "reply-jumps"))
-    parents = steps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("id")).distinct()
+    while jumps[-1].limit(1).count() and 2 ** (len(jumps) - 1) <= count:
+        here = jumps[-1]
+        near = _union(settled).join(here.select("tree").distinct(), "tree", "left_semi")
+        there = here.unionByName(near).select("tree", F.col("id").alias("up"), F.col("up").alias("next"),
+                                              F.col("score").alias("more"), F.col("length").alias("further"))
+        step = materialise(here.join(there, ["tree", "up"]).select(
+            "tree", "id", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("length") + F.col("further")).alias("length")), "reply-jumps")
+        jumps.append(step.where("up IS NOT NULL"))
+        settled.append(step.where("up IS NULL"))
+    parents = jumps[0].select("tree", F.col("up").alias("id")).distinct()
     rank = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("length")), F.desc("length"), "id")
-    paths = (steps[-1].where("up IS NULL").join(parents, ["tree", "id"], "left_anti")
-             .withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= per_tree)
-             .select("tree", F.col("id").alias("leaf"), F.lit(0).cast("bigint").alias("place"), "id"))
-    for k in range(len(steps) - 1, -1, -1):
-        jumps = steps[k].where("up IS NOT NULL").select("tree", "id", "up")
-        far = paths.join(jumps, ["tree", "id"]).select("tree", "leaf", (F.col("place") + 2 ** k).alias("place"),
-                                                      F.col("up").alias("id"))
-        paths = materialise(paths.union(far), "reply-paths")
-    return paths
+    chosen = (_union(settled).join(parents, ["tree", "id"], "left_anti")
+              .withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= per_tree)
+              .select("tree", F.col("id").alias("leaf"), F.lit(0).cast("bigint").alias("place"), "id"))
+    paths = [materialise(chosen, "reply-paths")]
+    for k in range(len(jumps) - 2, -1, -1):  # what the last jumps hold, if anything, lies on or below a cycle
+        paths.append(materialise(_union(paths).join(jumps[k], ["tree", "id"]).select(
+            "tree", "leaf", (F.col("place") + 2 ** k).alias("place"), F.col("up").alias("id")), "reply-paths"))
+    return _union(paths)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def format_paths(messages: DataFrame, paths: DataFrame, loss_roles: Sequence[str] = ("assistant",)) -> DataFrame:
