@@ -681,6 +681,8 @@ on_star("m20_on_time_rate", lambda s: m.on_time_rate(s, ["DimShippers.CompanyNam
 on_star("m21_unshipped_orders", lambda s: m.values(s, ["Sales.ShipCountry"], "unshipped_orders"))
 on_star("m22_avg_delivery_days", lambda s: m.average_delivery_days(s, ["DimEmployees.FirstName"]))
 on_star("m23_needs_reorder", lambda s: m.needs_reorder(s, PRODUCT))
+on_star("m23_needs_reorder_by_supplier", lambda s: m.needs_reorder(s, ["DimSuppliers.CompanyName"]))
+on_star("m33_selected_product_by_category", lambda s: m.product_card(s, ["DimCategories.CategoryName"]).select("CategoryName", "selected_product"))
 on_star("m24_growth_recommendation", insights.growth_recommendation)
 on_star("m25_operations_recommendation", insights.operations_recommendation)
 on_star("m26_buying_recommendation", insights.buying_recommendation)

@@ -585,6 +585,8 @@ def oracle_sql() -> dict[str, str]:
         "m21_unshipped_orders": _star("SELECT ShipCountry, count(DISTINCT CASE WHEN ShippedDate IS NULL THEN OrderID END) AS unshipped_orders FROM s GROUP BY ShipCountry"),
         "m22_avg_delivery_days": _star(_AVG_DELIVERY.format(by="FirstName,", group="GROUP BY FirstName")),
         "m23_needs_reorder": _dim("SELECT ProductName, CAST(sum(UnitsInStock) < sum(ReorderLevel) AS INTEGER) AS needs_reorder FROM dim_products GROUP BY ProductName"),
+        "m23_needs_reorder_by_supplier": _dim("SELECT su.CompanyName, CAST(coalesce(sum(UnitsInStock), 0) < coalesce(sum(ReorderLevel), 0) AS INTEGER) AS needs_reorder FROM dim_products p LEFT JOIN dim_suppliers su ON p.SupplierKey = su.SupplierKey GROUP BY su.CompanyName"),
+        "m33_selected_product_by_category": _dim("SELECT ca.CategoryName, CASE WHEN count(DISTINCT ProductName) = 1 THEN max(ProductName) ELSE 'Multiple Products' END AS selected_product FROM dim_products p LEFT JOIN dim_categories ca ON p.CategoryKey = ca.CategoryKey GROUP BY ca.CategoryName"),
         "m24_growth_recommendation": _star(f"SELECT *, {_GROWTH_TEXT} AS answer FROM growth", _ANSWERS["growth"]),
         "m25_operations_recommendation": _star(f"SELECT *, {_OPERATIONS_TEXT} AS answer FROM ops", _OPERATIONS),
         "m26_buying_recommendation": _star(f"SELECT *, {_BUYING_TEXT} AS answer FROM buying", _BUYING),

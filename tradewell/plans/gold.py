@@ -36,7 +36,7 @@ COPIED_DIMENSIONS = {
 CATEGORY_COLUMNS = ["CategoryID", "CategoryName", "Description", "Picture"]
 PRODUCT_COLUMNS = ["ProductID", "ProductName", "SupplierID", "CategoryID", "QuantityPerUnit", "UnitPrice",
                    "UnitsInStock", "UnitsOnOrder", "ReorderLevel", "Discontinued"]
-# Days added on both ends of the calendar, and the most days it may have.
+# Fixed value: days added on both ends of the calendar.
 CALENDAR_MARGIN = 7
 ORDER_DATES = ["OrderDate", "ShippedDate", "RequiredDate"]
 
@@ -61,13 +61,14 @@ def copied_dimension(silver: dict[str, DataFrame], name: str) -> DataFrame:
 
 
 def _known_category(category_id: Column) -> Column:
-    return category_id.between(*CATEGORY_IDS)
+    """Ids that are no number are not known."""
+    return category_id.try_cast("bigint").between(*CATEGORY_IDS)
 
 
 def dim_categories(silver: dict[str, DataFrame]) -> DataFrame:
     """C17: categories in range (F03) and one ``Others`` member (U06) numbered after them."""
     known = project(current(silver["Categories"]), CATEGORY_COLUMNS).where(_known_category(F.col("CategoryID")))
-    known = number_rows(known, "CategoryKey", "CategoryID")
+    known = number_rows(known.withColumn("CategoryID", F.col("CategoryID").try_cast("bigint")), "CategoryKey", "CategoryID")
     others = known.agg((F.coalesce(F.max("CategoryKey"), F.lit(0)) + 1).cast("bigint").alias("CategoryKey")).select(
         "CategoryKey", F.lit(OTHERS_ID).cast("bigint").alias("CategoryID"), F.lit(OTHERS_NAME).alias("CategoryName"))
     return known.unionByName(others, allowMissingColumns=True)
@@ -81,8 +82,8 @@ def dim_products(silver: dict[str, DataFrame], categories: DataFrame, suppliers:
         F.col("CategoryID").alias("_category_id"), F.col("CategoryKey").alias("_category_key"))
     supplier = suppliers.select(F.col("SupplierID").alias("_supplier_id"), "SupplierKey")
     joined = (products
-              .join(category, F.col("CategoryID").cast("bigint") == F.col("_category_id"), "left")
-              .join(supplier, F.col("SupplierID").cast("bigint") == F.col("_supplier_id"), "left"))
+              .join(category, F.col("CategoryID").try_cast("bigint") == F.col("_category_id"), "left")
+              .join(supplier, F.col("SupplierID").try_cast("bigint") == F.col("_supplier_id"), "left"))
     bucket = F.when(_known_category(F.col("CategoryID")), F.col("_category_key")).otherwise(others)
     return joined.select(*products.columns, bucket.alias("CategoryKey"), "SupplierKey")
 

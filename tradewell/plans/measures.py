@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewell.operators.ranking import single_value, top_with_ties, winner_largest_label
-from tradewell.plans.star import Star, net, split_ref
+from tradewell.plans.star import THROUGH_PRODUCT, Star, net, split_ref
 
 By = Mapping[str, str] | Iterable[str]
 
@@ -222,11 +222,23 @@ def _below(stock: Column, level: Column) -> Column:
     return F.coalesce(stock, F.lit(0)) < F.coalesce(level, F.lit(0))
 
 
+def _products_by(star: Star, by: Mapping[str, str]) -> tuple[DataFrame, list[Column]]:
+    """Products in the context and the columns to group them by, their own or those of category and supplier."""
+    products, group = star.dimension("DimProducts"), []
+    for table, key in THROUGH_PRODUCT.items():
+        wanted = {n: split_ref(r)[1] for n, r in by.items() if split_ref(r)[0] == table}
+        if wanted:
+            far = star.tables[table].select(F.col(key).alias("_far"), *[F.col(c).alias(f"_by_{n}") for n, c in wanted.items()])
+            products = products.join(far, F.col(key) == F.col("_far"), "left").drop("_far")
+    for name, ref in by.items():
+        table, column = split_ref(ref)
+        group.append(F.col(f"_by_{name}" if table in THROUGH_PRODUCT else column).alias(name))
+    return products, group
+
+
 def needs_reorder(star: Star, by: By) -> DataFrame:
     """1 when the stock of the group's products is below their summed reorder level."""
-    by = names(by)
-    products = star.dimension("DimProducts")
-    group = [F.col(split_ref(r)[1]).alias(n) for n, r in by.items()]
+    products, group = _products_by(star, names(by))
     flag = F.when(_below(F.sum("UnitsInStock"), F.sum("ReorderLevel")), 1).otherwise(0)
     return products.groupBy(*group).agg(flag.alias("needs_reorder"))
 
@@ -240,8 +252,8 @@ def low_stock(star: Star) -> DataFrame:
 def product_card(star: Star, by: By) -> DataFrame:
     """Attributes of the selected product, blank where the group holds several."""
     by = names(by)
-    group = [F.col(split_ref(r)[1]).alias(n) for n, r in by.items()]
-    picked = star.dimension("DimProducts").groupBy(*group).agg(
+    products, group = _products_by(star, by)
+    picked = products.groupBy(*group).agg(
         single_value("ProductName", F.lit(MANY_PRODUCTS)).alias("selected_product"),
         single_value("CategoryKey").alias("_category"), single_value("SupplierKey").alias("_supplier"),
         single_value("UnitPrice").alias("selected_unit_price"),
