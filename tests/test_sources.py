@@ -1,10 +1,11 @@
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradewell.sources import pages, reader, sinks
-from tradewell.sources.pages import json_objects
+from tradewell.sources.pages import page_texts
 
 TYPES = {"OrderID": "bigint", "Quantity": "bigint", "UnitPrice": "double", "Note": "string"}
 
@@ -16,12 +17,41 @@ def write(root, name, text):
 
 def test_objects_back_to_back():
     text = '﻿{"a": "}{\\""} {"b": [1]}\n\t{"c": 1}[1, 2] "x"  '
-    assert list(json_objects(text)) == [{"a": '}{"'}, {"b": [1]}, {"c": 1}, [1, 2], "x"]
+    assert list(page_texts(text)) == ['{"a": "}{\\""}', '{"b": [1]}', '{"c": 1}', "[1, 2]"]
 
 
 def test_broken_tail_raises():
     with pytest.raises(ValueError, match="bad JSON"):
-        list(json_objects('{"value": []}{"value": ['))
+        list(page_texts('{"value": []}{"value": ['))
+    for text in ('{"a": 1} rest', '{"a": "open}', '{"a": 1}}'):
+        with pytest.raises(ValueError, match="bad JSON"):
+            list(page_texts(text))
+
+
+def test_digits_are_kept(spark, root):
+    write(root, "a.json", '{"value":[{"a":0.12345678901234567891,"b":1.50,"c":1234567890123456.12}]}')
+    row = pages.read_pages(spark, root, {"a": "decimal(38,20)", "b": "decimal(5,2)", "c": "decimal(20,2)"}).first()
+    assert [str(v) for v in row] == ["0.12345678901234567891", "1.50", "1234567890123456.12"]
+
+
+def test_items_that_are_no_objects_cost_no_records(spark, root):
+    write(root, "a.json", '{"value":[{"OrderID":1},5,{"OrderID":2,"Note":{"x":1}}]}')
+    got = [r[0] for r in pages.read_pages(spark, root, TYPES).collect()]
+    assert sorted(v for v in got if v is not None) == [1, 2]
+
+
+def test_unbalanced_kinds_of_brackets_fail_the_job(spark, root):
+    write(root, "a.json", '{"value":[{"OrderID":1}}]')
+    with pytest.raises(Exception, match="bad JSON"):
+        pages.read_pages(spark, root, TYPES, require_rows=False).collect()
+
+
+def test_resolve_reads_every_page(spark, root):
+    (pathlib.Path(root) / "bronze_Orders").mkdir()
+    write(f"{root}/bronze_Orders", "a.json", '{"value":[{"OrderID":1,"x":1},{"OrderID":2}]}{"value":[{"OrderID":3,"@odata.etag":"e","y":"2.50"}]}')
+    got = reader.resolve(spark, root, "Orders")
+    assert sorted(map(tuple, got.select("OrderID", "x", "y").collect())) == [(1, "1", None), (2, None, None), (3, None, "2.50")]
+    assert set(got.columns) == {"OrderID", "x", "y"}
 
 
 def test_pages_of_all_files(spark, root):

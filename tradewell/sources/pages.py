@@ -1,99 +1,132 @@
 """API pages: any number of JSON objects back to back in a text file.
 
 Spark's JSON readers see only the first of several objects in a document or on a line, so files are
-read as text and cut into objects inside tasks. One file is one unit of work; records leave the task
-in small batches and are typed by ``from_json`` in the JVM.
+read as text. Tasks only find where one page ends and the next begins and hand on the text of each
+page as it is; records are taken out of it and typed in the JVM, so all digits are kept. One file is
+one unit of work.
 """
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewell.config import EXPECTED_API_ROWS
 
-BATCH_ROWS = 10_000
-PAGE_SCHEMA = "file string, page int, is_object boolean, has_value boolean, records bigint, next_link string"
-
-
-def json_objects(text: str) -> Iterator[object]:
-    """Every top-level JSON value of a text in turn. A leading byte order mark and blanks are skipped."""
-    decode = json.JSONDecoder().raw_decode
-    text = text.lstrip("﻿").rstrip()
-    at = 0
-    while at < len(text):
-        if text[at].isspace():
-            at += 1
-            continue
-        try:
-            value, at = decode(text, at)
-        except json.JSONDecodeError as broken:
-            raise ValueError(f"bad JSON at character {at}: {broken}") from broken
-        yield value
-
-
-def _record_batches(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    batch: list[str] = []
-    for frame in files:
-        for text in frame["value"]:
-            for page in json_objects(text):
-                records = page.get("value") if isinstance(page, dict) else None
-                for record in records if isinstance(records, list) else ():
-                    batch.append(json.dumps(record))
-                    if len(batch) == BATCH_ROWS:
-                        yield pd.DataFrame({"record": batch})
-                        batch = []
-    if batch:
-        yield pd.DataFrame({"record": batch})
-
-
-def _page_facts(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+NEXT_LINK = "@odata.nextLink"
+# What may move a page boundary: a whole string (brackets inside do not count) or a bracket.
+_MARKS = re.compile(r'"(?:[^"\\]|\\.)*"|[][{}"]', re.DOTALL)
+# What may stand between pages: blanks and values that are neither an object nor a list.
+_BETWEEN = re.compile(r'(?:\s|"(?:[^"\\]|\\.)*"|-?\d[\d.eE+-]*|true|false|null)*', re.DOTALL)
+BATCH_CHARS = 8_000_000
+
+
+def page_texts(text: str) -> Iterator[str]:
+    """The text of every outermost object or list, in order. A leading byte order mark is skipped,
+    other outermost values hold no records and are passed over; an unfinished page is an error."""
+    depth = begin = 0
+    end = 1 if text.startswith("\ufeff") else 0
+    for mark in _MARKS.finditer(text):
+        sign = mark.group()
+        if sign == '"':
+            raise ValueError(f"bad JSON: a string begins at character {mark.start()} and does not end")
+        if sign in "{[":
+            if not depth:
+                begin = mark.start()
+                _check_between(text[end:begin], end)
+            depth += 1
+        elif sign in "}]":
+            depth -= 1
+            if depth < 0:
+                break
+            if depth == 0:
+                end = mark.end()
+                yield text[begin:end]
+    if depth:
+        raise ValueError("bad JSON: brackets do not match, the page begins "
+                         f"at character {begin} of {len(text)}")
+    _check_between(text[end:], end)
+
+
+def _check_between(text: str, at: int) -> None:
+    if not _BETWEEN.fullmatch(text):
+        raise ValueError(f"bad JSON between pages from character {at}")
+
+
+def _cut(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows: list[tuple[str, int, str]] = []
+    held = 0
     for frame in files:
         for file, text in zip(frame["file"], frame["value"]):
-            facts = []
-            for number, page in enumerate(json_objects(text), 1):
-                fields = page if isinstance(page, dict) else {}
-                values = fields.get("value")
-                listed = isinstance(values, list)
-                facts.append((file, number, isinstance(page, dict), listed,
-                              len(values) if listed else 0, fields.get("@odata.nextLink") or None))
-            if facts:
-                yield pd.DataFrame(facts, columns=["file", "page", "is_object", "has_value", "records", "next_link"])
-
-
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    return text.select(F.col("_metadata.file_path").alias("file"), "value")
-
-
-def read_pages(spark: SparkSession, path: str, types: dict[str, str], require_rows: bool = True) -> DataFrame:
+            for number, page in enumerate(page_texts(text), 1):
+                rows.append((file, number, page))
+                held += len(page)
+                if held >= BATCH_CHARS:
+                    yield pd.DataFrame(rows, columns=["file", "page", "text"])
+                    rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["file", "page", "text"])
+
+
+def _pages(spark: SparkSession, path: str) -> DataFrame:
+    """file, page, text, is_object, value (text of the record list, null if there is none), next_link."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    cut = files.select(F.col("_metadata.file_path").alias("file"), "value").mapInPandas(
+        _cut, "file string, page int, text string")
+    envelope = T.StructType([T.StructField(c, T.StringType()) for c in ("value", NEXT_LINK, "_broken")])
+    read = cut.withColumn("e", F.from_json("text", envelope, {"columnNameOfCorruptRecord": "_broken"}))
+    is_object = F.col("text").startswith("{")
+    bad = is_object & F.col("e._broken").isNotNull()
+    value = F.when(bad, F.raise_error(F.concat(F.lit("bad JSON in page "), F.col("page").cast("string"), F.lit(" of "), F.col("file")))
+                   ).when(is_object & F.col("e.value").startswith("["), F.col("e.value"))
+    return read.select("file", "page", "text", is_object.alias("is_object"), value.cast("string").alias("value"),
+                       F.when(is_object, F.nullif(F.col(f"e.`{NEXT_LINK}`"), F.lit(""))).alias("next_link"))
+
+
+def read_pages(spark: SparkSession, path: str, types: dict[str, str] | None = None, require_rows: bool = True) -> DataFrame:
     """S04 + P07: all records of all pages of all files, typed.
 
-    Every field is first taken as the text of its JSON token, so 3 and 3.0 in the same field both
-    arrive and long keys keep all digits; the declared type follows by a lenient cast.
+    Fields declared decimal are read as such, with all their digits. Every other field is first taken
+    as text, so 3 and 3.0 in the same field both arrive and whole numbers keep all digits; the declared
+    type follows by a lenient cast. Spark's text of an unquoted fraction is that of a double (1.50 reads
+    1.5). Without declared types, every field that any record has is returned as text.
     """
-    records = _files(spark, path).select("value").mapInPandas(_record_batches, "record string")
-    if require_rows and records.isEmpty():
+    pages = _pages(spark, path)
+    each = F.from_json("value", "array<string>")
+    if require_rows and pages.where(F.json_array_length("value") > 0).isEmpty():
         raise ValueError(f"no API records found under {path}")
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in types])
-    row = records.select(F.from_json("record", as_text).alias("r")).select("r.*")
+    if types is None:
+        found = pages.select(F.explode(each).alias("r")).select(F.explode(F.json_object_keys("r")).alias("c"))
+        types = {r.c: "string" for r in found.distinct().orderBy("c").collect()}
+    as_text = T.StructType([T.StructField(c, _read_type(t)) for c, t in types.items()])
+    envelope = T.StructType([T.StructField("value", T.ArrayType(as_text))])
+    # A list is read in one go, through its page; one that holds anything but objects, item by item.
+    rows = F.coalesce(F.from_json("text", envelope)["value"], F.transform(each, lambda r: F.from_json(r, as_text)))
+    row = pages.where("value IS NOT NULL").select(F.explode(rows).alias("r")).select("r.*")
     return row.select(*[_typed(c, t).alias(c) for c, t in types.items()])
 
 
-def _typed(column: str, type_name: str):
+def _read_type(type_name: str) -> T.DataType:
+    return T.DataType.fromDDL(type_name) if type_name.startswith("decimal") else T.StringType()
+
+
+def _typed(column: str, type_name: str) -> Column:
+    text = F.col(f"`{column}`")
     if type_name in ("bigint", "int"):
-        return F.col(column).try_cast("decimal(38,10)").try_cast(type_name)
-    return F.col(column).try_cast(type_name)
+        return text.try_cast("decimal(38,10)").try_cast(type_name)
+    return text.try_cast(type_name)
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON object found, in the file it was found in."""
-    return _files(spark, path).mapInPandas(_page_facts, PAGE_SCHEMA)
+    """One row per JSON object or list found, in the file it was found in."""
+    return _pages(spark, path).select(
+        "file", "page", "is_object", F.col("value").isNotNull().alias("has_value"),
+        F.coalesce(F.json_array_length("value"), F.lit(0)).cast("bigint").alias("records"), "next_link")
 
 
 def page_diagnostic(pages: DataFrame, table: str, expected: int | None = None) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewell.config import API_PREFIX, EXCEL_PREFIX, TABLE_ALIASES
-from tradewell.operators.clean import drop_feed_metadata
+from tradewell.config import API_PREFIX, COLUMN_TYPES, EXCEL_PREFIX, TABLE_ALIASES
+from tradewell.operators.clean import cast_columns, drop_feed_metadata
+from tradewell.sources.pages import read_pages
 
 
 def read_columnar(spark: SparkSession, path: str) -> DataFrame:
@@ -37,6 +38,19 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType | No
     return unwrap_value((reader.schema(schema) if schema else reader).json(path))
 
 
+def read_json_feed(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """S04 or S02: a folder of pages is read page by page, one of plain records line by line.
+
+    Pages give the configured types, and text for fields without one.
+    """
+    plain = spark.read.option("recursiveFileLookup", True).json(path)
+    enveloped = "value" in plain.columns and isinstance(plain.schema["value"].dataType, T.ArrayType)
+    if enveloped or plain.columns == ["_corrupt_record"]:
+        records = drop_feed_metadata(read_pages(spark, path, require_rows=False))
+        return cast_columns(records, COLUMN_TYPES.get(table, {}))
+    return drop_feed_metadata(plain)
+
+
 def first_readable(attempts: Iterable[Callable[[], DataFrame]]) -> DataFrame | None:
     """The first source that exists. Only "not there" and "not this format" are passed over."""
     for attempt in attempts:
@@ -64,5 +78,5 @@ def resolve(spark: SparkSession, root: str, table: str, feed: str = "API") -> Da
         landed, path = f"{prefix}{name}", f"{root.rstrip('/')}/{prefix}{name}"
         attempts.append(lambda landed=landed: drop_feed_metadata(spark.table(landed)))
         attempts.append(lambda path=path: drop_feed_metadata(read_columnar(spark, path)))
-        attempts.append(lambda path=path: read_json_tree(spark, path))
+        attempts.append(lambda path=path: read_json_feed(spark, path, table))
     return first_readable(attempts)
