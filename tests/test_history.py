@@ -31,6 +31,11 @@ def test_every_outcome(spark):
         (None, "m", "Excel", True, "I", None)], key=str)
 
 
+def test_small_changes_count_and_signed_zeros_do_not(spark):
+    df = merged(spark, [(1, "a", 1.0), (2, "b", 0.0)], [(1, "a", 1.00000000001), (2, "b", -0.0)])
+    assert brief(df, "k") == sorted([(1, "API", False, "I", RUN), (1, "Excel", True, "U", None), (2, "API", True, "I", None)], key=str)
+
+
 def test_times_of_versions(spark):
     rows = {r.v: r for r in merged(spark, [(1, "old", 1.0)], [(1, "new", 1.0)]).collect()}
     assert str(rows["old"].effective_start) == str(rows["old"].created_at) == "2026-01-01 00:00:00"

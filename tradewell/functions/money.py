@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 
 def line_total(quantity: Column, price: Column, discount: Column) -> Column:
-    """Quantity * price * (1 - discount) in decimals, rounded half up to cents."""
-    rate = F.lit(1).cast("decimal(6,4)") - discount.cast("decimal(6,4)")
-    gross = quantity.cast("decimal(10,0)") * price.cast("decimal(14,4)")
-    return (gross * rate).cast("decimal(18,2)")
+    """Quantity * price * (1 - discount) in decimals, rounded half up to cents once, at the end.
+
+    Prices and rates have six places; the product holds all twelve. A part that does not fit makes the
+    total null rather than ending the job.
+    """
+    rate = F.lit(1).cast("decimal(6,5)") - discount.try_cast("decimal(7,6)")
+    gross = quantity.try_cast("decimal(15,0)") * price.try_cast("decimal(14,6)")
+    return (gross * rate).try_cast("decimal(18,2)")
 
 
 def net_amount(quantity: Column, price: Column, discount: Column) -> Column:
-    """The same product before it is rounded to cents, kept at four places so that sums are exact."""
-    return (quantity * price * (1 - discount)).cast("decimal(18,4)")
+    """The same product before it is rounded to cents, as a decimal so that sums do not depend on order."""
+    return (quantity * price * (1 - discount)).try_cast("decimal(28,8)")

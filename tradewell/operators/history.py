@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ def classify(baseline: DataFrame, incoming: DataFrame, entity: Entity) -> DataFr
 
     One full outer join replaces inner, semi and anti joins; both sides hold one row per key, so no
     key can be hot in it. A null key matches nothing: the baseline row stays, the incoming row is new.
+    Values decide whether a row changed, nulls being alike; the hash rounds floats and is only carried.
     """
     incoming = align_types(incoming, baseline)
 
@@ -53,8 +55,9 @@ def classify(baseline: DataFrame, incoming: DataFrame, entity: Entity) -> DataFr
 
     same_key = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in entity.keys]
     both = side(baseline, "old").join(side(incoming, "new"), same_key, "full_outer").select("old", "new")
+    alike = reduce(Column.__and__, [F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in entity.business_columns])
     status = (F.when(F.col("new").isNull(), "BASELINE_ONLY").when(F.col("old").isNull(), "NEW")
-              .when(F.col("old.row_hash") == F.col("new.row_hash"), "UNCHANGED").otherwise("CHANGED"))
+              .when(alike, "UNCHANGED").otherwise("CHANGED"))
     return both.withColumn("status", status)
 
 
