@@ -4,6 +4,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from tradewell.functions import money
 from tradewell.operators.ranking import number_rows, top_with_ties
 from tradewell.plans import gold, insights, reports
 from tradewell.plans import measures as m
@@ -134,6 +135,28 @@ def test_last_year_shifts_the_set_of_days(star):
     assert growth[1997] == pytest.approx((48.3305 - 40.5) / 40.5)
 
 
+def test_time_measures_in_any_context(star):
+    total = m.year_over_year(star).first()
+    assert total.total_sales == pytest.approx(m.values(star, [], "total_sales").first()[0])
+    assert m.sales_year_to_date(star).count() == 1
+    by = ["DimDate.Year", "Sales.OrderID"]
+    split = m.sales_last_year(star, by).groupBy("Year").agg(F.sum("sales_last_year").alias("v"))
+    whole = {r.Year: r.sales_last_year for r in m.sales_last_year(star, ["DimDate.Year"]).where("sales_last_year IS NOT NULL").collect()}
+    assert {r.Year: r.v for r in split.collect()} == pytest.approx(whole)
+    split = m.sales_year_to_date(star, by).groupBy("Year").agg(F.sum("sales_ytd").alias("v"))
+    whole = {r.Year: r.sales_ytd for r in m.sales_year_to_date(star, ["DimDate.Year"]).where("sales_ytd IS NOT NULL").collect()}
+    assert {r.Year: r.v for r in split.collect()} == pytest.approx(whole)
+
+
+def test_money_is_rounded_once(spark):
+    rows = [(1_000_000, 0.00005, 0.0), (20_000_000_000, 1.0, 0.05), (3, 1.005, 0.0), (None, 1.0, 0.0), (1, float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "q bigint, p double, d double")
+    got = [None if r[0] is None else str(r[0]) for r in df.select(money.line_total(F.col("q"), F.col("p"), F.col("d"))).collect()]
+    assert got == ["50.00", "19000000000.00", "3.02", None, None]
+    many = spark.range(1000).select(money.net_amount(F.lit(1), F.lit(0.00004), F.lit(0.0)).alias("n"))
+    assert float(many.agg(F.sum("n")).first()[0]) == 0.04
+
+
 def test_year_to_date_restarts(star):
     got = {(r.Year, r.Month): r.sales_ytd for r in m.sales_year_to_date(star, ["DimDate.Year", "DimDate.Month"]).collect()}
     assert (got[1996, 1], got[1996, 2], got[1996, 12], got[1997, 1], got[1997, 12], got[1998, 1]) == (

@@ -566,6 +566,22 @@ def oracle_sql() -> dict[str, str]:
         "m08_sales_last_year": _star("""SELECT "Year", "Month", CAST(sum(v) AS DOUBLE) AS sales_last_year
             FROM (SELECT DISTINCT "Year", "Month", CAST(FullDate - INTERVAL 1 YEAR AS DATE) AS day FROM dim_date) x LEFT JOIN daily USING (day)
             WHERE x.day IN (SELECT FullDate FROM dim_date) GROUP BY ALL""", _DAILY),
+        "m08_by_category": _star("""SELECT "Year", CategoryName, CAST(sum(v) AS DOUBLE) AS sales_last_year
+            FROM (SELECT DISTINCT "Year", CAST(FullDate - INTERVAL 1 YEAR AS DATE) AS day FROM dim_date)
+            JOIN (SELECT OrderDate AS day, CategoryName, net AS v FROM s) USING (day) GROUP BY ALL"""),
+        "m09_by_category": _star(f"""SELECT "Year", CategoryName, total_sales, sales_last_year, (coalesce(total_sales, 0) - sales_last_year) / sales_last_year AS sales_yoy
+            FROM (SELECT "Year", CategoryName, {_NET} AS total_sales FROM s GROUP BY ALL) FULL JOIN
+            (SELECT "Year", CategoryName, CAST(sum(v) AS DOUBLE) AS sales_last_year
+             FROM (SELECT DISTINCT "Year", CAST(FullDate - INTERVAL 1 YEAR AS DATE) AS day FROM dim_date)
+             JOIN (SELECT OrderDate AS day, CategoryName, net AS v FROM s) USING (day) GROUP BY ALL) USING ("Year", CategoryName)"""),
+        "m09_total": _star(f"""SELECT total_sales, sales_last_year, (total_sales - sales_last_year) / sales_last_year AS sales_yoy
+            FROM (SELECT {_NET} AS total_sales FROM s), (SELECT CAST(sum(net) AS DOUBLE) AS sales_last_year FROM s
+             WHERE OrderDate IN (SELECT CAST(FullDate - INTERVAL 1 YEAR AS DATE) FROM dim_date))"""),
+        "m10_by_country": _star("""SELECT "Year", "Month", ShipCountry, CAST(sum(v) AS DOUBLE) AS sales_ytd
+            FROM (SELECT "Year", "Month", max(FullDate) AS last FROM dim_date GROUP BY ALL)
+            JOIN (SELECT OrderDate AS day, ShipCountry, sum(net) AS v FROM s GROUP BY ALL) ON day <= last AND year(day) = year(last) GROUP BY ALL"""),
+        "m10_by_category": _star("""SELECT CategoryName, CAST(sum(net) AS DOUBLE) AS sales_ytd
+            FROM (SELECT max(FullDate) AS last FROM dim_date) JOIN s ON OrderDate <= last AND year(OrderDate) = year(last) GROUP BY ALL"""),
         "m09_sales_yoy": _star(f"""SELECT "Year", total_sales, sales_last_year, (coalesce(total_sales, 0) - sales_last_year) / sales_last_year AS sales_yoy
             FROM (SELECT "Year", {_NET} AS total_sales FROM s GROUP BY "Year") FULL JOIN
             (SELECT "Year", CAST(sum(v) AS DOUBLE) AS sales_last_year FROM (SELECT DISTINCT "Year", CAST(FullDate - INTERVAL 1 YEAR AS DATE) AS day FROM dim_date) JOIN daily USING (day) GROUP BY "Year")

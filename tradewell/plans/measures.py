@@ -95,47 +95,59 @@ def average_delivery_days(star: Star, by: By = ()) -> DataFrame:
 
 # ---- time ---------------------------------------------------------------------------------------
 
-def _daily(star: Star) -> DataFrame:
-    """Exact sales per calendar day, all date filters removed. At most one row per day."""
-    return star.without("DimDate").summarise({"_day": "DimDate.FullDate"}, {"sales": net()})
+def _split(by: By) -> tuple[dict[str, str], dict[str, str], list[Column]]:
+    """All group names, those that are not of the calendar, and the calendar's columns under their names."""
+    by = names(by)
+    other = {n: r for n, r in by.items() if split_ref(r)[0] != "DimDate"}
+    return by, other, [F.col(split_ref(r)[1]).alias(n) for n, r in by.items() if n not in other]
+
 
+def _daily(star: Star, other: Mapping[str, str]) -> DataFrame:
+    """Exact sales per calendar day and other groups, all date filters removed."""
+    return star.without("DimDate").summarise({"_day": "DimDate.FullDate", **other}, {"sales": net()})
 
-def sales_last_year(star: Star, by: By) -> DataFrame:
+
+def sales_last_year(star: Star, by: By = ()) -> DataFrame:
     """Sales of the same days one year earlier.
 
-    The set of days of a group is shifted, so 28 and 29 February do not both count the 28th.
+    The set of days of a group is shifted, so 28 and 29 February do not both count the 28th. Groups
+    that are not of the calendar keep their members; those without any sale on these days are absent.
     """
-    by = names(by)
-    columns = [F.col(split_ref(r)[1]).alias(n) for n, r in by.items()]
-    shifted = star.dimension("DimDate").select(*columns, F.add_months("FullDate", -12).alias("_day")).distinct()
+    by, other, dates = _split(by)
+    shifted = star.dimension("DimDate").select(*dates, F.add_months("FullDate", -12).alias("_day")).distinct()
     known = star.tables["DimDate"].select(F.col("FullDate").alias("_day"))
-    days = shifted.join(known, "_day", "left_semi").join(_daily(star), "_day", "left")
+    days = shifted.join(known, "_day", "left_semi").join(_daily(star, other), "_day", "inner" if other else "left")
     return days.groupBy(*by).agg(F.sum("sales").cast("double").alias("sales_last_year"))
 
 
-def year_over_year(star: Star, by: By) -> DataFrame:
-    """This period, the same last year, and the growth between them."""
+def year_over_year(star: Star, by: By = ()) -> DataFrame:
+    """This period, the same last year, and the growth between them. Null groups stay groups."""
     by = names(by)
-    now = values(star, by, "total_sales")
-    joined = now.join(_non_null(sales_last_year(star, by)), list(by), "full")
-    change = F.coalesce(_double("total_sales"), F.lit(0.0)) - F.coalesce(_double("sales_last_year"), F.lit(0.0))
-    return joined.select(*by, "total_sales", "sales_last_year",
-                         ratio(change, "sales_last_year").alias("sales_yoy"))
+    none = F.lit(None).cast("double")
+    now = values(star, by, "total_sales").withColumn("sales_last_year", none)
+    before = sales_last_year(star, by).where("sales_last_year IS NOT NULL").withColumn("total_sales", none)
+    both = now.unionByName(before).groupBy(*by).agg(
+        F.max("total_sales").alias("total_sales"), F.max("sales_last_year").alias("sales_last_year"))
+    change = F.coalesce("total_sales", F.lit(0.0)) - F.coalesce("sales_last_year", F.lit(0.0))
+    return both.select(*by, "total_sales", "sales_last_year", ratio(change, "sales_last_year").alias("sales_yoy"))
 
 
-def _non_null(df: DataFrame) -> DataFrame:
-    return df.where(F.col("sales_last_year").isNotNull())
+def sales_year_to_date(star: Star, by: By = ()) -> DataFrame:
+    """Sales from 1 January to the last day of the group, inside that day's year.
 
-
-def sales_year_to_date(star: Star, by: By) -> DataFrame:
-    """Sales from 1 January to the last day of the group, inside that day's year."""
-    by = names(by)
+    The last days are put among the days with sales, and one running sum per year and other group
+    reads them off; a window holds the days of one year and its last days only.
+    """
+    by, other, dates = _split(by)
     calendar = star.tables["DimDate"].select(F.col("FullDate").alias("_day"), F.col("Year").alias("_year"))
-    running = F.sum("sales").over(W.partitionBy("_year").orderBy("_day"))
-    to_date = calendar.join(_daily(star), "_day", "left").select("_day", running.alias("_ytd"))
-    columns = [F.col(split_ref(r)[1]).alias(n) for n, r in by.items()]
-    last = star.dimension("DimDate").groupBy(*columns).agg(F.max("FullDate").alias("_day"))
-    return last.join(to_date, "_day", "left").select(*by, F.col("_ytd").cast("double").alias("sales_ytd"))
+    sold = _daily(star, other).join(calendar, "_day")
+    last = star.dimension("DimDate").groupBy(*dates).agg(F.max("FullDate").alias("_day")).join(calendar, "_day")
+    if other:
+        last = last.join(sold.select(*other, "_year").distinct(), "_year")
+    told = last.withColumn("_asked", F.lit(True)).unionByName(sold.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
+    running = F.sum("sales").over(W.partitionBy("_year", *other).orderBy("_day").rangeBetween(W.unboundedPreceding, W.currentRow))
+    to_date = told.withColumn("sales_ytd", running.cast("double")).where("_asked").select(*by, "sales_ytd")
+    return to_date.where("sales_ytd IS NOT NULL") if other else to_date
 
 
 # ---- winners ------------------------------------------------------------------------------------
