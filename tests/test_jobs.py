@@ -27,10 +27,10 @@ def test_validation_passes_and_tolerates_bad_expectations(spark):
     assert no_key.failure_reason == "required primary key not found"
 
 
-def test_expected_counts_in_both_shapes():
-    assert bronze.expected_counts('{"A": 1}') == {"A": 1}
-    assert bronze.expected_counts('[{"table": "A", "count": 0}, {"name": "B", "row_count": 2}, 3, {"count": 1}]') == {"A": 0, "B": 2}
-    assert bronze.expected_counts("not json") == {} and bronze.expected_counts(None) == {}
+def test_expected_counts_in_both_shapes(spark):
+    assert bronze.expected_counts(spark, '{"A": 1}') == {"A": "1"}
+    assert bronze.expected_counts(spark, '[{"table": "A", "count": 0}, {"name": "B", "row_count": 2}, {"count": 1}]') == {"A": "0", "B": "2"}
+    assert bronze.expected_counts(spark, "not json") == {} and bronze.expected_counts(spark, None) == {}
 
 
 def test_a_failing_table_costs_only_its_own_record(spark, root):

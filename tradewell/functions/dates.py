@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +24,12 @@ NOT_DATE_ENDINGS = ("id", "key")
 DATE_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-def date_like_columns(schema: T.StructType) -> list[str]:
-    """P10: typed dates, or text whose name says date."""
-    found = []
-    for field in schema:
-        name = field.name.lower()
-        if name.endswith(NOT_DATE_ENDINGS):
-            continue
-        typed = isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
-        named = isinstance(field.dataType, T.StringType) and any(p in name for p in DATE_NAME_PARTS)
-        if typed or named:
-            found.append(field.name)
-    return found
+_SAYS_DATE = re.compile(rf"({'|'.join(DATE_NAME_PARTS)}).*(?<!{NOT_DATE_ENDINGS[0]})(?<!{NOT_DATE_ENDINGS[1]})$", re.I | re.S)
+
+
+def date_texts(schema: T.StructType) -> list[str]:
+    """P10: text columns whose name says date. Typed dates need no parsing and are not listed."""
+    return [f.name for f in schema if f.dataType == T.StringType() and _SAYS_DATE.search(f.name)]
 
 
 def parse_timestamp(text: Column) -> Column:

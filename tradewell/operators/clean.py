@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewell.config import (HASH_NULL, HASH_SEPARATOR, TECHNICAL_COLUMNS, UNKNOWN_TEXT, Entity)
-from tradewell.functions.dates import DATE_TEXT, date_like_columns, parse_timestamp
+from tradewell.functions.dates import DATE_TEXT, date_texts, parse_timestamp
 from tradewell.functions.text import clean_names
 
 
@@ -72,8 +72,7 @@ def trim_text(df: DataFrame) -> DataFrame:
 
 def parse_dates(df: DataFrame) -> DataFrame:
     """P10 + P11: text in date-like columns becomes timestamps."""
-    text = set(_of_type(df, T.StringType))
-    return _map_columns(df, {c: parse_timestamp(F.col(c)) for c in date_like_columns(df.schema) if c in text})
+    return _map_columns(df, {c: parse_timestamp(F.col(c)) for c in date_texts(df.schema)})
 
 
 def dates_as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:

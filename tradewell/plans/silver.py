@@ -20,6 +20,7 @@ from tradewell.sources.sinks import append, publish, read_log
 
 Source = Callable[[], DataFrame]
 
+# Fields of the merge log.
 MERGE_LOG_SCHEMA = ("target_table string, sheet string, excel_rows bigint, net_row_change bigint, status string, "
                     "error string, run_timestamp string, api_rows bigint, unchanged_rows bigint, changed_rows bigint, "
                     "new_rows bigint, current_rows bigint, historical_rows bigint")
@@ -80,6 +81,7 @@ def merge_summary(log: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "SKIPPED").alias("skipped_count"), F.count("*").alias("total_tables_processed"))
 
 
+# Fields of the merge diagnostic.
 DIAGNOSTIC_SCHEMA = ("table_name string, table_exists boolean, rows bigint, current_rows bigint, "
                      "historical_rows bigint, status string, expected bigint, baseline_rows bigint")
 
