@@ -422,6 +422,7 @@ def oracle_sql() -> dict[str, str]:
     answer_parts = ", ".join([_ANSWERS["growth"], _OPERATIONS, _BUYING, _SELLING, _SEASON, _PEAK, _LEADERS, _CUSTOMER, _DELIVERY])
     sql = {
         "s01_columnar_scan": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01'",
+        "s01_full_scan": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
         "s02_json_tree": f"SELECT {_O} FROM orders",
         "s03_json_document": f"SELECT {_O} FROM orders",
         "s04_read_pages": f"SELECT {_O} FROM orders",
@@ -561,6 +562,7 @@ def oracle_sql() -> dict[str, str]:
         "m03_total_quantity": _star('SELECT "Year", CAST(sum(Quantity) AS BIGINT) AS total_quantity FROM s GROUP BY "Year"'),
         "m04_avg_order_value": _star(f"SELECT ContactTitle, {_AOV} AS avg_order_value FROM s GROUP BY ContactTitle"),
         "m05_total_customers": _dim("SELECT count(*) AS total_customers FROM dim_customers WHERE Region IN ('ASIA', 'EUROPE')"),
+        "m05_all_customers": _dim("SELECT count(*) AS total_customers FROM dim_customers"),
         "m06_products_sold": _star('SELECT "Year", count(DISTINCT ProductID) AS products_sold FROM s GROUP BY "Year"'),
         "m07_total_freight": _star(f"SELECT Shipper AS CompanyName, {_FREIGHT} AS total_freight FROM s GROUP BY Shipper"),
         "m08_sales_last_year": _star("""SELECT "Year", "Month", CAST(sum(v) AS DOUBLE) AS sales_last_year
@@ -591,6 +593,7 @@ def oracle_sql() -> dict[str, str]:
         "m11_best_year_sales": _star('SELECT ' + _largest('"Year"', "v") + " AS best_year_sales"),
         "m12_best_year": _star('SELECT CAST(' + _largest('"Year"', "label") + " AS VARCHAR) AS best_year"),
         "m13_top_category": _star("SELECT " + _largest("CategoryName", "label") + " AS top_category"),
+        "m14_all_years": _star("SELECT " + _largest("CategoryName", "v") + " AS top_category_sales"),
         "m14_top_category_sales": _star("SELECT " + _largest("CategoryName", "v", '"Year" = 1997') + " AS top_category_sales"),
         "m15_peak_month": _star("SELECT " + _largest("MonthName", "label") + " AS peak_month"),
         "m16_peak_month_sales": _star("SELECT " + _largest("MonthName", "v") + " AS peak_month_sales"),
