@@ -212,6 +212,22 @@ def test_language_model(spark, docs, monkeypatch):
     assert attention_lm.score(docs.limit(0), held, path).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 1 << 40])
+def test_language_model_fits_every_training_text(spark, monkeypatch, few):
+    monkeypatch.setattr(attention_lm, "FEW_IDS", few)  # 0: each text in one round; else in all
+    monkeypatch.setattr(attention_lm, "FIT_IDS", 1000)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = ["x " * 301_000, None] + [f"text {k} of {k * k}" for k in range(700)]  # more texts and ids than any sample of before
+    training = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    ids = attention_lm.id_counts(attention_lm.word_counts(training), path)
+    ids[-1] = len(texts)
+    model = attention_lm.Model(ids)
+    before = model.attention.flat().copy()
+    seen = attention_lm.fit(model, training, int(ids.sum()), path)
+    assert seen == ids.sum() * (attention_lm.ROUNDS if few else 1)
+    assert (model.attention.flat() != before).any()
+
+
 def test_windows_score_each_id_once():
     import numpy as np
 
