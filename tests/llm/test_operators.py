@@ -87,6 +87,48 @@ def test_suffix_dedup(docs, monkeypatch):
     assert rows_of(suffix_dedup.digest(docs)) == sorted(want, key=repr)
 
 
+def digest_by_brute_force(texts):
+    first = {}
+    for d, t in texts:
+        for i in range(len(t) - 49):
+            first[t[i:i + 50]] = min(first.get(t[i:i + 50], d), d)
+    out = []
+    for d, t in texts:
+        gone = {k for i in range(len(t) - 49) if first[t[i:i + 50]] < d for k in range(i, i + 50)}
+        rest = bytes(c for k, c in enumerate(t) if k not in gone)
+        out.append((d, len(t), len(gone), sum(k - 1 not in gone for k in gone), hashlib.sha256(rest).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot, kept", [(1, 1 << 18), (1, 300), (1 << 12, 1 << 18)])
+def test_suffix_dedup_splits_hot_anchors(spark, docs, monkeypatch, hot, kept):
+    for name, value in (("BUCKET_BYTES", 20_000), ("MEETING_BYTES", 10_000), ("HOT_BYTES", hot), ("WINDOWS_KEPT", kept)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    assert rows_of(suffix_dedup.digest(docs)) == digest_by_brute_force([(d, (t or "").encode()) for d, t in ROWS])
+
+
+def test_suffix_dedup_bounds_the_bytes_that_meet(spark, monkeypatch):
+    """A phrase shorter than a window in every document, with other text around: no bucket grows with their number."""
+    for name, value in (("BUCKET_BYTES", 20_000), ("MEETING_BYTES", 10_000), ("HOT_BYTES", 4_000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    inner = suffix_dedup._met_stretches
+
+    def watched(*given):
+        work = inner(*given)
+
+        def run(table):
+            size = sum(len(suffix_dedup.zstandard.decompress(r["text"])) for r in table.to_pylist() if r["text"])
+            assert size < 60_000  # 97,134 where the stretches of the phrase meet whole
+            return work(table)
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_met_stretches", watched)
+    rng = random.Random(5)
+    rows = [(d, "%030x the same licence of every file here %030x" % (rng.getrandbits(120), rng.getrandbits(120))) for d in range(3000)]
+    found = suffix_dedup.digest(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()
+    assert len(found) == 3000 and all(r.n_removed == 0 for r in found)
+
+
 def test_jaccard(docs, monkeypatch):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

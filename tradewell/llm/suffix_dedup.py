@@ -16,6 +16,11 @@ No transform of the whole corpus fits a task, so the corpus is cut where no shar
    transform, and every window learns the smallest doc_id that has it.
 3. Documents take back the windows that a smaller doc_id has, and drop the bytes.
 
+An anchor whose stretches have more than ``HOT_BYTES`` (a phrase with other text around it in very many
+documents) is hot: its single windows meet by a hash of all their bytes instead, so no group grows
+with it. A sketch of the bytes of every anchor tells which are hot; an anchor that shares its counter
+with a hot one is split too, which changes no result.
+
 What many documents share is merged before it is sent: an anchor in many documents of a batch is sent
 once and known to all of them; equal stretches of a batch are sent for the smallest doc_id, the others
 know at once. So a bucket gets at most one copy per batch of anything common.
@@ -27,11 +32,13 @@ no part and stay whole; rows with equal doc_ids never remove each other; other c
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +53,11 @@ COMMON = 8  # documents of one batch from which an anchor counts as shared witho
 BUCKET_BYTES = 4 << 20  # corpus text for each bucket of anchors
 MEETING_BYTES = 2 << 20  # corpus text for each bucket of stretches
 BLOCK_BYTES = 1 << 19  # bytes of stretches in one transform
+HOT_BYTES = 4 << 20  # bytes of stretches with one anchor from which its windows meet singly
+COUNTER_BYTES = 1 << 15  # corpus text for each counter of the sketch
+UNIT = 64  # bytes that a counter counts in
+SLICES = 8  # in which the sketch is added up
+WINDOWS_KEPT = 1 << 18  # different windows merged at once
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -274,8 +286,107 @@ SPANS = f"{KEY}, span bigint"
 SIZE_BITS = 24  # a span is its begin, shifted by these, and its size
 
 
-def _send_stretches(length: int, buckets: int, bits: int):
-    """Stretches with shared anchors, by bucket; those that a smaller doc_id of the batch has too are settled here (bucket -1)."""
+WEIGHTS = "slice int, counts binary"
+
+
+def _weigh(length: int, counters: int):
+    """Bytes of the stretches of a task by counter of their anchor, in slices."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(counters, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                for _, _, count, value in stretches(utf8(batch.slice(at, 500).column("text")), length):
+                    slot = (value & np.uint64(counters - 1)).astype(np.int64)
+                    counts += np.bincount(slot, count + length - 1, counters).astype(np.int64)
+            del batch
+            release_memory()
+        if counts.any():
+            parts = np.minimum(-(-counts // UNIT), _LOW.astype(np.int64)).astype(np.uint32).reshape(SLICES, -1)
+            yield record_batch(slice=pa.array(range(SLICES), pa.int32()), counts=[zlib.compress(planes(c), 1) for c in parts])
+    return run
+
+
+def _heavy(least: int):
+    """The counters of each slice that reach ``least`` bytes over all tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
+                sums[k] = sums.get(k, 0) + numbers_of(zlib.decompress(data), np.uint32).astype(np.int64)
+        if sums:
+            yield record_batch(slice=pa.array(list(sums), pa.int32()),
+                               counts=[np.flatnonzero(c * UNIT >= least).astype(np.int64).tobytes() for c in sums.values()])
+    return run
+
+
+def hot_counters(plain: DataFrame, length: int, corpus_bytes: int) -> np.ndarray:
+    """For each counter of the sketch whether its anchors are hot; only the numbers of those reach the driver."""
+    counters = 1 << max(12, (corpus_bytes // COUNTER_BYTES).bit_length())
+    weights = plain.select("text").mapInArrow(_weigh(length, counters), WEIGHTS)
+    hot = np.zeros(counters, bool)
+    for row in weights.repartition(SLICES, "slice").mapInArrow(_heavy(HOT_BYTES), WEIGHTS).collect():
+        hot[row["slice"] * (counters // SLICES) + np.frombuffer(row["counts"], np.int64)] = True
+    return hot
+
+
+def _window_rows(texts, ids, hashes, owner, first, count, length: int, buckets: int) -> Iterator[tuple]:
+    """Rows of single windows by a hash of their bytes, from bucket ``buckets`` on; spans settled in the batch (bucket under 0).
+
+    Stretches come by ascending doc_id, so the first document with a window has the smallest doc_id.
+    """
+    compressor = zstandard.ZstdCompressor(level=3)
+    number: dict[bytes, int] = {}
+    least: list[int] = []
+    sent, settled = [], []
+
+    def flush() -> Iterator[tuple]:
+        if sent:
+            content, o, f = np.array(sent, np.int64).T
+            parts = list(number)
+            bucket = buckets + np.fromiter((zlib.crc32(w) * buckets >> 32 for w in parts), np.int64, len(parts))[content]
+            order = np.argsort(bucket, kind="stable")
+            cuts = groups(bucket[order])
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                mine = order[a:b]
+                used, owners = np.unique(o[mine], return_inverse=True)
+                different, which = np.unique(content[mine], return_inverse=True)
+                yield (int(bucket[mine[0]]), ids[used].tobytes(), hashes[used].tobytes(), planes(owners.astype(np.int32)),
+                       planes(f[mine]), planes(which.astype(np.int32)), compressor.compress(b"".join(parts[k] for k in different.tolist())))
+        if settled:
+            o, f, c = np.array(settled, np.int64).T
+            used, owners = np.unique(o, return_inverse=True)
+            yield (-1 - int(ids[used[0]] % buckets), ids[used].tobytes(), hashes[used].tobytes(), planes(owners.astype(np.int32)),
+                   planes(f), planes(c.astype(np.int32)), b"")
+        number.clear()
+        least.clear()
+        sent.clear()
+        settled.clear()
+
+    for o, f, c in zip(owner.tolist(), first.tolist(), count.tolist()):
+        doc, text, begin = int(ids[o]), texts[o], None  # begin: of the windows settled one after another
+        for at in range(f, f + c):
+            k = number.setdefault(text[at:at + length], len(number))
+            if k == len(least):
+                least.append(doc)
+            if least[k] < doc:
+                begin = at if begin is None else begin
+                continue
+            if begin is not None:
+                settled.append((o, begin, at - begin))
+                begin = None
+            sent.append((k, o, at))
+        if begin is not None:
+            settled.append((o, begin, f + c - begin))
+        if len(number) >= WINDOWS_KEPT or len(sent) + len(settled) >= 4 * WINDOWS_KEPT:
+            yield from flush()
+    yield from flush()
+
+
+def _send_stretches(length: int, buckets: int, bits: int, hot: Broadcast):
+    """Stretches with shared anchors, by bucket; those that a smaller doc_id of the batch has too are settled here (bucket -1).
+
+    Of hot anchors the single windows go out, in buckets of their own.
+    """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column("text"))
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -289,6 +400,8 @@ def _send_stretches(length: int, buckets: int, bits: int):
         hit = asked[near] == wanted
         owner, first, count, value = owner[hit], first[hit], count[hit], value[hit]
         order = np.lexsort((first, ids[owner]))  # smallest doc_id first
+        split = hot.value[(value[order] & np.uint64(len(hot.value) - 1)).astype(np.int64)]
+        alone, order = order[split], order[~split]
         seen: dict[bytes, int] = {}
         sent, settled = [], []
         for k, o, f, c in zip(order.tolist(), owner[order].tolist(), first[order].tolist(), count[order].tolist()):
@@ -317,6 +430,7 @@ def _send_stretches(length: int, buckets: int, bits: int):
             used, numbers = np.unique(o, return_inverse=True)
             rows.append((-1 - int(ids[used[0]] % buckets), ids[used].tobytes(), hashes[used].tobytes(),
                          planes(numbers.astype(np.int32)), planes(f), planes(c.astype(np.int32)), b""))
+        rows += _window_rows(texts, ids, hashes, owner[alone], first[alone], count[alone], length, buckets)
         names = [x.split()[0] for x in STRETCHES.split(", ")]
         columns = list(zip(*rows)) or [[]] * len(names)
         return record_batch(**{n: pa.array(c, pa.int64() if n == "bucket" else pa.binary()) for n, c in zip(names, columns)})
@@ -392,8 +506,31 @@ def _span_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, begin: np
     return pa.table({"doc_id": ids[owner], "text_hash": hashes[owner], "span": (begin << SIZE_BITS) | (end - begin)})
 
 
-def _met_stretches(length: int):
+def _met_windows(rows: list[dict], length: int) -> pa.Table:
+    """Spans of the windows of a bucket that a smaller doc_id has too."""
+    number: dict[bytes, int] = {}
+    ids, hashes, content, first = [], [], [], []
+    for row in rows:
+        owner = numbers_of(row["owners"], np.int32).astype(np.int64)
+        ids.append(np.frombuffer(row["ids"], np.int64)[owner])
+        hashes.append(np.frombuffer(row["hashes"], np.int64)[owner])
+        first.append(numbers_of(row["firsts"], np.int64))
+        text = zstandard.decompress(row["text"])
+        mine = np.array([number.setdefault(text[a:a + length], len(number)) for a in range(0, len(text), length)], np.int64)
+        content.append(mine[numbers_of(row["sizes"], np.int32)])
+    ids, hashes, content, first = map(np.concatenate, (ids, hashes, content, first))
+    least = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(least, content, ids)
+    gone = np.flatnonzero(least[content] < ids)
+    return _span_rows(ids, hashes, gone, first[gone], first[gone] + length)
+
+
+def _met_stretches(length: int, buckets: int):
     def work(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() >= buckets:
+            out = _met_windows(table.to_pylist(), length)
+            release_memory()
+            return out
         none = np.zeros(0, np.int64)
         out = [_span_rows(none, none, none, none, none)]
         ids, hashes, owner, first, parts, base = [], [], [], [], [], 0
@@ -466,6 +603,12 @@ def _first_anchors(parts: list[bytes], length: int) -> np.ndarray:
 
 # ---- the operator
 
+def meeting_rows(plain: DataFrame, asked: DataFrame, hot: np.ndarray, length: int, meetings: int, bits: int) -> DataFrame:
+    """The stretches, and of hot anchors the windows, in the buckets where equal ones meet."""
+    sent = plain.sparkSession.sparkContext.broadcast(hot)
+    return map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, meetings, bits, sent), STRETCHES, 4 << 20)
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text_hash, text, spans (list of begin << SIZE_BITS | size, may overlap; null if none) for every row."""
     if not ANCHOR + 8 <= length <= 1 << 20:
@@ -478,8 +621,8 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, f"{KEY}, anchors binary")
     asked = shared.groupBy("doc_id", "text_hash").agg(F.collect_list("anchors").alias("anchors"))
     meetings = max(1, -(-size // MEETING_BYTES))
-    meeting = map_batches(plain.join(asked, ["doc_id", "text_hash"]), _send_stretches(length, meetings, bits), STRETCHES, 4 << 20)
-    spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length), SPANS)
+    meeting = meeting_rows(plain, asked, hot_counters(plain.where(F.octet_length("text") >= length), length, size), length, meetings, bits)
+    spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length, meetings), SPANS)
     found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("spans"))
     whole = every.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast("array<bigint>"))
     return plain.join(found, ["doc_id", "text_hash"], "left").unionByName(whole)
