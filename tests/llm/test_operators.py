@@ -189,6 +189,19 @@ def test_decontamination(spark, docs, monkeypatch):
     assert rows_of(decontaminate.digest(docs, bench.limit(0)).select("contaminated").distinct()) == [(False,)]
 
 
+@pytest.mark.parametrize("block", [1 << 20, 40])
+def test_decontamination_searches_items_without_id(spark, block):
+    """Their words are hit and their documents dropped; together they count as one item without a name, as in the SQL."""
+    passage = [" ".join(f"{c}{k}" for k in range(12)) for c in "abc"]
+    bench = spark.createDataFrame([(None, passage[0]), (7, passage[1]), (None, passage[2]), (8, passage[2])], "item_id bigint, text string")
+    texts = [f"x {passage[0]} y", f"x {passage[1]} y {passage[0]}", f"{passage[2]}", "x y z"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted(tuple(r) for r in decontaminate.digest(table, bench, block_bytes=block).collect())
+    want = [(0, 14, 12, 1, []), (1, 26, 24, 2, ["7"]), (2, 12, 12, 2, ["8"]), (3, 3, 0, 0, [])]
+    assert found == [(d, n, hit, items, hashlib.sha256(",".join(i).encode()).hexdigest(), hit > 0) for d, n, hit, items, i in want]
+    assert [r.doc_id for r in decontaminate.drop(table, bench, block_bytes=block).collect()] == [3]
+
+
 def test_records_and_counts(spark, docs):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     ids = [(d, tokenizer.encode(t or "", add_special_tokens=False).ids) for d, t in sorted(ROWS, key=lambda r: (r[0], r[1] or ""))]

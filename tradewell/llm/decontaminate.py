@@ -11,7 +11,8 @@ The benchmark is a query set: it is read in blocks of a fixed number of bytes an
 to the executors, one pass over the texts for each.
 
 Defined cases: null and empty texts have no words; null and empty items have no windows; equal items
-count each; a null item_id is never listed; repeated rows are searched one by one; other columns are
+count each; items with a null item_id are searched like any other, count as one item together and are
+never listed by name; repeated rows are searched one by one; other columns are
 ignored by ``find`` and passed on by ``drop``.
 """
 
@@ -38,14 +39,14 @@ GAP = 8  # zero bytes between texts, so no block reaches over an end
 # Word characters are digits, letters and every byte from 80 on; all else separates.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-Patterns = dict[bytes, tuple[int, list[str]]]  # pattern -> words in it, items that have it
+Patterns = dict[bytes, tuple[int, list[str | None]]]  # pattern -> words in it, items that have it
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
-def windows(items: list[tuple[str, bytes]], size: int = WINDOW) -> Patterns:
+def windows(items: list[tuple[str | None, bytes]], size: int = WINDOW) -> Patterns:
     found: Patterns = {}
     for item, text in items:
         words = words_of(text)
@@ -120,7 +121,7 @@ class Search:
             kinds[n < size].append(p)
         self.tables = [Tables(ps) for ps in kinds.values()]
 
-    def hits(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+    def hits(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str | None]]]:
         """Per text: number of words, hit stretches of words (begin, end), items that occur."""
         words = [words_of(t) for t in texts]
         normal = [b" " + b" ".join(w) + b" " for w in words]
@@ -160,13 +161,13 @@ def covered(spans: list[tuple[int, int]]) -> int:
 def pattern_blocks(benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[Broadcast]:
     """The benchmark's windows, a bounded number of bytes of text at a time."""
     spark = benchmark.sparkSession
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
+    items = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
     blocks = []
     for k in range(n):
-        mine = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).orderBy("item").collect()
+        mine = items.where(F.pmod(F.when(F.col("item").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item")), F.lit(n)) == k).orderBy("item").collect()
         found = windows([(r["item"], bytes(r["text"])) for r in mine], size)
         if found:
             blocks.append(spark.sparkContext.broadcast(found))
@@ -189,7 +190,7 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
             texts = utf8(batch.column("text"))
             hits = _search(sent, size).hits(texts) if sent else [(len(words_of(t)), [], set()) for t in texts]
             spans = [a + [x for s in h[1] for x in s] for a, h in zip(batch.column("spans").to_pylist(), hits)]
-            items = [a + sorted(h[2]) for a, h in zip(batch.column("items").to_pylist(), hits)]
+            items = [a + sorted(h[2], key=lambda i: (i is None, i)) for a, h in zip(batch.column("items").to_pylist(), hits)]
             return record_batch(doc_id=batch.column("doc_id"), text=batch.column("text"), n_words=[h[0] for h in hits],
                                 spans=pa.array(spans, pa.list_(pa.int64())), items=pa.array(items, pa.list_(pa.string())))
         return work
@@ -203,11 +204,11 @@ def digest(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_byte
     """One row per document: words, hit words, items and their hash, whether contaminated."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans = [list(zip(s[::2], s[1::2])) for s in batch.column("spans").to_pylist()]
-        items = [sorted(set(i)) for i in batch.column("items").to_pylist()]
+        items = [set(i) for i in batch.column("items").to_pylist()]
         hit = [covered(s) for s in spans]
         return record_batch(doc_id=batch.column("doc_id"), n_words=batch.column("n_words"), n_hit=hit,
                             n_items=[len(i) for i in items],
-                            items_sha256=[hashlib.sha256(",".join(i).encode()).hexdigest() for i in items],
+                            items_sha256=[hashlib.sha256(",".join(sorted(i - {None})).encode()).hexdigest() for i in items],
                             contaminated=[h > 0 for h in hit])
 
     found = find(docs, benchmark, size, block_bytes).drop("text")
