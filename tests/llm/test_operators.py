@@ -67,6 +67,18 @@ def test_quality(docs):
     assert quality.keep(docs).count() == sum(r.kept for r in quality.measure(docs).collect())
 
 
+@pytest.mark.parametrize("base", [0x915, 0xE01, 0x430])  # Devanagari, Thai, Cyrillic
+def test_quality_is_alike_in_scripts_of_more_bytes(base):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aaeeiioutnsrhld") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    clean = [" ".join(rng.choice(words) for _ in range(n)) for n in (50, 55, 60, 150, 400, 1500, 4000)]  # each length class
+    other = [t.translate({97 + i: base + i for i in range(26)}) for t in clean]
+    assert [r[-1] for r in quality.judge([t.encode() for t in clean], quality.DEFAULT)] == [True] * len(clean)
+    assert [r[-1] for r in quality.judge([t.encode() for t in other], quality.DEFAULT)] == [True] * len(clean)
+    for text in (clean[3], other[3]):  # three thousand bytes that say the same again stay out
+        assert not quality.judge([(text + "\n").encode() * 9], quality.DEFAULT)[0][-1]
+
+
 def test_suffix_dedup(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 20_000)
     monkeypatch.setattr(suffix_dedup, "MEETING_BYTES", 10_000)

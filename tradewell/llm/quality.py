@@ -6,6 +6,10 @@ length, since short texts never reach the ratios of long ones. The ratios of fix
 stretches that the whole hides; a text fails when too large a share of its chunks lies outside the
 chunk band.
 
+The bands fit text of one byte a letter. Letters of two to four bytes share their leading bytes, which
+alone lifts the ratio, so a text or chunk above its band counts as repeating itself only if it is above
+the band of its length with one byte a letter too.
+
 Defined cases: a null or empty text has no words, ratio 0 and fails the base rule; repeated rows are
 judged one by one; other columns of the input are ignored by ``measure`` and passed on by ``keep``.
 """
@@ -64,6 +68,14 @@ def base_measures(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
+def narrow(text: bytes) -> bytes:
+    """The text with one byte for each of its 128 commonest code points beyond ASCII; only for comparing sizes."""
+    letters = text.decode("utf-8", "replace")
+    wide = [c for c, _ in Counter(c for c in letters if c > "\x7f").most_common()]
+    table = {ord(c): chr(128 + i) if i < 128 else c.encode().decode("latin-1") for i, c in enumerate(wide)}
+    return letters.translate(table).encode("latin-1")
+
+
 def compression(text: bytes, bands: Bands, compressor: zstandard.ZstdCompressor) -> tuple[float, int, int, bool]:
     """Ratio of the whole, chunks, chunks outside the band, and the verdict.
 
@@ -72,16 +84,23 @@ def compression(text: bytes, bands: Bands, compressor: zstandard.ZstdCompressor)
     """
     if not text:
         return 0.0, 0, 0, False
+    def too_high(part: bytes, high: float, whole: bool) -> bool:
+        if part.isascii():
+            return True
+        short = narrow(part)
+        return len(short) / len(compressor.compress(short)) > (bands.limits(len(short))[1] if whole else high)
+
     ratio = len(text) / len(compressor.compress(text))
     low, high = bands.limits(len(text))
+    fine = low <= ratio and (ratio <= high or not too_high(text, high, True))
     size = bands.chunk_bytes
     n = len(text) // size
     bad = 0
     for i in range(n):
         part = text[i * size: (i + 1) * size if i < n - 1 else len(text)]
         part_ratio = len(part) / len(compressor.compress(part))
-        bad += not bands.chunk[0] <= part_ratio <= bands.chunk[1]
-    return ratio, n, bad, low <= ratio <= high and bad <= bands.bad_chunk_share * n
+        bad += part_ratio < bands.chunk[0] or (part_ratio > bands.chunk[1] and too_high(part, bands.chunk[1], False))
+    return ratio, n, bad, fine and bad <= bands.bad_chunk_share * n
 
 
 def judge(texts: list[bytes], bands: Bands) -> list[tuple]:
