@@ -119,3 +119,52 @@ SELECT t.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS
        sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM texts t LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op11_exact_dedup"] = r"""
+WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+groups AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM texts GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM texts JOIN groups USING (t)
+"""
+
+SQL["op12_hard_negatives"] = r"""
+WITH parts AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+rows_ AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, i, floor(256 * x)::BIGINT AS x FROM parts
+    WHERE vec_id NOT IN (SELECT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x))),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS score
+    FROM rows_ a JOIN rows_ b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INT AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+SQL["op13_lexical_search"] = rf"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+item_terms AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY ALL),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, corpus WHERE term IN (SELECT term FROM item_terms) GROUP BY term, docs),
+impacts AS (
+    SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)) AS impact
+    FROM counts JOIN lengths USING (doc_id), corpus),
+scores AS (
+    SELECT item_id, doc_id, sum(times * w * impact)::BIGINT AS score
+    FROM item_terms JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER best::INT AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER best <= 20
+"""

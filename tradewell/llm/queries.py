@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewell.llm import (attention_lm, chat, decontaminate, jaccard, language, mixing, oracles, quality, records,
-                           suffix_dedup, token_count)
+from tradewell.llm import (attention_lm, chat, decontaminate, exact_dedup, hard_negatives, jaccard, language, lexical_search,
+                           mixing, oracles, quality, records, suffix_dedup, token_count)
 from tradewell.llm.common import held_out
 from tradewell.sources.reader import read_columnar
 
@@ -67,13 +67,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(documents(spark, sf_dir))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(read_columnar(spark, f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(documents(spark, sf_dir), read_columnar(spark, f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [op1_quality_rules, op2_suffix_array_dedup, op3_language_id, op4_decontamination, op5_chat_formatting,
-            op6_ngram_jaccard_join, op7_lm_scoring, op8_binary_records, op9_mixing, op10_token_counts, pipeline]
+            op6_ngram_jaccard_join, op7_lm_scoring, op8_binary_records, op9_mixing, op10_token_counts,
+            op11_exact_dedup, op12_hard_negatives, op13_lexical_search, pipeline]
     return {f.__name__: f for f in made}
 
 
