@@ -51,12 +51,17 @@ def first_bits(key: Column, bits: int) -> Column:
 def directory(keys: DataFrame, capacity: int = CAPACITY, bits: int = DIRECTORY_BITS) -> DataFrame:
     """cell (the first ``bits`` bits of a key), bucket (its first cell), depth (bits that its keys share)."""
     cells = keys.groupBy(first_bits(F.col("h"), bits).alias("cell")).agg(F.count("*").alias("n"))
-    runs = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("depth"))
-    runs = runs.withColumn("prefix", F.expr(f"shiftright(cell, {bits} - depth)"))
-    full = runs.groupBy("depth", "prefix").agg(F.sum("n").alias("held"))
-    depth = F.coalesce(F.min(F.when(F.col("held") <= capacity, F.col("depth"))), F.lit(bits))
-    return (runs.join(full, ["depth", "prefix"]).groupBy("cell").agg(depth.alias("depth"))
-            .select("cell", F.expr(f"shiftleft(shiftright(cell, {bits} - depth), {bits} - depth)").alias("bucket"), "depth"))
+    runs = cells.select("n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bits)), lambda d: F.call_function(
+        "shiftright", F.col("cell"), F.lit(bits) - d))).alias("depth", "prefix"))
+    held = runs.groupBy("depth", "prefix").agg(F.sum("n").alias("held"))
+    overfull = held.where((F.col("held") > capacity) & (F.col("depth") < bits)).select(
+        (F.col("depth") + 1).alias("depth"), F.col("prefix").alias("split"))
+    # A bucket is there because the one it came from was overfull, and it does not split again.
+    split = held.where("depth > 0").withColumn("split", F.shiftright("prefix", 1)).join(overfull, ["depth", "split"])
+    stays = (F.col("held") <= capacity) | (F.col("depth") == bits)
+    buckets = held.where("depth = 0").select("depth", "prefix", "held").union(split.select("depth", "prefix", "held")).where(stays)
+    first, last = (F.expr(f"shiftleft(prefix + {k}L, {bits} - depth)") for k in (0, 1))
+    return buckets.select(F.explode(F.sequence(first, last - 1)).alias("cell"), first.alias("bucket"), "depth")
 
 
 def repeated(keys: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
