@@ -8,7 +8,7 @@ from tradewell.functions import money
 from tradewell.operators.ranking import number_rows, top_with_ties
 from tradewell.plans import gold, insights, reports
 from tradewell.plans import measures as m
-from tradewell.plans.star import Star
+from tradewell.plans.star import Ask, Star
 
 
 def day(text):
@@ -48,10 +48,14 @@ def built(spark, tmp_path_factory):
     return gold.open_star(spark, root)
 
 
-@pytest.fixture(params=["small dimensions", "large dimensions"])
-def star(request, built):
-    """Both plans of an aggregate must agree, so every question is asked of both."""
-    return built if request.param == "small dimensions" else replace(built, row_counts={})
+@pytest.fixture(params=["broadcast", "sorted"])
+def star(request, spark, built):
+    """Lookups that Spark broadcasts and lookups that it sorts must agree, so every question is asked of both."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if request.param == "sorted":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield built
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def rows(df):
@@ -89,12 +93,21 @@ def test_fact_rows(built):
     assert facts[4, 4].ShipperKey is None and facts[4, 4].OnTimeFlag is None and facts[4, 4].DeliveryDays == 1
 
 
-def test_numbering_across_partitions(spark):
+@pytest.mark.parametrize("rows_a_range", [10 ** 6, 700, 40])
+def test_numbering_across_ranges(spark, rows_a_range):
     df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k"), F.lit("x").alias("v")).repartition(7)
-    got = number_rows(df, "n", "k").collect()
-    assert sorted((r.k, r.n) for r in got) == [(i, i + 1) for i in range(5000)]
-    tied = number_rows(spark.range(3000).select(F.lit(1).alias("k"), "id"), "n", "k")
-    assert sorted(r.n for r in tied.collect()) == list(range(1, 3001))
+    got = number_rows(df, "n", "k", rows_a_range)
+    assert got.columns == ["n", "k", "v"] and sorted((r.k, r.n) for r in got.collect()) == [(i, i + 1) for i in range(5000)]
+    tied = number_rows(spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).alias("k"), "id"), "n", "k", rows_a_range).collect()
+    assert sorted(r.n for r in tied) == list(range(1, 3001))
+    assert {r.k for r in tied if r.n <= 1000} == {None}  # nulls first
+    assert number_rows(df.where("false"), "n", "k", rows_a_range).count() == 0
+
+
+def test_numbering_writes_nothing_on_the_way(spark, built, tmp_path):
+    before = set(tmp_path.parent.parent.rglob("numbered-*"))
+    plan = number_rows(built.tables["DimCustomers"].drop("CustomerKey"), "n", "CustomerID")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "DimCustomers" in plan and set(tmp_path.parent.parent.rglob("numbered-*")) == before
 
 
 def test_top_with_ties(spark):
@@ -215,13 +228,71 @@ def test_top_employees_rank_first_names(star):
     assert rows(reports.top_employees(star, 1)) == [("Joe", "Ray", 60.5)]
 
 
-def test_hot_customer_is_one_row_before_its_lookup(built):
-    large = replace(built, row_counts={n: 1 for n in built.row_counts if n != "DimCustomers"})
-    plan = m.values(large, ["DimCustomers.CompanyName"], "total_sales")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Join LeftOuter") < plan.rindex("Aggregate [CustomerKey")
-    small = m.values(built, ["DimCustomers.CompanyName"], "total_sales")._jdf.queryExecution().executedPlan().toString()
-    assert small.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in small
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_year_filter_chooses_partitions(built):
+    context = built.filtered({"DimDate.Year": [1997]})
+    for question in (m.values(context, ["DimCategories.CategoryName"], "total_sales"), m.on_time_rate(context), reports.totals(context)):
+        plan = executed(question)
+        assert "PartitionFilters: [isnotnull(OrderYear" in plan or "PartitionFilters: [OrderYear" in plan
+        assert "DimDate" not in plan  # the fact says the year itself
+    days = executed(m.values(built.filtered({"DimDate.FullDate": [datetime.date(1997, 1, 5)]}), (), "total_sales"))
+    assert "(OrderYear" in days.split("PartitionFilters: ")[1].split("]")[0] and "PushedFilters: [IsNotNull(OrderDate)" in days
+
+
+def test_other_roles_do_not_choose_partitions(built):
+    shipped = replace(built, date_role="shipped").filtered({"DimDate.Year": [1997]})
+    assert "PartitionFilters: []" in executed(m.values(shipped, (), "total_sales"))
+    assert m.values(shipped, (), "total_orders").first()[0] == 1
+
+
+def test_partitions_by_month(spark, built, tmp_path):
+    fact = built.tables["Sales"].drop("OrderYear")
+    gold.write_fact(fact, str(tmp_path / "Sales"), ["OrderYear", "OrderMonth"])
+    monthly = replace(built, tables={**built.tables, "Sales": spark.read.parquet(str(tmp_path / "Sales"))})
+    for context in ({}, {"DimDate.Year": [1997], "DimDate.Month": [1]}, {"DimDate.Month": lambda c: c > 1}):
+        by = ["DimDate.Year", "DimDate.Month"]
+        assert rows(m.values(monthly.filtered(context), by, "total_sales", "total_orders")) == rows(
+            m.values(built.filtered(context), by, "total_sales", "total_orders"))
+    plan = executed(m.values(monthly.filtered({"DimDate.Month": [1]}), (), "total_sales"))
+    assert "OrderMonth" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_filters_reduce_the_fact_before_it_is_grouped(spark, star):
+    context = star.filtered({"DimCustomers.CompanyName": ["Anna"], "DimCategories.CategoryName": ["One"]})
+    plan = m.values(context, ["DimDate.Year", "DimCustomers.City"], "line_total")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2 and plan.index("Aggregate") < plan.index("LeftSemi")
+    assert plan.count("Aggregate") == 1
+    assert m.values(context, (), "line_total").first()[0] == 40.0
+
+
+@pytest.mark.parametrize("question", [
+    reports.best_of, reports.top_customer_share, reports.operations, reports.category_tooltip, reports.growth_page,
+    insights.insights_page, insights.growth_recommendation, insights.operations_insight, insights.glance_recommendation, m.category_share])
+def test_one_read_of_the_fact(built, question):
+    for context in (built, built.filtered({"DimDate.Year": [1996], "DimCategories.CategoryName": ["One"], "DimCustomers.CompanyName": ["Anna"]})):
+        plan = question(context)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("OrderYear") and plan.count("LineTotal#") and plan.count("Relation [OrderID") == 1, plan
+
+
+@pytest.mark.parametrize("question", [reports.operations, m.on_time_rate, insights.operations_insight])
+def test_distinct_orders_need_no_expand(built, question):
+    assert "Expand" not in executed(question(built))
+
+
+def test_groups_remove_filters_one_by_one(star):
+    context = star.filtered({"DimDate.Year": [1996], "DimCategories.CategoryName": ["One"]})
+    asks = {"both": Ask(), "year": Ask(without=("DimCategories",)), "category": Ask(("DimCategories.CategoryName",), without=("DimDate.Year",), members="all"),
+            "orders": Ask(key="OrderID", without=("DimDate", "DimCategories"))}
+    found = {(r.of, r.name): r for r in context.groups(asks, {"q": F.col("Quantity")}, {"days": F.col("DeliveryDays")}).collect()}
+    assert {k: r.q for k, r in found.items()} == {("both", None): 2, ("year", None): 6, ("category", "One"): 7, ("orders", None): 12}
+    orders = found["orders", None]
+    assert (orders["keys"], orders.days, orders.days_keys) == (5, 33, 3)
+    listed = star.groups({"category": Ask(("DimCategories.CategoryName",), members="context")}, {"q": F.col("Quantity")}).collect()
+    assert {r.name: (r.q, r.member) for r in listed} == {"One": (7, 1), "Two": (2, 1), "Others": (2, 1), None: (1, None)}
 
 
 def test_star_type(built):
-    assert isinstance(built, Star) and built.row_counts["DimDate"] == 771
+    assert isinstance(built, Star) and not hasattr(built, "row_counts")

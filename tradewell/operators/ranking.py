@@ -5,29 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradewell.session import materialise
 
+ROWS_A_RANGE = 1_000_000
+SAMPLED_A_RANGE = 100
 
-def number_rows(df: DataFrame, key: str, by: str) -> DataFrame:
-    """1..n in the order of ``by``, as a new first column ``key``.
 
-    Rows are range partitioned on ``by`` (and, for ties, on a hash of the row), sorted inside their
-    partition and written once. A row's number is its place in the partition plus the sizes of the
-    partitions before it. The running sum sees one row per partition, never the data.
+def number_rows(df: DataFrame, key: str, by: str, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
+    """1..n in the order of ``by``, as a new first column ``key``; nothing is written on the way.
+
+    The rows' order is (``by``, a hash of the row). Bounds from a sample cut it into ranges of about
+    ``rows_a_range``, and one count says how many rows lie before each. A row's number is that plus its
+    place in its range, which one task sorts. The sample only says where ranges begin, so numbers do
+    not depend on it; its size and the driver's part follow the number of ranges.
     """
-    order = [F.col(by), F.xxhash64(*df.columns)]
-    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_place", F.monotonically_increasing_id()))
-    placed = materialise(placed, f"numbered-{key}")
-    # monotonically_increasing_id keeps the partition above bit 33 and the place inside it below.
-    placed = placed.select(F.shiftright("_place", 33).alias("_part"),
-                           F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), *df.columns)
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = sizes.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_before"))
-    # One row per shuffle partition: bounded by the session's partition count.
-    numbered = placed.join(F.broadcast(before), "_part")
-    return numbered.select((F.col("_before") + F.col("_row") + 1).cast("bigint").alias(key), *df.columns)
+    df = df.withColumn("_at", F.struct(F.col(by).isNotNull().alias("known"), F.col(by).alias("by"), F.xxhash64(*df.columns).alias("row")))
+    n = df.count()
+    ranges = 1 + n // rows_a_range
+    bounds = _bounds(df, ranges, n) if ranges > 1 else []
+    if not bounds:
+        return df.select(F.row_number().over(W.orderBy("_at")).cast("bigint").alias(key), *[c for c in df.columns if c != "_at"])
+    ranged = df.withColumn("_cuts", _constant(df, bounds, df.schema["_at"].dataType)).withColumn(
+        "_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_at")))).drop("_cuts")
+    sizes = dict(ranged.groupBy("_range").count().collect())
+    before = [sum(sizes.get(k, 0) for k in range(r)) for r in range(len(bounds) + 1)]
+    place = F.row_number().over(W.partitionBy("_range").orderBy("_at"))
+    numbered = ranged.withColumn(key, place + F.get(_constant(df, before, T.LongType()), F.col("_range")))
+    return numbered.select(F.col(key).cast("bigint"), *[c for c in df.columns if c != "_at"])
+
+
+def _constant(df: DataFrame, values: list, kind: T.DataType) -> Column:
+    """A list as one value of a plan, however long."""
+    return df.sparkSession.createDataFrame([(values,)], T.StructType([T.StructField("v", T.ArrayType(kind))])).scalar()
+
+
+def _bounds(df: DataFrame, ranges: int, n: int) -> list:
+    """Where ranges of about equal size begin."""
+    share = min(1.0, ranges * SAMPLED_A_RANGE / n)
+    sampled = [r["_at"] for r in df.select("_at").sample(share, seed=1).orderBy("_at").collect()]
+    return list(dict.fromkeys(sampled[len(sampled) * i // ranges] for i in range(1, ranges))) if sampled else []
 
 
 def top_with_ties(df: DataFrame, measure: str, n: int, largest: bool = True) -> DataFrame:
@@ -46,21 +63,26 @@ def _blank_as_zero(measure: Column | str) -> Column:
     return F.coalesce(F.col(measure) if isinstance(measure, str) else measure, F.lit(0))
 
 
-def winner_largest_label(measure: str, label: str) -> Column:
+def _candidate(value: Column, label: str | Column, where: Column | None) -> Column:
+    entry = F.struct(value.alias("value"), (F.col(label) if isinstance(label, str) else label).alias("label"))
+    return entry if where is None else F.when(where, entry)
+
+
+def winner_largest_label(measure: str, label: str | Column, where: Column | None = None) -> Column:
     """T02 n=1 read through a maximum: best measure, and among ties the largest label."""
-    return F.max(F.struct(_blank_as_zero(measure).alias("value"), F.col(label).alias("label")))
+    return F.max(_candidate(_blank_as_zero(measure), label, where))
 
 
-def winner_smallest_label(measure: str, label: str) -> Column:
+def winner_smallest_label(measure: str, label: str | Column, where: Column | None = None) -> Column:
     """Best measure, ties broken by the smallest label. ``value`` holds the negated measure."""
-    return F.min(F.struct((-_blank_as_zero(measure)).alias("value"), F.col(label).alias("label")))
+    return F.min(_candidate(-_blank_as_zero(measure), label, where))
 
 
-def winner_or_blank(measure: str, label: str, largest: bool = True) -> Column:
+def winner_or_blank(measure: Column | str, label: str | Column, largest: bool = True, where: Column | None = None) -> Column:
     """T02 n=1 read as the selected value: the label of the best measure, null when several tie."""
     sign = _blank_as_zero(measure) if largest else -_blank_as_zero(measure)
-    high = F.max(F.struct(sign.alias("v"), F.col(label).alias("label")))["label"]
-    low = F.min(F.struct((-sign).alias("v"), F.col(label).alias("label")))["label"]
+    high = F.max(_candidate(sign, label, where))["label"]
+    low = F.min(_candidate(-sign, label, where))["label"]
     return F.when(high.eqNullSafe(low), high)
 
 

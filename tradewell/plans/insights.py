@@ -1,18 +1,24 @@
 """Text answers and cards: the numbers and winners behind each sentence, and the sentence itself.
 
-Every answer is one row. Groups that feed a winner are bounded by the calendar, the category bucket
-or a dimension, and only their best row leaves the aggregate.
+Every answer is one row. It says which groupings of the fact it needs, which numbers it takes from their
+rows, and what it shows. A page puts the needs of its answers together, so it reads the fact once.
+Groups that feed a winner are bounded by the calendar, the category bucket or a dimension, and only
+their best row leaves the aggregate.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewell.functions.text import dollars, fill, fixed, percent, whole
 from tradewell.operators.ranking import winner_or_blank, winner_smallest_label
 from tradewell.plans import measures as m
-from tradewell.plans.star import Star, net, split_ref
+from tradewell.plans.star import Ask, Star, net
 
 # The sentences of the answers, with places for their numbers and winners.
 SENTENCES = {
@@ -47,20 +53,73 @@ RISK_SHARE = 0.1
 YEAR, MONTH = "DimDate.Year", "DimDate.MonthName"
 CATEGORY, CUSTOMER = "DimCategories.CategoryName", "DimCustomers.CompanyName"
 
+# The groupings that answers share, by name.
+ASKS = {
+    "total": Ask(),
+    "years": Ask((YEAR,), without=(YEAR,), members="context"),
+    "year": Ask((YEAR,)),
+    "month": Ask((MONTH,), members="context"),
+    "category": Ask((CATEGORY,), members="context"),
+    "product": Ask(("DimProducts.ProductName",)),
+    "customer": Ask((CUSTOMER,)),
+    "shipper": Ask(("DimShippers.CompanyName",), members="context"),
+    "employee": Ask(("DimEmployees.EmployeeKey", "DimEmployees.FullName")),
+    "country": Ask(("Sales.ShipCountry",), key="OrderID"),
+    "orders": Ask(key="OrderID"),
+    "customers": Ask(key="CustomerKey"),
+    "customers_of_year": Ask((YEAR,), key="CustomerKey", members="context"),
+}
+SUMS = {"lt": lambda: F.col("LineTotal"), "sales": net, "quantity": lambda: F.col("Quantity"),
+        **{n: m.SUMS[n] for n in ("delivery_days", "delivery_lines", "on_time_lines", "flagged_lines")}}
+FLAGS = {"on_time": lambda: F.when(F.col("OnTimeFlag") == 1, 1), "dated": lambda: F.when(m.dated(), 1)}
+
+Get = Callable[[str], Column]
+
+
+@dataclass(frozen=True)
+class Answer:
+    """What one answer needs and shows.
+
+    ``numbers`` are aggregates over the rows of ``Star.groups``; ``shown`` makes the columns of the answer
+    from them and gets each by its name.
+    """
+
+    asks: tuple[str, ...]
+    needs: tuple[str, ...]
+    numbers: Callable[[], Mapping[str, Column]]
+    shown: Callable[[Star, Get], Mapping[str, Column]]
+    flags: tuple[str, ...] = ()
+
 
-def _line_total() -> dict[str, Column]:
-    return {"lt": F.col("LineTotal")}
+def _row(star: Star, answers: Mapping[str, Answer]) -> DataFrame:
+    """One row with the numbers of several answers, each under ``<answer>__<number>``."""
+    asks, needs, flags = (dict.fromkeys(n for a in answers.values() for n in getattr(a, part)) for part in ("asks", "needs", "flags"))
+    groups = star.groups({n: ASKS[n] for n in asks}, {n: SUMS[n]() for n in needs}, {n: FLAGS[n]() for n in flags})
+    return groups.agg(*[c.alias(f"{name}__{n}") for name, a in answers.items() for n, c in a.numbers().items()])
 
 
-def _members_with(star: Star, ref: str, totals: DataFrame) -> DataFrame:
-    """Every member of a column in the context, with its totals where it has any."""
-    column = split_ref(ref)[1]
-    members = star.members(ref).select(F.col(column).alias("member"))
-    return members.join(totals, F.col("member").eqNullSafe(F.col("label")), "left")
+def _get(name: str) -> Get:
+    return lambda number: F.col(f"{name}__{number}")
 
 
-def _totals(star: Star, ref: str) -> DataFrame:
-    return _members_with(star, ref, star.summarise({"label": ref}, _line_total()))
+def reply(answer: Answer, star: Star) -> DataFrame:
+    """One answer, from one read of the fact."""
+    return _row(star, {"a": answer}).select(*[c.alias(n) for n, c in answer.shown(star, _get("a")).items()])
+
+
+def page(star: Star, answers: Mapping[str, Answer], entry: Callable[[str, Mapping[str, Column]], list[Column]]) -> DataFrame:
+    """One row for each answer, all from one read of the fact; ``entry`` says what is shown of each."""
+    entries = [F.struct(*entry(name, answer.shown(star, _get(name)))) for name, answer in answers.items()]
+    return _row(star, answers).select(F.inline(F.array(*entries)))
+
+
+def _of(ask: str, member: bool = False) -> Column:
+    return (F.col("of") == ask) & (F.col("member") == 1) if member else F.col("of") == ask
+
+
+def _value(ask: str, name: str) -> Column:
+    """A sum over the rows of one grouping."""
+    return F.sum(F.when(_of(ask), F.col(name)))
 
 
 def _double(column: Column | str) -> Column:
@@ -72,146 +131,208 @@ def _growth(now: Column, before: Column) -> Column:
     return F.try_divide(F.coalesce(now, F.lit(0.0)) - F.coalesce(before, F.lit(0.0)), before)
 
 
-def growth_recommendation(star: Star) -> DataFrame:
-    """The peak year in the context against its neighbours, which the year filter does not hide."""
-    years = star.members(YEAR).select(F.col("Year").alias("member"))
-    per_year = star.without(YEAR).summarise({"label": YEAR}, _line_total())
-    peak = years.join(per_year, F.col("member") == F.col("label"), "left").agg(
-        winner_or_blank("lt", "member").alias("peak")).scalar()
-    lt = {n: F.sum(F.when(F.col("label") == peak + d, F.col("lt"))).cast("double") for n, d in
-          (("previous", -1), ("at_peak", 0), ("following", 1))}
-    row = per_year.agg(*[c.alias(n) for n, c in lt.items()]).select(
-        peak.alias("peak_year"), F.col("at_peak").alias("peak_sales"),
-        _growth(F.col("at_peak"), F.col("previous")).alias("growth_before"),
-        _growth(F.col("following"), F.col("at_peak")).alias("change_after"))
-    change = F.col("change_after")
+def _by_year() -> Column:
+    """Line totals by year: as many entries as the calendar has years."""
+    return F.map_from_entries(F.collect_list(F.when(
+        _of("years") & F.col("number").isNotNull(), F.struct("number", _double("lt").alias("lt")))))
+
+
+def _growth_shown(star: Star, get: Get) -> dict[str, Column]:
+    year, by_year = get("peak"), get("by_year")
+    at = {d: F.try_element_at(by_year, year + d) for d in (-1, 0, 1)}
+    before, change = _growth(at[0], at[-1]), _growth(at[1], at[0])
     after = F.when(change < 0, fill(SENTENCES["growth_fell"], change=percent(F.abs(change)))).otherwise(
         fill(SENTENCES["growth_rose"], change=percent(change)))
-    text = fill(SENTENCES["growth"], before=percent(F.col("growth_before")), year=F.col("peak_year"), after=after)
-    return row.withColumn("answer", text)
-
-
-def operations_recommendation(star: Star) -> DataFrame:
-    """Delivery averages per line and the slowest shipper."""
-    shipper = "DimShippers.CompanyName"
-    per_shipper = m.base(star, {"label": shipper}, "delivery_days", "delivery_lines").select(
-        "label", m.ratio("delivery_days", "delivery_lines").alias("days"))
-    slowest = _members_with(star, shipper, per_shipper).agg(winner_or_blank("days", "member").alias("s")).scalar()
-    total = m.base(star, (), "delivery_days", "delivery_lines", "on_time_lines", "flagged_lines")
-    row = total.select(m.ratio("delivery_days", "delivery_lines").alias("avg_delivery_days"),
-                       m.ratio("on_time_lines", "flagged_lines").alias("on_time_share"),
-                       slowest.alias("slowest_shipper"))
-    days = F.when(F.col("avg_delivery_days").isNotNull(), fixed(F.col("avg_delivery_days"), 1))
-    return row.withColumn("answer", fill(SENTENCES["operations"], days=days, rate=percent(F.col("on_time_share")),
-                                         shipper=F.col("slowest_shipper")))
-
-
-def buying_recommendation(star: Star) -> DataFrame:
-    """Best customer by name and the share of revenue on them."""
-    totals = star.summarise({"label": CUSTOMER}, _line_total())
-    row = totals.agg(winner_or_blank("lt", "label").alias("top_customer"), F.max("lt").alias("best"),
-                     F.sum("lt").alias("total"))
-    row = row.select("top_customer", F.when(F.col("top_customer").isNotNull(), m.ratio("best", "total")).alias("concentration"))
-    share = F.col("concentration")
-    advice = F.when(share > RISK_SHARE, SENTENCES["buying_risk"]).otherwise(SENTENCES["buying_ok"])
-    return row.withColumn("answer", fill(SENTENCES["buying"], customer=F.col("top_customer"),
-                                         share=percent(share, 1), advice=advice))
+    text = fill(SENTENCES["growth"], before=percent(before), year=year, after=after)
+    return {"peak_year": year.cast("int"), "peak_sales": at[0], "growth_before": before, "change_after": change, "answer": text}
 
 
-def selling_recommendation(star: Star) -> DataFrame:
-    """Best and worst category."""
-    row = _totals(star, CATEGORY).agg(winner_or_blank("lt", "member").alias("top_category"),
-                                      winner_or_blank("lt", "member", largest=False).alias("bottom_category"))
-    return row.withColumn("answer", fill(SENTENCES["selling"], top=F.col("top_category"), bottom=F.col("bottom_category")))
+# The peak year in the context against its neighbours, which the year filter does not hide.
+GROWTH_RECOMMENDATION = Answer(
+    ("years",), ("lt",), lambda: {"peak": winner_or_blank("lt", "number", where=_of("years", member=True)), "by_year": _by_year()},
+    _growth_shown)
 
 
-def glance_recommendation(star: Star) -> DataFrame:
-    """Last calendar year of the context against the year before."""
-    last = star.dimension("DimDate").agg(F.max("Year")).scalar()
-    per_year = star.without(YEAR).summarise({"label": YEAR}, _line_total())
-    this, before = (F.sum(F.when(F.col("label") == last - d, F.col("lt"))).cast("double") for d in (0, 1))
-    row = per_year.agg(this.alias("this"), before.alias("before")).select(
-        last.alias("last_year"), _growth(F.col("this"), F.col("before")).alias("yoy"))
-    yoy = F.col("yoy")
-    up = F.coalesce(yoy, F.lit(0.0)) >= 0
-    change = F.when(up, fill(SENTENCES["glance_up"], change=percent(yoy))).otherwise(
-        fill(SENTENCES["glance_down"], change=percent(F.abs(yoy))))
-    advice = F.when(up, SENTENCES["glance_up_advice"]).otherwise(SENTENCES["glance_down_advice"])
-    return row.withColumn("answer", fill(SENTENCES["glance"], change=change, advice=advice))
-
+def _operations_shown(star: Star, get: Get) -> dict[str, Column]:
+    average, share = m.ratio(_double(get("days")), _double(get("lines"))), m.ratio(_double(get("on_time")), _double(get("flagged")))
+    days = F.when(average.isNotNull(), fixed(average, 1))
+    return {"avg_delivery_days": average, "on_time_share": share, "slowest_shipper": get("slowest"),
+            "answer": fill(SENTENCES["operations"], days=days, rate=percent(share), shipper=get("slowest"))}
 
-def _peak_month(star: Star) -> DataFrame:
-    return _totals(star, MONTH).agg(winner_or_blank("lt", "member").alias("peak_month"))
 
+# Delivery averages per line and the slowest shipper.
+OPERATIONS_RECOMMENDATION = Answer(
+    ("shipper", "total"), ("delivery_days", "delivery_lines", "on_time_lines", "flagged_lines"),
+    lambda: {"slowest": winner_or_blank(m.ratio("delivery_days", "delivery_lines"), "name", where=_of("shipper", member=True)),
+             "days": _value("total", "delivery_days"), "lines": _value("total", "delivery_lines"),
+             "on_time": _value("total", "on_time_lines"), "flagged": _value("total", "flagged_lines")},
+    _operations_shown)
 
-def seasonality_insight(star: Star) -> DataFrame:
-    """M29."""
-    return _peak_month(star).withColumn("answer", fill(SENTENCES["season"], month=F.col("peak_month")))
 
+def _buying_shown(star: Star, get: Get) -> dict[str, Column]:
+    share = F.when(get("top").isNotNull(), m.ratio(_double(get("best")), _double(get("total"))))
+    advice = F.when(share > RISK_SHARE, SENTENCES["buying_risk"]).otherwise(SENTENCES["buying_ok"])
+    return {"top_customer": get("top"), "concentration": share,
+            "answer": fill(SENTENCES["buying"], customer=get("top"), share=percent(share, 1), advice=advice)}
 
-def seasonality_recommendation(star: Star) -> DataFrame:
-    """M30."""
-    return _peak_month(star).withColumn("answer", fill(SENTENCES["season_advice"], month=F.col("peak_month")))
 
+# Best customer by name and the share of revenue on them.
+BUYING_RECOMMENDATION = Answer(
+    ("customer",), ("lt",),
+    lambda: {"top": winner_or_blank("lt", "name", where=_of("customer")), "best": F.max(F.when(_of("customer"), F.col("lt"))),
+             "total": _value("customer", "lt")},
+    _buying_shown)
 
-def inventory_insight(star: Star) -> DataFrame:
-    """An empty count reads as blank."""
-    shown = F.nullif(F.col("low_stock"), F.lit(0))
-    return m.low_stock(star).withColumn("answer", fill(SENTENCES["stock"], count=shown))
+# Best and worst category.
+SELLING_RECOMMENDATION = Answer(
+    ("category",), ("lt",),
+    lambda: {"top": winner_or_blank("lt", "name", where=_of("category", member=True)),
+             "bottom": winner_or_blank("lt", "name", largest=False, where=_of("category", member=True))},
+    lambda star, get: {"top_category": get("top"), "bottom_category": get("bottom"),
+                       "answer": fill(SENTENCES["selling"], top=get("top"), bottom=get("bottom"))})
 
 
-def inventory_recommendation(star: Star) -> DataFrame:
-    """M32."""
-    text = F.when(F.col("low_stock") > 0, SENTENCES["stock_reorder"]).otherwise(SENTENCES["stock_ok"])
-    return m.low_stock(star).withColumn("answer", text)
+def _glance_shown(star: Star, get: Get) -> dict[str, Column]:
+    last = star.dimension("DimDate").agg(F.max("Year")).scalar()
+    yoy = _growth(F.try_element_at(get("by_year"), last.cast("bigint")), F.try_element_at(get("by_year"), last.cast("bigint") - 1))
+    up = F.coalesce(yoy, F.lit(0.0)) >= 0
+    change = F.when(up, fill(SENTENCES["glance_up"], change=percent(yoy))).otherwise(
+        fill(SENTENCES["glance_down"], change=percent(F.abs(yoy))))
+    advice = F.when(up, SENTENCES["glance_up_advice"]).otherwise(SENTENCES["glance_down_advice"])
+    return {"last_year": last, "yoy": yoy, "answer": fill(SENTENCES["glance"], change=change, advice=advice)}
 
 
-# ---- cards --------------------------------------------------------------------------------------
+# Last calendar year of the context against the year before.
+GLANCE_RECOMMENDATION = Answer(("years",), ("lt",), lambda: {"by_year": _by_year()}, _glance_shown)
 
-def _card(star: Star, total: Column, winner: DataFrame, shown: Column, value: str, label: str, *needs: str) -> DataFrame:
-    row = m.base(star, (), *needs).select(total.alias(value))
-    return row.select(value, winner.scalar().alias(label), shown.alias("value_text"))
 
+def _season(sentence: str) -> Answer:
+    return Answer(("month",), ("lt",), lambda: {"peak": winner_or_blank("lt", "name", where=_of("month", member=True))},
+                  lambda star, get: {"peak_month": get("peak"), "answer": fill(SENTENCES[sentence], month=get("peak"))})
 
-def total_sales_card(star: Star) -> DataFrame:
-    """Line totals and the leading category."""
-    winner = _totals(star, CATEGORY).agg(winner_or_blank("lt", "member"))
-    return _card(star, _double("line_total"), winner, dollars(F.col("line_total")), "line_total", "leading_category", "line_total")
 
+SEASONALITY_INSIGHT = _season("season")  # M29
+SEASONALITY_RECOMMENDATION = _season("season_advice")  # M30
 
-def total_orders_card(star: Star) -> DataFrame:
-    """Orders and the product with the largest quantity."""
-    winner = star.summarise({"label": "DimProducts.ProductName"}, {"q": F.col("Quantity")}).agg(winner_or_blank("q", "label"))
-    return _card(star, F.col("total_orders"), winner, whole(F.col("total_orders")), "total_orders", "most_ordered_product", "total_orders")
 
+def _one_year(star: Star) -> Column:
+    """The only year of the context, else null."""
+    return star.members(YEAR).agg(F.when(F.count("*") == 1, F.max("Year"))).scalar()
 
-def active_customers_card(star: Star) -> DataFrame:
-    """Customers and the year with most of them."""
-    per_year = star.summarise({"label": YEAR}, distinct={"n": F.col("CustomerKey")})
-    winner = _members_with(star, YEAR, per_year).agg(winner_or_blank("n", "member"))
-    return _card(star, F.col("active_customers"), winner, whole(F.col("active_customers")), "active_customers", "peak_year", "active_customers")
 
+def _growth_insight_shown(star: Star, get: Get) -> dict[str, Column]:
+    selected, best = _one_year(star), get("best")
+    sales = (-best["value"]).cast("double")
+    text = F.when(selected.isNotNull(), fill(SENTENCES["year_selected"], year=selected, sales=whole(sales))).otherwise(
+        fill(SENTENCES["year_peak"], year=best["label"], sales=whole(sales)))
+    return {"selected_year": selected, "best_year": best["label"].cast("int"), "best_sales": sales, "answer": text}
+
+
+# Sales of the selected year, else of the best one.
+GROWTH_INSIGHT = Answer(("year",), ("sales",), lambda: {"best": winner_smallest_label("sales", "number", where=_of("year"))},
+                        _growth_insight_shown)
+
+
+# The members with the highest sales, ties broken by name.
+SELLING_INSIGHT = Answer(
+    ("category", "product"), ("sales",),
+    lambda: {"category": winner_smallest_label("sales", "name", where=_of("category") & F.col("sales").isNotNull()),
+             "product": winner_smallest_label("sales", "name", where=_of("product"))},
+    lambda star, get: {"top_category": get("category")["label"], "top_product": get("product")["label"],
+                       "answer": fill(SENTENCES["leaders"], category=get("category")["label"], product=get("product")["label"])})
+
+# M53.
+BUYING_INSIGHT = Answer(
+    ("customer",), ("sales",), lambda: {"top": winner_smallest_label("sales", "name", where=_of("customer"))},
+    lambda star, get: {"top_customer": get("top")["label"], "answer": fill(SENTENCES["top_customer"], customer=get("top")["label"])})
+
+
+def _delivery_shown(star: Star, get: Get) -> dict[str, Column]:
+    rate = F.coalesce(m.ratio(_double(get("on_time")), _double(get("dated"))), F.lit(0.0))
+    best = F.coalesce(get("best")["label"]["name"], F.lit(""))
+    return {"on_time_rate": rate, "top_employee": best,
+            "answer": fill(SENTENCES["delivery"], rate=percent(rate, 1), employee=best)}
+
+
+# On-time rate and the employee with the highest sales.
+OPERATIONS_INSIGHT = Answer(
+    ("employee", "orders"), ("sales",),
+    lambda: {"best": winner_smallest_label("sales", F.struct("number", "name"), where=_of("employee")),
+             "on_time": _value("orders", "on_time"), "dated": _value("orders", "dated")},
+    _delivery_shown, flags=("on_time", "dated"))
+
+
+# ---- cards: a number, its text, and the label beside it -------------------------------------------
+
+def _card(asks: tuple[str, ...], needs: tuple[str, ...], numbers: Callable[[], Mapping[str, Column]], value: str, label: str,
+          total: Callable[[Get], Column], text: Callable[[Column], Column], kind: str = "string") -> Answer:
+    return Answer(asks, needs, numbers, lambda star, get: {
+        value: total(get), label: get("winner").cast(kind), "value_text": text(total(get))})
+
+
+# Line totals and the leading category.
+TOTAL_SALES_CARD = _card(
+    ("total", "category"), ("lt",),
+    lambda: {"total": _value("total", "lt"), "winner": winner_or_blank("lt", "name", where=_of("category", member=True))},
+    "line_total", "leading_category", lambda get: _double(get("total")), dollars)
+
+# Orders and the product with the largest quantity.
+TOTAL_ORDERS_CARD = _card(
+    ("orders", "product"), ("quantity",),
+    lambda: {"total": F.coalesce(_value("orders", "keys"), F.lit(0)), "winner": winner_or_blank("quantity", "name", where=_of("product"))},
+    "total_orders", "most_ordered_product", lambda get: get("total").cast("bigint"), whole)
+
+# Customers and the year with most of them.
+ACTIVE_CUSTOMERS_CARD = _card(
+    ("customers", "customers_of_year"), (),
+    lambda: {"total": F.coalesce(_value("customers", "keys"), F.lit(0)),
+             "winner": winner_or_blank("keys", "number", where=_of("customers_of_year", member=True))},
+    "active_customers", "peak_year", lambda get: get("total").cast("bigint"), whole, "int")
+
+# Line totals per order and the ship country with the highest.
+AVERAGE_ORDER_CARD = _card(
+    ("orders", "country"), ("lt",),
+    lambda: {"total": _value("orders", "lt"), "orders": _value("orders", "keys"),
+             "winner": winner_or_blank(m.ratio("lt", "keys"), "name", where=_of("country"))},
+    "avg_order_value", "top_country", lambda get: m.ratio(_double(get("total")), _double(get("orders"))), dollars)
+
+CARDS = {"total_sales": (TOTAL_SALES_CARD, "line_total", "leading_category"),
+         "total_orders": (TOTAL_ORDERS_CARD, "total_orders", "most_ordered_product"),
+         "active_customers": (ACTIVE_CUSTOMERS_CARD, "active_customers", "peak_year"),
+         "avg_order_value": (AVERAGE_ORDER_CARD, "avg_order_value", "top_country")}
+
+# The ten answers of the insights page.
+INSIGHTS = {
+    "growth_recommendation": GROWTH_RECOMMENDATION, "operations_recommendation": OPERATIONS_RECOMMENDATION,
+    "buying_recommendation": BUYING_RECOMMENDATION, "selling_recommendation": SELLING_RECOMMENDATION,
+    "seasonality_insight": SEASONALITY_INSIGHT, "seasonality_recommendation": SEASONALITY_RECOMMENDATION,
+    "growth_insight": GROWTH_INSIGHT, "selling_insight": SELLING_INSIGHT,
+    "buying_insight": BUYING_INSIGHT, "operations_insight": OPERATIONS_INSIGHT,
+}
 
-def average_order_card(star: Star) -> DataFrame:
-    """Line totals per order and the ship country with the highest."""
-    per_country = m.base(star, {"label": "Sales.ShipCountry"}, "line_total", "total_orders").select(
-        "label", m.ratio("line_total", "total_orders").alias("aov"))
-    winner = per_country.agg(winner_or_blank("aov", "label"))
-    return _card(star, m.ratio("line_total", "total_orders"), winner, dollars(F.col("avg_order_value")),
-                 "avg_order_value", "top_country", "line_total", "total_orders")
+growth_recommendation, operations_recommendation, buying_recommendation, selling_recommendation = (
+    partial(reply, a) for a in (GROWTH_RECOMMENDATION, OPERATIONS_RECOMMENDATION, BUYING_RECOMMENDATION, SELLING_RECOMMENDATION))
+glance_recommendation, seasonality_insight, seasonality_recommendation = (
+    partial(reply, a) for a in (GLANCE_RECOMMENDATION, SEASONALITY_INSIGHT, SEASONALITY_RECOMMENDATION))
+growth_insight, selling_insight, buying_insight, operations_insight = (
+    partial(reply, a) for a in (GROWTH_INSIGHT, SELLING_INSIGHT, BUYING_INSIGHT, OPERATIONS_INSIGHT))
+total_sales_card, total_orders_card, active_customers_card, average_order_card = (
+    partial(reply, a) for a in (TOTAL_SALES_CARD, TOTAL_ORDERS_CARD, ACTIVE_CUSTOMERS_CARD, AVERAGE_ORDER_CARD))
 
 
-# ---- insights -----------------------------------------------------------------------------------
+def insights_page(star: Star) -> DataFrame:
+    """R17."""
+    return page(star, INSIGHTS, lambda name, shown: [F.lit(name).alias("question"), shown["answer"].alias("answer")])
 
-def _one_year(star: Star) -> Column:
-    """The only year of the context, else null."""
-    return star.members(YEAR).agg(F.when(F.count("*") == 1, F.max("Year"))).scalar()
 
+def growth_page(star: Star) -> DataFrame:
+    """The four cards as rows of name, number, its text and label."""
+    def entry(name: str, shown: Mapping[str, Column]) -> list[Column]:
+        _, value, label = CARDS[name]
+        return [F.lit(name).alias("card"), shown[value].cast("double").alias("value"), shown["value_text"].alias("value_text"),
+                shown[label].cast("string").alias("label")]
 
-def _first(star: Star, ref: str) -> Column:
-    """The member with the highest sales, ties broken by name."""
-    totals = star.summarise({"label": ref}, {"sales": net()})
-    return totals.agg(winner_smallest_label("sales", "label")["label"]).scalar()
+    return page(star, {n: c[0] for n, c in CARDS.items()}, entry)
 
 
 def glance_insight(star: Star, company: str) -> DataFrame:
@@ -223,54 +344,15 @@ def glance_insight(star: Star, company: str) -> DataFrame:
                                          sales=whole(F.col("total_sales")), orders=whole(F.col("total_orders"))))
 
 
-def growth_insight(star: Star) -> DataFrame:
-    """Sales of the selected year, else of the best one."""
-    totals = star.summarise({"label": YEAR}, {"sales": net()})
-    row = totals.agg(winner_smallest_label("sales", "label").alias("w")).select(
-        _one_year(star).alias("selected_year"), F.col("w.label").alias("best_year"),
-        (-F.col("w.value")).cast("double").alias("best_sales"))
-    sales = whole(F.col("best_sales"))
-    text = F.when(F.col("selected_year").isNotNull(),
-                  fill(SENTENCES["year_selected"], year=F.col("selected_year"), sales=sales)).otherwise(
-        fill(SENTENCES["year_peak"], year=F.col("best_year"), sales=sales))
-    return row.withColumn("answer", text)
+# ---- stock ----------------------------------------------------------------------------------------
 
-
-def selling_insight(star: Star) -> DataFrame:
-    """M52."""
-    best = star.summarise({"label": CATEGORY}, {"sales": net()}).agg(winner_smallest_label("sales", "label").alias("w"))
-    row = best.select(F.col("w.label").alias("top_category"), _first(star, "DimProducts.ProductName").alias("top_product"))
-    return row.withColumn("answer", fill(SENTENCES["leaders"], category=F.col("top_category"), product=F.col("top_product")))
-
-
-def buying_insight(star: Star) -> DataFrame:
-    """M53."""
-    best = star.summarise({"label": CUSTOMER}, {"sales": net()}).agg(winner_smallest_label("sales", "label").alias("w"))
-    row = best.select(F.col("w.label").alias("top_customer"))
-    return row.withColumn("answer", fill(SENTENCES["top_customer"], customer=F.col("top_customer")))
-
-
-def operations_insight(star: Star) -> DataFrame:
-    """On-time rate and the employee with the highest sales."""
-    key = _first(star, "DimEmployees.EmployeeKey")
-    best = star.tables["DimEmployees"].where(F.col("EmployeeKey") == key).agg(
-        F.concat_ws(" ", F.max("FirstName"), F.max("LastName"))).scalar()
-    row = m.on_time_rate(star).select("on_time_rate", best.alias("top_employee"))
-    return row.withColumn("answer", fill(SENTENCES["delivery"], rate=percent(F.col("on_time_rate"), 1),
-                                         employee=F.col("top_employee")))
+def inventory_insight(star: Star) -> DataFrame:
+    """An empty count reads as blank."""
+    shown = F.nullif(F.col("low_stock"), F.lit(0))
+    return m.low_stock(star).withColumn("answer", fill(SENTENCES["stock"], count=shown))
 
 
-def insights_page(star: Star) -> DataFrame:
-    """The ten answers of the insights page."""
-    answers = {
-        "growth_recommendation": growth_recommendation, "operations_recommendation": operations_recommendation,
-        "buying_recommendation": buying_recommendation, "selling_recommendation": selling_recommendation,
-        "seasonality_insight": seasonality_insight, "seasonality_recommendation": seasonality_recommendation,
-        "growth_insight": growth_insight, "selling_insight": selling_insight,
-        "buying_insight": buying_insight, "operations_insight": operations_insight,
-    }
-    page = None
-    for name, answer in answers.items():
-        row = answer(star).select(F.lit(name).alias("question"), "answer")
-        page = row if page is None else page.unionAll(row)
-    return page
+def inventory_recommendation(star: Star) -> DataFrame:
+    """M32."""
+    text = F.when(F.col("low_stock") > 0, SENTENCES["stock_reorder"]).otherwise(SENTENCES["stock_ok"])
+    return m.low_stock(star).withColumn("answer", text)

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradewell.operators.ranking import single_value, top_with_ties, winner_largest_label
-from tradewell.plans.star import THROUGH_PRODUCT, Star, net, split_ref
+from tradewell.operators.ranking import single_value, winner_largest_label
+from tradewell.plans.star import THROUGH_PRODUCT, Ask, Star, net, split_ref
 
 By = Mapping[str, str] | Iterable[str]
 
@@ -30,16 +30,20 @@ SUMS = {
     "flagged_lines": lambda: F.when(F.col("OnTimeFlag").isNotNull(), F.lit(1)),
 }
 DISTINCT = {
-    "total_orders": lambda: F.col("OrderID"),
-    "products_sold": lambda: F.col("ProductID"),
-    "active_customers": lambda: F.col("CustomerKey"),
-    "dated_orders": lambda: F.when(F.col("ShippedDate").isNotNull() & F.col("RequiredDate").isNotNull(), F.col("OrderID")),
-    "on_time_orders": lambda: F.when(F.col("OnTimeFlag") == 1, F.col("OrderID")),
-    "unshipped_orders": lambda: F.when(F.col("ShippedDate").isNull(), F.col("OrderID")),
+    "total_orders": lambda: ("OrderID", None),
+    "products_sold": lambda: ("ProductID", None),
+    "active_customers": lambda: ("CustomerKey", None),
+    "dated_orders": lambda: ("OrderID", dated()),
+    "on_time_orders": lambda: ("OrderID", F.col("OnTimeFlag") == 1),
+    "unshipped_orders": lambda: ("OrderID", F.col("ShippedDate").isNull()),
 }
 MONEY = {"total_sales", "line_total", "total_freight"}
 
 
+def dated() -> Column:
+    return F.col("ShippedDate").isNotNull() & F.col("RequiredDate").isNotNull()
+
+
 def names(by: By) -> dict[str, str]:
     return dict(by) if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
 
@@ -93,6 +97,17 @@ def average_delivery_days(star: Star, by: By = ()) -> DataFrame:
     return per_order.groupBy(*by).agg(ratio(F.sum("days").cast("double"), F.count("days")).alias("avg_delivery_days"))
 
 
+def operations(star: Star) -> DataFrame:
+    """On-time rate, unshipped orders and mean delivery, all from one row per order."""
+    flags = {"on_time": F.when(F.col("OnTimeFlag") == 1, 1), "dated": F.when(dated(), 1),
+             "unshipped": F.when(F.col("ShippedDate").isNull(), 1), "days": F.col("DeliveryDays")}
+    found = star.groups({"orders": Ask(key="OrderID")}, {"lines": F.lit(1)}, flags).agg(
+        *[F.sum(f).alias(f) for f in flags], F.sum("days_keys").alias("days_keys"))
+    return found.select(F.coalesce(ratio("on_time", "dated"), F.lit(0.0)).alias("on_time_rate"),
+                        F.coalesce("unshipped", F.lit(0).cast("bigint")).alias("unshipped_orders"),
+                        ratio("days", "days_keys").alias("avg_delivery_days"))
+
+
 # ---- time ---------------------------------------------------------------------------------------
 
 def _split(by: By) -> tuple[dict[str, str], dict[str, str], list[Column]]:
@@ -152,67 +167,99 @@ def sales_year_to_date(star: Star, by: By = ()) -> DataFrame:
 
 # ---- winners ------------------------------------------------------------------------------------
 
-def _winner(star: Star, ref: str, label: str, value: str) -> DataFrame:
-    """Best member of a column with the filter on that column removed; a tie yields the largest label."""
-    table, column = split_ref(ref)
-    totals = star.without(ref).summarise({"label": ref}, {"sales": net()})
-    members = star.without(ref).members(ref).select(F.col(column).alias("_member"))
-    every = members.join(totals, F.col("_member").eqNullSafe(F.col("label")), "left")
-    best = every.agg(winner_largest_label("sales", "_member").alias("w"))
-    return best.select(F.col("w.label").alias(label), F.col("w.value").cast("double").alias(value))
+# What wins: the grouping, and the names of its label and value. The filter on the grouping's own column is removed.
+WINNERS = {"year": ("DimDate.Year", "best_year"), "category": ("DimCategories.CategoryName", "top_category"),
+           "month": ("DimDate.MonthName", "peak_month")}
+
+
+def best_of(star: Star, *kinds: str) -> DataFrame:
+    """Best member of each kind and its sales, from one read; a tie yields the largest label."""
+    kinds = kinds or tuple(WINNERS)
+    asks = {k: Ask((WINNERS[k][0],), without=(WINNERS[k][0],), members="all") for k in kinds}
+    best = {}
+    for k in kinds:
+        label = "number" if k == "year" else "name"
+        best[k] = winner_largest_label("sales", label, (F.col("of") == k) & (F.col("member") == 1)).alias(k)
+    row = star.groups(asks, {"sales": net()}).agg(*best.values())
+    year = {"year": "int"}
+    return row.select(*[c for k in kinds for c in (
+        F.col(f"{k}.label").cast(year.get(k, "string")).alias(WINNERS[k][1]),
+        F.col(f"{k}.value").cast("double").alias(f"{WINNERS[k][1]}_sales"))])
 
 
 def best_year(star: Star) -> DataFrame:
     """M11, M12."""
-    return _winner(star, "DimDate.Year", "best_year", "best_year_sales")
+    return best_of(star, "year")
 
 
 def top_category(star: Star) -> DataFrame:
     """M13, M14."""
-    return _winner(star, "DimCategories.CategoryName", "top_category", "top_category_sales")
+    return best_of(star, "category")
 
 
 def peak_month(star: Star) -> DataFrame:
     """By month name, all years pooled."""
-    return _winner(star, "DimDate.MonthName", "peak_month", "peak_month_sales")
+    return best_of(star, "month")
 
 
 def top_customers_sales(star: Star, n: int = 10) -> DataFrame:
     """Sales of the n best customers, ties included, and their share of the total.
 
-    Filters on customers are removed for the ranking; the total keeps them.
+    Filters on customers are removed for the ranking; the total keeps them. Customers of equal sales
+    are one row, so the n largest amounts hold the n best customers with all their ties.
     """
-    customers = star.without("DimCustomers").summarise({"CustomerKey": "Sales.CustomerKey"}, {"sales": net()})
-    top = top_with_ties(customers, "sales", n).agg(F.sum("sales").alias("top_sales"))
-    total = star.summarise((), {"sales": net()}).scalar()
-    return top.select(_double("top_sales").alias("top10_customers_sales"),
-                      ratio(_double("top_sales"), total.cast("double")).alias("top10_share"))
+    asks = {"customer": Ask(("Sales.CustomerKey",), without=("DimCustomers",)), "total": Ask()}
+    amount = F.coalesce("sales", F.lit(0))
+    amounts = star.groups(asks, {"sales": net()}).groupBy("of", amount.alias("sales")).agg(
+        F.count("*").alias("n"), F.sum("sales").alias("held"))
+    first = amounts.orderBy(F.desc("of"), F.desc("sales")).limit(n + 1)  # the total, then the largest amounts
+    before = F.sum(F.when(F.col("of") == "customer", F.col("n"))).over(W.orderBy(F.desc("of"), F.desc("sales"))) - F.col("n")
+    best = F.sum(F.when((F.col("of") == "customer") & (F.col("before") < n), F.col("held")))
+    total = F.max(F.when(F.col("of") == "total", F.col("held")))
+    return first.withColumn("before", before).agg(best.alias("top"), total.alias("total")).select(
+        _double("top").alias("top10_customers_sales"), ratio("top", "total").alias("top10_share"))
 
 
 # ---- categories ---------------------------------------------------------------------------------
 
-CATEGORY = {"CategoryName": "DimCategories.CategoryName"}
+CATEGORY_NAME = "DimCategories.CategoryName"
+CATEGORY = {"CategoryName": CATEGORY_NAME}
 
 
 def category_share(star: Star) -> DataFrame:
-    """Each category's part of the sales of all categories."""
-    total = star.without("DimCategories").summarise((), {"sales": net()}).scalar()
-    return base(star, CATEGORY, "total_sales").select(
-        "CategoryName", ratio(_double("total_sales"), total.cast("double")).alias("category_share"))
+    """Each category's part of the sales of all categories.
 
+    The window sees one row per category, at most nine by construction of the dimension, and the total.
+    """
+    asks = {"category": Ask((CATEGORY_NAME,)), "total": Ask(without=("DimCategories",))}
+    total = F.max(F.when(F.col("of") == "total", _double("sales"))).over(W.partitionBy())
+    shares = star.groups(asks, {"sales": net()}).withColumn("total", total).where("of = 'category'")
+    return shares.select(F.col("name").alias("CategoryName"), ratio("sales", "total").alias("category_share"))
 
-def category_rank(star: Star) -> DataFrame:
-    """Rank with gaps among all categories; one without sales counts as 0.
 
-    The window sees one row per category, at most nine by construction of the dimension.
-    """
-    totals = star.without("DimCategories.CategoryName").summarise(CATEGORY, {"sales": net()})
-    every = star.without("DimCategories.CategoryName").members("DimCategories.CategoryName").select(
-        F.col("CategoryName").alias("_name"))
-    ranked = every.join(totals, F.col("_name") == F.col("CategoryName"), "left").select(
-        F.col("_name").alias("CategoryName"),
-        F.rank().over(W.orderBy(F.coalesce("sales", F.lit(0)).desc())).alias("category_rank"))
-    return ranked.join(star.members("DimCategories.CategoryName"), "CategoryName", "left_semi")
+def _ranks(of: Column, value: Column) -> Column:
+    """Rank with gaps among the rows of a kind, one row per category."""
+    return F.rank().over(W.partitionBy(of).orderBy(F.coalesce(value, F.lit(0)).desc()))
+
+
+def category_rank(star: Star) -> DataFrame:
+    """Rank with gaps among all categories; one without sales counts as 0."""
+    asks = {"category": Ask((CATEGORY_NAME,), without=(CATEGORY_NAME,), members="all")}
+    ranked = star.groups(asks, {"sales": net()}).where("member = 1").select(
+        F.col("name").alias("CategoryName"), _ranks(F.col("of"), F.col("sales")).alias("category_rank"))
+    return ranked.join(star.members(CATEGORY_NAME), "CategoryName", "left_semi")
+
+
+def category_tooltip(star: Star) -> DataFrame:
+    """Rank and best product of every category, from one read of the fact."""
+    asks = {"category": Ask((CATEGORY_NAME,), without=(CATEGORY_NAME,), members="all"),
+            "product": Ask((CATEGORY_NAME, "DimProducts.ProductName"))}
+    best = winner_largest_label("sales", "within", F.col("of") == "product")
+    per_category = star.groups(asks, {"sales": net()}).groupBy(F.col("name").alias("CategoryName")).agg(
+        F.max("member").alias("member"), F.max(F.when(F.col("of") == "category", F.col("sales"))).alias("sales"), best["label"].alias("top_product"))
+    ranked = per_category.where("member = 1").withColumn("category_rank", _ranks(F.lit(1), F.col("sales")))
+    return ranked.select("CategoryName", "category_rank", "top_product").join(
+        star.members(CATEGORY_NAME), "CategoryName", "left_semi")
 
 
 def category_top_product(star: Star) -> DataFrame:

@@ -54,9 +54,7 @@ def sales_by_category(star: Star) -> DataFrame:
 
 def best_of(star: Star) -> DataFrame:
     """Best year and its sales, top category, peak month."""
-    return m.best_year(star).select(
-        "best_year", "best_year_sales", m.top_category(star).select("top_category").scalar().alias("top_category"),
-        m.peak_month(star).select("peak_month").scalar().alias("peak_month"))
+    return m.best_of(star).select("best_year", "best_year_sales", "top_category", "peak_month")
 
 
 def top_customers(star: Star, n: int = 10) -> DataFrame:
@@ -97,10 +95,7 @@ def top_employees(star: Star, n: int = 5) -> DataFrame:
 
 def operations(star: Star) -> DataFrame:
     """On-time rate, unshipped orders, average delivery days, number of employees."""
-    return m.on_time_rate(star).select(
-        "on_time_rate", m.values(star, (), "unshipped_orders").scalar().alias("unshipped_orders"),
-        m.average_delivery_days(star).scalar().alias("avg_delivery_days"),
-        star.dimension("DimEmployees").agg(F.count("EmployeeID")).scalar().alias("employees"))
+    return m.operations(star).withColumn("employees", star.dimension("DimEmployees").agg(F.count("EmployeeID")).scalar())
 
 
 def reorder_table(star: Star) -> DataFrame:
@@ -148,7 +143,7 @@ def customer_products(star: Star, name: str, n: int = 5) -> DataFrame:
 
 def category_tooltip(star: Star) -> DataFrame:
     """Rank and best product of every category."""
-    return m.category_rank(star).join(m.category_top_product(star), "CategoryName", "left")
+    return m.category_tooltip(star)
 
 
 def product_tooltip(star: Star) -> DataFrame:
@@ -160,18 +155,7 @@ def product_tooltip(star: Star) -> DataFrame:
 
 def growth_page(star: Star) -> DataFrame:
     """The four cards of the growth page as rows of name, number, label."""
-    cards = {
-        "total_sales": (insights.total_sales_card(star), "line_total", "leading_category"),
-        "total_orders": (insights.total_orders_card(star), "total_orders", "most_ordered_product"),
-        "active_customers": (insights.active_customers_card(star), "active_customers", "peak_year"),
-        "avg_order_value": (insights.average_order_card(star), "avg_order_value", "top_country"),
-    }
-    page = None
-    for name, (card, value, label) in cards.items():
-        row = card.select(F.lit(name).alias("card"), F.col(value).cast("double").alias("value"), "value_text",
-                          F.col(label).cast("string").alias("label"))
-        page = row if page is None else page.unionAll(row)
-    return page
+    return insights.growth_page(star)
 
 
 def filter_values(star: Star) -> DataFrame:

@@ -1,7 +1,8 @@
-"""The star under a filter context: which dimensions a question needs, and one way to aggregate it."""
+"""The star under a filter context: which dimensions a question needs, and two ways to aggregate it."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -17,11 +18,12 @@ DIRECT = {"DimCustomers": "CustomerKey", "DimEmployees": "EmployeeKey", "DimShip
 # Dimensions reached through the product.
 THROUGH_PRODUCT = {"DimCategories": "CategoryKey", "DimSuppliers": "SupplierKey"}
 DATE_ROLES = {"order": "OrderDateKey", "shipped": "ShippedDateKey", "required": "RequiredDateKey"}
-
-# Most rows of a dimension that is looked up before the fact is grouped.
-SMALL_ROWS = 100_000
+# Columns that the stored fact is partitioned by, under the calendar attribute that they repeat.
+PERIODS = {"DimDate.Year": "OrderYear", "DimDate.Month": "OrderMonth"}
 
 Condition = Sequence | Callable[[Column], Column]
+# A key of the fact to count once, and the lines on which it counts.
+Counted = tuple[str, Column | None]
 
 
 def split_ref(ref: str) -> tuple[str, str]:
@@ -38,16 +40,8 @@ def _holds(column: Column, condition: Condition) -> Column:
     return condition(column) if callable(condition) else column.isin(list(condition))
 
 
-@dataclass(frozen=True)
-class Join:
-    """One lookup: column on the left, key column of the dimension, the attributes it brings."""
-
-    table: str
-    left: str
-    right: str
-    dim: DataFrame
-    from_fact: bool
-    refs: tuple[str, ...]
+def _when(condition: Column | None, value: Column) -> Column:
+    return value if condition is None else F.when(condition, value)
 
 
 def net() -> Column:
@@ -56,24 +50,39 @@ def net() -> Column:
 
 
 @dataclass(frozen=True)
-class Star:
-    """Gold tables plus filters. Filters map ``Table.Column`` to a list of values or a predicate.
+class Ask:
+    """One grouping among several that share a read of the fact.
 
-    ``row_counts`` are those of the stored dimensions; one that is not listed counts as large.
+    ``by`` holds at most one number and two texts, which become ``number``, ``name`` and ``within``.
+    Filters on ``without`` (columns or tables) do not count. With a ``key``, lines are first brought
+    together by that key. ``members`` lists members without lines too: those of the "context", or "all"
+    with the filters in ``without`` removed.
     """
 
+    by: tuple[str, ...] = ()
+    without: tuple[str, ...] = ()
+    key: str | None = None
+    members: str = ""
+
+    def counts(self, ref: str) -> bool:
+        """Whether the filter on a column applies to this grouping."""
+        return ref not in self.without and split_ref(ref)[0] not in self.without
+
+
+@dataclass(frozen=True)
+class Star:
+    """Gold tables plus filters. Filters map ``Table.Column`` to a list of values or a predicate."""
+
     tables: Mapping[str, DataFrame]
     filters: Mapping[str, Condition] = field(default_factory=dict)
     date_role: str = "order"
-    row_counts: Mapping[str, int] = field(default_factory=dict)
 
     def filtered(self, filters: Mapping[str, Condition]) -> Star:
         return replace(self, filters={**self.filters, **filters})
 
     def without(self, *targets: str) -> Star:
         """drop the filters on columns (``Table.Column``) or on whole tables (``Table``)."""
-        keep = {r: c for r, c in self.filters.items() if r not in targets and split_ref(r)[0] not in targets}
-        return replace(self, filters=keep)
+        return replace(self, filters={r: c for r, c in self.filters.items() if Ask(without=targets).counts(r)})
 
     def dimension(self, name: str) -> DataFrame:
         """Rows of a table under its own filters. Filters flow from the one side of a relationship to
@@ -96,79 +105,146 @@ class Star:
         table, column = split_ref(ref)
         return self.dimension(table).select(column).distinct()
 
-    def fact(self) -> DataFrame:
-        """Fact rows under the filters on fact columns only."""
-        return self.dimension("Sales")
+    # ---- rows of the fact -----------------------------------------------------------------------
 
-    def summarise(self, by: Mapping[str, str] | Iterable[str] = (), sums: Mapping[str, Column] | None = None,
-                  distinct: Mapping[str, Column] | None = None,
-                  maxes: Mapping[str, Column] | None = None) -> DataFrame:
-        """Group the fact by dimension attributes; sums, maxima and distinct counts.
-
-        Dimensions with few rows (counted when the star is opened) are looked up at the fact scan,
-        filters on them apply there, and the aggregate follows directly; Spark broadcasts them by
-        its own size check. If a larger dimension is needed, the fact is first grouped by that
-        dimension's key (beside the attributes at hand), so the lookup is joined to one row per key,
-        however many lines a hot customer or product holds. A group without a dimension row stays
-        as a null group.
+    def _own(self, ref: str) -> str | None:
+        """The fact's own column that says the same as a reference, if it has one."""
+        table, column = split_ref(ref)
+        if table == "Sales":
+            return column
+        if ref == "DimDate.DateKey":
+            return DATE_ROLES[self.date_role]
+        if ref == "DimDate.FullDate":
+            return DATE_ROLES[self.date_role].removesuffix("Key")
+        period = PERIODS.get(ref) if self.date_role == "order" else None
+        return period if period in self.tables["Sales"].columns else None
+
+    def rows(self, refs: Iterable[str], unapplied: Iterable[str] = ()) -> DataFrame:
+        """Fact rows under the filters, with a column for each reference; filters on ``unapplied`` do not count.
+
+        Filters on attributes that the fact holds itself come first: those on the year (and month) choose
+        partitions, those on days meet row groups sorted by day. Then lists of values on a dimension
+        reduce the fact to the keys that hold them, before anything is grouped. All other attributes
+        are looked up. Spark broadcasts a side that is small by its own measure; else it sorts both, and
+        adaptive execution splits a hot key. A line without a dimension row keeps null attributes.
         """
-        by = by if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
-        sums, distinct, maxes = dict(sums or {}), dict(distinct or {}), dict(maxes or {})
-        refs = list(dict.fromkeys([*by.values(), *self.filters]))
-        joins = self._joins([r for r in refs if split_ref(r)[0] != "Sales"])
-        small = self._small(joins)
-        large = [j for j in joins if j not in small]
-        rows = self.fact()
-        for j in small:
-            rows = rows.join(j.dim, F.col(j.left) == F.col(j.right), "left")
-        at_hand = {r for j in small for r in j.refs}
-        rows = self._where(rows, at_hand)
-        own = [F.col(split_ref(r)[1]).alias(_slot(r)) for r in refs if split_ref(r)[0] == "Sales"]
-        own += [_slot(r) for r in refs if r in at_hand]
-        counted = [c.alias(n) for n, c in distinct.items()]
-        if large:
-            keys = list(dict.fromkeys(j.left for j in large if j.from_fact))
-            partial = [*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()]]
-            if partial:
-                rows = rows.groupBy(*keys, *own, *counted).agg(*partial)
-            else:
-                rows = rows.select(*keys, *own, *counted).distinct()
-            for j in large:
-                rows = rows.join(j.dim, F.col(j.left) == F.col(j.right), "left")
-            rows = self._where(rows, {r for j in large for r in j.refs})
-        else:
-            rows = rows.select(*own, *counted, *[c.alias(n) for n, c in {**sums, **maxes}.items()])
-        named = rows.select(*[F.col(_slot(r)).alias(a) for a, r in by.items()], *sums, *distinct, *maxes)
-        return named.groupBy(*by).agg(
-            *[F.sum(n).alias(n) for n in sums], *[F.count_distinct(n).alias(n) for n in distinct],
-            *[F.max(n).alias(n) for n in maxes])
-
-    def _where(self, rows: DataFrame, refs: set[str]) -> DataFrame:
-        for ref, condition in self.filters.items():
-            if ref in refs:
-                rows = rows.where(_holds(F.col(_slot(ref)), condition))
-        return rows
-
-    def _small(self, joins: list[Join]) -> list[Join]:
-        """Lookups of few rows, leaving out any that is reached through a larger one."""
-        small = [j for j in joins if self.row_counts.get(j.table, SMALL_ROWS + 1) <= SMALL_ROWS]
-        products_large = any(j.table == "DimProducts" and j not in small for j in joins)
-        return [j for j in small if j.from_fact or not products_large]
-
-    def _joins(self, refs: list[str]) -> list[Join]:
-        """The lookups, in order, that bring the attributes asked for to the fact."""
+        unapplied = set(unapplied)
+        filters = {r: c for r, c in self.filters.items() if r not in unapplied}
+        refs = list(dict.fromkeys([*refs, *unapplied]))
+        rows = self.tables["Sales"]
+        for ref, condition in filters.items():
+            if own := self._own(ref):
+                rows = rows.where(_holds(F.col(own), condition))
+                years = _years(ref, condition)
+                if years is not None and (period := self._own("DimDate.Year")):
+                    rows = rows.where(F.col(period).isin(years))
+        listed = {r: c for r, c in filters.items() if not self._own(r) and not callable(c)}
+        for table in dict.fromkeys("DimProducts" if t in THROUGH_PRODUCT else t for t, _ in map(split_ref, listed)):
+            keys = replace(self, filters=listed).dimension(table).select(F.col(DIRECT[table]).alias("_held"))
+            rows = rows.join(keys, F.col(self._fact_key(table)) == F.col("_held"), "left_semi")
+        tested = {r: c for r, c in filters.items() if not self._own(r) and callable(c)}
+        rows = self._looked_up(rows, dict.fromkeys([r for r in refs if not self._own(r)] + list(tested)))
+        for ref, condition in tested.items():
+            rows = rows.where(_holds(F.col(_slot(ref)), condition))
+        return rows.withColumns({_slot(r): F.col(self._own(r)) for r in refs if self._own(r)})
+
+    def _fact_key(self, table: str) -> str:
+        return DATE_ROLES[self.date_role] if table == "DimDate" else DIRECT[table]
+
+    def _looked_up(self, rows: DataFrame, refs: Iterable[str]) -> DataFrame:
+        """Left joins, products before what is reached through them."""
         wanted: dict[str, list[str]] = {}
         for ref in refs:
             wanted.setdefault(split_ref(ref)[0], []).append(ref)
         far = [t for t in wanted if t in THROUGH_PRODUCT]
         near = list(dict.fromkeys([*[t for t in wanted if t in DIRECT], *(["DimProducts"] if far else [])]))
-        joins = []
         for table in [*near, *far]:
             key = DIRECT.get(table) or THROUGH_PRODUCT[table]
             links = [THROUGH_PRODUCT[t] for t in far] if table == "DimProducts" else []
             dim = self.tables[table].select(
                 F.col(key).alias(f"_{table}_key"), *[F.col(c).alias(f"_product_{c}") for c in links],
                 *[F.col(split_ref(r)[1]).alias(_slot(r)) for r in wanted.get(table, [])])
-            left = f"_product_{key}" if table in far else DATE_ROLES[self.date_role] if table == "DimDate" else key
-            joins.append(Join(table, left, f"_{table}_key", dim, table in near, tuple(wanted.get(table, ()))))
-        return joins
+            left = f"_product_{key}" if table in far else self._fact_key(table)
+            rows = rows.join(dim, F.col(left) == F.col(f"_{table}_key"), "left")
+        return rows
+
+    # ---- aggregates -----------------------------------------------------------------------------
+
+    def summarise(self, by: Mapping[str, str] | Iterable[str] = (), sums: Mapping[str, Column] | None = None,
+                  distinct: Mapping[str, Counted] | None = None,
+                  maxes: Mapping[str, Column] | None = None) -> DataFrame:
+        """Group the fact by dimension attributes; sums, maxima and counts of distinct keys.
+
+        Counts of one key are two plain aggregates: lines are brought together by the key, where each
+        condition is a flag, and flags are counted.
+        """
+        by = by if isinstance(by, Mapping) else {split_ref(r)[1]: r for r in by}
+        sums, distinct, maxes = dict(sums or {}), dict(distinct or {}), dict(maxes or {})
+        keys = list(dict.fromkeys(k for k, _ in distinct.values()))
+        rows = self.rows(by.values()).select(
+            *[F.col(_slot(r)).alias(a) for a, r in by.items()], *[c.alias(n) for n, c in {**sums, **maxes}.items()],
+            *[F.col(k).alias(f"_key_{k}") for k in keys], *[_when(c, F.col(k)).alias(n) for n, (k, c) in distinct.items()])
+        plain = [*[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxes]]
+        if len(keys) == 1:
+            flags = [F.max(F.when(F.col(n).isNotNull(), 1)).alias(n) for n in distinct]
+            rows = rows.groupBy(*by, f"_key_{keys[0]}").agg(*plain, *flags)
+            return rows.groupBy(*by).agg(*plain, *[F.count(n).alias(n) for n in distinct])
+        return rows.groupBy(*by).agg(*plain, *[F.count_distinct(n).alias(n) for n in distinct])
+
+    def groups(self, asks: Mapping[str, Ask], sums: Mapping[str, Column], flags: Mapping[str, Column] | None = None) -> DataFrame:
+        """Several groupings from one read of the fact.
+
+        One row for each group: ``of`` (name of the ask), ``number``, ``name``, ``within``, ``member``
+        (whether a dimension lists it), the sums, for asks with a key the number of ``keys``, and for each
+        flag the sum over keys of its maximum and, as ``<flag>_keys``, on how many keys there is one.
+
+        Every line yields one small row for each grouping that it counts in; these meet in the tasks
+        that read them before they are shuffled.
+        """
+        flags = dict(flags or {})
+        ignored = {r for r in self.filters if not all(a.counts(r) for a in asks.values())}
+        open_ = {r for r in ignored if any(a.counts(r) for a in asks.values())}
+        refs = list(dict.fromkeys(r for a in asks.values() for r in a.by))
+        rows = replace(self, filters={r: c for r, c in self.filters.items() if r not in ignored - open_}).rows(refs, open_)
+        key_types = {t for n, t in self.tables["Sales"].dtypes if n in {a.key for a in asks.values()}}
+        key_type = key_types.pop() if len(key_types) == 1 else "string"
+        entries = []
+        for of, ask in asks.items():
+            label = self._label(of, ask, {r: F.col(_slot(r)) for r in ask.by}, F.col(ask.key).cast(key_type) if ask.key else F.lit(None).cast(key_type))
+            tests = [_holds(F.col(_slot(r)), self.filters[r]) for r in open_ if ask.counts(r)]
+            for test in tests:
+                label = F.when(test, label)
+            entries.append(label)
+        entry = F.array_compact(F.array(*entries)) if open_ else F.array(*entries)
+        values = {**sums, **flags}
+        lines = rows.select(F.explode(entry).alias("g"), F.lit(None).cast("int").alias("member"), *[c.alias(n) for n, c in values.items()])
+        for of, ask in asks.items():
+            if ask.members:
+                there = (self if ask.members == "context" else self.without(*ask.without)).members(ask.by[0])
+                label = self._label(of, ask, {ask.by[0]: F.col(there.columns[0])}, F.lit(None).cast(key_type))
+                lines = lines.union(there.select(label, F.lit(1), *[F.lit(None).cast(lines.schema[n].dataType) for n in values]))
+        group = ["of", "number", "name", "within"]
+        first = lines.groupBy(*[F.col(f"g.{c}").alias(c) for c in [*group, "key"]]).agg(
+            F.max("member").alias("member"), *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in flags])
+        if not any(a.key for a in asks.values()):
+            return first.drop("key")
+        return first.groupBy(*group).agg(
+            F.max("member").alias("member"), *[F.sum(n).alias(n) for n in sums], F.count("key").alias("keys"),
+            *[F.sum(n).alias(n) for n in flags], *[F.count(n).alias(f"{n}_keys") for n in flags])
+
+    def _label(self, of: str, ask: Ask, values: Mapping[str, Column], key: Column) -> Column:
+        types = {r: dict(self.tables[split_ref(r)[0]].dtypes)[split_ref(r)[1]] for r in ask.by}
+        numbers = [values[r].cast("bigint") for r in ask.by if types[r] in ("int", "bigint", "smallint", "tinyint")]
+        texts = [values[r].cast("string") for r in ask.by if types[r] not in ("int", "bigint", "smallint", "tinyint")]
+        if len(numbers) > 1 or len(texts) > 2:
+            raise ValueError(f"{of}: at most one number and two texts")
+        none = F.lit(None)
+        return F.struct(F.lit(of).alias("of"), (numbers + [none.cast("bigint")])[0].alias("number"),
+                        (texts + [none.cast("string")])[0].alias("name"), ([*texts, *[none.cast("string")] * 2])[1].alias("within"), key.alias("key"))
+
+
+def _years(ref: str, condition: Condition) -> list[int] | None:
+    """The years of a list of days."""
+    if ref != "DimDate.FullDate" or callable(condition) or not all(isinstance(d, datetime.date) for d in condition):
+        return None
+    return sorted({d.year for d in condition})
