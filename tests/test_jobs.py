@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tradewell.config import MERGED
 from tradewell.operators import history, profile
+from tradewell.operators.clean import prepare_feed
 from tradewell.plans import bronze, silver
 
 RUN = {"run_id": "r", "run_ts": "t"}
@@ -62,8 +63,79 @@ def test_null_profile(spark):
 
 def test_duplicates_count_null_keys(spark):
     df = spark.createDataFrame([(None, True), (None, False), (1, True), (1, True)], "k int, is_current boolean")
-    row = df.agg(profile.duplicate_count(["k"]).alias("all"), profile.duplicate_count(["k"], F.col("is_current")).alias("now")).first()
-    assert (row["all"], row["now"]) == (2, 1)
+    row = spark.range(1).select(profile.duplicate_keys(df, ["k"], F.col("is_current")).alias("d")).first().d
+    assert (row["all"], row["among"]) == (2, 1)
+    none = spark.range(1).select(profile.duplicate_keys(df.where("false"), ["k"]).alias("d"), profile.duplicate_keys(df, []).alias("e")).first()
+    assert tuple(none.d) == tuple(none.e) == (0, 0)
+
+
+def test_profiles_need_no_expand(spark):
+    df = spark.createDataFrame([(1, 2, True, "x")], "k int, j int, is_current boolean, v string")
+    for question in (silver.quality_record(df, "T", ["k", "j"]), profile.source_profile(df, ["k", "j"])):
+        assert "Expand" not in question._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_copy_run_that_reports_again_replaces_its_rows(spark, root):
+    def runs(*rows):
+        return spark.createDataFrame(rows, "pipeline_run_id string, success_list string, failed_list string")
+
+    bronze.append_copy_log(runs(("1", '["A"]', '["B"]'), ("2", '["A"]', "[]")), "t1", f"{root}/copy")
+    log = bronze.append_copy_log(runs(("1", '["A", "B"]', None)), "t2", f"{root}/copy")
+    assert sorted(tuple(r) for r in log.select("pipeline_run_id", "table_name", "status", "run_timestamp").collect()) == [
+        ("1", "A", "SUCCESS", "t2"), ("1", "B", "SUCCESS", "t2"), ("2", "A", "SUCCESS", "t1")]
+
+
+def test_a_repeated_run_is_logged_once(spark, root):
+    api = {"Shippers": lambda: spark.range(3).toDF("ShipperID")}
+    for _ in range(2):
+        log = bronze.validate_all(spark, ["Shippers"], api, {}, f"{root}/log", **RUN)
+        landed = bronze.land(spark, {"A": lambda: spark.range(2)}, root, "r", "t")
+    assert log.count() == 1 and landed.count() == 1
+    assert bronze.land(spark, {"A": lambda: spark.range(2)}, root, "r2", "t").count() == 2
+
+
+def test_a_silver_run_survives_a_failing_table(spark, root):
+    def broken():
+        return spark.range(1).select(F.raise_error(F.lit("boom")).cast("bigint").alias("a_id"))
+
+    def stamped(rows, schema):
+        return lambda: spark.createDataFrame(rows, schema).withColumn("is_current", F.lit(True)).withColumn("source_system", F.lit("API"))
+
+    made = silver.run({"A": broken, "B": stamped([(1, 7), (1, 7), (2, 9)], "b_id int, c_id int"), "C": stamped([(7,)], "c_id int")}, root)
+    assert list(made.errors) == ["A"] and set(made.tables) == {"B", "C"}
+    keys = {"A": ["a_id"], "B": ["b_id"], "C": ["c_id"]}
+    failures = made.failures(spark)
+    records = silver.quality(made.tables, keys, failures)
+    integrity = silver.referential_integrity(made.tables, silver.references(made.tables, keys, [("B", "b_id", "A", "a_id")]))
+    ready = silver.readiness(records, integrity, failures)
+    assert {r.table_name: (r.gold_ready, r.reasons) for r in ready.collect()} == {
+        "A": (False, "Silver transformation failed"), "C": (True, ""),
+        "B": (False, "Duplicate current keys found; Referential integrity failures: c_id -> C.c_id")}
+    final = silver.summary(records, ready, silver.provenance(made.tables, failures))
+    rows = {r["table"]: r for r in final.collect()}
+    assert rows["silver_a"].status == "FAILED" and "boom" in rows["silver_a"].error and rows["silver_a"].all_api_rows == 0
+    outcome = silver.run_outcome(final).first()
+    assert tuple(outcome) == ("FAILED", 3, 1, 2, 2)
+    first = silver.append_quality_log(silver.quality_log(records, ready, "r", "t"), f"{root}/dq").count()
+    assert first == silver.append_quality_log(silver.quality_log(records, ready, "r", "t"), f"{root}/dq").count() == 3
+
+
+def test_merge_moves_the_feed_alone(spark, root):
+    details = MERGED["Order_Details"]
+    rows = [(i, i % 7, i, 1.0, 0.0) for i in range(50)]
+    old, new = (spark.createDataFrame(r, "OrderID bigint, ProductID bigint, Quantity bigint, UnitPrice double, Discount double") for r in (rows, rows[:9]))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = silver.store_baseline(old, details, "t_bucketed", root)
+        merged = history.merge(prepare_feed(stored, details), prepare_feed(new.withColumn("Quantity", F.col("Quantity") + 1), details), details,
+                               "2026-03-01 00:00:00")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        baseline = plan[:plan.index("Scan ExistingRDD")] if plan.index("FileScan") < plan.index("Scan ExistingRDD") else plan[plan.index("FileScan"):]
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and baseline
+        assert merged.count() == 59
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_quality_gates_on_current_duplicates(spark):

@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewell.operators import keys
 
@@ -43,6 +44,20 @@ def test_inferred_key_cases(spark, columns, rows, expected):
     assert keys.infer_primary_key(spark.createDataFrame(rows, columns)) == expected
 
 
+def test_the_fallback_says_whether_it_is_proven(spark):
+    wide = [(i % 2, i // 2 % 2, i // 4 % 2, i // 8) for i in range(32)]
+    schema = "a_id int, b_id int, c_id int, d_id int"
+    assert keys.infer_key(spark.createDataFrame(wide, schema)) == keys.Key(["a_id", "b_id", "c_id", "d_id"], True)
+    assert keys.infer_key(spark.createDataFrame([*wide, wide[0]], schema)) == keys.Key(["a_id", "b_id", "c_id", "d_id"], False)
+    assert keys.infer_key(spark.createDataFrame([(1, None)], "a_id int, b_id int")) == keys.Key(["a_id"], True)
+    assert keys.infer_key(spark.createDataFrame([(1,), (1,)], "x int")) == keys.Key(["x"], False)
+
+
+def test_keys_of_many_rows(spark):
+    df = spark.range(200_000).select((F.col("id") % 1000).alias("a_id"), (F.col("id") / 1000).cast("int").alias("b_id"), (F.col("id") % 7).alias("c_id"))
+    assert keys.infer_key(df) == keys.Key(["a_id", "b_id"], True)
+
+
 def test_foreign_keys_ignore_case_and_own_keys():
     known = {"Orders": ["OrderID"], "Customers": ["CustomerID"], "Details": ["OrderID", "ProductID"]}
     assert keys.infer_foreign_keys("Orders", ["OrderID", "customerid", "x"], known) == [("customerid", "Customers", "CustomerID")]

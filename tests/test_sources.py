@@ -1,5 +1,6 @@
 import json
 import pathlib
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,65 @@ def test_publish_over_itself_and_with_new_schema(spark, root):
     assert spark.table("t_publish").columns == ["id", "x"]
 
 
+def test_readers_see_whole_versions_while_the_schema_changes(spark, root):
+    sinks.publish(spark.range(100), "t_live", root)
+    held = spark.table("t_live")
+    stop, seen = threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            rows = spark.table("t_live").collect()
+            seen.append((len(rows), tuple(rows[0].asDict())))
+
+    reader_thread = threading.Thread(target=read)
+    reader_thread.start()
+    try:
+        for n, extra in ((200, "a"), (300, "b")):
+            sinks.publish(spark.range(n).withColumn(extra, F.lit(1)), "t_live", root, keep=3)
+    finally:
+        stop.set()
+        reader_thread.join()
+    assert seen and set(seen) <= {(100, ("id",)), (200, ("id", "a")), (300, ("id", "b"))}
+    assert held.count() == 100  # a reader goes on with the version that it began with
+
+
+def test_old_versions_go(spark, root):
+    for n in range(5):
+        sinks.publish(spark.range(n + 1), "t_versions", root, keep=2)
+    assert len(sinks.versions(spark, "t_versions", root)) == 2 == len(list((pathlib.Path(root) / "t_versions").iterdir()))
+    assert spark.table("t_versions").count() == 5 and sinks.stored(spark, "t_versions", root).count() == 5
+
+
+def test_hidden_and_bucketed_versions(spark, root):
+    df = spark.range(20).select("id", (F.col("id") % 3).alias("k"), F.lit("x").alias("_secret"))
+    shown = sinks.publish(df, "t_hidden", root, hidden=["_secret"], bucket_by=["k"])
+    assert shown.columns == ["id", "k"] and sinks.stored(spark, "t_hidden", root).columns == df.columns
+    sinks.publish(df.where("k = 1"), "t_hidden", root, keep=1, bucket_by=["k"])
+    assert spark.table("t_hidden").count() == 7 and len(sinks.versions(spark, "t_hidden", root)) == 1
+
+
+def test_a_run_replaces_its_own_rows(spark, root):
+    def run(name, rows, schema="a int"):
+        sinks.append_run(spark.createDataFrame(rows, schema).withColumn("run_id", F.lit(name)), f"{root}/runs")
+
+    run("2026-01-01", [(1,), (2,)])
+    before = {p: p.stat().st_mtime_ns for p in pathlib.Path(f"{root}/runs").rglob("*.parquet")}
+    run("7", [(3, "x")], "a int, b string")
+    assert {p: p.stat().st_mtime_ns for p in pathlib.Path(f"{root}/runs").rglob("*.parquet") if p in before} == before  # nothing is copied
+    run("7", [(4, "y")], "a int, b string")
+    log = sinks.read_log(spark, f"{root}/runs")
+    assert sorted((r.run_id, r.a, r.b) for r in log.collect()) == [("2026-01-01", 1, None), ("2026-01-01", 2, None), ("7", 4, "y")]
+
+
+def test_row_difference(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    b = spark.createDataFrame([("a", 1), (None, 2), ("d", 4), ("d", 4)], "v string, k int")
+    found = sinks.row_difference(a, b)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "a", "left", 2), (3, "c", "left", 1), (4, "d", "right", 2)]
+    assert sinks.row_difference(a, b)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sinks.row_difference(a, a).count() == 0
+
+
 def test_failed_publish_leaves_the_table(spark, root):
     sinks.publish(spark.range(5), "t_failed", root)
     with pytest.raises(Exception):

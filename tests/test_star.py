@@ -162,10 +162,11 @@ def test_time_measures_in_any_context(star):
 
 
 def test_money_is_rounded_once(spark):
-    rows = [(1_000_000, 0.00005, 0.0), (20_000_000_000, 1.0, 0.05), (3, 1.005, 0.0), (None, 1.0, 0.0), (1, float("nan"), 0.0)]
+    rows = [(1_000_000, 0.00005, 0.0), (20_000_000_000, 1.0, 0.05), (3, 1.005, 0.0), (None, 1.0, 0.0), (1, float("nan"), 0.0),
+            (1, 250_000_000.5, 0.1), (10 ** 15, 0.5, 0.0), (1, 2.0, 12.0), (10 ** 18, 10.0 ** 9, 0.0)]
     df = spark.createDataFrame(rows, "q bigint, p double, d double")
     got = [None if r[0] is None else str(r[0]) for r in df.select(money.line_total(F.col("q"), F.col("p"), F.col("d"))).collect()]
-    assert got == ["50.00", "19000000000.00", "3.02", None, None]
+    assert got == ["50.00", "19000000000.00", "3.02", None, None, "225000000.45", "500000000000000.00", "-22.00", None]
     many = spark.range(1000).select(money.net_amount(F.lit(1), F.lit(0.00004), F.lit(0.0)).alias("n"))
     assert float(many.agg(F.sum("n")).first()[0]) == 0.04
 

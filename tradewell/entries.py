@@ -152,6 +152,15 @@ def s09_publish_from_itself(spark, sf_dir):
     return sinks.publish(wider, name, root)
 
 
+@query
+def s09_publish_whole(spark, sf_dir):
+    """All orders, published over themselves with one more column and then with one less."""
+    name, root = _name("orders_whole"), _tables_root(spark)
+    published = sinks.publish(_orders(spark, sf_dir), name, root)
+    wider = sinks.publish(published.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint")), name, root)
+    return sinks.publish(wider.drop("o_orderpriority"), name, root)
+
+
 @query
 def s10_append_widening(spark, sf_dir):
     log = new_path(spark, "log")
@@ -163,10 +172,21 @@ def s10_append_widening(spark, sf_dir):
 
 @query
 def s11_append_by_rewrite(spark, sf_dir):
-    name, root = _name("orders_log"), _tables_root(spark)
-    orders = _orders(spark, sf_dir)
-    sinks.append_by_rewrite(orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), name, root)
-    return sinks.append_by_rewrite(orders.where("o_orderstatus = 'P'").select("o_orderkey", "o_orderpriority"), name, root)
+    return _run_log(spark, sf_dir, {"F": "o_custkey", "P": "o_orderpriority"})
+
+
+@query
+def s11_append_every_status(spark, sf_dir):
+    return _run_log(spark, sf_dir, {"F": "o_custkey", "P": "o_orderpriority", "O": "o_custkey"})
+
+
+def _run_log(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """A log with one run for each order status, columns of its own in each; the first run is repeated at the end."""
+    log, orders = new_path(spark, "log"), _orders(spark, sf_dir)
+    for status, column in [*columns.items(), next(iter(columns.items()))]:
+        rows = orders.where(F.col("o_orderstatus") == status).select("o_orderkey", column, F.lit(f"run {status}").alias("run_id"))
+        sinks.append_run(rows, log)
+    return sinks.read_log(spark, log).drop("run_id")
 
 
 # ---- projections, cleaning ----------------------------------------------------------------------
@@ -283,8 +303,8 @@ def a03_null_counts(spark, sf_dir):
 @query
 def a04_duplicate_keys(spark, sf_dir):
     details = TestTables(spark, sf_dir).raw_order_details()
-    return details.agg(F.count("*").alias("row_count"),
-                       profile.duplicate_count(["OrderID", "ProductID"]).alias("duplicates"))
+    return details.agg(F.count("*").alias("row_count")).withColumn(
+        "duplicates", profile.duplicate_keys(details, ["OrderID", "ProductID"])["all"])
 
 
 @query
@@ -315,15 +335,26 @@ def c01_land_sheets(spark, sf_dir):
 @query
 def c02_copy_log(spark, sf_dir):
     """One copy run per order day: priorities of finished orders succeeded, those of open orders failed."""
+    return bronze.copy_log(_copy_runs(spark, sf_dir, ["O"]), RUN_TS)
+
+
+@query
+def c02_copy_log_appended(spark, sf_dir):
+    """The same with every other status as failed, in a log to which the first days of a month report twice."""
+    log, runs = new_path(spark, "copy-log"), _copy_runs(spark, sf_dir, ["O", "P"])
+    bronze.append_copy_log(runs, RUN_TS, log)
+    return bronze.append_copy_log(runs.where("pipeline_run_id LIKE '%-01'"), RUN_TS, log)
+
+
+def _copy_runs(spark: SparkSession, sf_dir: str, failed: list[str]) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
 
-    def names(status: str) -> Column:
+    def names(*statuses: str) -> Column:
         # At most five priorities exist, so the lists are short.
-        return F.to_json(F.collect_set(F.when(F.col("o_orderstatus") == status, F.col("o_orderpriority"))))
+        return F.to_json(F.collect_set(F.when(F.col("o_orderstatus").isin(*statuses), F.col("o_orderpriority"))))
 
-    runs = TestTables(spark, sf_dir).raw("orders").groupBy(day.alias("pipeline_run_id")).agg(
-        names("F").alias("success_list"), names("O").alias("failed_list"))
-    return bronze.copy_log(runs, RUN_TS)
+    return TestTables(spark, sf_dir).raw("orders").groupBy(day.alias("pipeline_run_id")).agg(
+        names("F").alias("success_list"), names(*failed).alias("failed_list"))
 
 
 @query
@@ -334,6 +365,20 @@ def c03_validate_bronze(spark, sf_dir):
         expected=EXPECTED_API_ROWS["Order_Details"], is_excel=True).drop("combined_bronze_aggs", "excel_bronze_aggs", "dtypes")
 
 
+@query
+def x17_json_details(spark, sf_dir):
+    """What the JSON fields of the validation record hold, one row for each feed, field and column."""
+    tables = TestTables(spark, sf_dir)
+    record = bronze.validate_bronze(spark, "Order_Details", tables.raw_order_details(), tables.incoming_order_details(),
+                                    run_id=RUN_ID, run_ts=RUN_TS, is_excel=True)
+    fields = ("null_counts_by_column", "combined_bronze_aggs", "dtypes")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.from_json(f, "map<string,map<string,string>>").alias("held")) for f in fields]))
+    feeds = record.select(each.alias("f")).select("f.field", F.explode("f.held").alias("feed", "entries"))
+    shown = feeds.select("field", "feed", F.explode("entries").alias("name", "value"))
+    number = F.when(F.col("field") != "dtypes", F.col("value").cast("double"))
+    return shown.select("field", "feed", "name", number.alias("number"), F.when(F.col("field") == "dtypes", F.col("value")).alias("dtype"))
+
+
 def _validation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = TestTables(spark, sf_dir)
     api = {"Categories": tables.categories, "Customers": tables.customers, "Employees": tables.employees,
@@ -356,6 +401,14 @@ def c04_validation_log(spark, sf_dir):
         "inferred_pk", "required_null_count")
 
 
+@query
+def c04_validation_fields(spark, sf_dir):
+    """The fields of every record that c04_validation_log leaves out, but for the JSON of columns."""
+    return _validation_log(spark, sf_dir).select(
+        "run_id", "run_timestamp", "table_name", "excel_source_count", "excel_count_match", "full_duplicate_count",
+        "required_columns", "excel_source_aggs", "aggs_match", "agg_diffs")
+
+
 @query
 def c04_validation_summary(spark, sf_dir):
     return bronze.validation_summary(_validation_log(spark, sf_dir))
@@ -393,6 +446,30 @@ def c06_merge_order_details(spark, sf_dir):
     return _merged(spark, sf_dir, "Order_Details")
 
 
+@query
+def c06_merge_products(spark, sf_dir):
+    return _merged(spark, sf_dir, "Products")
+
+
+@query
+def c06_merge_orders(spark, sf_dir):
+    """The baseline is stored bucketed by its key, so the join moves the feed alone."""
+    tables, orders = TestTables(spark, sf_dir), MERGED["Orders"]
+    stored = silver.store_baseline(tables.orders(), orders, _name("baseline_orders"), _tables_root(spark))
+    return history.merge(clean.prepare_feed(stored, orders), clean.prepare_feed(tables.incoming_orders(), orders), orders, RUN_TS)
+
+
+@query
+def d02_history_is_not_deduplicated(spark, sf_dir):
+    return clean.dedup(_merged(spark, sf_dir, "Orders"), ["OrderID"]).select("OrderID", "is_current", "operation")
+
+
+@query
+def u05_whole_row_distinct(spark, sf_dir):
+    lines = TestTables(spark, sf_dir).raw("lineitem").select("l_partkey", "l_suppkey", "l_returnflag")
+    return clean.dedup(lines, lines.columns)
+
+
 @query
 def a08_merge_counts(spark, sf_dir):
     return history.merge_counts(history.classify(*_feeds(spark, sf_dir, "Orders"), MERGED["Orders"]))
@@ -473,11 +550,28 @@ def c09_primary_keys(spark, sf_dir):
     return spark.createDataFrame([(n, ",".join(k)) for n, k in found.items()], "table_name string, primary_key string")
 
 
+@query
+def c09_wide_keys(spark, sf_dir):
+    """A key of four columns, which only the proof of the fallback finds, and a table without any."""
+    order, tables = F.col("o_orderkey"), TestTables(spark, sf_dir)
+    wide = tables.raw("orders").select(*[(F.floor(order / 4 ** i) % 4).alias(f"part{i}_id") for i in range(3)],
+                                       F.floor(order / 64).alias("rest_id"), "o_orderstatus")
+    none = tables.raw("lineitem").select((F.col("l_orderkey") % 3).alias("a_id"), (F.col("l_partkey") % 2).alias("b_id"),
+                                         (F.col("l_suppkey") % 2).alias("c_id"), (F.col("l_linenumber") % 2).alias("d_id"))
+    found = {"orders_in_parts": key_ops.infer_key(wide), "lines_without_key": key_ops.infer_key(none)}
+    return spark.createDataFrame([(n, ",".join(k.columns), k.proven) for n, k in found.items()],
+                                 "table_name string, primary_key string, proven boolean")
+
+
 @query
 def c10_silver_merged(spark, sf_dir):
     return silver.refine_merged(_merged(spark, sf_dir, "Orders")).drop("row_hash")
 
 
+for _table in KEYS:
+    _queries[f"c10_silver_{_table.lower()}"] = lambda spark, sf_dir, table=_table: silver_tables(spark, sf_dir)[table]
+
+
 @query
 def c10_silver_api_only(spark, sf_dir):
     return silver.build_api_only(TestTables(spark, sf_dir).suppliers(), ["SupplierID"], RUN_TS, RUN_ID)
@@ -536,6 +630,71 @@ def c14_quality_log(spark, sf_dir):
     return silver.quality_log(*_ready(spark, sf_dir), RUN_ID, RUN_TS).drop("details_json")
 
 
+@query
+def c14_quality_log_details(spark, sf_dir):
+    """The whole quality log, JSON details among it, after the same run was logged twice."""
+    log, records = new_path(spark, "quality-log"), silver.quality_log(*_ready(spark, sf_dir), RUN_ID, RUN_TS)
+    silver.append_quality_log(records, log)
+    return silver.append_quality_log(records, log)
+
+
+_broken_runs: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _broken_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A Silver run with a table whose source is missing, one with every key twice, and references to both."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _broken_runs:
+        tables = TestTables(spark, sf_dir)
+
+        def api_only(name: str, df: DataFrame) -> DataFrame:
+            return silver.build_api_only(df, KEYS[name], RUN_TS, RUN_ID)
+
+        def twice() -> DataFrame:
+            suppliers = api_only("Suppliers", tables.suppliers())
+            return suppliers.unionByName(suppliers)
+
+        made = silver.run({
+            "Shippers": lambda: api_only("Shippers", spark.read.parquet(f"{sf_dir}/no_such_table.parquet")),
+            "Suppliers": twice, "Regions": lambda: api_only("Regions", tables.regions()),
+            "Products": lambda: silver.refine_merged(_merged(spark, sf_dir, "Products")),
+            "Orders": lambda: silver.refine_merged(_merged(spark, sf_dir, "Orders")),
+        }, new_path(spark, "silver"))
+        failures = made.failures(spark).withColumn("error", F.lit("failed"))  # the message names a path
+        found = silver.references(made.tables, KEYS, DECLARED_FOREIGN_KEYS)
+        _broken_runs[at] = {
+            "quality": materialise(silver.quality(made.tables, KEYS, failures), "broken-quality"),
+            "integrity": materialise(silver.referential_integrity(made.tables, found), "broken-integrity"),
+            "sources": materialise(silver.provenance(made.tables, failures), "broken-sources"), "failures": failures}
+    return _broken_runs[at]
+
+
+def _broken_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = _broken_run(spark, sf_dir)
+    return silver.readiness(checked["quality"], checked["integrity"], checked["failures"])
+
+
+@query
+def c14_readiness_of_a_broken_run(spark, sf_dir):
+    return _broken_ready(spark, sf_dir)
+
+
+@query
+def c14_log_of_a_broken_run(spark, sf_dir):
+    return silver.quality_log(_broken_run(spark, sf_dir)["quality"], _broken_ready(spark, sf_dir), RUN_ID, RUN_TS).drop("details_json")
+
+
+@query
+def c15_summary_of_a_broken_run(spark, sf_dir):
+    checked = _broken_run(spark, sf_dir)
+    return silver.summary(checked["quality"], _broken_ready(spark, sf_dir), checked["sources"])
+
+
+@query
+def c15_outcome_of_a_broken_run(spark, sf_dir):
+    return silver.run_outcome(c15_summary_of_a_broken_run(spark, sf_dir))
+
+
 @query
 def c15_silver_summary(spark, sf_dir):
     return silver.summary(*_ready(spark, sf_dir), checks(spark, sf_dir)["c15_provenance"])
@@ -594,6 +753,50 @@ def c20_sales_of_current_versions(spark, sf_dir):
         F.count("*").alias("lines"), F.sum("Quantity").alias("quantity"), F.sum("LineTotal").cast("double").alias("line_total"))
 
 
+_medallions: dict[tuple[str, str], Star] = {}
+
+
+def medallion(spark: SparkSession, sf_dir: str) -> Star:
+    """Both feeds landed, resolved, merged and refined; the star is built from the written Silver tables."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _medallions:
+        tables, bronze_root, schema = TestTables(spark, sf_dir), new_path(spark, "bronze"), f"{_name('run')}_"
+        all_or_raise(for_each_table({n: partial(df.write.parquet, f"{bronze_root}/bronze_{n}") for n, df in tables.all().items()}))
+        sheets = {"Customers": tables.incoming_customers, "Products": tables.incoming_products,
+                  "Orders": tables.incoming_orders, "OrderDetails": tables.incoming_order_details}
+        bronze.land(spark, sheets, bronze_root, RUN_ID, RUN_TS)
+
+        def landed(feed: str) -> dict[str, Callable[[], DataFrame]]:
+            return {t: partial(reader.resolve, spark, bronze_root, t, feed) for t in MERGED}
+
+        silver.merge_run(spark, MERGED.values(), landed("API"), landed("Excel"), _tables_root(spark), RUN_TS, schema)
+        makers = {t: partial(lambda name: silver.refine_merged(spark.table(name)), f"{schema}{silver_name(t)}") for t in MERGED}
+        makers |= {t: partial(lambda table: silver.build_api_only(reader.resolve(spark, bronze_root, table), KEYS[table], RUN_TS, RUN_ID), t)
+                   for t in KEYS if t not in MERGED}
+        made = silver.run(makers, new_path(spark, "silver"))
+        all_or_raise(made.errors)
+        root = new_path(spark, "gold")
+        gold.build(made.tables, root)
+        _medallions[at] = gold.open_star(spark, root)
+    return _medallions[at]
+
+
+@query
+def c22_report_from_bronze(spark, sf_dir):
+    """Bronze to Silver to Gold to a report: sales by year and category from what the jobs wrote."""
+    return m.values(medallion(spark, sf_dir), ["DimDate.Year", "DimCategories.CategoryName"], "total_sales", "line_total", "total_orders",
+                    "active_customers", "total_quantity")
+
+
+@query
+def c20_fact_from_bronze(spark, sf_dir):
+    """The fact at the end of the same chain, by country: lines, amounts and how many keys were found."""
+    return medallion(spark, sf_dir).tables["Sales"].groupBy("ShipCountry").agg(
+        F.count("*").alias("lines"), F.sum("Quantity").alias("quantity"), F.sum("LineTotal").cast("double").alias("line_total"),
+        F.count("CustomerKey").alias("customers"), F.count("ProductKey").alias("products"), F.count("EmployeeKey").alias("employees"),
+        F.count("ShipperKey").alias("shippers"), F.count("OrderDateKey").alias("dated"))
+
+
 @query
 def c21_sync_table(spark, sf_dir):
     """First sync creates, second has the columns in another order, third has one more."""
@@ -612,8 +815,21 @@ def u04_column_and_row_difference(spark, sf_dir):
     base, other = TestTables(spark, sf_dir).shippers(), TestTables(spark, sf_dir).regions().toDF("ShipperID", "CompanyName")
     other = other.where("ShipperID > 0").unionByName(
         TestTables(spark, sf_dir).employees().select(F.col("EmployeeID").alias("ShipperID"), F.col("FirstName").alias("CompanyName")))
-    left = base.exceptAll(other).withColumn("side", F.lit("left"))
-    return left.unionByName(other.exceptAll(base).withColumn("side", F.lit("right")))
+    return _expanded(sinks.row_difference(base, other))
+
+
+def _expanded(difference: DataFrame) -> DataFrame:
+    """One row for each copy."""
+    return difference.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).drop("copies")
+
+
+@query
+def u04_difference_of_two_versions(spark, sf_dir):
+    """All orders against a later version: some changed, some gone, some twice."""
+    before = _orders(spark, sf_dir)
+    key = F.col("o_orderkey")
+    after = before.where(key % 7 > 0).withColumn("o_totalprice", F.when(key % 10 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return sinks.row_difference(before, after.unionByName(after.where(key % 9 == 0)))
 
 
 # ---- scalar functions, ranking ------------------------------------------------------------------
@@ -689,6 +905,11 @@ on_star("m15_peak_month", lambda s: m.peak_month(s).select("peak_month"))
 on_star("m16_peak_month_sales", lambda s: m.peak_month(s).select("peak_month_sales"))
 on_star("m17_top10_customers_sales", lambda s: m.top_customers_sales(s).select("top10_customers_sales"))
 on_star("m18_top10_share", lambda s: m.top_customers_sales(s.filtered({"DimCustomers.Region": ["ASIA"]})).select("top10_share"))
+on_star("m18_all_customers", lambda s: m.top_customers_sales(s).select("top10_share"))
+on_star("m11_all_years", lambda s: m.best_year(s).select("best_year_sales"))
+on_star("m28_all_years", insights.glance_recommendation)
+on_star("m49_all_categories", m.reorder_table)
+on_star("m50_all_years", lambda s: insights.glance_insight(s, COMPANY))
 on_star("m19_active_customers", lambda s: m.values(s, YEAR, "active_customers"))
 on_star("m20_on_time_rate", lambda s: m.on_time_rate(s, ["DimShippers.CompanyName"]))
 on_star("m21_unshipped_orders", lambda s: m.values(s, ["Sales.ShipCountry"], "unshipped_orders"))

@@ -61,11 +61,17 @@ def classify(baseline: DataFrame, incoming: DataFrame, entity: Entity) -> DataFr
     return both.withColumn("status", status)
 
 
-def merge(baseline: DataFrame, incoming: DataFrame, entity: Entity, run_ts: datetime | str) -> DataFrame:
+# The column of a version that tells what became of its key, if it is asked for.
+OUTCOME = "_outcome"
+
+
+def merge(baseline: DataFrame, incoming: DataFrame, entity: Entity, run_ts: datetime | str, outcome: bool = False) -> DataFrame:
     """The history table of two prepared feeds (one row per key each).
 
     Same key and content: the baseline stays current. Other content: the baseline is closed at run
     time and the incoming row becomes current as an update. New key: the incoming row, as an insert.
+    With ``outcome`` each version also carries the status of its key. A baseline that is bucketed by
+    the keys is joined where it lies, so that only the feed is moved.
     """
     run = timestamp(run_ts)
     start = timestamp(BASELINE_START)
@@ -81,7 +87,8 @@ def merge(baseline: DataFrame, incoming: DataFrame, entity: Entity, run_ts: date
     updated = F.when(changed, version("new", _version(EXCEL, run, "U")))
     inserted = F.when(added, version("new", _version(EXCEL, run, "I")))
     versions = F.array_compact(F.array(F.coalesce(kept, closed), F.coalesce(updated, inserted)))
-    return classify(baseline, incoming, entity).select(F.explode(versions).alias("v")).select("v.*")
+    told = [F.col("status").alias(OUTCOME)] if outcome else []
+    return classify(baseline, incoming, entity).select(F.explode(versions).alias("v"), *told).select("v.*", *[OUTCOME] * outcome)
 
 
 def merge_counts(classified: DataFrame) -> DataFrame:

@@ -3,58 +3,82 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_KEY_SIZE = 3
+# Relative standard error of a distinct-value sketch, and by how many errors it must fall short to rule a key out.
+SKETCH_ERROR, SURE = 0.02, 8
+SKETCHES_A_PASS = 400
+
+
+@dataclass(frozen=True)
+class Key:
+    """Columns of a primary key, and whether they were shown to be unique and never null."""
+
+    columns: list[str]
+    proven: bool
 
 
 def id_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.lower().endswith("id")]
 
 
-def infer_primary_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> list[str]:
+def infer_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> Key:
     """The first id column, else the smallest combination of them, that is unique and never null.
 
-    One aggregate decides all single columns; each further size is one more, and only for
-    combinations that could have as many values as there are rows. An empty table has no key, a
-    table without id columns has its first column, one without a unique combination has all ids.
+    One aggregate counts nulls and takes a distinct-value sketch of every combination of up to ``max_size`` id columns.
+    A combination whose sketch falls short of the rows by eight standard errors cannot be unique;
+    the others are counted exactly, in order, until one holds. An empty table has no key. A table
+    without id columns has its first column, one without a unique combination has all ids; whether
+    these are unique is counted too, and said.
     """
     ids = id_columns(df)
     if not ids:
-        return [] if not df.columns or df.isEmpty() else [df.columns[0]]
-    singles = [(c,) for c in ids]
-    total, distinct = _distinct_counts(df, singles, ids)
+        if not df.columns or df.isEmpty():
+            return Key([], False)
+        return Key([df.columns[0]], _is_key(df, [df.columns[0]]))
+    total, filled = _filled(df, ids)
     if total == 0:
-        return []
-    for size in range(1, min(max_size, len(ids)) + 1):
-        if size > 1:
-            tried = [c for c in combinations(ids, size) if _could_be_unique(c, distinct, total)]
-            if not tried:
-                continue
-            distinct.update(_distinct_counts(df, tried, ids)[1])
-        for combination in combinations(ids, size):
-            if distinct.get(combination) == total:
-                return list(combination)
-    return ids
-
-
-def _distinct_counts(df: DataFrame, candidates: list[tuple[str, ...]], ids: list[str]) -> tuple[int, dict]:
-    """Row count, and per candidate the number of distinct values among its rows without nulls."""
-    counts = [F.count_distinct(*c).alias(f"c{i}") for i, c in enumerate(candidates)]
-    row = df.select(*ids).agg(F.count(F.lit(1)).alias("n"), *counts).first()
-    return row["n"], {c: row[f"c{i}"] for i, c in enumerate(candidates)}
-
-
-def _could_be_unique(columns: tuple[str, ...], distinct: dict, total: int) -> bool:
-    """A combination has at most the product of the value counts of its parts."""
-    bound = 1
-    for c in columns:
-        bound *= distinct[(c,)]
-    return bound >= total
+        return Key([], False)
+    complete = [c for c in ids if filled[c] == total]
+    tried = [list(c) for size in range(1, min(max_size, len(complete)) + 1) for c in combinations(complete, size)]
+    for columns in _possible(df, tried, total):
+        if _is_key(df, columns):
+            return Key(columns, True)
+    return Key(ids, complete == ids and len(ids) > max_size and _is_key(df, ids))
+
+
+def infer_primary_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> list[str]:
+    """The columns of the inferred key."""
+    return infer_key(df, max_size).columns
+
+
+def _filled(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return row["n"], {c: row[f"c{i}"] for i, c in enumerate(columns)}
+
+
+def _possible(df: DataFrame, tried: list[list[str]], total: int) -> Iterator[list[str]]:
+    """The combinations that may have as many values as there are rows; a pass sketches a bounded number."""
+    enough = total * (1 - SURE * SKETCH_ERROR)
+    for a in range(0, len(tried), SKETCHES_A_PASS):
+        part = tried[a:a + SKETCHES_A_PASS]
+        sketches = [F.approx_count_distinct(F.struct(*c), SKETCH_ERROR).alias(f"c{i}") for i, c in enumerate(part)]
+        row = df.agg(*sketches).first()
+        yield from (c for i, c in enumerate(part) if row[f"c{i}"] >= enough)
+
+
+def _is_key(df: DataFrame, columns: list[str]) -> bool:
+    """Whether no value repeats and none is null; plain counts per value, which end at the first repeat found."""
+    nulls = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in columns])
+    wrong = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).where((F.col("_rows") > 1) | nulls)
+    return wrong.isEmpty()
 
 
 def infer_foreign_keys(table: str, columns: list[str], keys: Mapping[str, list[str]]) -> list[tuple[str, str, str]]:

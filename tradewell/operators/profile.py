@@ -1,4 +1,4 @@
-"""Profiles and checks of one table, each in a single aggregation over it."""
+"""Profiles and checks of one table."""
 
 from __future__ import annotations
 
@@ -22,14 +22,19 @@ def _total(column: str, dtype: T.DataType) -> str:
     return f"CAST(sum(`{column}`) AS DOUBLE)"
 
 
-def duplicate_count(keys: list[str], among: Column | None = None) -> Column:
-    """Rows minus distinct keys; null keys count as a key like any other."""
+def duplicate_keys(df: DataFrame, keys: list[str], among: Column | None = None) -> Column:
+    """Rows minus distinct keys as a struct ``all`` and, of the rows where ``among`` holds, ``among``.
+
+    Rows are counted per key first and the counts are added, so both come from one narrow shuffle of
+    the keys, whose copies meet in the tasks that read them. Null keys count as a key like any other.
+    """
+    zero = F.lit(0).cast("bigint")
     if not keys:
-        return F.lit(0).cast("bigint")
-    key = F.struct(*keys)
-    if among is None:
-        return F.count(F.lit(1)) - F.count_distinct(key)
-    return F.count_if(among) - F.count_distinct(F.when(among, key))
+        return F.struct(zero.alias("all"), zero.alias("among"))
+    counted = F.count_if(among) if among is not None else F.count(F.lit(1))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), counted.alias("_among"))
+    extra = [F.coalesce(F.sum(F.greatest(F.col(c) - 1, zero)), zero).alias(n) for c, n in (("_rows", "all"), ("_among", "among"))]
+    return per_key.agg(F.struct(*extra)).scalar()
 
 
 def null_count(column: str) -> Column:
@@ -62,7 +67,10 @@ def numeric_profile(df: DataFrame) -> DataFrame:
 
 
 def source_profile(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: rows, duplicate keys, null keys, null counts of all columns, numeric aggregates."""
+    """One row: rows, duplicate keys, null keys, null counts of all columns, numeric aggregates.
+
+    One aggregate over all columns, which needs no shuffle of rows, and one over the keys alone.
+    """
     keys = [k for k in keys if k in df.columns]
     numbers = numeric_columns(df)
     types = {f.name: f.dataType for f in df.schema}
@@ -71,10 +79,10 @@ def source_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     sums = [f"{_total(c, types[c])} AS `{c}_sum`" for c in numbers]
     edges = [f"CAST({f}(`{c}`) AS DOUBLE) AS `{c}_{f}`" for c in numbers for f in ("min", "max")]
     aggregates = f"to_json(struct({', '.join([*sums, *edges])}))" if numbers else "'{}'"
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"), duplicate_count(keys).alias("duplicates"),
-        F.expr(required).alias("null_keys"), F.expr(f"to_json(struct({nulls}))").alias("nulls_json"),
-        F.expr(aggregates).alias("aggregates_json"))
+    row = df.agg(
+        F.count(F.lit(1)).alias("row_count"), F.expr(required).alias("null_keys"),
+        F.expr(f"to_json(struct({nulls}))").alias("nulls_json"), F.expr(aggregates).alias("aggregates_json"))
+    return row.select("row_count", duplicate_keys(df, keys)["all"].alias("duplicates"), "null_keys", "nulls_json", "aggregates_json")
 
 
 def counts_by_source(df: DataFrame) -> DataFrame:

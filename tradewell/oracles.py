@@ -46,20 +46,20 @@ new_customers AS (
   SELECT * REPLACE (CASE WHEN CAST(CustomerID AS BIGINT) % 10 = 0 THEN ContactTitle || ' (NEW)' ELSE ContactTitle END AS ContactTitle)
   FROM src_customers WHERE CAST(CustomerID AS BIGINT) % 10 IN (0, 1)
   UNION ALL
-  SELECT * REPLACE (CAST(CAST(CustomerID AS BIGINT) + 10000000 AS VARCHAR) AS CustomerID)
+  SELECT * REPLACE (CAST(CAST(CustomerID AS BIGINT) + (SELECT max(c_custkey) FROM customer) AS VARCHAR) AS CustomerID)
   FROM src_customers WHERE CAST(CustomerID AS BIGINT) % 50 = 7),
 new_products AS (
   SELECT * REPLACE (CASE WHEN ProductID % 10 = 0 THEN UnitsInStock + 100 ELSE UnitsInStock END AS UnitsInStock)
   FROM src_products WHERE ProductID % 10 IN (0, 1)
-  UNION ALL SELECT * REPLACE (ProductID + 10000000 AS ProductID) FROM src_products WHERE ProductID % 50 = 7),
+  UNION ALL SELECT * REPLACE (ProductID + (SELECT max(p_partkey) FROM part) AS ProductID) FROM src_products WHERE ProductID % 50 = 7),
 new_orders AS (
   SELECT * REPLACE (CASE WHEN OrderID % 10 = 0 THEN Freight + 1 ELSE Freight END AS Freight)
   FROM src_orders WHERE OrderID % 10 IN (0, 1)
-  UNION ALL SELECT * REPLACE (OrderID + 10000000 AS OrderID) FROM src_orders WHERE OrderID % 50 = 7),
+  UNION ALL SELECT * REPLACE (OrderID + (SELECT max(o_orderkey) FROM orders) AS OrderID) FROM src_orders WHERE OrderID % 50 = 7),
 new_details AS (
   SELECT * REPLACE (CASE WHEN OrderID % 10 = 0 THEN Quantity + 1 ELSE Quantity END AS Quantity)
   FROM src_details WHERE OrderID % 10 IN (0, 1)
-  UNION ALL SELECT * REPLACE (OrderID + 10000000 AS OrderID) FROM src_details WHERE OrderID % 50 = 7)
+  UNION ALL SELECT * REPLACE (OrderID + (SELECT max(o_orderkey) FROM orders) AS OrderID) FROM src_details WHERE OrderID % 50 = 7)
 """
 
 _RUN = "TIMESTAMP '2026-02-01 00:00:00'"
@@ -67,7 +67,7 @@ _BASE = "TIMESTAMP '2026-01-01 00:00:00'"
 
 
 def _text(column: str, kind: str) -> str:
-    inner = {"double": f"CAST(CAST({column} AS DECIMAL(38,10)) AS VARCHAR)",
+    inner = {"double": f"CAST(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,10)) AS VARCHAR)",
              "date": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}.get(kind, f"CAST({column} AS VARCHAR)")
     return f"coalesce({inner}, '<NULL>')"
 
@@ -397,6 +397,42 @@ judged AS (
     CASE WHEN api_count <> api_source_count THEN 'API count mismatch: expected=' || api_source_count || ', actual=' || api_count END,
     CASE WHEN api_pk_duplicates > 0 THEN api_pk_duplicates || ' duplicate API PK rows' END), '') END AS found FROM validated)"""
 
+def _refined(name: str) -> str:
+    """A merged table as Silver keeps it: dates parsed, null text filled, all versions."""
+    numbers = {"SupplierID", "CategoryID", "UnitsInStock", "UnitsOnOrder", "ReorderLevel", "Discontinued", "EmployeeID", "ShipVia", "Quantity"}
+    shown = [f"CAST({c} AS TIMESTAMP) AS {c}" if k == "date" else c if k == "double" or c in numbers or (c in _KEYS[name] and name != "customers")
+             else f"coalesce({c}, 'Unknown') AS {c}" for c, k in _HASHED[name].items()]
+    return _merged([name], f"SELECT {', '.join(shown)}, source_system, effective_start, effective_end, is_current, created_at, modified_at, operation, row_hash FROM h_{name}")
+
+
+def _api_only(columns: dict[str, str], source: str) -> str:
+    """A table of the API feed alone as Silver keeps it."""
+    hashed = " || '||' || ".join(f"CAST({c} AS VARCHAR)" for c in columns.values())
+    shown = ", ".join(f"{c} AS {n}" for n, c in columns.items())
+    return (f"SELECT {shown}, {_RUN} AS ingested_at, 'API' AS source_system, {_RUN} AS effective_start, CAST(NULL AS TIMESTAMP) AS effective_end, "
+            f"true AS is_current, {_RUN} AS created_at, {_RUN} AS modified_at, 'I' AS operation, sha256({hashed}) AS row_hash, 'run-1' AS _run_id FROM {source}")
+
+
+_BROKEN = _silver(""" , broken AS (
+  SELECT table_name, primary_key, row_count, current_rows, historical_rows, 0 AS dup, all_api_rows, all_excel_rows, current_api_rows, current_excel_rows
+  FROM silver_counts WHERE table_name IN ('Regions', 'Products', 'Orders')
+  UNION ALL SELECT table_name, primary_key, 2 * row_count, 2 * current_rows, 0, row_count, 2 * row_count, 0, 2 * row_count, 0 FROM silver_counts WHERE table_name = 'Suppliers'
+  UNION ALL SELECT 'Shippers', '', 0, 0, 0, 0, 0, 0, 0, 0),
+refs AS (SELECT table_name, string_agg(reference, ', ' ORDER BY reference) AS lost FROM orphan_counts
+         WHERE orphan_count > 0 AND reference IN ('SupplierID -> Suppliers.SupplierID') GROUP BY table_name),
+broken_ready AS (
+  SELECT b.*, CASE WHEN table_name = 'Shippers' THEN 'Silver transformation failed' ELSE concat_ws('; ',
+    CASE WHEN dup > 0 THEN 'Duplicate current keys found' END,
+    CASE WHEN lost IS NOT NULL THEN 'Referential integrity failures: ' || lost END) END AS reasons,
+    CASE WHEN table_name = 'Shippers' THEN 'failed' WHEN dup > 0 THEN dup || ' duplicate current PK rows' END AS error
+  FROM broken b LEFT JOIN refs USING (table_name))""")
+
+_CURRENT_DIMS = """
+  cur_orders AS (SELECT * FROM h_orders WHERE is_current), cur_details AS (SELECT * FROM h_details WHERE is_current),
+  cur_products AS (SELECT * FROM h_products WHERE is_current), cur_customers AS (SELECT * FROM h_customers WHERE is_current)"""
+_FROM_BRONZE = "cur_details d LEFT JOIN cur_orders o USING (OrderID) LEFT JOIN cur_products p USING (ProductID) LEFT JOIN cur_customers c USING (CustomerID)"
+
+
 _CURRENT_FACT = f"""
   SELECT o.ShipCountry, count(*) AS lines, CAST(sum(d.Quantity) AS BIGINT) AS quantity, CAST(sum({_LINE}) AS DOUBLE) AS line_total
   FROM (SELECT * FROM h_details WHERE is_current) d LEFT JOIN (SELECT * FROM h_orders WHERE is_current) o USING (OrderID) GROUP BY o.ShipCountry"""
@@ -680,4 +716,82 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT DISTINCT 'ShipCountry', ShipCountry FROM sales UNION ALL SELECT DISTINCT 'CategoryName', CategoryName FROM dim_categories
             UNION ALL SELECT DISTINCT 'FirstName', FirstName FROM dim_employees"""),
     }
+    sql |= _whole_tables()
     return sql
+
+
+def _whole_tables() -> dict[str, str]:
+    """Whole-table forms, the other merges and Silver tables, and runs with failures."""
+    details = {"OrderID": "bigint", "ProductID": "bigint", "Quantity": "bigint", "UnitPrice": "double", "Discount": "double"}
+    feeds = {"API": "(SELECT * FROM raw_details)", "Excel": "new_details"}
+    facts = []
+    for feed, table in feeds.items():
+        for c, kind in details.items():
+            total = f"CAST(sum({'CAST(' + c + ' AS DECIMAL(28,6))' if kind == 'double' else c}) AS DOUBLE)"
+            facts += [f"SELECT 'null_counts_by_column' AS field, '{feed}' AS feed, '{c}' AS name, CAST(count(*) - count({c}) AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS dtype FROM {table}",
+                      f"SELECT 'dtypes', '{feed}', '{c}', NULL, '{kind}'"]
+            facts += [f"SELECT 'combined_bronze_aggs', '{feed}', '{c}_{n}', {v}, NULL FROM {table}" for n, v in (
+                ("sum", total), ("min", f"CAST(min({c}) AS DOUBLE)"), ("max", f"CAST(max({c}) AS DOUBLE)"))]
+    found = {
+        "s09_publish_whole": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders",
+        "s11_append_every_status": """SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_custkey END AS o_custkey,
+            CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+        "c02_copy_log_appended": """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS pipeline_run_id, o_orderpriority AS table_name,
+            CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status, '2026-02-01 00:00:00' AS run_timestamp FROM orders""",
+        "x17_json_details": _feed(" UNION ALL ".join(facts)),
+        "c04_validation_fields": f"""WITH {_SOURCES}, {_FEEDS}, {_VALIDATION} SELECT 'run-1' AS run_id, '2026-02-01 00:00:00' AS run_timestamp, table_name,
+            excel_count AS excel_source_count, CASE WHEN excel_count IS NOT NULL THEN true END AS excel_count_match,
+            CAST(api_pk_duplicates AS BIGINT) AS full_duplicate_count, inferred_pk AS required_columns, '{{}}' AS excel_source_aggs,
+            'not_compared' AS aggs_match, '{{}}' AS agg_diffs FROM judged""",
+        "c06_merge_products": _merged(["products"], "SELECT * FROM h_products"),
+        "c06_merge_orders": _merged(["orders"], "SELECT * FROM h_orders"),
+        "d02_history_is_not_deduplicated": _merged(["orders"], "SELECT OrderID, is_current, operation FROM h_orders"),
+        "u05_whole_row_distinct": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem",
+        "c09_wide_keys": """SELECT 'orders_in_parts' AS table_name, 'part0_id,part1_id,part2_id,rest_id' AS primary_key,
+            (SELECT count(*) = count(DISTINCT o_orderkey) FROM orders) AS proven
+            UNION ALL SELECT 'lines_without_key', 'a_id,b_id,c_id,d_id', (SELECT count(*) <= 24 FROM lineitem)""",
+        "c14_quality_log_details": _ready("""SELECT 'run-1' AS run_id, '2026-02-01 00:00:00' AS run_timestamp, table_name, primary_key, reasons = '' AS gold_ready, reasons,
+            '{"table_name":"' || table_name || '","primary_key":"' || primary_key || '","row_count":' || row_count || ',"current_rows":' || current_rows ||
+            ',"historical_rows":' || historical_rows || ',"duplicate_pk_count":' || historical_rows || ',"current_duplicate_pk_count":0,"nulls":"' ||
+            CASE WHEN table_name = 'Orders' THEN (SELECT '{\\"ShippedDate\\":{\\"null_count\\":' || count(*) FILTER (ShippedDate IS NULL) || ',\\"null_pct\\":' ||
+              round(CAST(count(*) FILTER (ShippedDate IS NULL) AS DOUBLE) / count(*) * 100, 2) || '}}' FROM h_orders) ELSE '{}' END ||
+            '","status":"PASSED"}' AS details_json FROM ready"""),
+        "c14_readiness_of_a_broken_run": _BROKEN + " SELECT table_name, reasons = '' AS gold_ready, reasons FROM broken_ready",
+        "c14_log_of_a_broken_run": _BROKEN + """ SELECT 'run-1' AS run_id, '2026-02-01 00:00:00' AS run_timestamp, table_name, primary_key,
+            reasons = '' AS gold_ready, reasons FROM broken_ready""",
+        "c15_summary_of_a_broken_run": _BROKEN + """ SELECT 'silver_' || lower(table_name) AS "table", CASE WHEN error IS NULL THEN 'PASSED' ELSE 'FAILED' END AS status,
+            row_count AS final_rows, current_rows, historical_rows, all_api_rows, all_excel_rows, current_api_rows, current_excel_rows,
+            reasons = '' AS gold_ready, error FROM broken_ready""",
+        "c15_outcome_of_a_broken_run": _BROKEN + """ SELECT CASE WHEN count(error) > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS overall_status, count(*) AS tables_discovered,
+            count(*) - count(error) AS total_succeeded, count(error) AS total_failed, count(*) FILTER (reasons <> '') AS tables_not_gold_ready FROM broken_ready""",
+        "c22_report_from_bronze": _merged(list(_HASHED), f""", {_CURRENT_DIMS} SELECT CAST(year(CAST(o.OrderDate AS TIMESTAMP)) AS INTEGER) AS "Year",
+            CASE WHEN p.ProductID IS NULL THEN NULL WHEN p.CategoryID BETWEEN 1 AND 8 THEN 'Category ' || p.CategoryID ELSE 'Others' END AS CategoryName,
+            CAST(sum(CAST(d.Quantity * d.UnitPrice * (1 - d.Discount) AS DECIMAL(18,4))) AS DOUBLE) AS total_sales, CAST(sum({_LINE}) AS DOUBLE) AS line_total,
+            count(DISTINCT o.OrderID) AS total_orders, count(DISTINCT c.CustomerID) AS active_customers, CAST(sum(d.Quantity) AS BIGINT) AS total_quantity
+            FROM {_FROM_BRONZE} GROUP BY ALL"""),
+        "c20_fact_from_bronze": _merged(list(_HASHED), f""", {_CURRENT_DIMS} SELECT o.ShipCountry, count(*) AS lines, CAST(sum(d.Quantity) AS BIGINT) AS quantity,
+            CAST(sum({_LINE}) AS DOUBLE) AS line_total, count(c.CustomerID) AS customers, count(p.ProductID) AS products, count(o.EmployeeID) AS employees,
+            count(o.ShipVia) AS shippers, count(o.OrderDate) AS dated FROM {_FROM_BRONZE} GROUP BY o.ShipCountry"""),
+        "u04_difference_of_two_versions": f"""WITH a AS (SELECT {_O} FROM orders),
+            b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM a WHERE o_orderkey % 7 > 0),
+            c AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE o_orderkey % 9 = 0)
+            SELECT *, 'left' AS side, count(*) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM c) GROUP BY ALL
+            UNION ALL SELECT *, 'right', count(*) FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM a) GROUP BY ALL""",
+        "m18_all_customers": _star(f"SELECT sum(v) / (SELECT {_NET} FROM s) AS top10_share FROM ({_top('CustomerKey', 10)})"),
+        "m11_all_years": _star('SELECT ' + _largest('"Year"', "v") + " AS best_year_sales"),
+        "m49_all_categories": _dim(_REORDER),
+        "m50_all_years": _star(f"""SELECT total_sales, total_orders, 'All Years' AS "year", 'In All Years, the company generated $' || {_whole('total_sales')} || ' in revenue across ' || {_whole('total_orders')} || ' orders.' AS answer
+            FROM (SELECT {_NET} AS total_sales, count(DISTINCT OrderID) AS total_orders FROM s)"""),
+        "m28_all_years": _star(f"""SELECT last_year, yoy, 'Overall performance is ' || CASE WHEN coalesce(yoy, 0) >= 0 THEN 'up ' || coalesce({_pct('yoy')}, '') ELSE 'down ' || {_pct('abs(yoy)')} END || ' year-over-year. ' ||
+            CASE WHEN coalesce(yoy, 0) >= 0 THEN 'Double down on this year''s top category and channel.' ELSE 'Investigate what drove the decline before setting next quarter''s budget.' END AS answer
+            FROM (SELECT last_year, (coalesce((SELECT CAST(sum(LineTotal) AS DOUBLE) FROM s WHERE "Year" = last_year), 0) - b) / nullif(b, 0) AS yoy
+                  FROM (SELECT last_year, (SELECT CAST(sum(LineTotal) AS DOUBLE) FROM s WHERE "Year" = last_year - 1) AS b
+                        FROM (SELECT max("Year") AS last_year FROM dim_date)))"""),
+        "c10_silver_categories": _api_only({"CategoryID": "id", "CategoryName": "'Category ' || CAST(id AS VARCHAR)"}, "(SELECT DISTINCT CAST(p_size % 10 + 1 AS BIGINT) AS id FROM part)"),
+        "c10_silver_employees": _api_only({"EmployeeID": "CAST(n_nationkey AS BIGINT)", "LastName": "'R' || CAST(n_regionkey AS VARCHAR)", "FirstName": "n_name"}, "nation"),
+        "c10_silver_regions": _api_only({"RegionID": "CAST(r_regionkey AS BIGINT)", "RegionDescription": "r_name"}, "region"),
+        "c10_silver_shippers": _api_only({"ShipperID": "CAST(r_regionkey AS BIGINT)", "CompanyName": "r_name"}, "region"),
+        "c10_silver_suppliers": _api_only({"SupplierID": "s_suppkey", "CompanyName": "s_name"}, "supplier"),
+        "c10_silver_territories": _api_only({"TerritoryID": "CAST(n_nationkey AS VARCHAR)", "TerritoryDescription": "n_name", "RegionID": "CAST(n_regionkey AS BIGINT)"}, "nation"),
+    }
+    return found | {f"c10_silver_{t}": _refined(n) for n, t, _ in _MERGED_NAMES}

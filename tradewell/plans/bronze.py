@@ -13,7 +13,7 @@ from tradewell.config import EXCEL, EXCEL_PREFIX, KEYS, table_name
 from tradewell.operators.clean import nan_to_null, sanitise_names
 from tradewell.operators.profile import numeric_columns, source_profile
 from tradewell.session import for_each_table, materialise
-from tradewell.sources.sinks import append, read_log
+from tradewell.sources.sinks import append_run, read_log
 
 Source = Callable[[], DataFrame]
 
@@ -39,9 +39,10 @@ def land_sheet(df: DataFrame, table: str, root: str) -> DataFrame:
 
 
 def land(spark: SparkSession, sheets: Mapping[str, Source], root: str, run_id: str, run_ts: str) -> DataFrame:
-    """Land every sheet and append one audit row each; a failing or empty sheet does not stop the rest.
+    """Land every sheet and log one audit row each; a failing or empty sheet does not stop the rest.
 
-    Rows are counted on the written files, whose footers hold the number.
+    Rows are counted on the written files, whose footers hold the number. A run that is repeated
+    replaces its rows in the log.
     """
     def run(table: str, source: Source) -> tuple:
         df = source()
@@ -54,7 +55,7 @@ def land(spark: SparkSession, sheets: Mapping[str, Source], root: str, run_id: s
     audit = [(run_id, table, None, 0, 0, run_ts, error_text(r)) if isinstance(r, Exception) else r
              for table, r in results.items()]
     log = f"{root.rstrip('/')}/{EXCEL_PREFIX}load_log"
-    append(spark.createDataFrame(audit, AUDIT_SCHEMA), log)
+    append_run(spark.createDataFrame(audit, AUDIT_SCHEMA), log)
     return read_log(spark, log)
 
 
@@ -70,6 +71,12 @@ def copy_log(runs: DataFrame, run_ts: str) -> DataFrame:
                         "status", F.lit(run_ts).alias("run_timestamp"))
 
 
+def append_copy_log(runs: DataFrame, run_ts: str, log: str) -> DataFrame:
+    """The rows of ``copy_log`` in the log at a path; a run that reports again replaces its rows."""
+    append_run(copy_log(runs, run_ts), log, "pipeline_run_id")
+    return read_log(runs.sparkSession, log)
+
+
 # ---- validation ---------------------------------------------------------------------------------
 
 def expected_counts(spark: SparkSession, text: str | None) -> dict[str, str | None]:
@@ -102,7 +109,7 @@ def _json_pair(api: Column, excel: Column) -> Column:
 def validate_bronze(spark: SparkSession, table: str, api: DataFrame | None, excel: DataFrame | None, *,
                     run_id: str, run_ts: str, expected: object = None, is_api: bool = True,
                     is_excel: bool = False) -> DataFrame:
-    """The validation record of one table. Each feed is read once, by one aggregate."""
+    """The validation record of one table, from an aggregate over each feed and one over its keys."""
     first = api if api is not None else excel
     keys = [k for k in KEYS.get(table, []) if first is not None and k in first.columns]
     profiles = spark.createDataFrame([], PROFILE_SCHEMA)
@@ -161,7 +168,7 @@ def validate_all(spark: SparkSession, tables: Iterable[str], api: Mapping[str, S
     """Validate every table into a log; one that cannot be read is recorded as failed.
 
     Each record is computed by its own job, so a broken table costs only its own record; the log
-    gets all records, one row per table, in one write.
+    gets all records, one row per table, in one write; a run that is repeated replaces its records.
     """
     excel_tables = set(excel_tables)
 
@@ -179,7 +186,7 @@ def validate_all(spark: SparkSession, tables: Iterable[str], api: Mapping[str, S
             record = validate_bronze(spark, table, None, None, **facts(table))
             result = record.withColumn("failure_reason", F.lit(error_text(result)))
         records.append(result)
-    append(reduce(DataFrame.unionByName, records), log)
+    append_run(reduce(DataFrame.unionByName, records), log)
     return read_log(spark, log)
 
 

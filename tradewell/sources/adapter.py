@@ -17,7 +17,6 @@ from tradewell.operators.clean import dedup, project
 
 LINE_ORDER = ["l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
               "l_tax", "l_returnflag", "l_linestatus"]
-NEW_KEY_OFFSET = 10_000_000
 
 _schemas: dict[str, T.StructType] = {}
 
@@ -141,25 +140,29 @@ class TestTables:
     # The second feed: of every ten keys one is changed and one is sent unchanged, and some keys are new.
 
     def incoming_customers(self) -> DataFrame:
-        return self._incoming(self.customers(), "CustomerID", "ContactTitle", F.concat("ContactTitle", F.lit(" (NEW)")))
+        return self._incoming(self.customers(), self._largest("customer", "c_custkey"), "CustomerID", "ContactTitle", F.concat("ContactTitle", F.lit(" (NEW)")))
 
     def incoming_orders(self) -> DataFrame:
-        return self._incoming(self.orders(), "OrderID", "Freight", F.col("Freight") + 1)
+        return self._incoming(self.orders(), self._largest("orders", "o_orderkey"), "OrderID", "Freight", F.col("Freight") + 1)
 
     def incoming_products(self) -> DataFrame:
-        return self._incoming(self.products(), "ProductID", "UnitsInStock", F.col("UnitsInStock") + 100)
+        return self._incoming(self.products(), self._largest("part", "p_partkey"), "ProductID", "UnitsInStock", F.col("UnitsInStock") + 100)
 
     def incoming_order_details(self) -> DataFrame:
-        return self._incoming(self.order_details(), "OrderID", "Quantity", F.col("Quantity") + 1)
+        return self._incoming(self.order_details(), self._largest("orders", "o_orderkey"), "OrderID", "Quantity", F.col("Quantity") + 1)
 
     def incoming(self) -> dict[str, DataFrame]:
         return {"Customers": self.incoming_customers(), "Products": self.incoming_products(),
                 "Orders": self.incoming_orders(), "Order_Details": self.incoming_order_details()}
 
+    def _largest(self, table: str, key: str) -> Column:
+        """Keys that are moved up by this meet none that exist."""
+        return self.raw(table).agg(F.max(key)).scalar()
+
     @staticmethod
-    def _incoming(base: DataFrame, key: str, column: str, changed: Column) -> DataFrame:
+    def _incoming(base: DataFrame, largest: Column, key: str, column: str, changed: Column) -> DataFrame:
         number = F.col(key).cast("bigint")
         sent = base.where((number % 10).isin(0, 1)).withColumn(
             column, F.when(number % 10 == 0, changed).otherwise(F.col(column)))
-        shifted = (number + NEW_KEY_OFFSET).cast(base.schema[key].dataType)
+        shifted = (number + largest).cast(base.schema[key].dataType)
         return sent.unionByName(base.where(number % 50 == 7).withColumn(key, shifted))
