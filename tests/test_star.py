@@ -291,6 +291,10 @@ def test_groups_remove_filters_one_by_one(star):
     assert {k: r.q for k, r in found.items()} == {("both", None): 2, ("year", None): 6, ("category", "One"): 7, ("orders", None): 12}
     orders = found["orders", None]
     assert (orders["keys"], orders.days, orders.days_keys) == (5, 33, 3)
+    with pytest.raises(ValueError):
+        star.groups({"two": Ask(("DimDate.Year", "DimCategories.CategoryName"))}, {"q": F.col("Quantity")})
+    shipped = replace(star, date_role="shipped").groups({"year": Ask(("DimDate.Year",), key="CustomerKey")}, {"q": F.col("Quantity")}).collect()
+    assert {r.number: (r.q, r["keys"]) for r in shipped} == {1996: (6, 2), 1997: (1, 1), None: (5, 1)}
     listed = star.groups({"category": Ask(("DimCategories.CategoryName",), members="context")}, {"q": F.col("Quantity")}).collect()
     assert {r.name: (r.q, r.member) for r in listed} == {"One": (7, 1), "Two": (2, 1), "Others": (2, 1), None: (1, None)}
 

@@ -340,14 +340,14 @@ def c02_copy_log(spark, sf_dir):
 
 @query
 def c02_copy_log_appended(spark, sf_dir):
-    """The same with every other status as failed, in a log to which the first days of a month report twice."""
-    log, runs = new_path(spark, "copy-log"), _copy_runs(spark, sf_dir, ["O", "P"])
+    """One run per order month, every other status as failed, in a log to which each January reports twice."""
+    log, runs = new_path(spark, "copy-log"), _copy_runs(spark, sf_dir, ["O", "P"], "yyyy-MM")
     bronze.append_copy_log(runs, RUN_TS, log)
     return bronze.append_copy_log(runs.where("pipeline_run_id LIKE '%-01'"), RUN_TS, log)
 
 
-def _copy_runs(spark: SparkSession, sf_dir: str, failed: list[str]) -> DataFrame:
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+def _copy_runs(spark: SparkSession, sf_dir: str, failed: list[str], period: str = "yyyy-MM-dd") -> DataFrame:
+    day = F.date_format("o_orderdate", period)
 
     def names(*statuses: str) -> Column:
         # At most five priorities exist, so the lists are short.

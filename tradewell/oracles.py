@@ -736,7 +736,7 @@ def _whole_tables() -> dict[str, str]:
         "s09_publish_whole": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders",
         "s11_append_every_status": """SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_custkey END AS o_custkey,
             CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders""",
-        "c02_copy_log_appended": """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS pipeline_run_id, o_orderpriority AS table_name,
+        "c02_copy_log_appended": """SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS pipeline_run_id, o_orderpriority AS table_name,
             CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status, '2026-02-01 00:00:00' AS run_timestamp FROM orders""",
         "x17_json_details": _feed(" UNION ALL ".join(facts)),
         "c04_validation_fields": f"""WITH {_SOURCES}, {_FEEDS}, {_VALIDATION} SELECT 'run-1' AS run_id, '2026-02-01 00:00:00' AS run_timestamp, table_name,

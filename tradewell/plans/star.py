@@ -53,7 +53,8 @@ def net() -> Column:
 class Ask:
     """One grouping among several that share a read of the fact.
 
-    ``by`` holds at most one number and two texts, which become ``number``, ``name`` and ``within``.
+    ``by`` holds columns of one dimension (products, categories and suppliers count as one) or one of the
+    fact, at most one number and two texts, which become ``number``, ``name`` and ``within``.
     Filters on ``without`` (columns or tables) do not count. With a ``key``, lines are first brought
     together by that key. ``members`` lists members without lines too: those of the "context", or "all"
     with the filters in ``without`` removed.
@@ -195,52 +196,89 @@ class Star:
         """Several groupings from one read of the fact.
 
         One row for each group: ``of`` (name of the ask), ``number``, ``name``, ``within``, ``member``
-        (whether a dimension lists it), the sums, for asks with a key the number of ``keys``, and for each
-        flag the sum over keys of its maximum and, as ``<flag>_keys``, on how many keys there is one.
+        (whether a dimension lists it) and the sums. For asks with a key also the number of ``keys``, and for
+        each flag the sum over keys of its maximum and, as ``<flag>_keys``, on how many keys there is one.
 
-        Every line yields one small row for each grouping that it counts in; these meet in the tasks
-        that read them before they are shuffled.
+        Lines first meet by the fact's own keys: each yields one small row for each key that some asks
+        group by, and these meet in the tasks that read them. So asks about one dimension share a row,
+        and attributes are looked up for keys, not for lines.
         """
         flags = dict(flags or {})
         ignored = {r for r in self.filters if not all(a.counts(r) for a in asks.values())}
-        open_ = {r for r in ignored if any(a.counts(r) for a in asks.values())}
-        refs = list(dict.fromkeys(r for a in asks.values() for r in a.by))
-        rows = replace(self, filters={r: c for r, c in self.filters.items() if r not in ignored - open_}).rows(refs, open_)
-        key_types = {t for n, t in self.tables["Sales"].dtypes if n in {a.key for a in asks.values()}}
+        open_ = [r for r in self.filters if r in ignored and any(a.counts(r) for a in asks.values())]
+        rows = replace(self, filters={r: c for r, c in self.filters.items() if r not in ignored or r in open_}).rows((), open_)
+        types = {t: dict(self.tables[t].dtypes) for t in {"Sales", *(split_ref(r)[0] for a in asks.values() for r in a.by)}}
+        key_types = {types["Sales"][a.key] for a in asks.values() if a.key}
         key_type = key_types.pop() if len(key_types) == 1 else "string"
+        ids: dict[tuple, int] = {}
+        places = {of: ids.setdefault((self._carrier(of, a), a.key, tuple(r for r in open_ if a.counts(r))), len(ids)) for of, a in asks.items()}
         entries = []
+        for (carrier, key, counted), i in ids.items():
+            entry = _entry(i, carrier or key, types["Sales"], F.col(key).cast(key_type) if key else F.lit(None).cast(key_type))
+            for ref in counted:
+                entry = F.when(_holds(F.col(_slot(ref)), self.filters[ref]), entry)
+            entries.append(entry)
+        held = F.array_compact(F.array(*entries)) if open_ else F.array(*entries)
+        lines = rows.select(F.explode(held).alias("e"), *[c.alias(n) for n, c in {**sums, **flags}.items()])
+        met = lines.groupBy("e").agg(F.count(F.lit(1)).alias("_lines"), *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in flags])
+
+        # From keys to labels.
+        looked_up = list(dict.fromkeys(r for a in asks.values() for r in a.by if not self._own(r)))
+        keys = {c: [i for (carrier, _, _), i in ids.items() if carrier == c] for c in {self._fact_key_of(r) for r in looked_up}}
+        met = met.withColumns({c: F.when(F.col("e.id").isin(i), F.col("e.number")) for c, i in keys.items()})
+        met = self._looked_up(met, looked_up)
+        labels = []
         for of, ask in asks.items():
-            label = self._label(of, ask, {r: F.col(_slot(r)) for r in ask.by}, F.col(ask.key).cast(key_type) if ask.key else F.lit(None).cast(key_type))
-            tests = [_holds(F.col(_slot(r)), self.filters[r]) for r in open_ if ask.counts(r)]
-            for test in tests:
-                label = F.when(test, label)
-            entries.append(label)
-        entry = F.array_compact(F.array(*entries)) if open_ else F.array(*entries)
-        values = {**sums, **flags}
-        lines = rows.select(F.explode(entry).alias("g"), F.lit(None).cast("int").alias("member"), *[c.alias(n) for n, c in values.items()])
+            own = F.col("e.number") if ask.by and _is_number(types["Sales"][self._carrier(of, ask)]) else F.col("e.text")
+            label = _label(of, ask, {r: own if self._own(r) else F.col(_slot(r)) for r in ask.by}, types)
+            labels.append(F.when(F.col("e.id") == places[of], label))
+        found = met.select(F.explode(F.array_compact(F.array(*labels))).alias("g"), F.col("e.key").alias("key"), F.lit(None).cast("int").alias("member"),
+                           *sums, *flags)
+        schema = found.schema
         for of, ask in asks.items():
             if ask.members:
                 there = (self if ask.members == "context" else self.without(*ask.without)).members(ask.by[0])
-                label = self._label(of, ask, {ask.by[0]: F.col(there.columns[0])}, F.lit(None).cast(key_type))
-                lines = lines.union(there.select(label, F.lit(1), *[F.lit(None).cast(lines.schema[n].dataType) for n in values]))
-        group = ["of", "number", "name", "within"]
-        first = lines.groupBy(*[F.col(f"g.{c}").alias(c) for c in [*group, "key"]]).agg(
-            F.max("member").alias("member"), *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in flags])
-        if not any(a.key for a in asks.values()):
-            return first.drop("key")
-        return first.groupBy(*group).agg(
-            F.max("member").alias("member"), *[F.sum(n).alias(n) for n in sums], F.count("key").alias("keys"),
-            *[F.sum(n).alias(n) for n in flags], *[F.count(n).alias(f"{n}_keys") for n in flags])
-
-    def _label(self, of: str, ask: Ask, values: Mapping[str, Column], key: Column) -> Column:
-        types = {r: dict(self.tables[split_ref(r)[0]].dtypes)[split_ref(r)[1]] for r in ask.by}
-        numbers = [values[r].cast("bigint") for r in ask.by if types[r] in ("int", "bigint", "smallint", "tinyint")]
-        texts = [values[r].cast("string") for r in ask.by if types[r] not in ("int", "bigint", "smallint", "tinyint")]
-        if len(numbers) > 1 or len(texts) > 2:
-            raise ValueError(f"{of}: at most one number and two texts")
-        none = F.lit(None)
-        return F.struct(F.lit(of).alias("of"), (numbers + [none.cast("bigint")])[0].alias("number"),
-                        (texts + [none.cast("string")])[0].alias("name"), ([*texts, *[none.cast("string")] * 2])[1].alias("within"), key.alias("key"))
+                label = _label(of, ask, {ask.by[0]: F.col(there.columns[0])}, types)
+                found = found.union(there.select(label, F.lit(None).cast(key_type), F.lit(1), *[F.lit(None).cast(schema[n].dataType) for n in (*sums, *flags)]))
+        found = found.select("g.*", "key", "member", *sums, *flags)
+        group, plain = ["of", "number", "name", "within"], [F.max("member").alias("member"), *[F.sum(n).alias(n) for n in sums]]
+        if any(a.key and not all(self._own(r) for r in a.by) for a in asks.values()):  # a key may have come with several keys of one label
+            found = found.groupBy(*group, "key").agg(*plain, *[F.max(n).alias(n) for n in flags])
+        if any(a.key for a in asks.values()):
+            plain += [F.count("key").alias("keys"), *[F.sum(n).alias(n) for n in flags], *[F.count(n).alias(f"{n}_keys") for n in flags]]
+        return found.groupBy(*group).agg(*plain)
+
+    def _fact_key_of(self, ref: str) -> str:
+        table = split_ref(ref)[0]
+        return self._fact_key("DimProducts" if table in THROUGH_PRODUCT else table)
+
+    def _carrier(self, of: str, ask: Ask) -> str | None:
+        """The one column of the fact that decides an ask's labels."""
+        carriers = {self._own(r) or self._fact_key_of(r) for r in ask.by}
+        if len(carriers) > 1:
+            raise ValueError(f"{of}: its columns must belong to one key of the fact")
+        return carriers.pop() if carriers else None
+
+
+def _is_number(kind: str) -> bool:
+    return kind in ("int", "bigint", "smallint", "tinyint")
+
+
+def _entry(i: int, column: str | None, types: Mapping[str, str], key: Column) -> Column:
+    number = F.col(column).cast("bigint") if column and _is_number(types[column]) else F.lit(None).cast("bigint")
+    text = F.col(column).cast("string") if column and not _is_number(types[column]) else F.lit(None).cast("string")
+    return F.struct(F.lit(i).alias("id"), number.alias("number"), text.alias("text"), key.alias("key"))
+
+
+def _label(of: str, ask: Ask, values: Mapping[str, Column], types: Mapping[str, Mapping[str, str]]) -> Column:
+    kinds = {r: _is_number(types[split_ref(r)[0]][split_ref(r)[1]]) for r in ask.by}
+    numbers = [values[r].cast("bigint") for r in ask.by if kinds[r]]
+    texts = [values[r].cast("string") for r in ask.by if not kinds[r]]
+    if len(numbers) > 1 or len(texts) > 2:
+        raise ValueError(f"{of}: at most one number and two texts")
+    none, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    return F.struct(F.lit(of).alias("of"), (numbers + [none])[0].alias("number"), (texts + [text])[0].alias("name"),
+                    ([*texts, text, text])[1].alias("within"))
 
 
 def _years(ref: str, condition: Condition) -> list[int] | None:

@@ -75,13 +75,13 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_run(df: DataFrame, path: str, run: str | DataFrame = "run_id") -> None:
+def append_run(df: DataFrame, path: str, run: str = "run_id") -> None:
     """Add the rows of one or more runs to a log; a run that is repeated replaces its own rows.
 
     Each run is a partition, named by the column ``run``. Only the partitions in the frame are
     written, nothing else is read or copied. A repeated run without rows leaves its earlier ones.
     """
-    (df.withColumn("_run", F.col(run).cast("string")).write.mode("overwrite")
+    (df.withColumn("_run", F.col(run).cast("string")).hint("rebalance", F.col("_run")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("_run").parquet(path))
 
 
