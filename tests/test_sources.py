@@ -1,5 +1,6 @@
 import json
 import pathlib
+import random
 import threading
 
 import pytest
@@ -21,6 +22,60 @@ def test_objects_back_to_back():
     assert list(page_texts(text)) == ['{"a": "}{\\""}', '{"b": [1]}', '{"c": 1}', "[1, 2]"]
 
 
+def pages_of(spark, root, block):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        return sorted(r.text for r in pages.page_rows(spark, root).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_one_file_is_read_by_several_tasks(spark, root):
+    rng = random.Random(3)
+    hard = ["}", "{", '"', "\\", "\\\"", "]", "é", "\\\\", "a", "\n", "\\\"}{"]
+
+    def value():
+        return json.dumps("".join(rng.choice(hard) for _ in range(rng.randint(0, 12))), ensure_ascii=rng.random() < 0.5)
+
+    texts = []
+    for k in range(16):
+        records = ",".join("{" + f'"k":{value()},"n":{{"x":[{value()},{i}]}}' + "}" for i in range(rng.randint(0, 9)))
+        texts.append('{"value":[' + records + f'],"c":{value()}' + "}")
+    texts.insert(7, "[1, [2], " + value() + "]")
+    between = [" ", "", "\n\t", ' "a}{" ', " 12 ", " null\n"]
+    whole = "\ufeff" + "".join(t + rng.choice(between) for t in texts)
+    write(root, "a.json", whole)
+    write(root, "b.json", texts[0] + "  ")
+    write(root, "c.json", "")
+    want = sorted([*page_texts(whole), texts[0]])
+    assert want == sorted([*texts, texts[0]])
+    for block in (150, 1000, 1 << 27):
+        assert pages_of(spark, root, block) == want
+
+
+def test_many_blocks_make_many_tasks(spark, root):
+    write(root, "a.json", "".join('{"value":[{"OrderID":%d,"Note":"}{"}]}' % i for i in range(400)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        stretches = spark.read.option("lineSep", "}").text(root)
+        assert stretches.rdd.getNumPartitions() > 4
+        assert sorted(r[0] for r in pages.read_pages(spark, root, {"OrderID": "bigint"}).collect()) == list(range(400))
+        write(root, "b.json", '{"value":[' + '{"OrderID":1},' * 400)
+        with pytest.raises(Exception, match="bad JSON"):
+            pages.read_pages(spark, root, TYPES).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("tail", ['{"value":[{"OrderID":1}]', '{"value":[]}}', '{"value":[]} x', '{"value":["', '{"value":[]}]'])
+def test_broken_ends_fail(spark, root, tail):
+    write(root, "a.json", '{"value":[{"OrderID":1}]}' * 5 + tail)
+    with pytest.raises(Exception, match="bad JSON"):
+        pages_of(spark, root, 30)
+
+
 def test_broken_tail_raises():
     with pytest.raises(ValueError, match="bad JSON"):
         list(page_texts('{"value": []}{"value": ['))
