@@ -203,5 +203,7 @@ def test_sketch_bounds_every_score():
     docs = [lexical_search.Document(i, Counter(rng.choices(words, k=200)), 90 + i, 64) for i in range(20)]
     items = lexical_search.Items(list(range(9)), [Counter(rng.choices(words, k=25)) for _ in range(9)])
     search = lexical_search.Search(items, lexical_search.Statistics(20, 4000, {w: rng.randint(1, 9000) for w in words}))
-    bounds = lexical_search.sketches(docs, 64) @ search.folded(64)
-    assert all(bounds[i, q] >= search.score(q, d.counts, d.length) for i, d in enumerate(docs) for q in range(9))
+    scores = [[search.score(q, d.counts, d.length) for q in range(9)] for d in docs]
+    loose, tight = (search.bounds(lexical_search.sketches(docs, places)) for places in (64, 1 << 16))
+    assert (loose >= scores).all() and (tight >= scores).all() and tight.mean() < loose.mean()
+    assert tight.mean() < 1.01 * sum(map(sum, scores)) / 180

@@ -6,11 +6,11 @@ times impact over the item's terms. All of it is integers.
 
 A document's sketch is an array: each distinct term is hashed to one place, and a place holds the
 greatest impact of the terms that fell on it. So the place of an item's term is never below that term's
-impact, and the sum of weight times place is an upper bound of the score. The sketches of many documents
-times the folded weights of many items are one matrix product, which looks up all bounds at once. Then
-each item's documents are scored exactly from the highest bound down, until a bound is below the kth
-score found. A sketch has two to four places for each distinct term, up to MOST_PLACES; a fuller one only
-bounds more loosely.
+impact, and the sum of weight times place is an upper bound of the score. The sketches of many documents,
+at the places where some item has a term, times the folded weights of many items are one matrix product,
+which looks up all bounds at once. Then each item's documents are scored exactly from the highest bound
+down, until a bound is below the kth score found. A sketch has 16 to 32 places for each distinct term, up to
+MOST_PLACES; a fuller one only bounds more loosely.
 
 Counts cover all documents: one pass counts documents, terms, and the documents of each term of the
 items; a second one searches. Every task returns its k best of each item, whose best are the result. The
@@ -46,7 +46,7 @@ BLOCK_BYTES = 1 << 20  # text of the items searched in one pass
 BLOCK_ITEMS = 2048
 BATCH_BYTES = 4 << 20
 PIECE = 1 << 20
-LEAST_PLACES, MOST_PLACES = 64, 4096
+LEAST_PLACES, MOST_PLACES, PLACES_A_TERM = 64, 1 << 16, 16
 BOUNDS_AT_ONCE = 1 << 22
 SHARES = 64
 UNIT = 1_000_000_000
@@ -157,19 +157,25 @@ class Search:
     def __init__(self, items: Items, seen: Statistics):
         self.seen, self.ids = seen, items.ids
         self.weighted = [{t: c * seen.weights[t] for t, c in terms.items() if t in seen.weights} for terms in items.terms]
-        self.places = [(crc32(t), q, w) for q, terms in enumerate(self.weighted) for t, w in terms.items()]
-        self._folded: dict[int, np.ndarray] = {}
+        self.hashes = [(crc32(t), q, w) for q, terms in enumerate(self.weighted) for t, w in terms.items()]
+        self._folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def folded(self, places: int) -> np.ndarray:
-        """The items' weights by place of a sketch of that many places."""
+    def folded(self, places: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which places of a sketch of that many the items ask for, and their weights at each of these."""
         if places not in self._folded:
-            out = np.zeros((places, len(self.ids)))
-            if self.places:
-                h, q, w = (np.array(x) for x in zip(*self.places))
-                np.add.at(out, (h & (places - 1), q), w)
-            self._folded[places] = out
+            h, q, w = (np.array(x, np.int64) for x in zip(*self.hashes)) if self.hashes else (np.zeros(0, np.int64),) * 3
+            asked, row = np.unique(h & (places - 1), return_inverse=True)
+            weights = np.zeros((len(asked), len(self.ids)))
+            np.add.at(weights, (row, q), w)
+            self._folded[places] = asked, weights.astype(np.float32)
         return self._folded[places]
 
+    def bounds(self, sketches: np.ndarray) -> np.ndarray:
+        """No score is above its bound: one row for each sketch, one column for each item."""
+        asked, weights = self.folded(sketches.shape[1])
+        # Single precision rounds each of the products and sums by less than 2 ** -23 of it.
+        return (sketches[:, asked] @ weights) * (1 + (len(asked) + 8) * 2.0 ** -23) + 1
+
     def score(self, item: int, counts: Counter, length: int) -> int:
         total = 0
         for term, w in self.weighted[item].items():
@@ -188,17 +194,17 @@ class Document:
 
 def sketches(docs: list[Document], places: int) -> np.ndarray:
     """One row for each document: the greatest impact at each place."""
-    out = np.zeros((len(docs), places))
+    out = np.zeros((len(docs), places), np.float32)
     for row, d in zip(out, docs):
         n = len(d.counts)
         at = np.fromiter(map(crc32, d.counts), np.int64, n) & (places - 1)
         f = np.fromiter(d.counts.values(), np.int64, n)
-        np.maximum.at(row, at, ((UNIT * f) // (1000 * f + 12 * d.length)).astype(np.float64))
+        np.maximum.at(row, at, ((UNIT * f) // (1000 * f + 12 * d.length)).astype(np.float32))  # below 2 ** 20, so exact
     return out
 
 
 def place_count(distinct: int) -> int:
-    return min(MOST_PLACES, max(LEAST_PLACES, 1 << (2 * distinct - 1).bit_length()))
+    return min(MOST_PLACES, max(LEAST_PLACES, 1 << (PLACES_A_TERM * distinct - 1).bit_length()))
 
 
 class Top:
@@ -235,8 +241,7 @@ class Top:
             step = max(1, BOUNDS_AT_ONCE // max(len(self.search.ids), places))
             for a in range(0, len(group), step):
                 part = group[a:a + step]
-                # Products are exact below 2 ** 53; the rest is room for rounding beyond it.
-                self.rescore(part, sketches(part, places) @ self.search.folded(places) * (1 + 1e-9))
+                self.rescore(part, self.search.bounds(sketches(part, places)))
 
 
 def searched(docs: DataFrame, search: Search, k: int) -> DataFrame:
