@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
@@ -32,8 +32,8 @@ def id_columns(df: DataFrame) -> list[str]:
 def infer_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> Key:
     """The first id column, else the smallest combination of them, that is unique and never null.
 
-    One aggregate counts nulls and takes a distinct-value sketch of every combination of up to ``max_size`` id columns.
-    A combination whose sketch falls short of the rows by eight standard errors cannot be unique;
+    One aggregate counts nulls and takes a distinct-value sketch of every combination of up to
+    ``max_size`` id columns. A combination whose sketch falls short of the rows by eight standard errors cannot be unique;
     the others are counted exactly, in order, until one holds. An empty table has no key. A table
     without id columns has its first column, one without a unique combination has all ids; whether
     these are unique is counted too, and said.
@@ -43,14 +43,15 @@ def infer_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> Key:
         if not df.columns or df.isEmpty():
             return Key([], False)
         return Key([df.columns[0]], _is_key(df, [df.columns[0]]))
-    total, filled = _filled(df, ids)
-    if total == 0:
-        return Key([], False)
-    complete = [c for c in ids if filled[c] == total]
-    tried = [list(c) for size in range(1, min(max_size, len(complete)) + 1) for c in combinations(complete, size)]
-    for columns in _possible(df, tried, total):
-        if _is_key(df, columns):
-            return Key(columns, True)
+    tried = [list(c) for size in range(1, min(max_size, len(ids)) + 1) for c in combinations(ids, size)]
+    total, complete = 0, []
+    for a in range(0, len(tried), SKETCHES_A_PASS):
+        total, complete, possible = _sketched(df, ids, tried[a:a + SKETCHES_A_PASS])
+        if total == 0:
+            return Key([], False)
+        for columns in possible:
+            if _is_key(df, columns):
+                return Key(columns, True)
     return Key(ids, complete == ids and len(ids) > max_size and _is_key(df, ids))
 
 
@@ -59,19 +60,15 @@ def infer_primary_key(df: DataFrame, max_size: int = MAX_KEY_SIZE) -> list[str]:
     return infer_key(df, max_size).columns
 
 
-def _filled(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return row["n"], {c: row[f"c{i}"] for i, c in enumerate(columns)}
-
-
-def _possible(df: DataFrame, tried: list[list[str]], total: int) -> Iterator[list[str]]:
-    """The combinations that may have as many values as there are rows; a pass sketches a bounded number."""
-    enough = total * (1 - SURE * SKETCH_ERROR)
-    for a in range(0, len(tried), SKETCHES_A_PASS):
-        part = tried[a:a + SKETCHES_A_PASS]
-        sketches = [F.approx_count_distinct(F.struct(*c), SKETCH_ERROR).alias(f"c{i}") for i, c in enumerate(part)]
-        row = df.agg(*sketches).first()
-        yield from (c for i, c in enumerate(part) if row[f"c{i}"] >= enough)
+def _sketched(df: DataFrame, ids: list[str], tried: list[list[str]]) -> tuple[int, list[str], list[list[str]]]:
+    """Rows, id columns without nulls, and the combinations of such that may have as many values as there are rows."""
+    filled = [F.count(f"`{c}`").alias(f"f{i}") for i, c in enumerate(ids)]
+    sketches = [F.approx_count_distinct(F.struct(*c), SKETCH_ERROR).alias(f"c{i}") for i, c in enumerate(tried)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *filled, *sketches).first()
+    complete = [c for i, c in enumerate(ids) if row[f"f{i}"] == row["n"]]
+    enough = row["n"] * (1 - SURE * SKETCH_ERROR)
+    possible = [c for i, c in enumerate(tried) if row[f"c{i}"] >= enough and set(c) <= set(complete)]
+    return row["n"], complete, possible
 
 
 def _is_key(df: DataFrame, columns: list[str]) -> bool:
