@@ -279,19 +279,81 @@ def test_language_model(spark, docs, monkeypatch):
     assert attention_lm.score(docs.limit(0), held, path).count() == 0
 
 
-@pytest.mark.parametrize("few", [0, 1 << 40])
-def test_language_model_fits_every_training_text(spark, monkeypatch, few):
-    monkeypatch.setattr(attention_lm, "FEW_IDS", few)  # 0: each text in one round; else in all
+def test_language_model_learns_a_grammar(spark):
+    """Held-out texts of a generated grammar are more probable to the model than to the word counts."""
+    import random
+
+    rng = random.Random(5)
+    follows = {w: [f"{rng.choice('bdfglmnprst')}{rng.choice('aeiou')}{rng.choice('bdfglmnprst')}{k}" for k in range(2)] for w in range(200)}
+    names = sorted({x for v in follows.values() for x in v})
+    after = {n: rng.sample(names, 2) for n in names}
+
+    def text():
+        said = [rng.choice(names)]
+        for _ in range(rng.randrange(20, 80)):
+            said.append(rng.choice(after[said[-1]]))
+        return " ".join(said)
+
+    docs = spark.createDataFrame([(k, text()) for k in range(1500)], "doc_id bigint, text string").repartition(2)
+    found = attention_lm.score(docs, held_out("doc_id", 5, 1), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    held = found.where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert held.score > held.base
+
+
+def _small_model():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 400, n).astype(np.uint16) for n in (0, 3, 40, 900, 5000)]
+    counts = np.append(np.bincount(np.concatenate(texts), minlength=500), len(texts))
+    vocabulary = attention_lm.Vocabulary(counts)
+    pairs, n = np.unique(vocabulary.pairs(texts), return_counts=True)
+    model = attention_lm.Model(vocabulary, attention_lm.Direct(vocabulary.cell_mass, pairs, n.astype(np.float32)))
+    return np, rng, texts, model
+
+
+def test_attention_gives_a_distribution_and_reads_no_later_id():
+    np, rng, texts, model = _small_model()
+    fit = attention_lm.Fit(model.attention, 0.02)
+    for _ in range(8):
+        model.learn(fit, texts)
+    start = rng.integers(0, 500, 37).astype(np.uint16)
+    told = [start, *(np.append(start, np.uint16(k)) for k in range(500))]
+    scores = model.score(told)
+    read, cells, counted, begins = attention_lm.windows(told, model.end)
+    found = model.attention.log_cells(model.vocabulary.units[read], model.vocabulary.cells[cells], begins) / np.log(10)
+    found = found + model.vocabulary.inside[cells]
+    each = [found[a:b][counted[a:b]] for a, b in zip(np.flatnonzero(begins), [*np.flatnonzero(begins)[1:], len(begins)])]
+    assert all(np.allclose(e[:37], each[0][:37], atol=1e-4) for e in each)  # what follows changes nothing
+    assert abs(sum(10 ** e[37] for e in each) - 1) < 1e-3  # the end, or one of 500 ids
+    assert np.allclose(scores, [e.sum() for e in each], atol=1e-2)
+    assert np.allclose(scores, [model.score([t], 1)[0] for t in told], atol=1e-2)  # one chunk at a time
+
+
+def test_attention_gradients_lower_the_loss():
+    np, _, texts, model = _small_model()
+    before = model.score(texts).sum()
+    fit = attention_lm.Fit(model.attention, 0.01)
+    assert sum(model.learn(fit, texts) for _ in range(24)) > 0
+    assert model.score(texts).sum() > before
+
+
+def test_language_model_fits_a_share_of_every_part(spark, monkeypatch):
     monkeypatch.setattr(attention_lm, "FIT_IDS", 1000)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    texts = ["x " * 301_000, None] + [f"text {k} of {k * k}" for k in range(700)]  # more texts and ids than any sample of before
-    training = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
-    ids = attention_lm.id_counts(attention_lm.word_counts(training), path)
+    texts = ["x " * 301_000, None] + [f"text {k} of {k * k}" for k in range(700)]
+    subwords = attention_lm.Subwords(path)
+    rows = [(k % attention_lm.ROUNDS, bytearray(subwords.bytes_of(attention_lm.words_of((t or "").encode())))) for k, t in enumerate(texts)]
+    training = spark.createDataFrame(rows, "round int, ids binary").repartition(3)
+    ids = attention_lm.id_counts(attention_lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")), path)
     ids[-1] = len(texts)
-    model = attention_lm.Model(ids)
+    vocabulary = attention_lm.Vocabulary(ids)
+    direct = attention_lm.direct_path(training, vocabulary)
+    assert (direct.classes.sum(axis=1).round(3) == 1).all()
+    model = attention_lm.Model(vocabulary, direct)
     before = model.attention.flat().copy()
-    seen = attention_lm.fit(model, training, int(ids.sum()), path)
-    assert seen == ids.sum() * (attention_lm.ROUNDS if few else 1)
+    seen = attention_lm.fit(model, training)
+    assert 0.8 < seen * attention_lm.SHARE / ids.sum() < 1.3
     assert (model.attention.flat() != before).any()
 
 

@@ -63,11 +63,11 @@ def slices(batch: pa.RecordBatch, most_bytes: int, column: str = "text") -> Iter
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-                most_bytes: int = 16 << 20) -> DataFrame:
-    """Run ``work`` on pieces of the frame's Arrow batches; ``text`` is the column that gives their size."""
+                most_bytes: int = 16 << 20, column: str = "text") -> DataFrame:
+    """Run ``work`` on pieces of the frame's Arrow batches; ``column`` gives their size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, most_bytes):
+            for piece in slices(batch, most_bytes, column):
                 out = work(piece)
                 if out is not None and out.num_rows:
                     yield out
