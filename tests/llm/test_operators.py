@@ -343,7 +343,7 @@ def test_language_model_fits_a_share_of_every_part(spark, monkeypatch):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     texts = ["x " * 301_000, None] + [f"text {k} of {k * k}" for k in range(700)]
     subwords = attention_lm.Subwords(path)
-    rows = [(k % attention_lm.ROUNDS, bytearray(subwords.bytes_of(attention_lm.words_of((t or "").encode())))) for k, t in enumerate(texts)]
+    rows = [(k % attention_lm.ROUNDS, bytearray(b"".join(subwords.pieces(attention_lm.words_of((t or "").encode()))))) for k, t in enumerate(texts)]
     training = spark.createDataFrame(rows, "round int, ids binary").repartition(3)
     ids = attention_lm.id_counts(attention_lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")), path)
     ids[-1] = len(texts)
