@@ -14,9 +14,8 @@ From the whole corpus come the counts of all words and subword ids, the base sco
 model of words) and the direct path (how often each unit is followed by each class and slot; a table of
 fixed size). The other weights are fitted in ``ROUNDS``: each task goes on from the weights so far with
 the ids of its own texts, and the weights of all tasks are averaged by the ids they saw. A text takes
-part in one round, with one of every ``SHARE`` runs of ``RUN`` chunks, counted through the texts of a
-task, so what is fitted grows with the corpus and comes from all parts of it. The rule is the same at
-every size. What a task learns follows the order of its rows, so scores (not the base scores) differ
+part in one round, with all its ids, so the weights see every training id once. The rule is the same
+at every size. What a task learns follows the order of its rows, so scores (not the base scores) differ
 slightly with how the input is split.
 
 Each text is cut into words and ids once; the ids are written, and the direct path, the rounds and the
@@ -52,7 +51,8 @@ CHUNK, CONTEXT = 16, 16
 WIDTH, HIDDEN, UNITS = 16, 16, 1024
 HEAD, TAIL, SLOTS = 32, 32, 64  # classes of one id, other classes, slots of these
 CLASSES, CELLS = HEAD + TAIL, HEAD + TAIL * SLOTS
-ROUNDS, SHARE, RUN, BATCH, RATE = 4, 8, 8, 128, 0.02
+ROUNDS, BATCH, RATE = 4, 128, 0.02
+SHARE = 1  # one of so many training ids is fitted: all are
 STRENGTH = 8.0  # ids that the share over all units counts for in the direct path of one
 FIT_IDS = 1 << 17  # ids of texts that a task fits at once
 COUNT_IDS = 1 << 19  # and counts at once
@@ -332,23 +332,17 @@ class Attention:
 
 
 class Fit:
-    """Adam over runs of neighbouring chunks in random order; texts may come in any number of calls."""
+    """Adam over batches of neighbouring chunks in random order; texts may come in any number of calls."""
 
     def __init__(self, attention: Attention, rate: float, seed: int = 7):
-        self.attention, self.rate, self.step, self.chunks = attention, rate, 0, 0
+        self.attention, self.rate, self.step = attention, rate, 0
         self.rng = np.random.default_rng(seed)
         self.mean = {n: np.zeros_like(w) for n, w in attention.p.items()}
         self.square = {n: np.zeros_like(w) for n, w in attention.p.items()}
 
     def learn(self, units: np.ndarray, cells: np.ndarray, counted: np.ndarray, begins: np.ndarray) -> int:
-        """Learn from one of ``SHARE`` runs of chunks; how many places that were."""
-        at = np.arange(self.chunks, self.chunks + len(units))
-        self.chunks += len(units)
-        mine = np.flatnonzero(at // RUN % SHARE == 0)
-        begins = begins | (at % RUN == 0)  # the context of a run is not in it
-        if len(mine):
-            begins[mine[0]] = True
-        order = np.array_split(mine, np.arange(BATCH, len(mine), BATCH))
+        """Learn from all chunks; how many places that were."""
+        order = np.array_split(np.arange(len(units)), np.arange(BATCH, len(units), BATCH))
         for r in self.rng.permutation(len(order)):
             part = order[r]
             if not counted[part].any():
@@ -362,7 +356,7 @@ class Fit:
                 square += np.float32(0.01) * (g * g - square)
                 scale = np.float32(self.rate / (1 - 0.9 ** self.step))
                 self.attention.p[n] -= scale * mean / (np.sqrt(square / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
-        return int(counted[mine].sum())
+        return int(counted.sum())
 
 
 class Model:
@@ -374,7 +368,7 @@ class Model:
         self.attention = Attention(direct)
 
     def learn(self, fit: Fit, texts: list[np.ndarray]) -> int:
-        """Learn from the share of these texts; how many ids, ends included, that were."""
+        """Learn from these texts; how many ids, ends included, that were."""
         read, told, counted, begins = windows(texts, self.end)
         return fit.learn(self.vocabulary.units[read], self.vocabulary.cells[told], counted, begins)
 
