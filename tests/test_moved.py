@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewell import entries
 from tradewell.config import Entity
 from tradewell.operators import history
+from tradewell.plans import gold
 from tradewell.sources.adapter import TestTables
 
 ORDERS = Entity("T", ["k"], ["v"])
@@ -66,3 +67,36 @@ def test_a_silver_table_is_built_alone(spark, root):
     _tables(spark, root)
     assert [r.TerritoryID for r in entries.queries()["c10_silver_territories"](spark, root).collect()] == ["0"]
     assert [r.CategoryID for r in entries.queries()["c10_silver_categories"](spark, root).collect()] == [4]
+
+
+def test_fact_is_dealt_before_it_is_computed(spark, root):
+    """What follows from a line's own columns is not moved; the product is looked up while lines are narrow."""
+    day = datetime.datetime(1997, 1, 2)
+    orders = spark.createDataFrame([(1, "c", 1, 1, day, day, None, 2.5, "N", "R")], "OrderID bigint, CustomerID string, EmployeeID bigint, "
+                                   "ShipVia bigint, OrderDate timestamp, RequiredDate timestamp, ShippedDate timestamp, Freight double, "
+                                   "ShipCountry string, ShipRegion string")
+    lines = spark.createDataFrame([(1, 7, 2, 3.0, 0.5)], "OrderID bigint, ProductID bigint, Quantity bigint, UnitPrice double, Discount double")
+    dims = {n: spark.createDataFrame([(1, k)], f"{key} bigint, {business} {kind}") for n, key, business, k, kind in (
+        ("DimCustomers", "CustomerKey", "CustomerID", "c", "string"), ("DimEmployees", "EmployeeKey", "EmployeeID", 1, "bigint"),
+        ("DimShippers", "ShipperKey", "ShipperID", 1, "bigint"), ("DimProducts", "ProductKey", "ProductID", 7, "bigint"))}
+    silver = {"Orders": orders, "Order_Details": lines}
+    moved = gold.sales_lines(silver, dims | {"DimDate": gold.dim_date(orders)})
+    assert not {"LineTotal", "DeliveryDays", "OnTimeFlag"} & set(moved.columns)
+    gold.write_fact(moved, f"{root}/Sales", finish=gold.computed)
+    found = spark.read.parquet(f"{root}/Sales")
+    assert found.columns == [*gold.sales(silver, dims | {"DimDate": gold.dim_date(orders)}).columns, "OrderYear"]
+    assert [(float(r.LineTotal), r.DeliveryDays, r.OnTimeFlag, r.ProductKey, r.OrderYear) for r in found.collect()] == [(3.0, None, None, 1, 1997)]
+
+
+def test_lines_are_dealt_before_they_are_sorted(spark, root):
+    """No task sorts all lines that it reads of a large file."""
+    details = TestTables(spark, _tables(spark, root)).order_details()
+    assert not [line for line in below_exchanges(plan(details)) if re.search(r"\bSort\b", line) and "l_linenumber" in line and "Window" not in line
+                and _under_scan_side(plan(details), line)]
+
+
+def _under_scan_side(text, line):
+    """Whether the sort has no shuffle by pair below it."""
+    lines = text.splitlines()
+    rest = lines[lines.index(line) + 1:]
+    return not any("hashpartitioning(l_orderkey" in x for x in rest)
