@@ -19,7 +19,9 @@ as null; equal doc_ids are ordered by text; an empty table gives no files; other
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -33,14 +35,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewell.llm.common import ASCII_LOWER, record_batch, text_bytes, utf8
+from tradewell.llm.common import ASCII_LOWER, record_batch, release_memory, slices, text_bytes, utf8
 from tradewell.session import materialise, new_path
 
 FILE_BYTES = 32 << 20  # text that goes to one data file
-WORDS_KEPT = 1_000_000
+SLICE_BYTES = 2 << 20  # text that a task holds at once
+WORDS_KEPT = 600_000
 NO_ID = -(1 << 63)  # stands for a null doc_id in an index
 
 
+# How word_bpe_49k.json parts words, and words that it parts into small letters of Latin-1 and marks of ASCII at most.
+PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])*)([!-/:-@\[-`{-~]*)")
+
+
 def masked(data: bytes) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
@@ -63,24 +72,47 @@ def unframe(data: bytes, at: int) -> bytes:
     return payload
 
 
+def _steps(part, kind: str) -> list[dict]:
+    """The steps of a tokenizer's normaliser or pre-tokenizer, where it is a sequence."""
+    return [] if part is None else json.loads(part.__getstate__()).get(kind, [])
+
+
 class Encoder(dict):
     """Ids of words as bytes, asked of the tokenizer on first use; emptied when full.
 
     The tokenizer splits at white space first, so a text's ids are those of its words in a row. It reads
     lower case, so words that differ in case are one, unless special strings may be among them; and it
-    parts a last comma or full stop from a letter or digit.
+    parts a last comma or full stop from a letter or digit. Where it parts words as ``PARTED`` says, a run
+    of letters and a run of marks go to its model as they are, without its normaliser and pattern.
     """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         normal = self.tokenizer.normalizer
         self.lowers = normal is not None and normal.normalize_str("AZ") == "az"
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.tokenizer.model
+        parts, cleans = _steps(self.tokenizer.pre_tokenizer, "pretokenizers"), _steps(normal, "normalizers")
+        self.parted = ([p["type"] for p in parts] == ["Split", "ByteLevel"] and parts[0]["pattern"] == {"Regex": PARTED}
+                       and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"] and isinstance(self.model, models.BPE)
+                       and [n["type"] for n in cleans] == ["NFC", "Replace", "Lowercase"]
+                       and all(t.special and t.content.startswith("<|") for t in self.tokenizer.get_added_tokens_decoder().values()))
+        symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.symbols = {ord(c): symbols.pre_tokenize_str(c)[0][0] for c in LETTERS}
 
     def __missing__(self, word: bytes) -> bytes:
+        if self.parted and (plain := PLAIN.fullmatch(word)):
+            letters, marks = plain.groups()
+            if letters and marks:
+                self[word] = found = self[letters] + self[marks]
+                return found
+            told = self.model.tokenize(word.decode().translate(self.symbols))
+            self[word] = found = struct.pack(f"<{len(told)}{self.code}", *[t.id for t in told])
+            return found
         if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
             self[word] = found = self[word[:-1]] + self[word[-1:]]
             return found
@@ -111,8 +143,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str, file_bytes
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         index, at, ids, data = [], 0, 0, None
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
+        for piece in (p for b in batches for p in slices(b, SLICE_BYTES)):
+            for doc, text in zip(piece.column("doc_id").to_pylist(), utf8(piece.column("text"))):
                 if data is None:
                     place.create_dir(root, recursive=True)
                     data = place.open_output_stream(f"{root}/{name}.rec", compression=None)
@@ -121,6 +153,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str, file_bytes
                 data.write(record := frame(payload))
                 at += len(record)
                 ids += len(payload) // encoder.kind.itemsize
+            del piece
+            release_memory()
         if data is not None:
             data.close()
             with place.open_output_stream(f"{root}/{name}.idx", compression=None) as f:
