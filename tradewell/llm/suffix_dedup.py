@@ -10,10 +10,11 @@ No transform of the whole corpus fits a task, so the corpus is cut where no shar
 
 1. Of the 24-byte strings inside a window of LENGTH bytes the one with the least hash is its anchor.
    Equal windows have equal anchors. The anchors of all documents are sent out by hash, packed in
-   arrays; those that only one document has are dropped, the rest go back to their documents.
+   arrays; those that only one document has are dropped, the rest go back to their documents, packed
+   for a group of documents (a home) at a time and merged there into one row a document.
 2. Neighbouring windows with one anchor are a stretch. Stretches with a shared anchor meet by its
-   hash; equal ones are merged under their smallest doc_id. Each bucket's distinct stretches get one
-   transform, and every window learns the smallest doc_id that has it.
+   hash; equal ones are merged under their smallest doc_id. Those whose anchor no other has share nothing
+   more; the rest of a bucket get one transform, and every window learns the smallest doc_id that has it.
 3. Documents take back the windows that a smaller doc_id has, and drop the bytes.
 
 An anchor whose stretches have more than ``HOT_BYTES`` (a phrase with other text around it in very many
@@ -51,6 +52,7 @@ PIECE = 1 << 19  # windows hashed at once
 FLUSH = 1 << 19  # anchors packed at once
 COMMON = 8  # documents of one batch from which an anchor counts as shared without asking
 BUCKET_BYTES = 4 << 20  # corpus text for each bucket of anchors
+HOME_BYTES = 16 << 20  # corpus text for each home of documents
 MEETING_BYTES = 2 << 20  # corpus text for each bucket of stretches
 BLOCK_BYTES = 1 << 19  # bytes of stretches in one transform
 HOT_BYTES = 4 << 20  # bytes of stretches with one anchor from which its windows meet singly
@@ -156,9 +158,15 @@ def hash_bits(corpus_bytes: int) -> int:
     return min(64, max(40, corpus_bytes.bit_length() + 10))
 
 
-def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
-    """From the high bits of full hashes."""
-    return (((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+def bucket_of(values: np.ndarray, buckets: int, length: int) -> np.ndarray:
+    """Ranges of anchor hashes. Each is the least of many, so ranges of equal width would put most of them into the first."""
+    above = 1 - (values >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    left, power = np.ones(len(values)), length - ANCHOR + 1
+    while power:  # by products alone, which every machine rounds alike
+        if power & 1:
+            left *= above
+        above, power = above * above, power >> 1
+    return np.minimum(((1 - left) * buckets).astype(np.int64), buckets - 1)
 
 
 def groups(sorted_keys: np.ndarray) -> np.ndarray:
@@ -172,7 +180,7 @@ KEY = "doc_id bigint, text_hash bigint"
 ANCHORS = f"bucket bigint, kind int, ids binary, hashes binary, numbers binary, owners binary"
 
 
-def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value: np.ndarray, buckets: int, bits: int) -> pa.RecordBatch:
+def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value: np.ndarray, length: int, buckets: int, bits: int) -> pa.RecordBatch:
     """Rows for the buckets: anchors with the documents that ask about them (kind 0), and those known to be shared (kind 1).
 
     A common anchor is sent once without asker, and its documents are told by a kind 1 row.
@@ -194,7 +202,7 @@ def _anchor_rows(ids: np.ndarray, hashes: np.ndarray, owner: np.ndarray, value:
     asker = np.where(common, -1, owner)[sent]
     value = value[sent]
     rows = []
-    where = bucket_of(value << dropped, buckets)
+    where = bucket_of(value << dropped, buckets, length)
     cuts = groups(where)
     for a, b in zip(cuts[:-1], cuts[1:]):
         used, numbers = np.unique(asker[a:b], return_inverse=True)
@@ -219,7 +227,7 @@ def _send_anchors(length: int, buckets: int, bits: int):
         ids, hashes, owners, values, rows, size = [], [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            return _anchor_rows(np.concatenate(ids), np.concatenate(hashes), np.concatenate(owners), np.concatenate(values), buckets, bits)
+            return _anchor_rows(np.concatenate(ids), np.concatenate(hashes), np.concatenate(owners), np.concatenate(values), length, buckets, bits)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -241,42 +249,78 @@ def _send_anchors(length: int, buckets: int, bits: int):
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """doc_id, text_hash, anchors: for each document of a bucket the anchors that another has too."""
-    ids, hashes, owner, value, base = [], [], [], [], 0
-    known = []
-    for row in table.to_pylist():
-        i, h = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["hashes"], np.int64)
-        if row["kind"]:
-            at = np.concatenate(([0], np.cumsum(np.frombuffer(row["owners"], np.int32))))
-            known += [(a, b, row["numbers"][4 * s:4 * e]) for a, b, s, e in zip(i.tolist(), h.tolist(), at[:-1], at[1:])]
-            continue
-        numbers = numbers_of(row["owners"], np.uint32).astype(np.int64) - 1  # -1: no asker
-        owner.append(np.where(numbers < 0, -1, numbers + base))
-        value.append(unpack(row["numbers"]))
-        ids.append(i)
-        hashes.append(h)
-        base += len(i)
-    out = known
-    if value:
-        ids, hashes, owner, value = map(np.concatenate, (ids, hashes, owner, value))
-        order = np.argsort(value, kind="stable")
-        owner, value = owner[order], value[order]
-        sizes = np.diff(groups(value))
-        # An anchor without asker stands for many documents of its batch.
-        several = np.repeat(np.add.reduceat(np.where(owner < 0, 2, 1), groups(value)[:-1]) > 1, sizes) & (owner >= 0)
-        owner, low = owner[several], (value[several] & _LOW).astype(np.uint32)
-        order = np.argsort(owner, kind="stable")
-        owner, low = owner[order], low[order]
-        cuts = groups(owner)
-        docs = owner[cuts[:-1]]
-        data = low.tobytes()
-        out = out + [(a, b, data[4 * s:4 * e]) for a, b, s, e in zip(
-            ids[docs].tolist(), hashes[docs].tolist(), cuts[:-1], cuts[1:])] if len(owner) else out
-    columns = list(zip(*out)) or [[], [], []]
+SHARED = "home bigint, ids binary, hashes binary, sizes binary, anchors binary"
+
+
+def _homeward(ids: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, low: np.ndarray, homes: int) -> Iterator[tuple]:
+    """One row for each home of some documents: their keys, how many anchors each has, and the anchors in a row."""
+    home = (mix64(ids.view(np.uint64) ^ mix64(hashes.view(np.uint64))) % np.uint64(homes)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    begins = np.cumsum(sizes) - sizes
+    moved = sizes[order]
+    ends = np.concatenate(([0], np.cumsum(moved)))
+    low = low[np.repeat(begins[order] - ends[:-1], moved) + np.arange(ends[-1])]
+    ids, hashes, home = ids[order], hashes[order], home[order]
+    cuts = groups(home)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield (int(home[a]), ids[a:b].tobytes(), hashes[a:b].tobytes(), planes(moved[a:b].astype(np.int32)), low[ends[a]:ends[b]].tobytes())
+
+
+def _shared_anchors(homes: int):
+    """For each home the documents of a bucket and the anchors of each that another has too."""
+    def work(table: pa.Table) -> pa.Table:
+        ids, hashes, owner, value, base, out = [], [], [], [], 0, []
+        for row in table.to_pylist():
+            i, h = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["hashes"], np.int64)
+            if row["kind"]:
+                sizes = np.frombuffer(row["owners"], np.int32).astype(np.int64)
+                out += _homeward(i, h, sizes, np.frombuffer(row["numbers"], np.uint32), homes)
+                continue
+            numbers = numbers_of(row["owners"], np.uint32).astype(np.int64) - 1  # -1: no asker
+            owner.append(np.where(numbers < 0, -1, numbers + base))
+            value.append(unpack(row["numbers"]))
+            ids.append(i)
+            hashes.append(h)
+            base += len(i)
+        if value:
+            ids, hashes, owner, value = map(np.concatenate, (ids, hashes, owner, value))
+            order = np.argsort(value, kind="stable")
+            owner, value = owner[order], value[order]
+            sizes = np.diff(groups(value))
+            # An anchor without asker stands for many documents of its batch.
+            several = np.repeat(np.add.reduceat(np.where(owner < 0, 2, 1), groups(value)[:-1]) > 1, sizes) & (owner >= 0)
+            owner, low = owner[several], (value[several] & _LOW).astype(np.uint32)
+            order = np.argsort(owner, kind="stable")
+            owner, low = owner[order], low[order]
+            if len(owner):
+                cuts = groups(owner)
+                docs = owner[cuts[:-1]]
+                out += _homeward(ids[docs], hashes[docs], np.diff(cuts), low, homes)
+        columns = list(zip(*out)) or [[]] * 5
+        release_memory()
+        return pa.table({n.split()[0]: pa.array(c, pa.int64() if n.startswith("home") else pa.binary())
+                         for n, c in zip(SHARED.split(", "), columns)})
+    return work
+
+
+def _asked(table: pa.Table) -> pa.Table:
+    """doc_id, text_hash, anchors: one row for each document of a home."""
+    ids, hashes, sizes, low = ([np.frombuffer(v, kind) for v in table.column(n).to_pylist()]
+                               for n, kind in (("ids", np.int64), ("hashes", np.int64), ("sizes", np.uint8), ("anchors", np.uint32)))
+    ids, hashes, low = map(np.concatenate, (ids, hashes, low))
+    sizes = np.concatenate([numbers_of(x, np.int32) for x in sizes]).astype(np.int64)
+    order = np.lexsort((hashes, ids))
+    begins = np.cumsum(sizes) - sizes
+    moved = sizes[order]
+    ends = np.concatenate(([0], np.cumsum(moved)))
+    data = low[np.repeat(begins[order] - ends[:-1], moved) + np.arange(ends[-1])].tobytes()
+    ids, hashes = ids[order], hashes[order]
+    first = np.ones(len(ids), bool)
+    first[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+    cuts = np.append(np.flatnonzero(first), len(ids))
+    anchors = [data[4 * a:4 * b] for a, b in zip(ends[cuts[:-1]].tolist(), ends[cuts[1:]].tolist())]
     release_memory()
-    return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "text_hash": pa.array(columns[1], pa.int64()),
-                     "anchors": pa.array(columns[2], pa.binary())})
+    return pa.table({"doc_id": ids[first], "text_hash": hashes[first], "anchors": pa.array(anchors, pa.binary())})
 
 
 # ---- stretches that meet
@@ -392,7 +436,7 @@ def _send_stretches(length: int, buckets: int, bits: int, hot: Broadcast):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         hashes = batch.column("text_hash").to_numpy(zero_copy_only=False).astype(np.int64)
         owner, first, count, value = all_stretches(texts, length)
-        asked = [np.frombuffer(b"".join(a), np.uint32).astype(np.uint64) | np.uint64(i << 32)
+        asked = [np.frombuffer(a, np.uint32).astype(np.uint64) | np.uint64(i << 32)
                  for i, a in enumerate(batch.column("anchors").to_pylist())]
         asked = np.unique(np.concatenate(asked))
         wanted = (owner.astype(np.uint64) << np.uint64(32)) | ((value >> np.uint64(64 - bits)) & _LOW)
@@ -414,7 +458,7 @@ def _send_stretches(length: int, buckets: int, bits: int, hot: Broadcast):
         rows, compressor = [], zstandard.ZstdCompressor(level=3)
         if sent:
             index = np.array([k for k, _ in sent])
-            where = bucket_of(value[index], buckets)
+            where = bucket_of(value[index], buckets, length)
             order = np.argsort(where, kind="stable")
             cuts = groups(where[order])
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -464,16 +508,18 @@ def intervals(bwt: np.ndarray, length: int) -> np.ndarray:
     whose common prefix with the row above has that very length; only rows still undecided are looked at.
     """
     n = len(bwt)
-    source = np.argsort(bwt, kind="stable")
+    source = np.argsort(bwt, kind="stable").astype(np.int32)
     symbol = bwt[source]
     bound = np.ones(n, bool)
     bound[1:] = symbol[1:] != symbol[:-1]
     undecided = np.flatnonzero(~bound)
+    here, above = source[undecided], source[undecided - 1]
     for _ in range(length - 1):
-        number = np.cumsum(bound)
-        apart = number[source[undecided]] != number[source[undecided - 1]]
-        bound[undecided[apart]] = True
-        undecided = undecided[~apart]
+        number = np.cumsum(bound, dtype=np.int32)
+        apart = number[here] != number[above]
+        if apart.any():
+            bound[undecided[apart]] = True
+            undecided, here, above = undecided[~apart], here[~apart], above[~apart]
         if not len(undecided):
             break
     return np.cumsum(bound) - 1
@@ -559,26 +605,30 @@ def _met_stretches(length: int, buckets: int):
 def _removed(parts: list[bytes], doc: np.ndarray, owner: np.ndarray, first: np.ndarray, length: int):
     """Owner, begin and end of the byte spans that a smaller doc_id has too.
 
-    Equal stretches are one. The anchor of a stretch decides its block, and blocks get a transform each.
+    Equal stretches are one. One whose anchor no other has shares no window with another: its smallest doc_id holds
+    for all its windows. The anchors of the others decide their blocks, and blocks get a transform each.
     """
     number: dict[bytes, int] = {}
     content = np.fromiter((number.setdefault(p, len(number)) for p in parts), np.int64, len(parts))
     distinct = list(number)
     least = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(least, content, doc)
-    total = sum(map(len, distinct))
-    blocks = max(1, -(-total // BLOCK_BYTES))
     anchor = np.concatenate([_first_anchors(distinct[a:a + 4096], length) for a in range(0, len(distinct), 4096)])
-    block = (mix64(anchor) % np.uint64(blocks)).astype(np.int64)
-    windows: list[np.ndarray] = [np.zeros(0, np.int64)] * len(distinct)
+    _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
+    bytes_of = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    sizes = bytes_of - length + 1
+    at = np.cumsum(sizes) - sizes
+    flat = np.repeat(least, sizes)
+    meet = np.flatnonzero(times[which] > 1)
+    blocks = max(1, -(-int(bytes_of[meet].sum()) // BLOCK_BYTES))
+    block = (mix64(anchor[meet]) % np.uint64(blocks)).astype(np.int64)
     for b in range(blocks):
-        mine = np.flatnonzero(block == b)
-        for k, found in zip(mine.tolist(), smallest_ids([distinct[k] for k in mine.tolist()], least[mine], length)):
-            windows[k] = found
+        mine = meet[block == b]
+        if len(mine):
+            found = smallest_ids([distinct[k] for k in mine.tolist()], least[mine], length)
+            n = sizes[mine]
+            flat[np.repeat(at[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = np.concatenate(found)
     owners, begins, ends = [], [], []
-    flat = np.concatenate(windows)
-    sizes = np.fromiter(map(len, windows), np.int64, len(windows))
-    at = np.cumsum(sizes) - sizes
     for a in range(0, len(parts), 65536):  # a bounded number of occurrences at a time
         c = content[a:a + 65536]
         reps = sizes[c]
@@ -618,8 +668,8 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     size = text_bytes(docs)
     buckets, bits = max(1, -(-size // BUCKET_BYTES)), hash_bits(size)
     anchors = plain.where(F.octet_length("text") >= length).mapInArrow(_send_anchors(length, buckets, bits), ANCHORS)
-    shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, f"{KEY}, anchors binary")
-    asked = shared.groupBy("doc_id", "text_hash").agg(F.collect_list("anchors").alias("anchors"))
+    shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors(max(1, -(-size // HOME_BYTES))), SHARED)
+    asked = shared.groupBy("home").applyInArrow(_asked, f"{KEY}, anchors binary")
     meetings = max(1, -(-size // MEETING_BYTES))
     meeting = meeting_rows(plain, asked, hot_counters(plain.where(F.octet_length("text") >= length), length, size), length, meetings, bits)
     spans = meeting.groupBy("bucket").applyInArrow(_met_stretches(length, meetings), SPANS)
