@@ -26,6 +26,7 @@ def test_plain_words_need_no_pattern_and_get_the_library_s_ids(monkeypatch):
         assert np.frombuffer(encoder.encode(word.encode(), 2), encoder.kind).tolist() == want, word
     asked.clear()
     encoder.clear()
+    encoder.older.clear()
     encoder.encode("Straße, ¡no! erlyin$$$ école. fürchten hello-- ...".encode(), 2)
     assert asked == ["¡no!"]
 
@@ -36,3 +37,14 @@ def test_records_do_not_depend_on_the_slices(spark, monkeypatch):
     whole = sorted(map(tuple, records.round_trip(docs, VOCABULARY).collect()), key=repr)
     monkeypatch.setattr(records, "SLICE_BYTES", 40)
     assert sorted(map(tuple, records.round_trip(docs, VOCABULARY).collect()), key=repr) == whole
+
+
+def test_words_kept_are_bounded_and_those_in_use_stay(monkeypatch):
+    monkeypatch.setattr(records, "WORDS_KEPT", 20)
+    encoder, asked = records.Encoder(VOCABULARY), []
+    ask = encoder.ask
+    encoder.ask = lambda word: asked.append(word) or ask(word)
+    for k in range(300):
+        encoder.encode(b"often %s" % f"{k:03d}".translate({48 + i: 97 + i for i in range(10)}).encode(), 2)
+        assert len(encoder) + len(encoder.older) <= 2 * 20 + 4
+    assert asked.count(b"often") == 1

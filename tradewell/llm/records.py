@@ -40,7 +40,7 @@ from tradewell.session import materialise, new_path
 
 FILE_BYTES = 32 << 20  # text that goes to one data file
 SLICE_BYTES = 2 << 20  # text that a task holds at once
-WORDS_KEPT = 600_000
+WORDS_KEPT = 150_000  # in each of two generations
 NO_ID = -(1 << 63)  # stands for a null doc_id in an index
 
 
@@ -60,12 +60,17 @@ def frame(payload: bytes) -> bytes:
     return b"".join((head, struct.pack("<I", masked(head)), payload, struct.pack("<I", masked(payload))))
 
 
-def unframe(data: bytes, at: int) -> bytes:
-    """The payload of the record that begins at ``at``; a wrong checksum raises."""
-    head = data[at:at + 8]
+def payload_size(data: bytes, at: int = 0) -> int:
+    """What the head of the record at ``at`` says; a wrong checksum raises."""
     n, check = struct.unpack_from("<QI", data, at)
-    if masked(head) != check:
+    if masked(data[at:at + 8]) != check:
         raise ValueError(f"length of the record at {at} is damaged")
+    return n
+
+
+def unframe(data: bytes, at: int) -> bytes:
+    """The payload of the record that begins at ``at``; a wrong checksum raises."""
+    n = payload_size(data, at)
     payload = data[at + 12:at + 12 + n]
     if len(payload) != n or masked(payload) != struct.unpack_from("<I", data, at + 12 + n)[0]:
         raise ValueError(f"record at {at} is damaged")
@@ -78,7 +83,7 @@ def _steps(part, kind: str) -> list[dict]:
 
 
 class Encoder(dict):
-    """Ids of words as bytes, asked of the tokenizer on first use; emptied when full.
+    """Ids of words as bytes, asked of the tokenizer on first use; when full, words not used since it was last full go.
 
     The tokenizer splits at white space first, so a text's ids are those of its words in a row. It reads
     lower case, so words that differ in case are one, unless special strings may be among them; and it
@@ -88,6 +93,7 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, models, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
@@ -105,23 +111,24 @@ class Encoder(dict):
         self.symbols = {ord(c): symbols.pre_tokenize_str(c)[0][0] for c in LETTERS}
 
     def __missing__(self, word: bytes) -> bytes:
+        found = self.older.pop(word, None)
+        self[word] = found = self.ask(word) if found is None else found
+        return found
+
+    def ask(self, word: bytes) -> bytes:
         if self.parted and (plain := PLAIN.fullmatch(word)):
             letters, marks = plain.groups()
             if letters and marks:
-                self[word] = found = self[letters] + self[marks]
-                return found
+                return self[letters] + self[marks]
             told = self.model.tokenize(word.decode().translate(self.symbols))
-            self[word] = found = struct.pack(f"<{len(told)}{self.code}", *[t.id for t in told])
-            return found
+            return struct.pack(f"<{len(told)}{self.code}", *[t.id for t in told])
         if word[-1:] in (b",", b".") and word[-2:-1].isalnum():
-            self[word] = found = self[word[:-1]] + self[word[-1:]]
-            return found
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        self[word] = found = np.array(ids, self.kind).tobytes()
-        return found
+            return self[word[:-1]] + self[word[-1:]]
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: bytes, end_id: int) -> bytes:
         if len(self) > WORDS_KEPT:
+            self.older = dict(self)
             self.clear()
         if self.lowers and b"<|" not in text:
             text = text.translate(ASCII_LOWER)
@@ -143,17 +150,19 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str, file_bytes
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         index, at, ids, data = [], 0, 0, None
-        for piece in (p for b in batches for p in slices(b, SLICE_BYTES)):
-            for doc, text in zip(piece.column("doc_id").to_pylist(), utf8(piece.column("text"))):
-                if data is None:
-                    place.create_dir(root, recursive=True)
-                    data = place.open_output_stream(f"{root}/{name}.rec", compression=None)
-                payload = encoder.encode(text, end_id)
-                index.append((NO_ID if doc is None else doc, at))
-                data.write(record := frame(payload))
-                at += len(record)
-                ids += len(payload) // encoder.kind.itemsize
-            del piece
+        for batch in batches:
+            for piece in slices(batch, SLICE_BYTES):
+                for doc, text in zip(piece.column("doc_id").to_pylist(), utf8(piece.column("text"))):
+                    if data is None:
+                        place.create_dir(root, recursive=True)
+                        data = place.open_output_stream(f"{root}/{name}.rec", compression=None)
+                    payload = encoder.encode(text, end_id)
+                    index.append((NO_ID if doc is None else doc, at))
+                    data.write(record := frame(payload))
+                    at += len(record)
+                    ids += len(payload) // encoder.kind.itemsize
+                del piece
+            del batch
             release_memory()
         if data is not None:
             data.close()
@@ -175,14 +184,18 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 with place.open_input_file(f"{root}/{row['name']}.idx") as f:
                     index = np.frombuffer(f.read(), "<i8").reshape(-1, 2)
-                with place.open_input_file(f"{root}/{row['name']}.rec") as f:
-                    data = f.read()
                 width, n = index[0].tolist()
-                sizes, crcs = [], []
-                for at in index[1:, 1].tolist():
-                    ids = np.frombuffer(unframe(data, at), f"<u{width}")
-                    sizes.append(len(ids))
-                    crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                sizes, crcs, place_in = [], [], 0
+                with place.open_input_stream(f"{root}/{row['name']}.rec", compression=None, buffer_size=1 << 20) as f:
+                    for at in index[1:, 1].tolist():
+                        if at != place_in:
+                            raise ValueError(f"the index of {row['name']} has a record at {at}, the file at {place_in}")
+                        head = f.read(12)
+                        record = head + f.read(payload_size(head) + 4)
+                        place_in += len(record)
+                        ids = np.frombuffer(unframe(record, 0), f"<u{width}")
+                        sizes.append(len(ids))
+                        crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
                 if len(sizes) != n or n != row["records"] or sum(sizes) != row["ids"]:
                     raise ValueError(f"{row['name']} does not hold what the manifest says")
                 docs = index[1:, 0]
