@@ -51,7 +51,7 @@ LONGEST = 64  # windows in a stretch
 PIECE = 1 << 19  # windows hashed at once
 FLUSH = 1 << 19  # anchors packed at once
 COMMON = 8  # documents of one batch from which an anchor counts as shared without asking
-BUCKET_BYTES = 4 << 20  # corpus text for each bucket of anchors
+BUCKET_BYTES = 32 << 20  # corpus text for each bucket of anchors; a document is named in every bucket it has anchors in
 HOME_BYTES = 16 << 20  # corpus text for each home of documents
 MEETING_BYTES = 2 << 20  # corpus text for each bucket of stretches
 BLOCK_BYTES = 1 << 19  # bytes of stretches in one transform
