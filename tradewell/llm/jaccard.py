@@ -119,7 +119,17 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
-    """The ascending distinct shingle hashes of each text."""
+    """The ascending distinct shingle hashes of each text; what is held besides them is bounded by PIECE or the longest text."""
+    out, at, total = [], 0, 0
+    for k, text in enumerate(texts):
+        total += len(text)
+        if total >= PIECE or k + 1 == len(texts):
+            out += _sets_of(texts[at:k + 1], words)
+            at, total = k + 1, 0
+    return out
+
+
+def _sets_of(texts: list[bytes], words: int) -> list[np.ndarray]:
     owner, h = word_hashes(texts)
     cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
     factors = mix64(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
@@ -348,7 +358,8 @@ def _send_prefixes(words: int, threshold: Threshold, sent, buckets: int):
     return work
 
 
-PIVOTS = "shingle bigint, pivot bigint, docs binary, sizes binary"
+PIVOTS = "shingle bigint, pivot bigint, doc_id bigint, n bigint"
+ROWS_SENT = 1 << 16  # in one Arrow batch
 
 
 def _pivots(sent, threshold: Threshold):
@@ -375,32 +386,26 @@ def _pivots(sent, threshold: Threshold):
         length = np.diff(run)
         least = np.minimum.reduceat(docs, run[:-1])
         pivot = np.repeat(least, length)
-        rows = []
-        for k in np.flatnonzero(common[run[:-1]]).tolist():
-            a, b = run[k], run[k + 1]
-            rows.append((int(value[a].astype(np.int64)), int(least[k]), docs[a:b].tobytes(), sizes[a:b].tobytes()))
         use = ~common & np.repeat(length > 1, length)
-        pivot, docs, sizes = pivot[use], docs[use], sizes[use]
-        order = np.lexsort((docs, pivot))
-        pivot, docs, sizes = pivot[order], docs[order], sizes[order]
-        new = np.ones(len(docs), bool)
-        new[1:] = (docs[1:] != docs[:-1]) | (pivot[1:] != pivot[:-1])
-        pivot, docs, sizes = pivot[new], docs[new], sizes[new]
-        run = np.concatenate(([0], np.flatnonzero(pivot[1:] != pivot[:-1]) + 1, [len(pivot)])) if len(pivot) else [0]
-        rows += [(None, int(pivot[a]), docs[a:b].tobytes(), sizes[a:b].tobytes()) for a, b in zip(run[:-1], run[1:])]
-        columns = list(zip(*rows)) or [[]] * 4
-        del docs, sizes, value, order, common, run, pivot
+        # A common shingle's documents all go on, lone ones too: other buckets have more of them.
+        columns = [np.concatenate((x[common], y)) for x, y in zip((pivot, docs, sizes), _distinct(pivot[use], docs[use], sizes[use]))]
+        shingle = np.zeros(len(columns[0]), np.int64)
+        shingle[:common.sum()] = value[common].astype(np.int64)
+        lone = np.arange(len(shingle)) >= common.sum()
+        del docs, sizes, value, order, common, run, pivot, use
         release_memory()
-        return pa.table({"shingle": pa.array(columns[0], pa.int64()), "pivot": pa.array(columns[1], pa.int64()),
-                         "docs": pa.array(columns[2], pa.binary()), "sizes": pa.array(columns[3], pa.binary())})
+        out = pa.table([pa.array(shingle, mask=lone), *map(pa.array, columns)], [c.split()[0] for c in PIVOTS.split(", ")])
+        return pa.Table.from_batches(out.to_batches(ROWS_SENT), out.schema)
     return work
 
 
-def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
-    docs = [np.frombuffer(d, np.int64) for d in batch.column("docs").to_pylist()]
-    sizes = [np.frombuffer(d, np.int64) for d in batch.column("sizes").to_pylist()]
-    pivots = np.repeat(np.array(batch.column("pivot").to_pylist(), np.int64), [len(d) for d in docs])
-    return record_batch(pivot=pivots, doc_id=np.concatenate(docs), n=np.concatenate(sizes))
+def _distinct(pivot: np.ndarray, docs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair of pivot and document once."""
+    order = np.lexsort((docs, pivot))
+    pivot, docs, sizes = pivot[order], docs[order], sizes[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (pivot[1:] != pivot[:-1])
+    return pivot[new], docs[new], sizes[new]
 
 
 def pivot_pairs(postings: DataFrame, sent, threshold: Threshold) -> DataFrame:
@@ -408,11 +413,11 @@ def pivot_pairs(postings: DataFrame, sent, threshold: Threshold) -> DataFrame:
     found = postings.groupBy("bucket").applyInArrow(_pivots(sent, threshold), PIVOTS)
     if (sent.value >= COMMON).any():
         found = materialise(found, "pivots")
-        agreed = found.where("shingle IS NOT NULL").groupBy("shingle").agg(F.min("pivot").alias("agreed"))
-        found = found.join(agreed, "shingle", "left").select(F.coalesce("agreed", "pivot").alias("pivot"), "docs", "sizes")
-    pairs = found.select("pivot", "docs", "sizes").mapInArrow(
-        lambda batches: (_unpacked(b) for b in batches if b.num_rows), "pivot bigint, doc_id bigint, n bigint")
-    return pairs.groupBy("pivot", "doc_id").agg(F.max("n").alias("n"))
+        shared = found.where("shingle IS NOT NULL")
+        agreed = shared.groupBy("shingle").agg(F.min("pivot").alias("agreed"))
+        shared = shared.join(agreed, "shingle").select(F.col("agreed").alias("pivot"), "doc_id", "n")
+        found = found.where("shingle IS NULL").select("pivot", "doc_id", "n").union(shared)
+    return found.groupBy("pivot", "doc_id").agg(F.max("n").alias("n"))
 
 
 def _sets_for_tasks(words: int):
