@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import copy
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -74,7 +75,7 @@ class Subwords(dict):
         self.codec = tiktoken.Encoding("words", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})._core_bpe
 
     def __missing__(self, word: bytes) -> bytes:
-        self[word] = found = np.array(self.codec.encode_single_piece(b" " + word), np.uint16).tobytes()
+        self[word] = found = array("H", self.codec.encode_single_piece(b" " + word)).tobytes()
         return found
 
     def bytes_of(self, words: list[bytes]) -> bytes:
@@ -242,34 +243,38 @@ class Attention:
     def by_class(self, z: np.ndarray, units: np.ndarray) -> tuple:
         return powers(z @ self.scaled(self.p["w2"])), self.direct.classes.take(units, axis=0)
 
-    def by_slot(self, z: np.ndarray, units: np.ndarray, classes: np.ndarray) -> tuple:
-        """Places told a class of several slots, in order of class, where each class begins, what each has
-        of z, its powers and its direct path."""
-        order = np.argsort(classes.astype(np.int8), kind="stable")
-        order = order[np.searchsorted(classes[order], HEAD):]
-        own = classes[order] - HEAD
-        bounds = np.searchsorted(own, np.arange(TAIL + 1))
-        mine, logits, weights = z[order], np.empty((len(order), SLOTS), np.float32), self.scaled(self.p["slots"])
+    def by_slot(self, z: np.ndarray, units: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> tuple:
+        """Powers and direct path of places told a class of several slots, ``own``, in order of class; where each class begins."""
+        logits, weights = np.empty((len(z), SLOTS), np.float32), self.scaled(self.p["slots"])
         for c in np.flatnonzero(np.diff(bounds)):
             part = slice(bounds[c], bounds[c + 1])
-            np.matmul(mine[part], weights[c], out=logits[part])
-        return order, bounds, mine, powers(logits), self.direct.slots.take(units[order] * TAIL + own, axis=0)
+            np.matmul(z[part], weights[c], out=logits[part])
+        return powers(logits), self.direct.slots.take(units * TAIL + own, axis=0)
+
+    @staticmethod
+    def sorted_by_class(classes: np.ndarray) -> tuple:
+        """Places in order of the class told, these classes, the first of several slots, and where each of them begins after it."""
+        order = np.argsort(classes.astype(np.int8), kind="stable")
+        classes = classes.take(order)
+        bounds = np.searchsorted(classes, np.arange(HEAD, CLASSES + 1))
+        return order, classes, int(bounds[0]), bounds - bounds[0]
 
     @staticmethod
     def picked(found: np.ndarray, direct: np.ndarray, told: np.ndarray) -> np.ndarray:
-        """log probability of the column told in each row."""
-        at = np.arange(len(found)), told
-        return np.log(found[at] * direct[at] / np.einsum("ij,ij->i", found, direct))
+        """log probability of the column told in each row; ``found`` is overwritten."""
+        found *= direct
+        return np.log(found[np.arange(len(found)), told] / (found @ np.ones(found.shape[1], np.float32)))
 
     def log_cells(self, units: np.ndarray, cells: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """log probability of the cell told at each place."""
         z, _ = self.hidden(units, begins)
-        flat, told = units.ravel(), cells.ravel()
-        classes = class_of(told)
-        out = self.picked(*self.by_class(z, flat), classes)
-        order, _, _, found, direct = self.by_slot(z, flat, classes)
-        out[order] += self.picked(found, direct, (told[order] - HEAD) % SLOTS)
-        return out.reshape(cells.shape)
+        order, classes, tail, bounds = self.sorted_by_class(class_of(cells.ravel()))
+        z, flat, told = z.take(order, axis=0), units.ravel().take(order), cells.ravel().take(order)
+        found = self.picked(*self.by_class(z, flat), classes)
+        found[tail:] += self.picked(*self.by_slot(z[tail:], flat[tail:], classes[tail:] - HEAD, bounds), (told[tail:] - HEAD) % SLOTS)
+        out = np.empty(cells.shape, found.dtype)
+        out.ravel()[order] = found
+        return out
 
     @staticmethod
     def slope(found: np.ndarray, direct: np.ndarray, told: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -284,29 +289,36 @@ class Attention:
         p = self.p
         z, (x, q, k, v, weight, total, h) = self.hidden(units, begins)
         weight /= total
-        flat_units, told, size = units.ravel(), cells.ravel(), counted.ravel().astype(np.float32) / max(1, counted.sum())
-        classes = class_of(told)
-        d = self.slope(*self.by_class(z, flat_units), classes, size)
+        flat_units, size = units.ravel(), counted.ravel().astype(np.float32) / np.float32(max(1, counted.sum()))
+        # Both levels in order of the class told: the places of a class lie together.
+        order, classes, tail, bounds = self.sorted_by_class(class_of(cells.ravel()))
+        active = z[:, :HIDDEN] > 0
+        z, mine, told, size = z.take(order, axis=0), flat_units.take(order), cells.ravel().take(order), size.take(order)
+        d = self.slope(*self.by_class(z, mine), classes, size)
         g = {"w2": z.T @ d, "slots": np.zeros_like(p["slots"])}
-        dz = d @ p["w2"].T
-        order, bounds, mine, found, direct = self.by_slot(z, flat_units, classes)
-        d = self.slope(found, direct, (told[order] - HEAD) % SLOTS, size[order])
-        back = np.empty((len(order), HIDDEN + 1), np.float32)
+        back = d @ p["w2"].T
+        z = z[tail:]
+        d = self.slope(*self.by_slot(z, mine[tail:], classes[tail:] - HEAD, bounds), (told[tail:] - HEAD) % SLOTS, size[tail:])
         for c in np.flatnonzero(np.diff(bounds)):
             part = slice(bounds[c], bounds[c + 1])
-            g["slots"][c] = mine[part].T @ d[part]
-            back[part] = d[part] @ p["slots"][c].T
-        dz[order] += back
-        dz = (dz * (z > 0))[:, :HIDDEN]
-        g["w1"], g["b1"] = h.T @ dz, dz.sum(axis=0)
+            np.matmul(z[part].T, d[part], out=g["slots"][c])
+            back[tail:][part] += d[part] @ p["slots"][c].T
+        dz = np.empty((len(back), HIDDEN), np.float32)
+        dz[order] = back[:, :HIDDEN]
+        dz *= active
+        g["w1"], g["b1"] = h.T @ dz, np.ones(len(dz), np.float32) @ dz
         dh = (dz @ p["w1"].T).reshape(x.shape)
-        dweight = dh @ v.transpose(0, 2, 1)
         dv = weight.transpose(0, 2, 1) @ dh
-        dscore = weight * (dweight - (weight * dweight).sum(axis=2, keepdims=True))
-        g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), (dscore.sum(axis=0) * _CAUSAL).ravel(),
-                                CONTEXT + CHUNK).astype(np.float32)
-        dq = dscore @ k / np.float32(np.sqrt(WIDTH))
-        dk = dscore.transpose(0, 2, 1) @ q / SCALE
+        dscore = dh @ v.transpose(0, 2, 1)
+        dscore *= weight
+        weight *= dscore @ np.ones((CONTEXT + CHUNK, 1), np.float32)
+        dscore -= weight
+        by_place = np.ones(len(dscore), np.float32) @ dscore.reshape(len(dscore), -1)
+        g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), by_place * _CAUSAL.ravel(), CONTEXT + CHUNK).astype(np.float32)
+        dq = dscore @ k
+        dq /= np.float32(np.sqrt(WIDTH))
+        dk = dscore.transpose(0, 2, 1) @ q
+        dk /= SCALE
 
         def own(y: np.ndarray) -> np.ndarray:
             """What the places of a chunk get from their own window and from the next."""
@@ -314,11 +326,12 @@ class Attention:
             out[:-1, CHUNK - CONTEXT:] += y[1:, :CONTEXT]
             return out.reshape(-1, WIDTH)
 
-        dx, flat = dh.reshape(-1, WIDTH).copy(), x.reshape(-1, WIDTH)
+        dx, flat = dh.reshape(-1, WIDTH), x.reshape(-1, WIDTH)
         for name, dy in (("q", dq.reshape(-1, WIDTH)), ("k", own(dk)), ("v", own(dv))):
             g[name] = flat.T @ dy
             dx += dy @ p[name].T
-        g["embed"] = np.stack([np.bincount(flat_units, d, len(p["embed"])) for d in dx.T], axis=1).astype(np.float32)
+        place = (flat_units[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        g["embed"] = np.bincount(place, dx.ravel(), p["embed"].size).astype(np.float32).reshape(-1, WIDTH)
         return g
 
     def flat(self) -> np.ndarray:
@@ -327,7 +340,7 @@ class Attention:
     def set_flat(self, weights: np.ndarray) -> None:
         at = 0
         for n, w in self.p.items():
-            self.p[n] = weights[at:at + w.size].reshape(w.shape).astype(np.float32)
+            self.p[n] = weights[at:at + w.size].reshape(w.shape).astype(np.float32, copy=False)
             at += w.size
 
 
@@ -337,25 +350,33 @@ class Fit:
     def __init__(self, attention: Attention, rate: float, seed: int = 7):
         self.attention, self.rate, self.step = attention, rate, 0
         self.rng = np.random.default_rng(seed)
-        self.mean = {n: np.zeros_like(w) for n, w in attention.p.items()}
-        self.square = {n: np.zeros_like(w) for n, w in attention.p.items()}
+        self.mean, self.square = np.zeros((2, attention.flat().size), np.float32)
 
     def learn(self, units: np.ndarray, cells: np.ndarray, counted: np.ndarray, begins: np.ndarray) -> int:
         """Learn from all chunks; how many places that were."""
-        order = np.array_split(np.arange(len(units)), np.arange(BATCH, len(units), BATCH))
-        for r in self.rng.permutation(len(order)):
-            part = order[r]
+        weights, mean, square = self.attention.flat(), self.mean, self.square
+        self.attention.set_flat(weights)  # as views, so that a step moves them all
+        firsts = np.arange(0, len(units), BATCH)
+        for r in self.rng.permutation(len(firsts)):
+            part = slice(firsts[r], firsts[r] + BATCH)
             if not counted[part].any():
                 continue
             self.step += 1
-            first = begins[part]
+            first = begins[part].copy()
             first[0] = True
-            for n, g in self.attention.gradients(units[part], cells[part], counted[part], first).items():
-                mean, square = self.mean[n], self.square[n]
-                mean += np.float32(0.1) * (g - mean)
-                square += np.float32(0.01) * (g * g - square)
-                scale = np.float32(self.rate / (1 - 0.9 ** self.step))
-                self.attention.p[n] -= scale * mean / (np.sqrt(square / np.float32(1 - 0.99 ** self.step)) + np.float32(1e-8))
+            found = self.attention.gradients(units[part], cells[part], counted[part], first)
+            g = np.concatenate([found[n].ravel() for n in self.attention.p])
+            mean += np.float32(0.1) * (g - mean)
+            g *= g
+            g -= square
+            g *= np.float32(0.01)
+            square += g
+            np.divide(square, np.float32(1 - 0.99 ** self.step), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-8)
+            np.divide(mean, g, out=g)
+            g *= np.float32(self.rate / (1 - 0.9 ** self.step))
+            weights -= g
         return int(counted.sum())
 
 
