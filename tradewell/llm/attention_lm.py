@@ -1,6 +1,7 @@
 """Language-model scoring with a small causal self-attention model trained in numpy.
 
-Words (ASCII lower-cased, an end after the last) become subword ids of a public byte-pair vocabulary.
+Words (ASCII lower-cased, an end after the last) become subword ids of a public byte-pair vocabulary, to which
+the pairs of ids that frequent words of the training texts hold most often are added as ids of their own.
 One attention layer reads the ids so far and predicts the next id by a softmax of two levels: its class
 (a frequent id is one by itself), then its slot in the class; ids that share a slot (rare ones) have
 their smoothed shares of it. Both levels add what attention finds to a direct path from the id just read.
@@ -20,7 +21,7 @@ slightly with how the input is split.
 
 Each text is cut into words and ids once; the ids are written, and the direct path, the rounds and the
 scoring read them. Word counts are looked up in two ways. Those above a threshold, at most ``FREQUENT_WORDS`` of them,
-are sent to the tasks; the rarer ones are joined.
+are sent to the tasks with the ids of their words; the rarer ones are joined.
 
 Defined cases: null text is the end alone; a null doc_id is in no fold, so it trains; repeated rows
 are scored and counted one by one; with nothing to learn from all ids are alike and the base score is
@@ -35,7 +36,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,29 +50,35 @@ from tradewell.llm.common import ASCII_LOWER, map_batches, record_batch, release
 from tradewell.session import materialise
 
 CHUNK, CONTEXT = 16, 16
-WIDTH, HIDDEN, UNITS = 16, 16, 1024
-HEAD, TAIL, SLOTS = 32, 32, 64  # classes of one id, other classes, slots of these
+WIDTH, HIDDEN, UNITS = 16, 16, 2048
+HEAD, TAIL, SLOTS = 16, 16, 128  # classes of one id, other classes, slots of these
 CLASSES, CELLS = HEAD + TAIL, HEAD + TAIL * SLOTS
-ROUNDS, BATCH, RATE = 4, 128, 0.02
+ROUNDS, BATCH, RATE = 4, 256, 0.014
 SHARE = 1  # one of so many training ids is fitted: all are
 STRENGTH = 8.0  # ids that the share over all units counts for in the direct path of one
 FIT_IDS = 1 << 17  # ids of texts that a task fits at once
 COUNT_IDS = 1 << 19  # and counts at once
 SLICES = 8  # in which the weights are averaged
 FREQUENT_WORDS = 200_000
+MERGES, LEAST_MERGED = 700, 64  # most pairs of ids that become one, and how often a pair must occur
 WORDS_KEPT = 500_000
 
 
 # ---- subword ids
 
 class Subwords(dict):
-    """Ids of words as bytes, found on first use; emptied when full."""
+    """Ids of words as bytes, found on first use; emptied when full. Each of ``merges``, pairs of ids, is one more id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: tuple[tuple[int, int], ...] = ()):
         super().__init__()
         with open(path, encoding="ascii") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, f)}
         self.size = max(ranks.values()) + 1
+        if merges:
+            parts = {i: part for part, i in ranks.items()}
+            for a, b in merges:
+                if ranks.setdefault(parts[a] + parts[b], self.size) == self.size:
+                    self.size += 1
         self.codec = tiktoken.Encoding("words", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})._core_bpe
 
     def __missing__(self, word: bytes) -> bytes:
@@ -79,17 +86,20 @@ class Subwords(dict):
         return found
 
     def bytes_of(self, words: list[bytes]) -> bytes:
+        return b"".join(self.pieces(words))
+
+    def pieces(self, words: list[bytes]) -> list[bytes]:
         if len(self) > WORDS_KEPT:
             self.clear()
-        return b"".join(map(self.__getitem__, words))
+        return list(map(self.__getitem__, words))
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         return np.frombuffer(self.bytes_of(words), np.uint16)
 
 
 @lru_cache(1)
-def _subwords(path: str) -> Subwords:
-    return Subwords(path)
+def _subwords(path: str, merges: tuple[tuple[int, int], ...] = ()) -> Subwords:
+    return Subwords(path, merges)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -138,7 +148,11 @@ class Vocabulary:
 
 
 class Direct:
-    """Probability of each class after each unit, and of each slot after each unit, within its class."""
+    """Probability of each class after each unit, and of each slot after each unit, within its class.
+
+    Most classes hold far fewer ids than SLOTS. ``groups`` has the slots again, of neighbouring classes that need a like
+    number of them, and no more than these: first class, the class after the last, slots, table by unit and class.
+    """
 
     def __init__(self, cell_mass: np.ndarray, pairs: np.ndarray, n: np.ndarray):
         told = np.zeros((UNITS + CLASSES) * CELLS, np.float32)
@@ -154,7 +168,12 @@ class Direct:
         self.classes = np.maximum((by_class + strength * of_class / of_class.sum()) / (by_class.sum(axis=1, keepdims=True) + strength), least)
         slots = slots + strength * of_slots / np.maximum(of_class[HEAD:, None], least)
         slots /= by_class[:, HEAD:, None] + strength
-        self.slots = np.maximum(slots, least, out=slots).reshape(-1, SLOTS)
+        np.maximum(slots, least, out=slots)
+        self.slots = slots.reshape(-1, SLOTS)
+        used = np.where(of_slots > 0, np.arange(1, SLOTS + 1), 1).max(axis=1)
+        wide = np.minimum(1 << np.ceil(np.log2(np.maximum(used, 8))).astype(int), SLOTS)
+        ends = [*(np.flatnonzero(np.diff(wide)) + 1).tolist(), TAIL]
+        self.groups = [(a, b, int(wide[a]), slots[:, a:b, :wide[a]].reshape(-1, wide[a])) for a, b in zip([0, *ends], ends)]
 
 
 # Floats whose bits are a number of SCALE * x + BIAS are about e^x.
@@ -222,17 +241,23 @@ class Attention:
         near = np.where(_CAUSAL, p["near"][np.maximum(_DISTANCE, 0)] * SCALE + BIAS, np.float32(-1e12)).astype(np.float32)
         x = p["embed"].take(units, axis=0)
         q = (p["embed"] @ p["q"] * (SCALE / np.float32(np.sqrt(WIDTH)))).take(units, axis=0)
-        k = self.with_context((p["embed"] @ p["k"]).take(units, axis=0))
-        v = self.with_context((p["embed"] @ p["v"]).take(units, axis=0))
-        weight = q @ k.transpose(0, 2, 1)
+        # k, v and a one, which gives the sum of the weights
+        kv = np.concatenate((p["embed"] @ p["k"], p["embed"] @ p["v"], np.ones((len(p["embed"]), 1), np.float32)), axis=1)
+        kv = self.with_context(kv.take(units, axis=0))
+        weight = q @ kv[:, :, :WIDTH].transpose(0, 2, 1)
         weight += near
         weight = powers(weight, np.float32(0))  # what is masked weighs 0
         weight[begins, :, :CONTEXT] = 0
-        total = np.maximum(weight @ np.ones((CONTEXT + CHUNK, 1), np.float32), np.float32(1e-30))
-        h = (x + (weight @ v) / total).reshape(-1, WIDTH)
-        z = np.ones((len(h), HIDDEN + 1), np.float32)
-        np.maximum(h @ p["w1"] + p["b1"], 0, out=z[:, :HIDDEN])
-        return z, (x, q, k, v, weight, total, h)
+        found = weight @ kv[:, :, WIDTH:]
+        total = np.maximum(found[:, :, WIDTH:], np.float32(1e-30))
+        found = found[:, :, :WIDTH] / total
+        h = (x + found).reshape(-1, WIDTH)
+        z = np.empty((len(h), HIDDEN + 1), np.float32)
+        z[:, HIDDEN] = 1
+        inner = h @ p["w1"]
+        inner += p["b1"]
+        np.maximum(inner, 0, out=z[:, :HIDDEN])
+        return z, (x, q, kv, weight, found, total, h)
 
     @staticmethod
     def scaled(weights: np.ndarray) -> np.ndarray:
@@ -240,98 +265,105 @@ class Attention:
         out[..., -1, :] += BIAS
         return out
 
-    def by_class(self, z: np.ndarray, units: np.ndarray) -> tuple:
-        return powers(z @ self.scaled(self.p["w2"])), self.direct.classes.take(units, axis=0)
-
-    def by_slot(self, z: np.ndarray, units: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> tuple:
-        """Powers and direct path of places told a class of several slots, ``own``, in order of class; where each class begins."""
-        logits, weights = np.empty((len(z), SLOTS), np.float32), self.scaled(self.p["slots"])
-        for c in np.flatnonzero(np.diff(bounds)):
-            part = slice(bounds[c], bounds[c + 1])
-            np.matmul(z[part], weights[c], out=logits[part])
-        return powers(logits), self.direct.slots.take(units * TAIL + own, axis=0)
-
     @staticmethod
     def sorted_by_class(classes: np.ndarray) -> tuple:
-        """Places in order of the class told, these classes, the first of several slots, and where each of them begins after it."""
+        """Places in order of the class told, these classes, and where each class of several slots begins, with the end."""
         order = np.argsort(classes.astype(np.int8), kind="stable")
         classes = classes.take(order)
-        bounds = np.searchsorted(classes, np.arange(HEAD, CLASSES + 1))
-        return order, classes, int(bounds[0]), bounds - bounds[0]
-
-    @staticmethod
-    def picked(found: np.ndarray, direct: np.ndarray, told: np.ndarray) -> np.ndarray:
-        """log probability of the column told in each row; ``found`` is overwritten."""
-        found *= direct
-        return np.log(found[np.arange(len(found)), told] / (found @ np.ones(found.shape[1], np.float32)))
+        return order, classes, np.searchsorted(classes, np.arange(HEAD, CLASSES + 1)).tolist()
+
+    def levels(self, z: np.ndarray, units: np.ndarray, classes: np.ndarray, slots: np.ndarray, bounds: list[int]) -> Iterator[tuple]:
+        """Shares, not yet divided by their sum, of the classes at all places and of the slots of each group of classes.
+
+        Places come in order of class. With the shares: which places, the column told, and name, index, weights and
+        places of each matrix that gave them.
+        """
+        found = powers(z @ self.scaled(self.p["w2"]))
+        found *= self.direct.classes.take(units, axis=0)
+        yield found, slice(0, len(z)), classes, [("w2", ..., self.p["w2"], slice(0, len(z)))]
+        scaled = self.scaled(self.p["slots"])
+        for a, b, wide, table in self.direct.groups:
+            first, end = bounds[a], bounds[b]
+            if first == end:
+                continue
+            logits = np.empty((end - first, wide), np.float32)
+            pieces = [("slots", (c, slice(None), slice(wide)), self.p["slots"][c, :, :wide], slice(bounds[c] - first, bounds[c + 1] - first))
+                      for c in range(a, b) if bounds[c] < bounds[c + 1]]
+            mine = z[first:end]
+            for _, at, _, part in pieces:
+                np.matmul(mine[part], scaled[at], out=logits[part])
+            found = powers(logits)
+            found *= table.take(units[first:end] * (b - a) + (classes[first:end] - (HEAD + a)), axis=0)
+            yield found, slice(first, end), slots[first:end], pieces
 
     def log_cells(self, units: np.ndarray, cells: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """log probability of the cell told at each place."""
         z, _ = self.hidden(units, begins)
-        order, classes, tail, bounds = self.sorted_by_class(class_of(cells.ravel()))
-        z, flat, told = z.take(order, axis=0), units.ravel().take(order), cells.ravel().take(order)
-        found = self.picked(*self.by_class(z, flat), classes)
-        found[tail:] += self.picked(*self.by_slot(z[tail:], flat[tail:], classes[tail:] - HEAD, bounds), (told[tail:] - HEAD) % SLOTS)
-        out = np.empty(cells.shape, found.dtype)
-        out.ravel()[order] = found
+        cells = cells.ravel()
+        order, classes, bounds = self.sorted_by_class(class_of(cells))
+        logs = np.zeros(len(z), np.float32)
+        for found, rows, told, _ in self.levels(z.take(order, axis=0), units.ravel().take(order), classes,
+                                                (cells.take(order) - HEAD) % SLOTS, bounds):
+            logs[rows] += np.log(found[np.arange(len(found)), told] / (found @ np.ones(found.shape[1], np.float32)))
+        out = np.empty(units.shape, np.float32)
+        out.ravel()[order] = logs
         return out
 
-    @staticmethod
-    def slope(found: np.ndarray, direct: np.ndarray, told: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Of the negative log probability of the column told, times size; ``found`` is overwritten."""
-        found *= direct
-        found *= (size / (found @ np.ones(found.shape[1], np.float32)))[:, None]
-        found[np.arange(len(found)), told] -= size
-        return found
-
     def gradients(self, units: np.ndarray, cells: np.ndarray, counted: np.ndarray, begins: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log probability over the counted places."""
         p = self.p
-        z, (x, q, k, v, weight, total, h) = self.hidden(units, begins)
-        weight /= total
-        flat_units, size = units.ravel(), counted.ravel().astype(np.float32) / np.float32(max(1, counted.sum()))
+        z, (x, q, kv, weight, found, total, h) = self.hidden(units, begins)
+        flat_units, cells = units.ravel(), cells.ravel()
+        size = counted.ravel().astype(np.float32) / np.float32(max(1, counted.sum()))
         # Both levels in order of the class told: the places of a class lie together.
-        order, classes, tail, bounds = self.sorted_by_class(class_of(cells.ravel()))
-        active = z[:, :HIDDEN] > 0
-        z, mine, told, size = z.take(order, axis=0), flat_units.take(order), cells.ravel().take(order), size.take(order)
-        d = self.slope(*self.by_class(z, mine), classes, size)
-        g = {"w2": z.T @ d, "slots": np.zeros_like(p["slots"])}
-        back = d @ p["w2"].T
-        z = z[tail:]
-        d = self.slope(*self.by_slot(z, mine[tail:], classes[tail:] - HEAD, bounds), (told[tail:] - HEAD) % SLOTS, size[tail:])
-        for c in np.flatnonzero(np.diff(bounds)):
-            part = slice(bounds[c], bounds[c + 1])
-            np.matmul(z[part].T, d[part], out=g["slots"][c])
-            back[tail:][part] += d[part] @ p["slots"][c].T
+        order, classes, bounds = self.sorted_by_class(class_of(cells))
+        size, sorted_z = size.take(order), z.take(order, axis=0)
+        g = {"w2": np.empty_like(p["w2"]), "slots": np.zeros_like(p["slots"])}
+        back = np.zeros((len(z), HIDDEN), np.float32)
+        for d, rows, told, pieces in self.levels(sorted_z, flat_units.take(order), classes, (cells.take(order) - HEAD) % SLOTS, bounds):
+            # The slope is (d less its sum at what is told) * size / sum: the factor goes to the narrow sides of the products.
+            of_all = d @ np.ones(d.shape[1], np.float32)
+            d[np.arange(len(d)), told] -= of_all
+            factor = (size[rows] / of_all)[:, None]
+            mine, dz = sorted_z[rows] * factor, np.empty((len(d), HIDDEN), np.float32)
+            for name, at, weights, part in pieces:
+                np.matmul(mine[part].T, d[part], out=g[name][at])
+                np.matmul(d[part], weights[:HIDDEN].T, out=dz[part])
+            dz *= factor
+            back[rows] += dz
         dz = np.empty((len(back), HIDDEN), np.float32)
-        dz[order] = back[:, :HIDDEN]
-        dz *= active
+        dz[order] = back
+        dz *= z[:, :HIDDEN] > 0
         g["w1"], g["b1"] = h.T @ dz, np.ones(len(dz), np.float32) @ dz
         dh = (dz @ p["w1"].T).reshape(x.shape)
-        dv = weight.transpose(0, 2, 1) @ dh
-        dscore = dh @ v.transpose(0, 2, 1)
+        # Weights are not divided by their sums here either: what comes back is.
+        back = np.empty((*dh.shape[:2], WIDTH + 1), np.float32)
+        np.divide(dh, total, out=back[:, :, :WIDTH])
+        found *= back[:, :, :WIDTH]
+        np.negative(found.sum(axis=2), out=back[:, :, WIDTH])
+        dscore = back @ kv[:, :, WIDTH:].transpose(0, 2, 1)
         dscore *= weight
-        weight *= dscore @ np.ones((CONTEXT + CHUNK, 1), np.float32)
-        dscore -= weight
         by_place = np.ones(len(dscore), np.float32) @ dscore.reshape(len(dscore), -1)
         g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), by_place * _CAUSAL.ravel(), CONTEXT + CHUNK).astype(np.float32)
-        dq = dscore @ k
-        dq /= np.float32(np.sqrt(WIDTH))
-        dk = dscore.transpose(0, 2, 1) @ q
-        dk /= SCALE
-
-        def own(y: np.ndarray) -> np.ndarray:
-            """What the places of a chunk get from their own window and from the next."""
-            out = y[:, CONTEXT:].copy()
-            out[:-1, CHUNK - CONTEXT:] += y[1:, :CONTEXT]
-            return out.reshape(-1, WIDTH)
-
-        dx, flat = dh.reshape(-1, WIDTH), x.reshape(-1, WIDTH)
-        for name, dy in (("q", dq.reshape(-1, WIDTH)), ("k", own(dk)), ("v", own(dv))):
-            g[name] = flat.T @ dy
-            dx += dy @ p[name].T
-        place = (flat_units[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-        g["embed"] = np.bincount(place, dx.ravel(), p["embed"].size).astype(np.float32).reshape(-1, WIDTH)
+        dkv = np.empty((len(x), CONTEXT + CHUNK, 2 * WIDTH), np.float32)
+        np.matmul(dscore.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+        np.matmul(weight.transpose(0, 2, 1), back[:, :, :WIDTH], out=dkv[:, :, WIDTH:])
+        dqkv = np.empty((*x.shape[:2], 3 * WIDTH), np.float32)
+        np.matmul(dscore, kv[:, :, :WIDTH], out=dqkv[:, :, :WIDTH])
+        dqkv[:, :, WIDTH:] = dkv[:, CONTEXT:]  # from a place's own window, then from the next
+        dqkv[:-1, CHUNK - CONTEXT:, WIDTH:] += dkv[1:, :CONTEXT]
+        dqkv = dqkv.reshape(-1, 3 * WIDTH)
+        factors = np.repeat(np.array([1 / np.sqrt(WIDTH), 1 / SCALE, 1], np.float32), WIDTH)
+        of_all = x.reshape(-1, WIDTH).T @ dqkv
+        of_all *= factors
+        g["q"], g["k"], g["v"] = np.split(of_all, 3, axis=1)
+        dx = dqkv @ (np.concatenate((p["q"], p["k"], p["v"]), axis=1) * factors).T
+        dx += dh.reshape(-1, WIDTH)
+        order = np.argsort(flat_units.astype(np.int16), kind="stable")
+        read = flat_units.take(order)
+        first = np.flatnonzero(np.diff(read, prepend=-1))
+        g["embed"] = np.zeros_like(p["embed"])
+        g["embed"][read[first]] = np.add.reduceat(dx.take(order, axis=0), first, axis=0)
         return g
 
     def flat(self) -> np.ndarray:
@@ -366,16 +398,16 @@ class Fit:
             first[0] = True
             found = self.attention.gradients(units[part], cells[part], counted[part], first)
             g = np.concatenate([found[n].ravel() for n in self.attention.p])
-            mean += np.float32(0.1) * (g - mean)
+            # Sums that fade; their factors are in the last step.
+            mean *= np.float32(0.9)
+            mean += g
             g *= g
-            g -= square
-            g *= np.float32(0.01)
+            square *= np.float32(0.99)
             square += g
-            np.divide(square, np.float32(1 - 0.99 ** self.step), out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-8)
+            np.sqrt(square, out=g)
+            g += np.float32(1e-8 * np.sqrt((1 - 0.99 ** self.step) / 0.01))
             np.divide(mean, g, out=g)
-            g *= np.float32(self.rate / (1 - 0.9 ** self.step))
+            g *= np.float32(self.rate * 0.1 / (1 - 0.9 ** self.step) * np.sqrt((1 - 0.99 ** self.step) / 0.01))
             weights -= g
         return int(counted.sum())
 
@@ -431,10 +463,27 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def id_counts(words: DataFrame, path: str) -> np.ndarray:
-    """Count of every subword id over the counted words; as many numbers as the vocabulary has reach the driver."""
+def frequent_pairs(words: DataFrame, path: str) -> tuple[tuple[int, int], ...]:
+    """The MERGES pairs of neighbouring ids that the counted words hold most often, if LEAST_MERGED times at least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = _subwords(path)
+        for batch in batches:
+            sums: Counter[tuple[int, int]] = Counter()
+            for word, n in zip(*(c.to_pylist() for c in batch.columns)):
+                found = subwords.codec.encode_single_piece(b" " + word)
+                for pair in zip(found, found[1:]):
+                    sums[pair] += n
+            yield record_batch(a=[a for a, _ in sums], b=[b for _, b in sums], n=pa.array(sums.values(), pa.int64()))
+
+    counted = words.select("word", "n").mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    most = counted.where(F.col("n") >= LEAST_MERGED).orderBy(F.desc("n"), "a", "b").limit(MERGES)
+    return tuple((row["a"], row["b"]) for row in most.collect())
+
+
+def id_counts(words: DataFrame, path: str, merges: tuple[tuple[int, int], ...] = ()) -> np.ndarray:
+    """Count of every subword id over the counted words; as many numbers as the vocabulary has reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords = _subwords(path, merges)
         sums = np.zeros(subwords.size, np.int64)
         for batch in batches:
             found = [subwords.codec.encode_single_piece(b" " + w) for w in batch.column("word").to_pylist()]
@@ -443,7 +492,7 @@ def id_counts(words: DataFrame, path: str) -> np.ndarray:
         used = np.flatnonzero(sums)
         yield record_batch(id=used, n=sums[used])
 
-    out = np.zeros(_subwords(path).size + 1, np.int64)
+    out = np.zeros(_subwords(path, merges).size + 1, np.int64)
     for row in words.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[row["id"]] = row["n"]
     return out
@@ -544,23 +593,60 @@ def fit(model: Model, training: DataFrame) -> int:
 ENCODED = ("doc_id bigint, held_out boolean, round int, n_tokens bigint, known bigint, base double, rare array<binary>, ids binary")
 
 
-def _encode(sent: Broadcast, path: str):
+class Frequent:
+    """Number, base logarithm and ids of each frequent word."""
+
+    def __init__(self, rows: list, bottom: float):
+        self.number = {bytes(r["word"]): k for k, r in enumerate(rows)}
+        self.logs = np.log10((np.array([r["n"] for r in rows], np.float64) + 0.5) / bottom)
+        self.ids = np.frombuffer(b"".join(bytes(r["ids"]) for r in rows), np.uint16)
+        self.sizes = np.array([len(r["ids"]) // 2 for r in rows], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+
+def frequent_words(words: DataFrame, path: str, merges: tuple[tuple[int, int], ...], bottom: float) -> Frequent:
+    """Of counted words, at most ``FREQUENT_WORDS``; their ids are found in the tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords = _subwords(path, merges)
+        for batch in batches:
+            yield batch.append_column("ids", pa.array(subwords.pieces(batch.column("word").to_pylist()), pa.binary()))
+
+    return Frequent(list(words.select("word", "n").mapInArrow(run, "word binary, n bigint, ids binary").toLocalIterator()), bottom)
+
+
+def _encode(sent: Broadcast, path: str, merges: tuple[tuple[int, int], ...]):
     """Base counts of the frequent words, the other words, and the ids of each text."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         frequent, end_log, end_known = sent.value
-        subwords = _subwords(path)
-        size, known, base, rare, ids = [], [], [], [], []
-        for text in utf8(batch.column("text")):
-            w = words_of(text)
-            logs = np.fromiter(map(frequent.get, w, repeat(np.nan)), np.float64, len(w))
-            missing = np.isnan(logs)
-            size.append(len(w) + 1)
-            known.append(len(w) - int(missing.sum()) + end_known)
-            base.append(float(logs[~missing].sum()) + end_log)
-            rare.append([w[k] for k in np.flatnonzero(missing).tolist()])
-            ids.append(subwords.bytes_of(w))
-        return record_batch(doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), round=batch.column("round"), n_tokens=size,
-                            known=known, base=base, rare=pa.array(rare, pa.list_(pa.binary())), ids=pa.array(ids, pa.binary()))
+        words = [words_of(text) for text in utf8(batch.column("text"))]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        words = list(chain.from_iterable(words))
+        number = np.fromiter(map(frequent.number.get, words, repeat(-1)), np.int64, len(words))
+        common, missing = number >= 0, np.flatnonzero(number < 0)
+        rare = [words[k] for k in missing.tolist()]
+        del words
+
+        def bounds(before: np.ndarray) -> np.ndarray:
+            """Where each text begins and the last ends, from a running sum over words."""
+            return before[np.concatenate(([0], np.cumsum(size)))]
+
+        known = np.concatenate(([0], np.cumsum(common)))
+        logs, at = frequent.logs[number[common]], bounds(known).tolist()
+        # Ids of frequent words lie in one array, those of the others behind them.
+        pieces = _subwords(path, merges).pieces(rare)
+        lengths, starts = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
+        lengths[common], starts[common] = frequent.sizes[number[common]], frequent.starts[number[common]]
+        others = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 2
+        lengths[missing], starts[missing] = others, len(frequent.ids) + np.cumsum(others) - others
+        before = np.concatenate(([0], np.cumsum(lengths)))
+        ids = np.concatenate((frequent.ids, np.frombuffer(b"".join(pieces), np.uint16)))
+        ids = ids[np.repeat(starts - before[:-1], lengths) + np.arange(before[-1])]
+        known_here = bounds(known)
+        return record_batch(
+            doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), round=batch.column("round"), n_tokens=size + 1,
+            known=np.diff(known_here) + end_known, base=[float(logs[a:b].sum()) + end_log for a, b in zip(at, at[1:])],
+            rare=pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))) - known_here, pa.int32()), pa.array(rare, pa.binary())),
+            ids=pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((2 * bounds(before)).astype(np.int32)), pa.py_buffer(ids)]))
     return work
 
 
@@ -586,13 +672,13 @@ def score(docs: DataFrame, held: Column, path: str) -> DataFrame:
     n_train = training.count()
     distinct, total = told[0] + (n_train > 0), (told[1] or 0) + n_train
     bottom = total + 0.5 * (distinct + 1)
-    ids = id_counts(words, path)
-    ids[-1] = n_train
     least = frequent_from(words)
-    frequent = {bytes(r["word"]): float(np.log10((r["n"] + 0.5) / bottom))
-                for r in words.where(F.col("n") >= least).toLocalIterator()}
-    sent = spark.sparkContext.broadcast((frequent, float(np.log10((n_train + 0.5) / bottom)), int(n_train > 0)))
-    encoded = map_batches(plain, _encode(sent, path), ENCODED, 4 << 20).withColumn("row", F.monotonically_increasing_id())
+    often = words.where(F.col("n") >= least)
+    merges = frequent_pairs(often, path)
+    ids = id_counts(words, path, merges)
+    ids[-1] = n_train
+    sent = spark.sparkContext.broadcast((frequent_words(often, path, merges, bottom), float(np.log10((n_train + 0.5) / bottom)), int(n_train > 0)))
+    encoded = map_batches(plain, _encode(sent, path, merges), ENCODED, 2 << 20).withColumn("row", F.monotonically_increasing_id())
     encoded = materialise(encoded, "lm-ids")
     sent.unpersist()
     learnt = encoded.where(~F.col("held_out"))
